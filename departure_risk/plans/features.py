@@ -38,6 +38,12 @@ def join_cells(flights: DataFrame, cells: DataFrame) -> DataFrame:
     return flights.join(c, match, "left").drop(*[f"cell_{k}" for k in CELL_KEYS])
 
 
+def with_histories(flights: DataFrame, histories: list[History]) -> DataFrame:
+    """Flights with some of the histories only."""
+    cells = written_once(daily_cells(flights), "daily-cells")
+    return join_cells(flights, add_histories(cells, cells.select(*CELL_KEYS), histories))
+
+
 def feature_columns(histories: list[History]) -> list[str]:
     keys = ["flight_id", "flight_date", "carrier", "origin", "dest", "dep_hour", "day_of_week", "month"]
     trend = [f"{h.name}_{m}" for h in histories for m in ("rate", "n")]

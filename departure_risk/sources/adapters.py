@@ -49,3 +49,49 @@ def weather_from_orders(orders: DataFrame) -> DataFrame:
         "10 + ((t * 3 + i * 17) % 700) / 10.0D AS gust_kmh",
         "((t * 11 + i * 5) % 300) / 10.0D - 5 AS temp_min_c",
     )
+
+
+def requests_from_orders(orders: DataFrame) -> DataFrame:
+    """One scoring request per order: hours 24 and 25 are invalid, origin ZZ has no history."""
+    return orders.selectExpr(
+        "o_orderkey AS request_id",
+        "concat('C', substr(o_orderpriority, 1, 1)) AS carrier",
+        "CASE WHEN o_orderkey % 97 = 0 THEN 'ZZ' ELSE concat('A', CAST(o_custkey % 6 AS STRING)) END AS origin",
+        "concat('A', CAST((o_custkey + o_orderkey) % 7 AS STRING)) AS dest",
+        "CAST(o_orderdate AS DATE) AS flight_date",
+        "CAST((o_orderkey * 5) % 26 AS INT) AS dep_hour",
+    )
+
+
+def airports_from_suppliers(supplier: DataFrame) -> DataFrame:
+    """An airport table with several rows per code, some of them closed or without a type."""
+    return supplier.selectExpr(
+        "concat('A', CAST(s_suppkey % 6 AS STRING)) AS iata_code",
+        "s_acctbal AS latitude_deg",
+        "CAST(s_nationkey AS DOUBLE) AS longitude_deg",
+        "CASE WHEN s_suppkey % 4 = 1 THEN 'closed' WHEN s_suppkey % 4 = 2 THEN NULL ELSE 'large_airport' END AS type",
+    )
+
+
+def payloads_from_weather(weather: DataFrame) -> DataFrame:
+    """Forecast payloads as a service answers them: two airports and one month per answer.
+
+    A group holds at most 62 days, so collecting it is bounded.
+    """
+    pair = F.floor(F.substring("airport", 2, 1).cast("int") / 2)
+    day = F.struct("date", "precip_mm", "snow_cm", "gust_kmh", "temp_min_c")
+    per_airport = weather.groupBy(pair.alias("pair"), F.trunc("date", "month").alias("month"), "airport").agg(
+        F.sort_array(F.collect_list(day)).alias("days"))
+    daily = F.struct(
+        F.transform("days", lambda d: d["date"].cast("string")).alias("time"),
+        F.transform("days", lambda d: d["precip_mm"]).alias("precipitation_sum"),
+        F.transform("days", lambda d: d["snow_cm"]).alias("snowfall_sum"),
+        F.transform("days", lambda d: d["gust_kmh"]).alias("wind_gusts_10m_max"),
+        F.transform("days", lambda d: d["temp_min_c"]).alias("temperature_2m_min"),
+    )
+    answers = per_airport.groupBy("pair", "month").agg(
+        F.sort_array(F.collect_list(F.struct("airport", F.struct(daily.alias("daily")).alias("item")))).alias("rows"))
+    return answers.select(
+        F.transform("rows", lambda r: r["airport"]).alias("airports"),
+        F.to_json(F.transform("rows", lambda r: r["item"])).alias("payload"),
+    )
