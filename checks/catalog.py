@@ -204,8 +204,7 @@ def _(d):
     SELECT flight_id, CAST(origin_day_flights AS BIGINT) AS origin_day_flights
     FROM flights JOIN load USING (flight_id) WHERE operated""")
 def _(d):
-    loads = add_load(history.daily_cells(d.flights))
-    return join_cells(d.operated, loads).select("flight_id", "origin_day_flights")
+    return join_cells(d.operated, add_load(d.cells)).select("flight_id", "origin_day_flights")
 
 
 @check("p11_flights_with_tail", ["flights"], "SELECT tail, count(*) AS flights FROM flights WHERE tail IS NOT NULL GROUP BY tail")
@@ -269,7 +268,7 @@ def _(d):
 @check("p26_turnaround_guard", ["rotation"], """
     SELECT flight_id, turnaround_min FROM rotation WHERE turnaround_min IS NOT NULL""")
 def _(d):
-    return add_rotation(d.flights).select("flight_id", "turnaround_min").dropna()
+    return add_rotation(d.stored).select("flight_id", "turnaround_min").dropna()
 
 
 @check("p27_request_status", ["matched"], "SELECT status, count(*) AS requests FROM matched GROUP BY status")
@@ -285,13 +284,13 @@ for _i, (_name, (_keys, _days)) in enumerate(HISTORY_KEYS.items(), start=1):
     @check(f"j{_i}_{_name}_on_flights", [f"h_{_name}"],
            f"SELECT f.flight_id, {_name}_rate, {_name}_n FROM flights f LEFT JOIN h_{_name} h ON {_on}")
     def _(d, name=_name):
-        return with_histories(d.flights, [HISTORY[name]]).select("flight_id", f"{name}_rate", f"{name}_n")
+        return with_histories(d.stored, [HISTORY[name]], d.cells).select("flight_id", f"{name}_rate", f"{name}_n")
 
 
 @check("j8_rotation_on_flights", ["rotation"], """
     SELECT flight_id, tail, leg_number, legs_that_day, turnaround_min FROM flights LEFT JOIN rotation USING (flight_id)""")
 def _(d):
-    return add_rotation(d.flights).select("flight_id", "tail", *ROTATION)
+    return add_rotation(d.stored).select("flight_id", "tail", *ROTATION)
 
 
 for _i, _end in ((9, "origin"), (10, "dest")):
@@ -310,7 +309,7 @@ def _(d):
 
 
 def _last_day(d: Data) -> dt.date:
-    return d.operated.agg(F.max("flight_date")).first()[0]
+    return d.cells.filter("labelled > 0").agg(F.max("flight_date")).first()[0]
 
 
 def _snapshot(d: Data) -> DataFrame:
@@ -549,12 +548,12 @@ def _(d):
 
 @check("w2_origin_day_flights", ["load"], "SELECT flight_id, origin_day_flights FROM load")
 def _(d):
-    return join_cells(d.flights, add_load(history.daily_cells(d.flights))).select("flight_id", "origin_day_flights")
+    return join_cells(d.stored, add_load(d.cells)).select("flight_id", "origin_day_flights")
 
 
 @check("w3_origin_hour_flights", ["load"], "SELECT flight_id, origin_hour_flights FROM load")
 def _(d):
-    return join_cells(d.flights, add_load(history.daily_cells(d.flights))).select("flight_id", "origin_hour_flights")
+    return join_cells(d.stored, add_load(d.cells)).select("flight_id", "origin_hour_flights")
 
 
 for _i, _name in enumerate(HISTORY_KEYS, start=4):
@@ -565,17 +564,17 @@ for _i, _name in enumerate(HISTORY_KEYS, start=4):
 
 @check("w11_leg_number", ["rotation"], "SELECT flight_id, leg_number FROM rotation")
 def _(d):
-    return add_rotation(d.flights).select("flight_id", "leg_number").dropna()
+    return add_rotation(d.stored).select("flight_id", "leg_number").dropna()
 
 
 @check("w12_legs_that_day", ["rotation"], "SELECT flight_id, legs_that_day FROM rotation")
 def _(d):
-    return add_rotation(d.flights).select("flight_id", "legs_that_day").dropna()
+    return add_rotation(d.stored).select("flight_id", "legs_that_day").dropna()
 
 
 @check("w13_turnaround", ["rotation"], "SELECT flight_id, turnaround_min FROM rotation")
 def _(d):
-    return add_rotation(d.flights).filter("tail IS NOT NULL").select("flight_id", "turnaround_min")
+    return add_rotation(d.stored).filter("tail IS NOT NULL").select("flight_id", "turnaround_min")
 
 
 @check("w14_daily_shift", ["shifts"], "SELECT flight_date, round(shift, 6) AS shift FROM shifts")
@@ -773,12 +772,12 @@ def _(d):
 
 @check("l1_outcome_leaks")
 def _(d):
-    return audits.outcome_leaks(d.flights, d.weather, d.split.valid_start).agg(F.count("*").alias("changed"))
+    return audits.outcome_leaks(d.stored, d.weather, d.split.valid_start).agg(F.count("*").alias("changed"))
 
 
 @check("l2_cancellation_leaks")
 def _(d):
-    return audits.cancellation_leaks(d.flights, d.weather, d.split.valid_start).agg(F.count("*").alias("changed"))
+    return audits.cancellation_leaks(d.stored, d.weather, d.split.valid_start).agg(F.count("*").alias("changed"))
 
 
 @check("l3_recalibration_leaks")

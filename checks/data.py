@@ -5,10 +5,11 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from departure_risk.operators.clean import clean
-from departure_risk.operators.forecast import base_rate, route_forecast
+from departure_risk.operators.forecast import base_rate_of_cells, route_forecast
 from departure_risk.operators.history import HISTORIES
 from departure_risk.operators.split import Split, find_split, label_split
-from departure_risk.plans.features import build_features, with_histories
+from departure_risk.plans.features import build_features, stored_cells, with_histories
+from departure_risk.session import written_once
 from departure_risk.sources import adapters
 
 
@@ -42,25 +43,34 @@ class Data:
     def requests(self) -> DataFrame:
         return adapters.requests_from_orders(self.orders)
 
+    @cached_property
+    def stored(self) -> DataFrame:
+        """The flights table as written: for queries that read it more than once."""
+        return written_once(self.flights, "flights")
+
+    @cached_property
+    def cells(self) -> DataFrame:
+        return stored_cells(self.stored)
+
     @cached_property
     def operated(self) -> DataFrame:
-        return self.flights.filter("operated")
+        return self.stored.filter("operated")
 
     @cached_property
     def features(self) -> DataFrame:
-        return build_features(self.flights, self.weather)
+        return build_features(self.stored, self.weather, cells=self.cells)
 
     @cached_property
     def split(self) -> Split:
-        return find_split(self.operated)
+        return find_split(self.cells.filter("labelled > 0"))
 
     @cached_property
     def forecast(self) -> DataFrame:
-        """Route-history forecasts of the validation and test period."""
+        """Route-history forecasts of the validation and test period, written once."""
         histories = [h for h in HISTORIES if h.name in ("route", "origin")]
-        rows = with_histories(self.flights, histories).filter("operated")
-        later = label_split(rows, self.split).filter("split <> 'train'")
-        return route_forecast(later, base_rate(self.operated, self.split))
+        later = label_split(self.operated, self.split).filter("split <> 'train'")
+        rows = with_histories(later, histories, self.cells)
+        return written_once(route_forecast(rows, base_rate_of_cells(self.cells, self.split)), "forecast")
 
     @cached_property
     def test(self) -> DataFrame:

@@ -12,11 +12,14 @@ def hot_keys(rows: DataFrame, keys: list[str], limit: int = HOT_ROWS) -> DataFra
     return counts.filter(F.col("rows_of_key") > limit).select(*keys)
 
 
-def set_apart(rows: DataFrame, keys: list[str], limit: int = HOT_ROWS) -> tuple[DataFrame, DataFrame]:
-    """(rows of ordinary keys and of null keys, rows of hot keys).
+def set_apart(rows: DataFrame, keys: list[str], limit: int = HOT_ROWS) -> tuple[DataFrame, DataFrame | None]:
+    """(rows of ordinary keys and of null keys, rows of hot keys or None when there are none).
 
-    The broadcast list is bounded by rows/limit. When it turns out empty, adaptive execution drops the hot
-    branch before it reads anything.
+    The check runs right away over the key columns alone, so the usual plan carries no trace of it. The
+    broadcast list is bounded by rows/limit.
     """
-    hot = F.broadcast(hot_keys(rows, keys, limit))
+    hot = hot_keys(rows, keys, limit)
+    if hot.isEmpty():
+        return rows, None
+    hot = F.broadcast(hot)
     return rows.join(hot, keys, "left_anti"), rows.join(hot, keys, "left_semi")

@@ -21,7 +21,8 @@ def add_rotation(flights: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     group there. An aircraft-day above `hot_rows` flights (a placeholder tail) goes the piecewise way.
     """
     usual, hot = set_apart(flights, AIRCRAFT_DAY, hot_rows)
-    return _in_one_window(usual).unionByName(_in_pieces(hot, hot_rows))
+    placed = _in_one_window(usual)
+    return placed if hot is None else placed.unionByName(_in_pieces(hot, hot_rows))
 
 
 def _in_one_window(flights: DataFrame) -> DataFrame:

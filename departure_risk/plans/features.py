@@ -12,14 +12,16 @@ from departure_risk.operators.weather import add_weather
 from departure_risk.session import written_once
 
 
-def cell_features(flights: DataFrame, weather: DataFrame | None,
-                  histories: list[History] = HISTORIES) -> DataFrame:
+def stored_cells(flights: DataFrame) -> DataFrame:
+    """Daily cells, written once: every history would scan the flights again otherwise."""
+    return written_once(daily_cells(flights), "daily-cells")
+
+
+def cell_features(cells: DataFrame, weather: DataFrame | None, histories: list[History] = HISTORIES) -> DataFrame:
     """Everything a flight shares with the flights of its cell (day, carrier, origin, dest, hour).
 
     Load, histories and weather are attached to cells, not flights: the joins move counts and keys only.
-    The cells are written once, because every history would scan the flights again otherwise.
     """
-    cells = written_once(daily_cells(flights), "daily-cells")
     return add_weather(add_histories(cells, add_load(cells), histories), weather).drop("scheduled", "labelled", "late")
 
 
@@ -38,9 +40,9 @@ def join_cells(flights: DataFrame, cells: DataFrame) -> DataFrame:
     return flights.join(c, match, "left").drop(*[f"cell_{k}" for k in CELL_KEYS])
 
 
-def with_histories(flights: DataFrame, histories: list[History]) -> DataFrame:
+def with_histories(flights: DataFrame, histories: list[History], cells: DataFrame | None = None) -> DataFrame:
     """Flights with some of the histories only."""
-    cells = written_once(daily_cells(flights), "daily-cells")
+    cells = cells or stored_cells(flights)
     return join_cells(flights, add_histories(cells, cells.select(*CELL_KEYS), histories))
 
 
@@ -51,14 +53,14 @@ def feature_columns(histories: list[History]) -> list[str]:
 
 
 def build_features(flights: DataFrame, weather: DataFrame | None = None, histories: list[History] = HISTORIES,
-                   hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Feature table of the operated flights.
+                   hot_rows: int = HOT_ROWS, cells: DataFrame | None = None) -> DataFrame:
+    """Feature table of the operated flights. `cells` are those of `flights`, when already at hand.
 
     Load and rotation are taken over the whole schedule first; the filter to operated flights comes after,
     because a cancellation is only known on the day.
     """
     operated = add_rotation(flights, hot_rows).filter("operated")
-    rows = join_cells(operated, cell_features(flights, weather, histories))
+    rows = join_cells(operated, cell_features(cells or stored_cells(flights), weather, histories))
     return rows.withColumns({
         "day_of_week": iso_weekday(F.col("flight_date")),
         "month": F.month("flight_date"),
