@@ -3,14 +3,11 @@
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from checks.data import Data
 from checks.sql_parts import HISTORY_KEYS, SNAPSHOT_LAST, WEATHER_NAMES, with_parts
-from departure_risk.config import (
-    ABLATIONS, CATEGORICAL, HISTORY_28D, HISTORY_7D, LOAD, MODEL_COLUMNS, NUMERIC, ROTATION, SNAPSHOT_MEDIANS, WEATHER,
-    WEATHER_COLUMNS,
-)
+from departure_risk.config import CATEGORICAL, ROTATION, SNAPSHOT_MEDIANS, WEATHER, WEATHER_COLUMNS
 from departure_risk.functions import columns as C
 from departure_risk.operators import audits, compare, cube as cubes, history, metrics, nearest
 from departure_risk.operators.clean import clean
@@ -18,26 +15,29 @@ from departure_risk.operators.ids import dense_ids
 from departure_risk.operators.recalibrate import daily_outcomes, daily_shift, recalibrate
 from departure_risk.operators.rotation import add_rotation
 from departure_risk.operators.schedule import add_load
-from departure_risk.operators.snapshot import snapshot
-from departure_risk.operators.split import only, split_summary
+from departure_risk.operators.split import label_split, only, split_summary
 from departure_risk.operators.weather import add_weather
-from departure_risk.plans import models, questions, training
+from departure_risk.plans import models, questions
 from departure_risk.plans.features import join_cells, with_histories
-from departure_risk.plans.scoring import score_requests
+from departure_risk.plans.serving import fresh_snapshot
 from departure_risk.session import written_once
 from departure_risk.sources import adapters, forecasts, landing
-from departure_risk.sources.csv_files import check_columns
 
-QUERIES: dict[str, Callable] = {}
+BUILDS: dict[str, Callable[[Data], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
 HISTORY = {h.name: h for h in history.HISTORIES}
 
 
+def queries() -> dict[str, Callable]:
+    """name -> function of (session, folder), each over tables of its own."""
+    return {name: lambda spark, folder, build=build: build(Data(spark, folder)) for name, build in BUILDS.items()}
+
+
 def check(name: str, needs: list[str] | None = None, sql: str | None = None):
     """Register a query and the SQL it must equal."""
     def keep(build: Callable[[Data], DataFrame]):
-        QUERIES[name] = lambda spark, folder: build(Data(spark, folder))
+        BUILDS[name] = build
         if sql is not None:
             SQL[name] = with_parts(needs or [], sql)
         return build
@@ -212,12 +212,31 @@ def _(d):
     return d.flights.filter(F.col("tail").isNotNull()).groupBy("tail").agg(F.count("*").alias("flights"))
 
 
+@check("p12_national_days", ["h_nation_7d"], "SELECT flight_date, nation_7d_n FROM h_nation_7d")
+def _(d):
+    daily = history.daily_counts(d.cells, ())
+    return history.trailing(daily, (), {"nation_7d": 7}).select("flight_date", "nation_7d_n")
+
+
+@check("p13_typed_nulls", ["flights"], f"""
+    SELECT count(*) AS flights, {", ".join(f"max(CAST(NULL AS DOUBLE)) AS {c}" for c in WEATHER)} FROM flights""")
+def _(d):
+    return add_weather(d.flights, None).agg(F.count("*").alias("flights"), *[F.max(c).alias(c) for c in WEATHER])
+
+
 @check("p14_zero_guard", ["flights"], """
     SELECT origin, flight_date, sum(delayed) / nullif(count(delayed), 0) AS rate FROM flights GROUP BY ALL""")
 def _(d):
     return d.flights.groupBy("origin", "flight_date").agg(C.ratio(F.sum("delayed"), F.count("delayed")).alias("rate"))
 
 
+@check("p15_zero_default", ["h_route"], """
+    SELECT origin, dest, count(*) AS days_without_past FROM h_route WHERE route_n = 0 AND route_rate IS NULL GROUP BY ALL""")
+def _(d):
+    return history.history_table(d.flights, HISTORY["route"]).filter("route_n = 0 AND route_rate IS NULL").groupBy(
+        "origin", "dest").agg(F.count("*").alias("days_without_past"))
+
+
 @check("p16_route_forecast", ["test"], "SELECT flight_id, round(p, 6) AS p FROM test")
 def _(d):
     return rounded(d.test.select("flight_id", "p"), ["p"])
@@ -265,6 +284,14 @@ def _(d):
     return d.test.select("flight_id", F.round(x, 6).alias("log_odds"), F.round(C.from_log_odds(x), 6).alias("back"))
 
 
+@check("p25_route_lookup", ["requests", "snapshot"], """
+    SELECT request_id, count(*) AS hours FROM requests r JOIN snapshot s
+        ON s.carrier = r.carrier AND s.origin = r.origin AND s.dest = r.dest GROUP BY request_id""")
+def _(d):
+    hours = _snapshot(d).groupBy(*nearest.ROUTE).agg(F.count("*").alias("hours"))
+    return d.requests.join(hours, nearest.ROUTE).select("request_id", "hours")
+
+
 @check("p26_turnaround_guard", ["rotation"], """
     SELECT flight_id, turnaround_min FROM rotation WHERE turnaround_min IS NOT NULL""")
 def _(d):
@@ -308,12 +335,8 @@ def _(d):
     return rounded(recalibrate(d.forecast, d.split.test_start).select("flight_id", "shift"), ["shift"])
 
 
-def _last_day(d: Data) -> dt.date:
-    return d.cells.filter("labelled > 0").agg(F.max("flight_date")).first()[0]
-
-
 def _snapshot(d: Data) -> DataFrame:
-    return snapshot(d.features, _last_day(d))
+    return fresh_snapshot(d.stored, d.last_operated_day)
 
 
 @check("j12_nearest_hour", ["matched"], f"""
@@ -611,6 +634,29 @@ def _(d):
         GROUP BY origin, flight_date ORDER BY flights DESC, origin, flight_date""")
 
 
+@check("o5_last_known_rate", ["h_route"], """
+    SELECT origin, dest, round(arg_max(route_rate, flight_date) FILTER (WHERE route_rate IS NOT NULL), 6) AS last_rate
+    FROM h_route GROUP BY ALL""")
+def _(d):
+    rates = history.history_table(d.flights, HISTORY["route"])
+    known = F.when(F.col("route_rate").isNotNull(), F.col("flight_date"))
+    return rates.groupBy("origin", "dest").agg(F.round(F.max_by("route_rate", known), 6).alias("last_rate"))
+
+
+@check("o6_nearest_hour_first", ["matched"], """
+    SELECT abs(matched_hour - dep_hour) AS gap, count(*) AS requests FROM matched WHERE status = 'ok' GROUP BY 1""")
+def _(d):
+    found = nearest.match_requests(d.requests, _snapshot(d)).filter("status = 'ok'")
+    return found.groupBy(F.abs(F.col("matched_hour") - F.col("dep_hour")).alias("gap")).agg(F.count("*").alias("requests"))
+
+
+@check("o9_top_days", ["flights"], """
+    SELECT flight_date, count(*) AS flights FROM flights GROUP BY flight_date ORDER BY 2 DESC, 1 LIMIT 10""")
+def _(d):
+    counts = d.flights.groupBy("flight_date").agg(F.count("*").alias("flights"))
+    return counts.orderBy(F.desc("flights"), "flight_date").limit(10)
+
+
 # --- Set operations --------------------------------------------------------------------------------------------
 
 @check("u1_union_by_name", ["raw"], """
@@ -661,7 +707,6 @@ def _(d):
 
 @check("m1_time_split", ["parts"], "SELECT flight_id, split FROM parts")
 def _(d):
-    from departure_risk.operators.split import label_split
     return label_split(d.operated, d.split).select("flight_id", "split")
 
 
@@ -770,6 +815,26 @@ def _(d):
     ], "case string, match boolean")
 
 
+@check("e3_answer_scores")
+def _(d):
+    """Answers from DataFrames against answers from SQL over the same view, and one that must stay open."""
+    questions.register(d.stored)
+    late = "round(100 * avg(delayed), 1)"
+    asked = [
+        ("How many flights were scheduled?", questions.scheduled_flights(d.stored), "SELECT count(*) FROM flights"),
+        ("Which share left late, by carrier?", questions.late_percent_by_carrier(d.stored),
+         f"SELECT carrier, {late} FROM flights WHERE operated GROUP BY carrier"),
+        ("And by hour?", questions.late_percent_by_hour(d.stored),
+         f"SELECT dep_hour, {late} FROM flights WHERE operated GROUP BY dep_hour"),
+        ("Which is the busiest route?", questions.busiest_origins(d.stored, 1),
+         "SELECT origin, dest, count(*) FROM flights GROUP BY origin, dest ORDER BY 3 DESC, 1, 2 LIMIT 1"),
+        ("Which pilots were late most often?", None, None),
+    ]
+    scores = compare.score_answers([(q, got, None if sql is None else d.spark.sql(sql)) for q, got, sql in asked])
+    return d.spark.createDataFrame([(scores["correct"], scores["total"], scores["accuracy"])],
+                                   "correct int, total int, accuracy double")
+
+
 @check("l1_outcome_leaks")
 def _(d):
     return audits.outcome_leaks(d.stored, d.weather, d.split.valid_start).agg(F.count("*").alias("changed"))

@@ -1,8 +1,9 @@
 """The test tables seen as flights, weather and requests."""
 
+import datetime as dt
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from departure_risk.operators.clean import clean
 from departure_risk.operators.forecast import base_rate_of_cells, route_forecast
@@ -64,6 +65,10 @@ class Data:
     def split(self) -> Split:
         return find_split(self.cells.filter("labelled > 0"))
 
+    @cached_property
+    def last_operated_day(self) -> dt.date:
+        return self.cells.filter("labelled > 0").agg(F.max("flight_date")).first()[0]
+
     @cached_property
     def forecast(self) -> DataFrame:
         """Route-history forecasts of the validation and test period, written once."""

@@ -3,12 +3,12 @@
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from checks.catalog import _snapshot, check
-from departure_risk.config import ABLATIONS, MODEL_COLUMNS
-from departure_risk.operators.metrics import ranking_metrics
+from checks.catalog import check
+from departure_risk.config import MODEL_COLUMNS
 from departure_risk.operators.split import only
 from departure_risk.plans import models, training
 from departure_risk.plans.scoring import score_requests
+from departure_risk.plans.serving import fresh_snapshot
 from departure_risk.session import written_once
 
 # Small ensembles keep the checks quick; the steps are those of the full run.
@@ -60,9 +60,8 @@ def _(d):
 
 @check("m10_batch_scores")
 def _(d):
-    features, _, model, _ = _full_model(d)
-    from departure_risk.operators.snapshot import snapshot
-    return score_requests(d.requests, written_once(snapshot(features), "snapshot"), model)
+    _, _, model, _ = _full_model(d)
+    return score_requests(d.requests, fresh_snapshot(d.stored, d.last_operated_day), model)
 
 
 @check("a20_importance")

@@ -86,10 +86,10 @@ def history_table(flights: DataFrame, history: History) -> DataFrame:
 def add_histories(cells: DataFrame, rows: DataFrame, histories: list[History] = HISTORIES) -> DataFrame:
     """Left-join every history to `rows` (any frame holding the keys and flight_date).
 
-    Equality joins: a null key finds nothing. No broadcast hint: the sizes grow with airports and days, so
-    the size threshold and adaptive execution choose.
+    Equality joins: a null key finds nothing. The keyless total has one row per day and is broadcast; the
+    others grow with airports and days, so the size threshold and adaptive execution choose.
     """
     for keys, frames in key_sets(histories).items():
         table = trailing(daily_counts(cells, keys), keys, frames)
-        rows = rows.join(table, [*keys, "flight_date"], "left")
+        rows = rows.join(table if keys else F.broadcast(table), [*keys, "flight_date"], "left")
     return rows
