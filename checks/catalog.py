@@ -204,7 +204,7 @@ def _(d):
     SELECT flight_id, CAST(origin_day_flights AS BIGINT) AS origin_day_flights
     FROM flights JOIN load USING (flight_id) WHERE operated""")
 def _(d):
-    return join_cells(d.operated, add_load(d.cells)).select("flight_id", "origin_day_flights")
+    return join_cells(d.operated, add_load(d.cells), d.cells).select("flight_id", "origin_day_flights")
 
 
 @check("p11_flights_with_tail", ["flights"], "SELECT tail, count(*) AS flights FROM flights WHERE tail IS NOT NULL GROUP BY tail")
@@ -571,12 +571,12 @@ def _(d):
 
 @check("w2_origin_day_flights", ["load"], "SELECT flight_id, origin_day_flights FROM load")
 def _(d):
-    return join_cells(d.stored, add_load(d.cells)).select("flight_id", "origin_day_flights")
+    return join_cells(d.stored, add_load(d.cells), d.cells).select("flight_id", "origin_day_flights")
 
 
 @check("w3_origin_hour_flights", ["load"], "SELECT flight_id, origin_hour_flights FROM load")
 def _(d):
-    return join_cells(d.stored, add_load(d.cells)).select("flight_id", "origin_hour_flights")
+    return join_cells(d.stored, add_load(d.cells), d.cells).select("flight_id", "origin_hour_flights")
 
 
 for _i, _name in enumerate(HISTORY_KEYS, start=4):

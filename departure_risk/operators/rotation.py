@@ -3,6 +3,7 @@
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from departure_risk.operators.hot_groups import HOT_ROWS, set_apart
+from departure_risk.operators.running import in_ranges
 
 AIRCRAFT_DAY = ["tail", "flight_date"]
 LONGEST_TURNAROUND = 720
@@ -22,7 +23,7 @@ def add_rotation(flights: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """
     usual, hot = set_apart(flights, AIRCRAFT_DAY, hot_rows)
     placed = _in_one_window(usual)
-    return placed if hot is None else placed.unionByName(_in_pieces(hot, hot_rows))
+    return placed if hot is None else placed.unionByName(_in_pieces(hot))
 
 
 def _in_one_window(flights: DataFrame) -> DataFrame:
@@ -37,15 +38,15 @@ def _in_one_window(flights: DataFrame) -> DataFrame:
     })
 
 
-def _in_pieces(flights: DataFrame, piece_rows: int) -> DataFrame:
+def _in_pieces(flights: DataFrame) -> DataFrame:
     """The same columns when a group is too large for one task.
 
-    Pieces are departure minutes, cut by ranges of the unique flight_id, so a piece holds at most
-    `piece_rows` flights. Positions inside a piece are shifted by the sizes of the pieces before it; the
+    Pieces are departure minutes, cut by ranges of the unique flight_id: some 1,440 times the number of
+    ranges per aircraft-day at most, however many flights those hold. Positions inside a piece are shifted by the sizes of the pieces before it; the
     first flight of a piece looks back at the last flight of the piece before.
     """
     piece = [*AIRCRAFT_DAY, "dep_min", "id_range"]
-    cut = flights.withColumn("id_range", F.floor(F.col("flight_id") / piece_rows))
+    cut = in_ranges(flights, "flight_id", "id_range")
     before = Window.partitionBy(*AIRCRAFT_DAY).orderBy("dep_min", "id_range")
     pieces = (
         cut.groupBy(*piece)

@@ -1,6 +1,6 @@
 """The feature table: one row per operated flight, using only what is known the day before."""
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from departure_risk.config import CELL_KEYS, LOAD, ROTATION, WEATHER
 from departure_risk.functions.columns import iso_weekday
@@ -25,25 +25,37 @@ def cell_features(cells: DataFrame, weather: DataFrame | None, histories: list[H
     return add_weather(add_histories(cells, add_load(cells), histories), weather).drop("scheduled", "labelled", "late")
 
 
-def join_cells(flights: DataFrame, cells: DataFrame) -> DataFrame:
-    """Attach cell columns to flights: the one join at flight grain.
-
-    Carrier and day may be null and must still find their cell. A hot cell is split by adaptive
-    execution's skew join: the flights' side of a left join can be cut, the cell's one row is repeated.
-    """
-    c = cells.select(*[F.col(k).alias(f"cell_{k}") for k in CELL_KEYS],
-                     *[x for x in cells.columns if x not in CELL_KEYS])
+def same_cell(left: str = "", right: str = "cell_") -> Column:
+    """Carrier and day may be null and still find their cell; cleaning leaves no other key null."""
     match = F.lit(True)
     for key in CELL_KEYS:
-        left, right = F.col(key), F.col(f"cell_{key}")
-        match = match & (left.eqNullSafe(right) if key in ("carrier", "flight_date") else left == right)
-    return flights.join(c, match, "left").drop(*[f"cell_{k}" for k in CELL_KEYS])
+        a, b = F.col(f"{left}{key}"), F.col(f"{right}{key}")
+        match = match & (a.eqNullSafe(b) if key in ("carrier", "flight_date") else a == b)
+    return match
+
+
+def join_cells(flights: DataFrame, attached: DataFrame, cells: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Bring the columns `attached` to cells to the flights: the one join at flight grain.
+
+    `cells` are the stored daily cells; they tell which cells hold more than `hot_rows` flights. Such
+    cells, at most rows/hot_rows of them, are broadcast, so their flights are not gathered in one task.
+    """
+    keyed = attached.select(*[F.col(k).alias(f"cell_{k}") for k in CELL_KEYS],
+                            *[c for c in attached.columns if c not in CELL_KEYS])
+    drop = [f"cell_{k}" for k in CELL_KEYS]
+    hot = cells.filter(F.col("scheduled") > hot_rows).select(*[F.col(k).alias(f"hot_{k}") for k in CELL_KEYS])
+    if hot.isEmpty():
+        return flights.join(keyed, same_cell(), "left").drop(*drop)
+    hot = F.broadcast(hot)
+    usual = flights.join(hot, same_cell("", "hot_"), "left_anti").join(keyed, same_cell(), "left")
+    few = F.broadcast(keyed.join(hot, same_cell("cell_", "hot_"), "left_semi"))
+    return usual.unionByName(flights.join(few, same_cell())).drop(*drop)
 
 
 def with_histories(flights: DataFrame, histories: list[History], cells: DataFrame | None = None) -> DataFrame:
     """Flights with some of the histories only."""
     cells = cells or stored_cells(flights)
-    return join_cells(flights, add_histories(cells, cells.select(*CELL_KEYS), histories))
+    return join_cells(flights, add_histories(cells, cells.select(*CELL_KEYS), histories), cells)
 
 
 def feature_columns(histories: list[History]) -> list[str]:
@@ -59,8 +71,9 @@ def build_features(flights: DataFrame, weather: DataFrame | None = None, histori
     Load and rotation are taken over the whole schedule first; the filter to operated flights comes after,
     because a cancellation is only known on the day.
     """
+    cells = cells or stored_cells(flights)
     operated = add_rotation(flights, hot_rows).filter("operated")
-    rows = join_cells(operated, cell_features(cells or stored_cells(flights), weather, histories))
+    rows = join_cells(operated, cell_features(cells, weather, histories), cells, hot_rows)
     return rows.withColumns({
         "day_of_week": iso_weekday(F.col("flight_date")),
         "month": F.month("flight_date"),

@@ -26,5 +26,6 @@ def fresh_snapshot(flights: DataFrame, last_day: dt.date | None = None) -> DataF
     reach = flights.filter((F.col("flight_date") > days) & (F.col("flight_date") <= F.lit(last_day)))
     cells = stored_cells(reach)
     served = F.col("flight_date") > F.lit(last_day - dt.timedelta(days=HISTORY_DAYS))
-    rows = join_cells(reach.filter("operated").filter(served), add_histories(cells, add_load(cells)).filter(served))
+    rows = join_cells(reach.filter("operated").filter(served), add_histories(cells, add_load(cells)).filter(served),
+                      cells)
     return snapshot(rows, last_day)
