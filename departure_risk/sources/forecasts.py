@@ -59,19 +59,21 @@ def parse_payloads(payloads: DataFrame) -> DataFrame:
     """Rows (airports array, payload text) to one row per airport and day.
 
     A payload is one object per airport asked for, or a bare object for a single one. A different number
-    of objects is an error; a value that is no number is null.
+    of objects is an error, and so is one without the days or a variable; a value that is no number is null.
     """
     text = F.trim("payload")
     as_list = F.when(text.startswith("{"), F.concat(F.lit("["), text, F.lit("]"))).otherwise(text)
     items = payloads.select("airports", F.from_json(as_list, PAYLOAD).alias("items"))
-    asked, got = F.size("airports"), F.size("items")
+    asked, got = F.size("airports"), F.coalesce(F.size("items"), F.lit(0))
     mismatch = F.raise_error(F.concat(
         F.lit("asked for "), asked.cast("string"), F.lit(" airports, got "), got.cast("string"), F.lit(" back")))
     pairs = F.when(asked == got, F.arrays_zip("airports", "items")).otherwise(mismatch)
     per_airport = items.select(F.explode(pairs).alias("pair")).select(
         F.col("pair.airports").alias("airport"), F.col("pair.items.daily").alias("daily"))
-    days = per_airport.select("airport", F.explode(F.arrays_zip(
-        F.col("daily.time").alias("time"), *[F.col(f"daily.{name}").alias(name) for name in WEATHER_COLUMNS])).alias("day"))
+    names = ["time", *WEATHER_COLUMNS]
+    lacking = F.raise_error(F.concat(F.lit("incomplete weather for "), F.col("airport")))
+    zipped = F.coalesce(F.arrays_zip(*[F.col(f"daily.{name}").alias(name) for name in names]), lacking)
+    days = per_airport.select("airport", F.explode(zipped).alias("day"))
     return days.select(
         "airport", F.to_date("day.time").alias("date"),
         *[F.col(f"day.{name}").try_cast("double").alias(column) for name, column in WEATHER_COLUMNS.items()],

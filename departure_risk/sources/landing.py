@@ -5,6 +5,7 @@ import zipfile
 from collections.abc import Iterator
 
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 LANDED = r"ontime_(\d{4})_(\d{2})"
@@ -82,27 +83,28 @@ def _batch(path: str, start: int, lines: list[str]) -> pa.RecordBatch:
         [pa.array([path] * len(lines)), numbers, pa.array(lines, pa.string())], names=["path", "line_no", "value"])
 
 
+def landed_name(archive: Column) -> Column:
+    """`..._2025_1.zip` -> `ontime_2025_01`."""
+    year, month = (F.regexp_extract(archive, r"(\d{4})_(\d{1,2})\.zip$", i) for i in (1, 2))
+    return F.concat(F.lit("ontime_"), year, F.lit("_"), F.lpad(month, 2, "0"))
+
+
 def land(spark: SparkSession, archive_folder: str, raw_folder: str) -> int:
     """Unpack the archives of months that are not landed yet; returns how many months were added.
 
     Archives carry `..._YYYY_M.zip` names. Each month becomes `file=ontime_YYYY_MM/` with its lines in
-    order, header first.
+    order, header first. Only the archives still needed are read.
     """
-    archives = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(archive_folder)
-    named = archives.select(
-        F.concat(F.lit("ontime_"), F.regexp_extract("path", r"(\d{4})_(\d{1,2})\.zip$", 1), F.lit("_"),
-                 F.lpad(F.regexp_extract("path", r"(\d{4})_(\d{1,2})\.zip$", 2), 2, "0")).alias("file"), "path")
-    months = named.select("file", "path", *month_of(F.col("file")))
+    names = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(archive_folder).select("path")
+    todo = names.select("path", *month_of(landed_name(F.col("path"))))
     try:
-        todo = months_to_land(months, landed_months(spark, raw_folder))
-    except Exception as missing:
+        todo = months_to_land(todo, landed_months(spark, raw_folder))
+    except AnalysisException as missing:
         if "PATH_NOT_FOUND" not in str(missing):
             raise
-        todo = months
-    todo = todo.select("file", "path")
-    added = todo.count()
-    if added:
-        lines = unpack(archives.join(todo, "path", "left_semi")).join(F.broadcast(todo), "path")
+    paths = [row.path for row in todo.collect()]
+    if paths:
+        lines = unpack(spark.read.format("binaryFile").load(paths)).withColumn("file", landed_name(F.col("path")))
         ordered = lines.sortWithinPartitions("file", "line_no").select("file", "value")
         ordered.write.mode("append").partitionBy("file").text(raw_folder)
-    return added
+    return len(paths)

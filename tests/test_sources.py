@@ -72,6 +72,10 @@ def test_payload_rows_per_airport(spark):
     assert rows["BOS", "2025-06-02"].precip_mm == 1.2 and rows["BOS", "2025-06-02"].temp_min_c is None
     bare = forecasts.parse_payloads(payloads(spark, ["BOS"], daily([1, 2]))).collect()
     assert [r.airport for r in bare] == ["BOS", "BOS"]
+    with pytest.raises(Exception, match="asked for 1 airports, got 0 back"):
+        forecasts.parse_payloads(payloads(spark, ["BOS"], "no forecast")).collect()
+    with pytest.raises(Exception, match="incomplete weather for BOS"):
+        forecasts.parse_payloads(payloads(spark, ["BOS"], {"daily": {"time": ["2025-06-01"]}})).collect()
     with pytest.raises(Exception, match="asked for 2 airports, got 1 back"):
         forecasts.parse_payloads(payloads(spark, ["BOS", "LAX"], [daily([1, 2])])).collect()
 
