@@ -6,8 +6,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, functions as F
 
 from checks.data import Data
-from checks.sql_parts import HISTORY_KEYS, SNAPSHOT_LAST, WEATHER_NAMES, with_parts
-from departure_risk.config import CATEGORICAL, ROTATION, SNAPSHOT_MEDIANS, WEATHER, WEATHER_COLUMNS
+from checks.sql_parts import AUDIT_DAY, HISTORY_KEYS, SNAPSHOT_LAST, WEATHER_NAMES, with_parts
+from departure_risk.config import CATEGORICAL, MODEL_COLUMNS, ROTATION, SNAPSHOT_MEDIANS, WEATHER, WEATHER_COLUMNS
 from departure_risk.functions import columns as C
 from departure_risk.operators import audits, compare, cube as cubes, history, metrics, nearest
 from departure_risk.operators.clean import clean
@@ -836,17 +836,29 @@ def _(d):
                                    "correct int, total int, accuracy double")
 
 
-@check("l1_outcome_leaks")
+def _changed(prefix: str, kept: str = "true") -> str:
+    """Feature rows of the audited day that are in one table only, counted over both directions."""
+    names = ", ".join(["flight_id", *MODEL_COLUMNS])
+    before = f"SELECT {names} FROM features WHERE flight_date = {AUDIT_DAY} AND {kept}"
+    after = f"SELECT {names} FROM {prefix}features WHERE flight_date = {AUDIT_DAY}"
+    return f"""SELECT (SELECT count(*) FROM ({before} EXCEPT ALL {after})) + (SELECT count(*) FROM ({after} EXCEPT ALL {before}))
+        AS changed"""
+
+
+@check("l1_outcome_leaks", ["features", "flipped_features"], _changed("flipped_"))
 def _(d):
     return audits.outcome_leaks(d.stored, d.weather, d.split.valid_start).agg(F.count("*").alias("changed"))
 
 
-@check("l2_cancellation_leaks")
+@check("l2_cancellation_leaks", ["features", "thinned_features"], _changed("thinned_", "flight_id % 3 <> 0"))
 def _(d):
     return audits.cancellation_leaks(d.stored, d.weather, d.split.valid_start).agg(F.count("*").alias("changed"))
 
 
-@check("l3_recalibration_leaks")
+@check("l3_recalibration_leaks", ["recalibrated", "later_recalibrated", "split"], """
+    SELECT a.flight_date > (SELECT test_start + 14 FROM split) AS after_the_day, count(*) AS changed
+    FROM recalibrated a JOIN later_recalibrated b USING (flight_id)
+    WHERE round(a.p_recalibrated, 9) <> round(b.p_recalibrated, 9) GROUP BY 1""")
 def _(d):
     forecast = written_once(d.forecast.select("flight_id", "flight_date", "delayed", "p"), "forecast")
     return audits.recalibration_leaks(forecast, d.split.test_start, d.split.test_start + dt.timedelta(days=14))

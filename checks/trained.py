@@ -4,7 +4,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from checks.catalog import check
-from departure_risk.config import MODEL_COLUMNS
+from departure_risk.config import CATEGORICAL, MODEL_COLUMNS, NUMERIC
 from departure_risk.operators.split import only
 from departure_risk.plans import models, training
 from departure_risk.plans.scoring import score_requests
@@ -26,11 +26,20 @@ def _full_model(d):
     return features, test, model, rounds
 
 
-@check("p22_model_matrix")
+_CODES = "\n".join(f"LEFT JOIN categories k_{c} ON k_{c}.name = '{c}' AND k_{c}.value = f.{c}" for c in CATEGORICAL)
+_UNSEEN = "(SELECT max(unseen) FROM categories WHERE name = '{0}')"
+
+
+@check("p22_model_matrix", ["features", "categories", "split"], f"""
+    SELECT flight_id, {", ".join(f"CAST(coalesce(k_{c}.ix, {_UNSEEN.format(c)}) AS DOUBLE) AS {c}_ix" for c in CATEGORICAL)},
+        {", ".join(f"round(coalesce(CAST({c} AS DOUBLE), -9999), 6) AS {c}_in" for c in NUMERIC)}
+    FROM features f {_CODES} WHERE flight_date >= (SELECT test_start FROM split)""")
 def _(d):
-    features, (train, _, test) = _parts(d)
-    matrix = models.matrix_pipeline(MODEL_COLUMNS).fit(train)
-    return matrix.transform(test).select("flight_id", vector_to_array(models.INPUT).alias("inputs"))
+    _, (train, _, test) = _parts(d)
+    matrix = models.matrix_pipeline(MODEL_COLUMNS).fit(train).transform(test)
+    inputs = vector_to_array(models.INPUT)
+    names = [f"{c}_ix" for c in CATEGORICAL] + [f"{c}_in" for c in NUMERIC]
+    return matrix.select("flight_id", *[F.round(inputs[i], 6).alias(n) for i, n in enumerate(names)])
 
 
 @check("m3_logistic_regression")
@@ -51,9 +60,14 @@ def _(d):
     return training.train(features, ROUNDS, DEPTH).metrics
 
 
-@check("m6_unseen_categories")
+@check("m6_unseen_categories", ["parts"], """
+    SELECT p.origin, CAST(coalesce(max(k.ix), (SELECT count(DISTINCT origin) FROM parts WHERE split = 'train' AND origin <> 'A2'))
+        AS DOUBLE) AS ix, count(*) AS flights
+    FROM parts p LEFT JOIN (SELECT origin, row_number() OVER (ORDER BY origin) - 1 AS ix
+        FROM (SELECT DISTINCT origin FROM parts WHERE split = 'train' AND origin <> 'A2')) k USING (origin)
+    WHERE split = 'test' GROUP BY p.origin""")
 def _(d):
-    _, (train, _, test) = _parts(d)
+    train, test = only(d.operated, d.split, "train"), only(d.operated, d.split, "test")
     indexer = models.category_indexer(["origin"]).fit(train.filter("origin <> 'A2'"))
     return indexer.transform(test).groupBy("origin").agg(F.max("origin_ix").alias("ix"), F.count("*").alias("flights"))
 
