@@ -87,5 +87,5 @@ def _(d):
 @check("m9_metrics_document")
 def _(d):
     features, _ = _parts(d)
-    trained = training.train(features, ROUNDS, DEPTH, ["full"])
+    trained = training.train(features, ROUNDS, DEPTH, ())
     return training.metrics_document(trained).select(F.to_json(F.struct("*")).alias("metrics"))

@@ -1,8 +1,12 @@
 """Spark ML pipelines: logistic regression and boosted trees."""
 
+from dataclasses import dataclass
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier, LogisticRegression
-from pyspark.ml.feature import Imputer, SQLTransformer, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import (
+    Imputer, SQLTransformer, StandardScaler, StringIndexer, VectorAssembler, VectorSlicer,
+)
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
@@ -11,6 +15,7 @@ from departure_risk.config import CATEGORICAL, LABEL, NUMERIC
 # Below every real value, so that one split can set missing values apart.
 MISSING = -9999.0
 INPUT = "inputs"
+CHOSEN = "chosen"
 BINS = 512
 
 # Learning rate, rows per leaf, share of rows and of columns per tree, seed, patience.
@@ -61,28 +66,56 @@ def best_round(losses: list[float], patience: int = PATIENCE) -> int:
     return best + 1
 
 
-def fit_trees(train: DataFrame, valid: DataFrame, columns: list[str], rounds: int = 60, depth: int = 6,
-              bins: int = BINS) -> tuple[PipelineModel, int]:
+@dataclass
+class Prepared:
+    """Training and validation rows as vectors over `columns`, kept for several fits."""
+
+    matrix: PipelineModel
+    columns: list[str]
+    train: DataFrame
+    valid: DataFrame
+
+    def release(self) -> None:
+        self.train.unpersist()
+        self.valid.unpersist()
+
+
+def prepare(train: DataFrame, valid: DataFrame, columns: list[str]) -> Prepared:
+    matrix = matrix_pipeline(columns).fit(train)
+    label = F.col(LABEL).cast("double").alias(LABEL)
+    inputs, held_out = (matrix.transform(rows).select(INPUT, label).persist() for rows in (train, valid))
+    names = [c.rsplit("_", 1)[0] for c in matrix.stages[-1].getInputCols()]
+    return Prepared(matrix, names, inputs, held_out)
+
+
+def fit_prepared(prepared: Prepared, columns: list[str], rounds: int = 60, depth: int = 6,
+                 bins: int = BINS) -> tuple[PipelineModel, int]:
     """Boosted trees, as many as the validation period asks for. Returns the pipeline and that number.
 
     The trees are grown once up to `rounds`; if fewer do better on the validation rows the same seed
     regrows that many, which gives the same trees.
     """
-    matrix = matrix_pipeline(columns).fit(train)
-    arity = max(len(labels) for labels in matrix.stages[0].labelsArray) + 1
+    chosen = [i for i, c in enumerate(prepared.columns) if c in columns]
+    slicer = VectorSlicer(inputCol=INPUT, outputCol=CHOSEN, indices=chosen)
+    inputs, held_out = slicer.transform(prepared.train), slicer.transform(prepared.valid)
+    arity = max(len(labels) for labels in prepared.matrix.stages[0].labelsArray) + 1
     trees = GBTClassifier(
-        featuresCol=INPUT, labelCol=LABEL, maxIter=rounds, maxDepth=depth, maxBins=max(bins, arity), stepSize=STEP,
+        featuresCol=CHOSEN, labelCol=LABEL, maxIter=rounds, maxDepth=depth, maxBins=max(bins, arity), stepSize=STEP,
         minInstancesPerNode=LEAF_ROWS, subsamplingRate=ROW_SHARE, featureSubsetStrategy=COLUMN_SHARE, seed=SEED,
     )
-    inputs = matrix.transform(train).select(INPUT, F.col(LABEL).cast("double").alias(LABEL)).persist()
-    held_out = matrix.transform(valid).select(INPUT, F.col(LABEL).cast("double").alias(LABEL)).persist()
     model: GBTClassificationModel = trees.fit(inputs)
     best = best_round(model.evaluateEachIteration(held_out))
     if best < model.getNumTrees:
         model = trees.copy({trees.maxIter: best}).fit(inputs)
-    inputs.unpersist()
-    held_out.unpersist()
-    return PipelineModel(stages=[*matrix.stages, model]), best
+    return PipelineModel(stages=[*prepared.matrix.stages, slicer, model]), best
+
+
+def fit_trees(train: DataFrame, valid: DataFrame, columns: list[str], rounds: int = 60, depth: int = 6,
+              bins: int = BINS) -> tuple[PipelineModel, int]:
+    prepared = prepare(train, valid, columns)
+    fitted = fit_prepared(prepared, columns, rounds, depth, bins)
+    prepared.release()
+    return fitted
 
 
 def fit_logistic(train: DataFrame, rounds: int = 500) -> PipelineModel:
@@ -112,8 +145,9 @@ def probability(model: PipelineModel, rows: DataFrame, name: str = "p") -> DataF
 
 def importance(model: PipelineModel, rows: DataFrame) -> DataFrame:
     """Share of the trees' gain per input column, largest first."""
-    assembler, trees = model.stages[-2], model.stages[-1]
-    names = [c.rsplit("_", 1)[0] for c in assembler.getInputCols()]
+    assembler, slicer, trees = model.stages[-3:]
+    inputs = assembler.getInputCols()
+    names = [inputs[i].rsplit("_", 1)[0] for i in slicer.getIndices()]
     shares = [float(v) for v in trees.featureImportances.toArray()]
     spark = rows.sparkSession
     return spark.createDataFrame(list(zip(names, shares)), "feature string, share double").select(

@@ -12,7 +12,7 @@ from departure_risk.operators.metrics import by_hour, calibration_table, ranking
 from departure_risk.operators.recalibrate import recalibrate
 from departure_risk.operators.snapshot import snapshot
 from departure_risk.operators.split import Split, find_split, only, split_summary
-from departure_risk.plans.models import fit_logistic, fit_trees, importance, probability
+from departure_risk.plans.models import fit_logistic, fit_prepared, importance, prepare, probability
 from departure_risk.session import written_once
 
 TREES = {"base": "gradient_boosting_base", "v2": "gradient_boosting_v2", "full": "gradient_boosting"}
@@ -33,10 +33,10 @@ class Trained:
     features: DataFrame
 
 
-def train(features: DataFrame, rounds: int = 60, depth: int = 6, ablations: list[str] | None = None) -> Trained:
+def train(features: DataFrame, rounds: int = 60, depth: int = 6, ablations: tuple[str, ...] = ("base", "v2")) -> Trained:
     """Baselines, ablations and the full model.
 
-    `features` should be a written table: it is read once per model. Forecasts of all models are written
+    `features` should be a written table. All tree models grow from one prepared set of vectors. Forecasts of all models are written
     once, so metrics, cube and calibration never score a flight twice.
     """
     split = find_split(features)
@@ -47,10 +47,11 @@ def train(features: DataFrame, rounds: int = 60, depth: int = 6, ablations: list
     scored = [route_forecast(test, base).select(*FORECAST_COLUMNS, "p", F.lit("route_history").alias("model"))]
     logistic = fit_logistic(training)
     scored.append(_named(probability(logistic, test), "logistic_regression"))
-    model, best = None, 0
-    for name in ablations or list(ABLATIONS):
-        model, best = fit_trees(training, validation, ABLATIONS[name], rounds, depth)
+    prepared = prepare(training, validation, ABLATIONS["full"])
+    for name in [*ablations, "full"]:
+        model, best = fit_prepared(prepared, ABLATIONS[name], rounds, depth)
         scored.append(_named(probability(model, held_out if name == "full" else test), TREES[name]))
+    prepared.release()
     forecasts = scored[0]
     for more in scored[1:]:
         forecasts = forecasts.unionByName(more)
