@@ -18,4 +18,24 @@ def op1_simple8b_tokens(spark: SparkSession, folder: str) -> DataFrame:
     return tokens.read_tokens(written)
 
 
-QUERIES = {f.__name__: f for f in [op1_simple8b_tokens]}
+def op4_mixing_tree(spark: SparkSession, folder: str) -> DataFrame:
+    from departure_risk.llm import mixing
+
+    return mixing.mix_words(table(spark, folder, "documents"))
+
+
+def op5_warc_dictionary(spark: SparkSession, folder: str) -> DataFrame:
+    from departure_risk.llm import warc
+
+    return warc.read_archives(warc.write_archives(table(spark, folder, "pages"))).drop("file")
+
+
+SQL["op5_warc_dictionary"] = """
+    SELECT page_id, payload_bytes, payload_digest,
+           CASE WHEN payload_bytes >= 100 AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+           CASE WHEN payload_bytes >= 100 AND page_id <> first THEN first END AS refers_to
+    FROM (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest,
+                 min(page_id) OVER (PARTITION BY sha256(coalesce(html, ''))) AS first FROM pages)"""
+
+
+QUERIES = {f.__name__: f for f in [op1_simple8b_tokens, op4_mixing_tree, op5_warc_dictionary]}
