@@ -38,4 +38,19 @@ SQL["op5_warc_dictionary"] = """
                  min(page_id) OVER (PARTITION BY sha256(coalesce(html, ''))) AS first FROM pages)"""
 
 
-QUERIES = {f.__name__: f for f in [op1_simple8b_tokens, op4_mixing_tree, op5_warc_dictionary]}
+def op7_pivot_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    from departure_risk.llm import topk
+
+    return topk.top_k(table(spark, folder, "embeddings"), k=20, query_every=20)
+
+
+SQL["op7_pivot_top_k"] = """
+    WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS v FROM embeddings
+               WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    s AS (SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.v, c.v)::BIGINT AS score
+          FROM v q JOIN v c ON c.vec_id <> q.vec_id WHERE q.vec_id % 20 = 0),
+    r AS (SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INT AS rank, vec_id, score FROM s)
+    SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20"""
+
+
+QUERIES = {f.__name__: f for f in [op1_simple8b_tokens, op4_mixing_tree, op5_warc_dictionary, op7_pivot_top_k]}
