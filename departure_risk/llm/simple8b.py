@@ -16,21 +16,25 @@ COUNTS = np.array([n for n, _ in SELECTORS], np.int64)
 PADDED = BLOCK + 240
 
 
+def _runs(small: np.ndarray, count: int) -> np.ndarray:
+    """Where `count` values in a row are small, by doubling the length of the runs."""
+    runs, length = small, 1
+    while length < count:
+        step = min(length, count - length)
+        runs = runs[:, :-step] & runs[:, step:]
+        length += step
+    return runs[:, :BLOCK]
+
+
 def _choices(padded: np.ndarray) -> np.ndarray:
     """For each place of each block, the selector that takes most of the values from there on."""
     chosen = np.full((len(padded), BLOCK), ESCAPE, np.int8)
+    values = padded.astype(np.uint32) if not (padded >> np.uint64(32)).any() else padded
     for selector in range(len(SELECTORS) - 1, -1, -1):
         count, bits = SELECTORS[selector]
-        if selector == ESCAPE:
-            continue
-        small = padded < np.uint64(1 << bits)
-        if count == 1:
-            fits = small[:, :BLOCK]
-        else:
-            wide = np.zeros((len(padded), PADDED + 1), np.int32)
-            np.cumsum(~small, axis=1, out=wide[:, 1:])
-            fits = wide[:, count:count + BLOCK] == wide[:, :BLOCK]
-        chosen[fits] = selector
+        if selector != ESCAPE:
+            fits = _runs(values <= (1 << bits) - 1, count) if bits < 32 or values is padded else np.ones_like(chosen, bool)
+            np.copyto(chosen, selector, where=fits)
     return chosen
 
 

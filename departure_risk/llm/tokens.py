@@ -19,6 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
@@ -28,8 +29,8 @@ from departure_risk.session import written_once
 MAGIC = b"S8BIDS01"
 #: Ids packed at a time: bounds a task's memory.
 PACKED = 512 * simple8b.BLOCK
-#: Pieces of text whose ids a Python worker keeps; beyond it starts anew.
-KEPT = 400_000
+#: Pieces of text whose ids a Python worker keeps; beyond it the older half goes.
+KEPT = 600_000
 
 _loaded: dict = {}
 
@@ -38,50 +39,69 @@ class Encoder:
     """Ids of whole texts by a tokenizer file of byte-level BPE with the usual split into words.
 
     Such a split always cuts before a single space between two other characters, so the pieces between such spaces are
-    encoded once and looked up after that. Texts with other white space around a space go to the tokenizer whole, and
-    so does everything where `by_pieces` is off.
+    encoded once and looked up after that. Texts with other white space around a space, or with the text of a special
+    token, go to the tokenizer whole.
     """
 
-    def __init__(self, path: str, by_pieces: bool = True):
-        import regex
+    def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.by_pieces = by_pieces
-        self.spaces = regex.compile(r"\s\s|^\s|\s$|^$")
+        vocabulary = self.tokenizer.get_vocab()
+        self.bytes = np.zeros(max(vocabulary.values()) + 1, np.int64)
+        for token, number in vocabulary.items():  # a token has a character for each byte
+            self.bytes[number] = len(token)
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def whole(self, texts: list[str]) -> list[bytes]:
         encoded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in encoded]
 
     def learn(self, pieces: list[str]) -> None:
-        """Encode pieces, each with its space before it, some hundred in one text, and tell them apart by offsets."""
-        if len(self.known) + len(pieces) > KEPT:
-            self.known.clear()
-        groups = [pieces[i:i + 256] for i in range(0, len(pieces), 256)]
-        for group, e in zip(groups, self.tokenizer.encode_batch(["".join(f" {p}" for p in g) for g in groups],
-                                                                 add_special_tokens=False)):
-            ends = np.cumsum([len(p) + 1 for p in group])
-            starts = np.array([o[0] for o in e.offsets])
-            cuts = np.searchsorted(starts, ends)
-            ids = np.array(e.ids, "<u4").tobytes()
-            for piece, a, b in zip(group, [0, *cuts[:-1]], cuts):
-                self.known[piece] = ids[4 * a:4 * b]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        plain = [self.by_pieces and not self.spaces.search(t) and not any(s in t for s in self.special) for t in texts]
-        split = [t.split(" ") if p else [] for t, p in zip(texts, plain)]
-        wanted = set().union(*(s[1:] for s in split))
-        if missing := [p for p in wanted if p not in self.known]:
-            if len(self.known) + len(missing) > KEPT:
-                self.known.clear()
-                missing = list(wanted)
-            self.learn(sorted(missing))
-        known = self.known
-        heads = iter(self.whole([s[0] if p else t for t, p, s in zip(texts, plain, split)]))
-        return [next(heads) + b"".join([known[x] for x in s[1:]]) for s in split]
+        """Encode pieces, each with its space before it, some hundred in one text, and part them by their bytes."""
+        if len(self.known) > KEPT:
+            self.known, self.older = {}, self.known
+        new = [p for p in pieces if p not in self.older]
+        self.known.update((p, self.older[p]) for p in pieces if p in self.older)
+        groups = [new[i:i + 512] for i in range(0, len(new), 512)]
+        texts = [" " + " ".join(g) for g in groups]
+        for group, e in zip(groups, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
+            ids = np.array(e.ids, "<u4")
+            data = ids.tobytes()
+            ends = np.cumsum([len(p.encode()) + 1 for p in group])
+            cuts = [0, *(4 * np.searchsorted(np.cumsum(self.bytes[ids]), ends) + 4).tolist()]
+            self.known.update((p, data[a:b]) for p, a, b in zip(group, cuts, cuts[1:]))
+
+    def encode(self, texts: pa.Array) -> list[bytes]:
+        """Ids of each text (no nulls). Equal pieces of a batch are told apart by pyarrow and looked up once."""
+        pieces = pc.split_pattern(texts.cast(pa.large_string()), " ")
+        offsets = pieces.offsets.to_numpy()
+        flat = pieces.values.dictionary_encode()
+        unique, place = flat.dictionary.to_pylist(), flat.indices.to_numpy()
+        missing = [p for p in unique if p not in self.known]
+        uneven = {p for p in missing if not p or p[0].isspace() or p[-1].isspace()}
+        self.learn([p for p in missing if p not in uneven])
+        known, older = self.known, self.older  # what was known before is in one of the two
+        ids = [b"" if p in uneven else known[p] if p in known else older[p] for p in unique]
+        pool = np.frombuffer(b"".join(ids), "<u4")
+        lengths = np.array(list(map(len, ids)), np.int64) // 4
+        odd = np.array([p in uneven for p in unique], bool) if uneven else np.zeros(len(unique), bool)
+        # a text goes to the tokenizer whole if a piece is odd; its first piece has no space before it
+        first = offsets[:-1]
+        odd_before = np.concatenate([[0], np.cumsum(odd[place])])
+        whole = odd_before[offsets[1:]] > odd_before[first]
+        for special in self.special:
+            whole |= pc.match_substring(texts, special).to_numpy(zero_copy_only=False)
+        taken = lengths[place]
+        taken[first] = 0
+        ends = np.cumsum(taken)
+        starts = np.cumsum(lengths) - lengths
+        body = pool[np.repeat(starts[place] - (ends - taken), taken) + np.arange(ends[-1] if len(ends) else 0)].tobytes()
+        bounds = np.concatenate([[0], 4 * ends])[offsets].tolist()
+        heads = self.whole([texts[i].as_py() if w else unique[place[f]] for i, (w, f) in enumerate(zip(whole, first))])
+        return [head if w else head + body[a:b] for head, w, a, b in zip(heads, whole, bounds, bounds[1:])]
 
 
 def encoder(path: str) -> Encoder:
@@ -91,6 +111,17 @@ def encoder(path: str) -> Encoder:
     return _loaded[path]
 
 
+def slices(batch: pa.RecordBatch, most: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch whose texts (column 1) hold about `most` bytes or are one row."""
+    sizes = np.cumsum(pc.binary_length(batch.column(1)).to_numpy())
+    at = 0
+    while at < len(sizes):
+        until = int(np.searchsorted(sizes, (sizes[at - 1] if at else 0) + most, "right"))
+        until = max(at + 1, until)
+        yield batch.slice(at, until - at)
+        at = until
+
+
 class _File:
     """Packs ids as they come and writes the tables behind them."""
 
@@ -147,10 +178,8 @@ def write_tokens(docs: DataFrame, tokenizer: str, end: int = 0, id_col: str = "d
         with files.written(uri) as stream:
             out = _File(stream)
             for batch in (b for again in ([first], batches) for b in again):
-                ids = batch.column(0).to_pylist()
-                texts = batch.column(1).to_pylist()
-                for at in range(0, len(ids), 256):
-                    for doc, encoded in zip(ids[at:at + 256], encode(texts[at:at + 256])):
+                for part in slices(batch):
+                    for doc, encoded in zip(part.column(0).to_pylist(), encode(part.column(1))):
                         out.add(encoded + tail)
                         n = len(encoded) // 4 + 1
                         documents.append((int(doc is not None), doc or 0, n))
@@ -187,7 +216,7 @@ def read_tokens(written: DataFrame) -> DataFrame:
                      pa.array([c for _, _, c in documents], pa.int64()),
                      pa.array([row["file"]] * len(documents), pa.int64())], schema=shape)
 
-    files_each = placed.repartition(F.col("file"))
+    files_each = placed.repartition(max(1, min(written.count(), 10_000)))  # a file or more a task
     return files_each.mapInArrow(decode, "doc_id long, start long, n_tokens long, ids_crc32 long, file long")
 
 
