@@ -53,4 +53,26 @@ SQL["op7_pivot_top_k"] = """
     SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20"""
 
 
-QUERIES = {f.__name__: f for f in [op1_simple8b_tokens, op4_mixing_tree, op5_warc_dictionary, op7_pivot_top_k]}
+def op8_chosen_path_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    from departure_risk.llm import neardup
+
+    return neardup.near_duplicates(table(spark, folder, "documents"))
+
+
+SQL["op8_chosen_path_near_duplicates"] = """
+    WITH RECURSIVE w AS (
+        SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+               'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM documents),
+    s AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+          ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS s FROM w),
+    e AS (SELECT doc_id, len(s) AS n, unnest(s) AS x FROM s),
+    p AS (SELECT a.doc_id AS a, b.doc_id AS b FROM e a JOIN e b ON a.x = b.x AND a.doc_id <> b.doc_id
+          GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 75 * (a.n + b.n - count(*))),
+    r AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, p.b FROM r JOIN p ON r.b = p.a),
+    c AS (SELECT a, min(b) AS component_id FROM r GROUP BY a)
+    SELECT doc_id, len(s)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept
+    FROM s JOIN c ON c.a = s.doc_id"""
+
+
+QUERIES = {f.__name__: f for f in [op1_simple8b_tokens, op4_mixing_tree, op5_warc_dictionary, op7_pivot_top_k,
+                                   op8_chosen_path_near_duplicates]}

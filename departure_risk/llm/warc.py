@@ -188,4 +188,4 @@ def read_archives(written: DataFrame) -> DataFrame:
                 if found:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*found), shape)], schema=shape)
 
-    return written.select("file", "uri").repartition(F.col("file")).mapInArrow(decode, ROW)
+    return written.select("file", "uri").repartition(max(1, min(written.count(), 10_000))).mapInArrow(decode, ROW)
