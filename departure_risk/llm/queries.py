@@ -18,6 +18,12 @@ def op1_simple8b_tokens(spark: SparkSession, folder: str) -> DataFrame:
     return tokens.read_tokens(written)
 
 
+def op2_spaced_seed_overlaps(spark: SparkSession, folder: str) -> DataFrame:
+    from departure_risk.llm import decontaminate
+
+    return decontaminate.overlaps(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 def op4_mixing_tree(spark: SparkSession, folder: str) -> DataFrame:
     from departure_risk.llm import mixing
 
@@ -74,5 +80,5 @@ SQL["op8_chosen_path_near_duplicates"] = """
     FROM s JOIN c ON c.a = s.doc_id"""
 
 
-QUERIES = {f.__name__: f for f in [op1_simple8b_tokens, op4_mixing_tree, op5_warc_dictionary, op7_pivot_top_k,
+QUERIES = {f.__name__: f for f in [op1_simple8b_tokens, op2_spaced_seed_overlaps, op4_mixing_tree, op5_warc_dictionary, op7_pivot_top_k,
                                    op8_chosen_path_near_duplicates]}
