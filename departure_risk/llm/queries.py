@@ -24,6 +24,13 @@ def op2_spaced_seed_overlaps(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.overlaps(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+def op3_byte_network_quality(spark: SparkSession, folder: str) -> DataFrame:
+    from departure_risk.llm import quality
+
+    documents = table(spark, folder, "documents")
+    return quality.scores(documents, quality.train(documents, table(spark, folder, "labels")))
+
+
 def op4_mixing_tree(spark: SparkSession, folder: str) -> DataFrame:
     from departure_risk.llm import mixing
 
@@ -80,5 +87,6 @@ SQL["op8_chosen_path_near_duplicates"] = """
     FROM s JOIN c ON c.a = s.doc_id"""
 
 
-QUERIES = {f.__name__: f for f in [op1_simple8b_tokens, op2_spaced_seed_overlaps, op4_mixing_tree, op5_warc_dictionary, op7_pivot_top_k,
+QUERIES = {f.__name__: f for f in [op1_simple8b_tokens, op2_spaced_seed_overlaps, op3_byte_network_quality,
+                                   op4_mixing_tree, op5_warc_dictionary, op7_pivot_top_k,
                                    op8_chosen_path_near_duplicates]}
