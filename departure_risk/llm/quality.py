@@ -19,7 +19,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-WIDTH, STEP, CHUNK = 16, 4, 256
+WIDTH, STEP, CHUNK = 16, 4, 128
 DEEP, FILTERS, HIDDEN = 8, 24, 16
 PARTS = WIDTH // STEP
 WINDOWS = CHUNK // STEP
@@ -143,7 +143,7 @@ def _gradients(chunks: np.ndarray, counts: np.ndarray, labels: np.ndarray, net:
             "bias": dz.sum(keepdims=True)}
 
 
-def fit(samples: list[tuple[bytes, int]], epochs: int = 8, batch: int = 48, rate: float = 4e-3, seed: int = 5) -> Network:
+def fit(samples: list[tuple[bytes, int]], epochs: int = 6, batch: int = 48, rate: float = 4e-3, seed: int = 5) -> Network:
     """Adam on documents given as (chunks of CHUNK + WIDTH bytes one after the other, label)."""
     net, rng = new_network(seed), np.random.default_rng(seed)
     if len({y for _, y in samples}) < 2:
@@ -180,7 +180,7 @@ def held_out(id_col: Column, folds: int = 5) -> Column:
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality",
-          documents: int = 4000, chunks: int = 16, **options) -> Network:
+          documents: int = 6000, chunks: int = 32, **options) -> Network:
     """Fit on labelled documents outside the held-out fold: the `documents` first ones by the hash of their id."""
     known = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("id")).agg(
         F.min(label_col).cast("int").alias("label")).where(~held_out(F.col("id")))
