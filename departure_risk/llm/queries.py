@@ -87,6 +87,30 @@ SQL["op8_chosen_path_near_duplicates"] = """
     FROM s JOIN c ON c.a = s.doc_id"""
 
 
+def op10_deletion_neighbour_lines(spark: SparkSession, folder: str) -> DataFrame:
+    from departure_risk.llm import linededup
+
+    return linededup.line_report(table(spark, folder, "documents"))
+
+
+SQL["op10_deletion_neighbour_lines"] = """
+    WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS t, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS line
+               FROM documents),
+    w AS (SELECT doc_id, line, list_filter(string_split_regex(translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM l),
+    c AS (SELECT w, min((doc_id, line)) AS f FROM w WHERE len(w) > 0 GROUP BY w),
+    v AS (SELECT w, f, unnest(range(1, len(w) + 1)) AS i FROM c WHERE len(w) >= 6),
+    d AS (SELECT w, f, i, list_concat(w[1:i - 1], w[i + 1:]) AS k FROM v),
+    p AS (SELECT a.w, b.f FROM d a JOIN d b ON a.i = b.i AND a.k = b.k WHERE a.w <> b.w
+          UNION ALL SELECT d.w, c.f FROM d JOIN c ON d.k = c.w WHERE len(c.w) >= 6
+          UNION ALL SELECT c.w, d.f FROM d JOIN c ON d.k = c.w WHERE len(c.w) >= 6),
+    n AS (SELECT w, min(f) AS f FROM (SELECT w, f FROM c UNION ALL SELECT w, f FROM p) GROUP BY w),
+    r AS (SELECT w.doc_id, w.line FROM w JOIN n ON w.w = n.w WHERE (w.doc_id, w.line) > n.f)
+    SELECT d.doc_id, coalesce(len(string_split(d.text, chr(10))), 0)::BIGINT AS n_lines, count(r.line) AS n_removed,
+           coalesce(string_agg(r.line::VARCHAR, ',' ORDER BY r.line), '') AS removed
+    FROM documents d LEFT JOIN r ON r.doc_id = d.doc_id GROUP BY d.doc_id, d.text"""
+
+
 QUERIES = {f.__name__: f for f in [op1_simple8b_tokens, op2_spaced_seed_overlaps, op3_byte_network_quality,
                                    op4_mixing_tree, op5_warc_dictionary, op7_pivot_top_k,
-                                   op8_chosen_path_near_duplicates]}
+                                   op8_chosen_path_near_duplicates, op10_deletion_neighbour_lines]}
