@@ -51,6 +51,17 @@ SQL["op5_warc_dictionary"] = """
                  min(page_id) OVER (PARTITION BY sha256(coalesce(html, ''))) AS first FROM pages)"""
 
 
+#: host, path and verdict of the url rules.
+URL_RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"),
+             ("com", "/fr/", "allow"), ("com", "/de/", "block")]
+
+
+def op6_host_graph_verdicts(spark: SparkSession, folder: str) -> DataFrame:
+    from departure_risk.llm import hostgraph
+
+    return hostgraph.judged(table(spark, folder, "pages"), URL_RULES)
+
+
 def op7_pivot_top_k(spark: SparkSession, folder: str) -> DataFrame:
     from departure_risk.llm import topk
 
@@ -112,5 +123,5 @@ SQL["op10_deletion_neighbour_lines"] = """
 
 
 QUERIES = {f.__name__: f for f in [op1_simple8b_tokens, op2_spaced_seed_overlaps, op3_byte_network_quality,
-                                   op4_mixing_tree, op5_warc_dictionary, op7_pivot_top_k,
+                                   op4_mixing_tree, op5_warc_dictionary, op6_host_graph_verdicts, op7_pivot_top_k,
                                    op8_chosen_path_near_duplicates, op10_deletion_neighbour_lines]}
