@@ -31,7 +31,7 @@ from departure_risk.llm.shingles import shingle_sets, signature
 from departure_risk.session import written_once
 
 #: Trees of the first and of the second pass; deeper levels of a node; classes compared in a node at most.
-TREES, DEPTH, NODE = (2, 8), 3, 96
+TREES, DEPTH, NODE = (2, 8), 8, 240
 ROOTS = sum(TREES)
 #: Salts of the join that gives documents their class.
 SALTS = 8
@@ -154,8 +154,8 @@ def _bounds(keys: np.ndarray) -> list[tuple[int, int]]:
 
 
 def alike(minhash: np.ndarray, labels: np.ndarray, threshold: float) -> np.ndarray:
-    """Which pairs of rows with different labels agree in enough minhash values: five standard deviations are allowed."""
-    least = (threshold - 5 * np.sqrt(threshold * (1 - threshold) / minhash.shape[1])) * minhash.shape[1]
+    """Which pairs of rows with different labels agree in enough minhash values: 4.5 standard deviations are allowed."""
+    least = (threshold - 4.5 * np.sqrt(threshold * (1 - threshold) / minhash.shape[1])) * minhash.shape[1]
     same = (minhash[:, None, :] == minhash[None, :, :]).sum(axis=2)
     return (same >= least) & (labels[:, None] != labels[None, :])
 
@@ -219,21 +219,18 @@ def verified(tasks: DataFrame, classes: DataFrame, docs: DataFrame, size: int, t
 def components(links: DataFrame) -> DataFrame:
     """id and label (the smallest id of its component) of every id in a link, by alternating star contractions."""
     edges = written_once(links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
-    state = None
     while True:
+        middles = edges.groupBy("u").agg(F.min("v").alias("m"), F.max("v").alias("other"))
+        inner = edges.select(F.col("v").alias("u")).distinct().withColumn("inner", F.lit(True))
+        if middles.join(inner, "u", "left").where("m <> other or inner").isEmpty():  # only stars are left
+            return edges.select(F.col("u").alias("id"), F.col("v").alias("label"))
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        outer = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(
-            low.where("m < u").select("u", F.col("m").alias("v"))).distinct()
-        outer = written_once(outer, "large-star")
+        outer = written_once(both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(
+            low.where("m < u").select("u", F.col("m").alias("v"))).distinct(), "large-star")
         low = outer.groupBy("u").agg(F.min("v").alias("m"))
-        inner = outer.join(low, "u").where("v > m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(
-            low.select("u", F.col("m").alias("v"))).distinct()
-        edges = written_once(inner, "small-star")
-        now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == state:
-            return edges.select(F.col("u").alias("id"), F.col("v").alias("label"))
-        state = now
+        edges = written_once(outer.join(low, "u").where("v > m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(
+            low.select("u", F.col("m").alias("v"))).distinct(), "small-star")
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, threshold: tuple[int, int] = (75, 100), id_col: str = "doc_id",
