@@ -122,6 +122,13 @@ SQL["op10_deletion_neighbour_lines"] = """
     FROM documents d LEFT JOIN r ON r.doc_id = d.doc_id GROUP BY d.doc_id, d.text"""
 
 
+def op9_gated_recurrent_scores(spark: SparkSession, folder: str) -> DataFrame:
+    from departure_risk.llm import lm
+
+    return lm.scores(table(spark, folder, "documents"))
+
+
 QUERIES = {f.__name__: f for f in [op1_simple8b_tokens, op2_spaced_seed_overlaps, op3_byte_network_quality,
                                    op4_mixing_tree, op5_warc_dictionary, op6_host_graph_verdicts, op7_pivot_top_k,
-                                   op8_chosen_path_near_duplicates, op10_deletion_neighbour_lines]}
+                                   op8_chosen_path_near_duplicates, op9_gated_recurrent_scores,
+                                   op10_deletion_neighbour_lines]}
