@@ -120,7 +120,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float = 1.
     """The sizes (doc_id, source, size), the targets (source, source_size, target, docs) and the mix.
 
     The mix has a row for each drawn copy of a document: doc_id, source, shard, position (its place in the shard),
-    copy (0 for the first pass over its source, then 1, ...) and words (its size, or less where the draw is cut).
+    copy (0 for the first pass over its source, then 1, ...), size and words (its size, or less where the draw is cut).
     """
     sizes = written_once(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).cast("string").alias("source"),
                                      word_count(F.col(text_col)).alias("size")), "mix-sizes")
@@ -164,7 +164,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float = 1.
         F.lit(0).cast("long"), F.col("left") - F.coalesce(F.sum("size").over(in_block), F.lit(0)))))
     in_shard = Window.partitionBy("shard").orderBy(F.xxhash64("doc_id", "copy", F.lit(seed + 2)), "doc_id", "copy", "size")
     mixed = cut.where("words > 0 or size = 0").select(
-        "doc_id", "source", "shard", (F.row_number().over(in_shard) - 1).cast("long").alias("position"), "copy", "words")
+        "doc_id", "source", "shard", (F.row_number().over(in_shard) - 1).cast("long").alias("position"), "copy", "size", "words")
     return sizes, targets, mixed
 
 
@@ -176,3 +176,28 @@ def mix_words(docs: DataFrame, **options) -> DataFrame:
         "doc_id", "size", "source_size", "target")
     return rows.join(taken, rows["doc_id"].eqNullSafe(taken["doc_id"]), "left").select(
         rows["doc_id"], "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
+
+
+def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", count_col: str = "n_chars", **options) -> DataFrame:
+    """The documents as the mix takes them, with all their columns: a row for each copy, none for those left out.
+
+    A copy that is cut has its first words, joined by spaces, and their length in `count_col`, if there is such a column.
+    Rows without an id are left out; of rows that repeat an id, each copy is one of them.
+    """
+    _, _, mixed = mix(docs.where(F.col(id_col).isNotNull()), id_col=id_col, text_col=text_col, **options)
+    rows = docs.where(F.col(id_col).isNotNull()).withColumns({
+        "__size": word_count(F.col(text_col)), "__id": F.col(id_col).cast("long")})
+    drawn = mixed.groupBy(F.col("doc_id").alias("__id"), F.col("size").alias("__size"), "words").agg(F.count(F.lit(1)).alias("__drawn"))
+    same = Window.partitionBy("__id", "__size")
+    numbered = rows.withColumns({"__row": F.row_number().over(same.orderBy(text_col)) - 1, "__rows": F.count(F.lit(1)).over(same)})
+    copies = F.expr("__drawn div __rows + if(__row < __drawn % __rows, 1, 0)")
+    joined = numbered.join(drawn, ["__id", "__size"]).withColumn("__copies", copies).where("__copies > 0").withColumn(
+        "__copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__copies"))))
+    cut = F.col("words") < F.col("__size")
+    trimmed = F.btrim(text_col, F.lit(" \t\n\x0b\x0c\r"))
+    text = F.when(cut, F.array_join(F.slice(F.split(trimmed, "[ \\t-\\r]+"), F.lit(1), F.col("words").cast("int")), " ")).otherwise(F.col(text_col))
+    out = joined.withColumn(text_col, text)
+    if count_col in docs.columns:
+        kind = dict(docs.dtypes)[count_col]
+        out = out.withColumn(count_col, F.when(cut, F.length(text_col).cast(kind)).otherwise(F.col(count_col)))
+    return out.select(docs.columns)

@@ -25,7 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from departure_risk.llm.shingles import shingle_sets, signature
 from departure_risk.session import written_once
@@ -262,3 +262,19 @@ def near_duplicates(docs: DataFrame, size: int = 5, threshold: tuple[int, int] =
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
     return joined.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"),
                          F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
+
+
+def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """One document of each component, the one with the smallest id, with all columns; rows without an id all stay.
+
+    Of rows that repeat the id that stays, the one with the smallest text stays (nulls first).
+    """
+    found = written_once(near_duplicates(docs, id_col=id_col, text_col=text_col, **options), "components")
+    gone = found.where(~F.col("kept")).select(F.col("doc_id").alias(id_col)).distinct()
+    kept = docs.join(gone, id_col, "left_anti").select(docs.columns)
+    repeated = found.where("kept and doc_id is not null").groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias(id_col))
+    if repeated.isEmpty():
+        return kept
+    first = Window.partitionBy(id_col).orderBy(F.col(text_col).asc_nulls_first())
+    again = kept.join(repeated, id_col, "left_semi").withColumn("__place", F.row_number().over(first)).where("__place = 1").drop("__place")
+    return kept.join(repeated, id_col, "left_anti").select(docs.columns).unionByName(again.select(docs.columns))
