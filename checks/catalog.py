@@ -9,7 +9,7 @@ from checks.data import Data
 from checks.sql_parts import AUDIT_DAY, HISTORY_KEYS, SNAPSHOT_LAST, WEATHER_NAMES, with_parts
 from departure_risk.config import CATEGORICAL, MODEL_COLUMNS, ROTATION, SNAPSHOT_MEDIANS, WEATHER, WEATHER_COLUMNS
 from departure_risk.functions import columns as C
-from departure_risk.operators import audits, compare, cube as cubes, history, metrics, nearest
+from departure_risk.operators import compare, cube as cubes, history, metrics, nearest
 from departure_risk.operators.clean import clean
 from departure_risk.operators.ids import dense_ids
 from departure_risk.operators.recalibrate import daily_outcomes, daily_shift, recalibrate
@@ -17,7 +17,7 @@ from departure_risk.operators.rotation import add_rotation
 from departure_risk.operators.schedule import add_load
 from departure_risk.operators.split import label_split, only, split_summary
 from departure_risk.operators.weather import add_weather
-from departure_risk.plans import models, questions
+from departure_risk.plans import audits, models, questions
 from departure_risk.plans.features import join_cells, with_histories
 from departure_risk.plans.serving import fresh_snapshot
 from departure_risk.session import written_once

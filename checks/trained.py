@@ -11,8 +11,8 @@ from departure_risk.plans.scoring import score_requests
 from departure_risk.plans.serving import fresh_snapshot
 from departure_risk.session import written_once
 
-# Small ensembles keep the checks quick; the steps are those of the full run.
-ROUNDS, DEPTH = 5, 3
+# One training run per session and folder, with the library's own settings, serves all of them.
+_RUNS: dict[tuple[str, str], training.Trained] = {}
 
 
 def _parts(d):
@@ -20,10 +20,11 @@ def _parts(d):
     return features, [only(features, d.split, p) for p in ("train", "valid", "test")]
 
 
-def _full_model(d):
-    features, (train, valid, test) = _parts(d)
-    model, rounds = models.fit_trees(train, valid, MODEL_COLUMNS, ROUNDS, DEPTH)
-    return features, test, model, rounds
+def _trained(d):
+    key = (d.spark.sparkContext.applicationId, d.folder)
+    if key not in _RUNS:
+        _RUNS[key] = training.train(written_once(d.features, "features"))
+    return _RUNS[key]
 
 
 _CODES = "\n".join(f"LEFT JOIN categories k_{c} ON k_{c}.name = '{c}' AND k_{c}.value = f.{c}" for c in CATEGORICAL)
@@ -50,14 +51,14 @@ def _(d):
 
 @check("m4_boosted_trees")
 def _(d):
-    _, test, model, rounds = _full_model(d)
-    return models.probability(model, test).select("flight_id", "delayed", "p", F.lit(rounds).alias("rounds"))
+    trained = _trained(d)
+    return training.test_forecasts(trained, training.TREES["full"]).select(
+        "flight_id", "delayed", "p", F.lit(trained.rounds).alias("rounds"))
 
 
 @check("m5_ablation_scores")
 def _(d):
-    features, _ = _parts(d)
-    return training.train(features, ROUNDS, DEPTH).metrics
+    return _trained(d).metrics
 
 
 @check("m6_unseen_categories", ["parts"], """
@@ -74,18 +75,15 @@ def _(d):
 
 @check("m10_batch_scores")
 def _(d):
-    _, _, model, _ = _full_model(d)
-    return score_requests(d.requests, fresh_snapshot(d.stored, d.last_operated_day), model)
+    return score_requests(d.requests, fresh_snapshot(d.stored, d.last_operated_day), _trained(d).model)
 
 
 @check("a20_importance")
 def _(d):
-    features, _, model, _ = _full_model(d)
-    return models.importance(model, features)
+    trained = _trained(d)
+    return models.importance(trained.model, trained.features)
 
 
 @check("m9_metrics_document")
 def _(d):
-    features, _ = _parts(d)
-    trained = training.train(features, ROUNDS, DEPTH, ())
-    return training.metrics_document(trained).select(F.to_json(F.struct("*")).alias("metrics"))
+    return training.metrics_document(_trained(d)).select(F.to_json(F.struct("*")).alias("metrics"))

@@ -27,6 +27,15 @@ WEATHER_COLUMNS = {
     "temperature_2m_min": "temp_min_c",
 }
 
+# Columns the models read.
+SCHEDULE = ["dep_hour", "day_of_week", "month", "distance", "crs_elapsed"]
+LOAD = ["origin_day_flights", "origin_hour_flights"]
+HISTORY_28D = ["origin_rate", "origin_n", "carrier_rate", "carrier_n", "route_rate", "route_n", "origin_hour_rate", "origin_hour_n"]
+HISTORY_7D = ["origin_7d_rate", "carrier_7d_rate", "nation_7d_rate"]
+ROTATION = ["leg_number", "legs_that_day", "turnaround_min"]
+WEATHER = ["origin_precip_mm", "origin_snow_cm", "origin_gust_kmh", "origin_temp_min_c",
+           "dest_precip_mm", "dest_snow_cm", "dest_gust_kmh", "dest_temp_min_c"]
+
 # --- End of fixed values.
 
 RAW_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in RAW_COLUMNS])
@@ -57,13 +66,6 @@ LABEL = "delayed"
 CATEGORICAL = ["carrier", "origin", "dest"]
 CELL_KEYS = ["flight_date", "carrier", "origin", "dest", "dep_hour"]
 
-SCHEDULE = ["dep_hour", "day_of_week", "month", "distance", "crs_elapsed"]
-LOAD = ["origin_day_flights", "origin_hour_flights"]
-HISTORY_28D = [f"{h}_{m}" for h in ("origin", "carrier", "route", "origin_hour") for m in ("rate", "n")]
-HISTORY_7D = [f"{h}_7d_rate" for h in ("origin", "carrier", "nation")]
-ROTATION = ["leg_number", "legs_that_day", "turnaround_min"]
-WEATHER = [f"{end}_{c}" for end in ("origin", "dest") for c in WEATHER_COLUMNS.values()]
-
 NUMERIC = SCHEDULE + LOAD + HISTORY_28D + HISTORY_7D + ROTATION + WEATHER
 MODEL_COLUMNS = CATEGORICAL + NUMERIC
 

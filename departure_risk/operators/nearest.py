@@ -5,6 +5,7 @@ from pyspark.sql import DataFrame, functions as F
 from departure_risk.config import SNAPSHOT_LATEST, SNAPSHOT_MEDIANS
 
 ROUTE = ["carrier", "origin", "dest"]
+# Statuses and notes of the answers.
 FOUND = "ok"
 NOT_FOUND = "no_history"
 INVALID = "invalid_hour"

@@ -42,7 +42,7 @@ def find_split(rows: DataFrame, warm_up: int = HISTORY_DAYS, valid: float = 0.1,
         F.try_element_at("kept", F.lit(-1)).alias("last"),
     ).first()
     if row.n < FEWEST_DAYS:
-        raise ValueError(f"need at least {FEWEST_DAYS} days of data after the history warm-up, found {max(row.n, 0)}")
+        raise ValueError(f"{max(row.n, 0)} days remain after the warm-up; a split takes {FEWEST_DAYS}")
     return Split(row.start, row.valid_start, row.test_start, row.last)
 
 

@@ -9,7 +9,7 @@ from departure_risk.plans.features import build_features
 from departure_risk.plans.models import categories_of
 from departure_risk.plans.training import Trained, metrics_document, serving_snapshot, test_cube, train
 from departure_risk.sources.csv_files import read_raw
-from departure_risk.sources.forecasts import airports_to_fetch, combine, parse_payloads, usable_cache
+from departure_risk.sources.forecasts import add_fetched, airports_to_fetch, parse_payloads, usable_cache
 from departure_risk.sources.tables import read_by_month, read_if_present, write_by_month, write_document, write_weather
 
 
@@ -29,12 +29,15 @@ def weather_request_step(spark: SparkSession, flights_path: str, coordinates: Da
 
 
 def weather_step(spark: SparkSession, flights_path: str, payloads: DataFrame | None, weather_path: str) -> int:
-    """Add fetched payloads to the usable cache; returns the rows written, 0 when there is no weather."""
+    """Add fetched payloads to the usable cache; returns the rows written, 0 when there is no weather.
+
+    Airports that the cache holds are not added again, so repeating the step changes nothing.
+    """
     flights = read_by_month(spark, flights_path)
     span = flights.agg(F.min("flight_date").alias("start"), F.max("flight_date").alias("end")).first()
     cached = usable_cache(read_if_present(spark, weather_path), span.start, span.end)
     fetched = None if payloads is None else parse_payloads(payloads)
-    return write_weather(combine([cached, fetched]), weather_path)
+    return write_weather(spark, add_fetched(cached, fetched), weather_path)
 
 
 def features_step(spark: SparkSession, flights_path: str, weather_path: str | None, features_path: str) -> int:
@@ -42,9 +45,9 @@ def features_step(spark: SparkSession, flights_path: str, weather_path: str | No
     return write_by_month(build_features(flights, read_if_present(spark, weather_path)), features_path)
 
 
-def train_step(spark: SparkSession, features_path: str, artifacts: str, rounds: int = 60, depth: int = 6) -> Trained:
-    """Train and write model, categories, metrics, cube and snapshot."""
-    trained = train(read_by_month(spark, features_path), rounds, depth)
+def train_step(spark: SparkSession, features_path: str, artifacts: str, **options) -> Trained:
+    """Train (see `training.train` for the options) and write model, categories, metrics, cube and snapshot."""
+    trained = train(read_by_month(spark, features_path), **options)
     trained.model.write().overwrite().save(f"{artifacts}/model")
     categories = list(categories_of(trained.model).items())
     write_document(spark.createDataFrame(categories, "name string, labels array<string>"), f"{artifacts}/categories")

@@ -1,5 +1,6 @@
 """Spark ML pipelines: logistic regression and boosted trees."""
 
+import warnings
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -18,13 +19,14 @@ INPUT = "inputs"
 CHOSEN = "chosen"
 BINS = 512
 
-# Learning rate, rows per leaf, share of rows and of columns per tree, seed, patience.
+# Learning rate, rows per leaf, share of rows and of columns per tree, seed, patience, most trees.
 STEP = 0.05
 LEAF_ROWS = 100
 ROW_SHARE = 0.8
 COLUMN_SHARE = "0.8"
 SEED = 7
 PATIENCE = 50
+MOST_TREES = 2000
 
 
 def as_doubles(columns: list[str], missing: str) -> SQLTransformer:
@@ -88,38 +90,45 @@ def prepare(train: DataFrame, valid: DataFrame, columns: list[str]) -> Prepared:
     return Prepared(matrix, names, inputs, held_out)
 
 
-def fit_prepared(prepared: Prepared, columns: list[str], rounds: int = 60, depth: int = 6,
-                 bins: int = BINS) -> tuple[PipelineModel, int]:
+def fit_prepared(prepared: Prepared, columns: list[str], most: int = MOST_TREES, depth: int = 6,
+                 bins: int = BINS, patience: int = PATIENCE) -> tuple[PipelineModel, int]:
     """Boosted trees, as many as the validation period asks for. Returns the pipeline and that number.
 
-    The trees are grown once up to `rounds`; if fewer do better on the validation rows the same seed
-    regrows that many, which gives the same trees.
+    First 128 trees (with the usual patience), then twice as many, are grown until `patience` of them bring nothing on the validation rows, or until `most`
+    (a warning says so). The same seed then regrows the best number, which gives the same trees.
     """
     chosen = [i for i, c in enumerate(prepared.columns) if c in columns]
     slicer = VectorSlicer(inputCol=INPUT, outputCol=CHOSEN, indices=chosen)
     inputs, held_out = slicer.transform(prepared.train), slicer.transform(prepared.valid)
     arity = max(len(labels) for labels in prepared.matrix.stages[0].labelsArray) + 1
     trees = GBTClassifier(
-        featuresCol=CHOSEN, labelCol=LABEL, maxIter=rounds, maxDepth=depth, maxBins=max(bins, arity), stepSize=STEP,
+        featuresCol=CHOSEN, labelCol=LABEL, maxDepth=depth, maxBins=max(bins, arity), stepSize=STEP,
         minInstancesPerNode=LEAF_ROWS, subsamplingRate=ROW_SHARE, featureSubsetStrategy=COLUMN_SHARE, seed=SEED,
     )
-    model: GBTClassificationModel = trees.fit(inputs)
-    best = best_round(model.evaluateEachIteration(held_out))
+    grown, best = min(most, 2 * patience + 28), most
+    while True:
+        model: GBTClassificationModel = trees.copy({trees.maxIter: grown}).fit(inputs)
+        best = best_round(model.evaluateEachIteration(held_out), patience)
+        if grown - best >= patience or grown == most:
+            break
+        grown = min(most, 2 * grown)
+    if grown - best < patience:
+        warnings.warn(f"the validation loss still falls at the limit of {most} trees", stacklevel=2)
     if best < model.getNumTrees:
         model = trees.copy({trees.maxIter: best}).fit(inputs)
     return PipelineModel(stages=[*prepared.matrix.stages, slicer, model]), best
 
 
-def fit_trees(train: DataFrame, valid: DataFrame, columns: list[str], rounds: int = 60, depth: int = 6,
-              bins: int = BINS) -> tuple[PipelineModel, int]:
+def fit_trees(train: DataFrame, valid: DataFrame, columns: list[str], most: int = MOST_TREES, depth: int = 6,
+              bins: int = BINS, patience: int = PATIENCE) -> tuple[PipelineModel, int]:
     prepared = prepare(train, valid, columns)
-    fitted = fit_prepared(prepared, columns, rounds, depth, bins)
+    fitted = fit_prepared(prepared, columns, most, depth, bins, patience)
     prepared.release()
     return fitted
 
 
-def fit_logistic(train: DataFrame, rounds: int = 500) -> PipelineModel:
-    """Median impute, standardise, logistic regression with a unit L2 penalty on the summed loss.
+def fit_logistic(train: DataFrame, rounds: int = 500, median_error: float = 0.0) -> PipelineModel:
+    """Median impute (exact, or off by that share of the rows at most, which costs less memory on very large tables), standardise, logistic regression with a unit L2 penalty on the summed loss.
 
     Spark averages the loss, so the penalty is divided by the rows. Columns without any value are left out.
     """
@@ -128,7 +137,7 @@ def fit_logistic(train: DataFrame, rounds: int = 500) -> PipelineModel:
     inputs = [f"{c}_in" for c in numbers]
     return Pipeline(stages=[
         as_doubles(numbers, "{}"),
-        Imputer(strategy="median", inputCols=inputs, outputCols=[f"{c}_filled" for c in numbers]),
+        Imputer(strategy="median", relativeError=median_error, inputCols=inputs, outputCols=[f"{c}_filled" for c in numbers]),
         VectorAssembler(inputCols=[f"{c}_filled" for c in numbers], outputCol="filled"),
         StandardScaler(inputCol="filled", outputCol=INPUT, withMean=True, withStd=True),
         LogisticRegression(featuresCol=INPUT, labelCol=LABEL, maxIter=rounds, regParam=1.0 / filled["rows"],

@@ -12,9 +12,10 @@ from departure_risk.operators.metrics import by_hour, calibration_table, ranking
 from departure_risk.operators.recalibrate import recalibrate
 from departure_risk.operators.snapshot import snapshot
 from departure_risk.operators.split import Split, find_split, only, split_summary
-from departure_risk.plans.models import fit_logistic, fit_prepared, importance, prepare, probability
+from departure_risk.plans.models import MOST_TREES, PATIENCE, fit_logistic, fit_prepared, importance, prepare, probability
 from departure_risk.session import written_once
 
+# Names of the models in the metrics.
 TREES = {"base": "gradient_boosting_base", "v2": "gradient_boosting_v2", "full": "gradient_boosting"}
 RECALIBRATED = "gradient_boosting_recalibrated"
 FORECAST_COLUMNS = ["flight_id", "flight_date", "carrier", "origin", "dest", "dep_hour", LABEL]
@@ -33,7 +34,8 @@ class Trained:
     features: DataFrame
 
 
-def train(features: DataFrame, rounds: int = 60, depth: int = 6, ablations: tuple[str, ...] = ("base", "v2")) -> Trained:
+def train(features: DataFrame, most: int = MOST_TREES, depth: int = 6, ablations: tuple[str, ...] = ("base", "v2"),
+          patience: int = PATIENCE) -> Trained:
     """Baselines, ablations and the full model.
 
     `features` should be a written table. All tree models grow from one prepared set of vectors. Forecasts of all models are written
@@ -49,7 +51,7 @@ def train(features: DataFrame, rounds: int = 60, depth: int = 6, ablations: tupl
     scored.append(_named(probability(logistic, test), "logistic_regression"))
     prepared = prepare(training, validation, ABLATIONS["full"])
     for name in [*ablations, "full"]:
-        model, best = fit_prepared(prepared, ABLATIONS[name], rounds, depth)
+        model, best = fit_prepared(prepared, ABLATIONS[name], most, depth, patience=patience)
         scored.append(_named(probability(model, held_out if name == "full" else test), TREES[name]))
     prepared.release()
     forecasts = scored[0]
@@ -60,7 +62,7 @@ def train(features: DataFrame, rounds: int = 60, depth: int = 6, ablations: tupl
     full = forecasts.filter(F.col("model") == TREES["full"])
     adjusted = recalibrate(full, split.test_start).withColumns({
         "p": F.col("p_recalibrated"), "model": F.lit(RECALIBRATED)}).select(*FORECAST_COLUMNS, "p", "model")
-    forecasts = written_once(forecasts.unionByName(adjusted), "forecasts")
+    forecasts = forecasts.unionByName(written_once(adjusted, "recalibrated"))
     metrics = ranking_metrics(only(forecasts, split, "test"), ["model"])
     return Trained(split, base, model, best, forecasts, metrics, features)
 

@@ -37,7 +37,7 @@ def check_columns(by_path: dict[str, tuple[str, ...]], required: list[str] = RAW
     for path, columns in by_path.items():
         missing = [c for c in required if c not in columns]
         if missing:
-            raise ValueError(f"{path} is missing expected columns: {missing}")
+            raise ValueError(f"{path} lacks the columns {missing}")
 
 
 def read_raw(spark: SparkSession, folder: str, pattern: str = RAW_FILES, check_all: bool = True) -> DataFrame:

@@ -6,6 +6,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from departure_risk.config import WEATHER_AIRPORTS, WEATHER_COLUMNS
+from departure_risk.functions.columns import text_to_double
 
 BATCH = 5
 PAYLOAD = "array<struct<daily: struct<time: array<string>, {}>>>".format(
@@ -59,25 +60,44 @@ def parse_payloads(payloads: DataFrame) -> DataFrame:
     """Rows (airports array, payload text) to one row per airport and day.
 
     A payload is one object per airport asked for, or a bare object for a single one. A different number
-    of objects is an error, and so is one without the days or a variable; a value that is no number is null.
+    of objects is an error, and so is one without the days or a variable. The days count: a variable's values
+    beyond them are ignored, and missing ones are null, as is a value that is no number. Entries without a
+    readable day are left out.
     """
     text = F.trim("payload")
     as_list = F.when(text.startswith("{"), F.concat(F.lit("["), text, F.lit("]"))).otherwise(text)
     items = payloads.select("airports", F.from_json(as_list, PAYLOAD).alias("items"))
     asked, got = F.size("airports"), F.coalesce(F.size("items"), F.lit(0))
     mismatch = F.raise_error(F.concat(
-        F.lit("asked for "), asked.cast("string"), F.lit(" airports, got "), got.cast("string"), F.lit(" back")))
+        F.lit("a payload of "), got.cast("string"), F.lit(" objects for "), asked.cast("string"), F.lit(" airports")))
     pairs = F.when(asked == got, F.arrays_zip("airports", "items")).otherwise(mismatch)
     per_airport = items.select(F.explode(pairs).alias("pair")).select(
         F.col("pair.airports").alias("airport"), F.col("pair.items.daily").alias("daily"))
-    names = ["time", *WEATHER_COLUMNS]
     lacking = F.raise_error(F.concat(F.lit("incomplete weather for "), F.col("airport")))
-    zipped = F.coalesce(F.arrays_zip(*[F.col(f"daily.{name}").alias(name) for name in names]), lacking)
-    days = per_airport.select("airport", F.explode(zipped).alias("day"))
+    complete = F.lit(True)
+    for name in ("time", *WEATHER_COLUMNS):
+        complete = complete & F.col(f"daily.{name}").isNotNull()
+    by_day = F.transform("daily.time", lambda day, i: F.struct(
+        day.alias("time"), *[F.get(F.col(f"daily.{name}"), i).alias(name) for name in WEATHER_COLUMNS]))
+    checked = F.when(complete, by_day).otherwise(lacking)
+    days = per_airport.select("airport", F.explode(checked).alias("day"))
     return days.select(
-        "airport", F.to_date("day.time").alias("date"),
-        *[F.col(f"day.{name}").try_cast("double").alias(column) for name, column in WEATHER_COLUMNS.items()],
-    )
+        "airport", F.col("day.time").try_cast("date").alias("date"),
+        *[text_to_double(F.col(f"day.{name}")).alias(column) for name, column in WEATHER_COLUMNS.items()],
+    ).where("date is not null")
+
+
+def add_fetched(cached: DataFrame | None, fetched: DataFrame | None) -> DataFrame | None:
+    """The cache and the fetched airports it lacks, one row per airport and day; None when there is none at all.
+
+    A day that the payloads hold twice keeps the row with values where the other has none, else the larger values.
+    """
+    if fetched is not None:
+        values = F.max(F.struct(*WEATHER_COLUMNS.values())).alias("values")
+        fetched = fetched.groupBy("airport", "date").agg(values).select("airport", "date", "values.*")
+        if cached is not None:
+            fetched = fetched.join(cached.select("airport").distinct(), "airport", "left_anti").select(*fetched.columns)
+    return combine([cached, fetched])
 
 
 def combine(parts: list[DataFrame | None]) -> DataFrame | None:

@@ -13,11 +13,11 @@ LINES_PER_BATCH = 20_000
 
 
 def months_between(bounds: DataFrame, first: str, last: str) -> DataFrame:
-    """(year, month) of every month from `first` to `last`, both included; an error if reversed."""
+    """(year, month) of every month from that of `first` to that of `last`; an error if the months are reversed."""
     spine = F.sequence(F.trunc(first, "month"), F.trunc(last, "month"), F.expr("INTERVAL 1 MONTH"))
     reversed_bounds = F.raise_error(F.concat(
-        F.lit("start "), F.date_format(first, "yyyy-MM"), F.lit(" is after end "), F.date_format(last, "yyyy-MM")))
-    checked = F.when(F.col(first) <= F.col(last), spine).otherwise(reversed_bounds.cast("array<date>"))
+        F.lit("no months run from "), F.date_format(first, "yyyy-MM"), F.lit(" to "), F.date_format(last, "yyyy-MM")))
+    checked = F.when(F.trunc(first, "month") <= F.trunc(last, "month"), spine).otherwise(reversed_bounds.cast("array<date>"))
     months = bounds.select(F.explode(checked).alias("m"))
     return months.select(F.year("m").alias("year"), F.month("m").alias("month"))
 
@@ -25,7 +25,7 @@ def months_between(bounds: DataFrame, first: str, last: str) -> DataFrame:
 def month_spine(spark: SparkSession, start: str, end: str) -> DataFrame:
     """The same between two 'yyyy-MM' labels."""
     if start > end:
-        raise ValueError(f"start {start} is after end {end}")
+        raise ValueError(f"no months run from {start} to {end}")
     bounds = spark.range(1).select(
         F.to_date(F.lit(f"{start}-01")).alias("first"), F.to_date(F.lit(f"{end}-01")).alias("last"))
     return months_between(bounds, "first", "last")
@@ -61,7 +61,7 @@ def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             with zipfile.ZipFile(io.BytesIO(archive["content"])) as packed:
                 names = [n for n in packed.namelist() if n.lower().endswith(".csv")]
                 if len(names) != 1:
-                    raise ValueError(f"expected one CSV in {archive['path']}, found {names}")
+                    raise ValueError(f"{archive['path']} should hold a single CSV and holds {len(names)}: {names}")
                 with io.TextIOWrapper(packed.open(names[0]), encoding="utf-8") as text:
                     yield from _batched(archive["path"], text)
 
@@ -93,10 +93,15 @@ def land(spark: SparkSession, archive_folder: str, raw_folder: str) -> int:
     """Unpack the archives of months that are not landed yet; returns how many months were added.
 
     Archives carry `..._YYYY_M.zip` names. Each month becomes `file=ontime_YYYY_MM/` with its lines in
-    order, header first. Only the archives still needed are read.
+    order, header first. Only the archives still needed are read. An archive without a month in its name, or
+    two of one month, are an error before anything is written.
     """
     names = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(archive_folder).select("path")
     todo = names.select("path", *month_of(landed_name(F.col("path"))))
+    unclear = todo.groupBy("year", "month").agg(F.min("path").alias("path"), F.count("*").alias("archives")).where(
+        "year is null or month not between 1 and 12 or archives > 1").orderBy("path").limit(5).collect()
+    if unclear:
+        raise ValueError("each archive needs a month of its own in its name: " + ", ".join(row.path for row in unclear))
     try:
         todo = months_to_land(todo, landed_months(spark, raw_folder))
     except AnalysisException as missing:

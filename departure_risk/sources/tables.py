@@ -1,5 +1,7 @@
 """Parquet tables and JSON documents of the flow."""
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.errors import AnalysisException
 
@@ -22,8 +24,14 @@ def write_by_month(rows: DataFrame, path: str, rebalance: bool = True) -> int:
     return rows.sparkSession.read.parquet(path).count()
 
 
-def read_by_month(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path).drop(MONTH)
+def read_by_month(spark: SparkSession, path: str, first: dt.date | None = None, last: dt.date | None = None) -> DataFrame:
+    """A table written by month; with a first or last day, only the months that hold such days are listed and read."""
+    rows = spark.read.parquet(path)
+    if first is not None:
+        rows = rows.filter((F.col(MONTH) >= f"{first:%Y-%m}") & (F.col("flight_date") >= F.lit(first)))
+    if last is not None:
+        rows = rows.filter((F.col(MONTH) <= f"{last:%Y-%m}") & (F.col("flight_date") <= F.lit(last)))
+    return rows.drop(MONTH)
 
 
 def read_if_present(spark: SparkSession, path: str | None) -> DataFrame | None:
@@ -38,15 +46,17 @@ def read_if_present(spark: SparkSession, path: str | None) -> DataFrame | None:
         return None
 
 
-def write_weather(weather: DataFrame | None, path: str) -> int:
-    """Write weather and return its row count; without any data, write nothing.
+def write_weather(spark: SparkSession, weather: DataFrame | None, path: str) -> int:
+    """Write weather and return its row count; without any data, a table that was there before becomes empty.
 
     Cached rows come from the very table that is replaced, so the new table is written elsewhere first.
     """
     if weather is None or weather.isEmpty():
+        if (before := read_if_present(spark, path)) is not None:
+            spark.createDataFrame([], before.schema).write.mode("overwrite").parquet(path)
         return 0
     written_once(weather, "weather").write.mode("overwrite").parquet(path)
-    return weather.sparkSession.read.parquet(path).count()
+    return spark.read.parquet(path).count()
 
 
 def write_document(one_row: DataFrame, path: str) -> None:

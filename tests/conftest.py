@@ -5,9 +5,10 @@ from departure_risk.operators.clean import clean
 from departure_risk.plans.features import build_features
 from departure_risk.session import local_session, written_once
 
-AIRPORTS = ["LAX", "BOS", "PHX", "MEM", "ORD", "DFW"]
-CARRIERS = ["AA", "DL", "UA"]
-DAYS, PER_DAY = 120, 400
+# Three hubs, then three outstations. Every aircraft shuttles between its hub and outstations all day.
+AIRPORTS = ["BOS", "DEN", "SEA", "TPA", "LAX", "ORD"]
+CARRIERS = ["K1", "L2", "M3", "N4"]
+DAYS, AIRCRAFT, LEGS = 110, 64, 7
 
 
 @pytest.fixture(scope="session")
@@ -18,47 +19,44 @@ def spark():
     session.stop()
 
 
-def draw(seed: int, n: int):
-    """A repeatable whole number below n per row."""
-    return F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(n)).cast("int")
-
-
-def pick(values, seed: int):
-    return F.element_at(F.array(*[F.lit(v) for v in values]), draw(seed, len(values)) + 1)
-
-
-def make_raw(spark, days: int = DAYS, per_day: int = PER_DAY):
-    """Synthetic flights in the raw layout: late more often at night, out of ORD and on UA."""
-    rows = spark.range(days * per_day).select(
-        "id",
-        F.date_add(F.lit("2025-01-01").cast("date"), F.floor(F.col("id") / per_day).cast("int")).alias("day"),
-        pick(AIRPORTS, 1).alias("Origin"), pick(AIRPORTS, 2).alias("to"), pick(CARRIERS, 3).alias("Reporting_Airline"),
-        (draw(4, 19) + 5).alias("hour"), draw(5, 60).alias("minute"), (draw(6, 300) + 60).alias("elapsed"),
-        draw(7, 10_000).alias("luck"), draw(8, 165).alias("lateness"), draw(9, 25).alias("slack"),
-        (draw(10, 50) == 0).alias("cancelled"), draw(11, 60).alias("plane"), draw(12, 2400).alias("miles"),
-    )
-    risk = 800 + 150 * (F.col("hour") - 5) + F.when(F.col("Origin") == "ORD", 1200).otherwise(0) + F.when(
-        F.col("Reporting_Airline") == "UA", 500).otherwise(0)
-    delay = F.when(F.col("luck") < risk, F.col("lateness") + 15).otherwise(F.col("slack") - 10)
-    arrival = (F.col("hour") * 60 + F.col("minute") + F.col("elapsed")) % 1440
-
-    def clock(hour, minute):
-        return F.concat(F.lpad(hour.cast("string"), 2, "0"), F.lpad(minute.cast("string"), 2, "0"))
-
-    return rows.select(
-        F.col("day").cast("string").alias("FlightDate"), "Reporting_Airline", "Origin",
-        F.when(F.col("to") == F.col("Origin"), F.when(F.col("Origin") == "LAX", "BOS").otherwise("LAX"))
-        .otherwise(F.col("to")).alias("Dest"),
-        F.concat(F.lit("N"), F.lpad(F.col("plane").cast("string"), 3, "0"), F.lit("AA")).alias("Tail_Number"),
-        clock(F.col("hour"), F.col("minute")).alias("CRSDepTime"),
-        clock(F.floor(arrival / 60), arrival % 60).alias("CRSArrTime"),
-        F.col("elapsed").cast("double").cast("string").alias("CRSElapsedTime"),
-        (F.col("miles") + 200).cast("double").cast("string").alias("Distance"),
-        F.when(~F.col("cancelled"), delay.cast("double").cast("string")).alias("DepDelay"),
-        F.col("cancelled").cast("int").cast("double").cast("string").alias("Cancelled"),
-        F.lit("0.0").alias("Diverted"),
-        delay.cast("string").alias("ArrDelay"),
-    )
+def draw(n: int, *of):
+    """A repeatable whole number below n, the same wherever `of` is the same."""
+    return F.pmod(F.xxhash64(*[F.lit(x) if isinstance(x, int) else x for x in of]), F.lit(n)).cast("int")
+
+
+def one_of(values, place):
+    return F.element_at(F.array(*[F.lit(v) for v in values]), (place + 1).cast("int"))
+
+
+def make_raw(spark, days: int = DAYS):
+    """A timetable in the raw layout. Delays build up over an aircraft's day, most of all on N4 and on Fridays."""
+    plane, leg = F.col("plane"), F.col("leg")
+    rows = spark.range(days * AIRCRAFT * LEGS).select(
+        "id", (F.col("id") % LEGS).alias("leg"), (F.floor(F.col("id") / LEGS) % AIRCRAFT).alias("plane"),
+        F.date_add(F.lit("2025-01-01").cast("date"), F.floor(F.col("id") / (LEGS * AIRCRAFT)).cast("int")).alias("day"))
+    there = one_of(AIRPORTS[3:], draw(3, "plane", "day", F.floor(leg / 2), 1))
+    hub = one_of(AIRPORTS[:3], plane % 3)
+    flown = rows.withColumns({
+        "carrier": one_of(CARRIERS, plane % 4), "out": leg % 2 == 0, "hub": hub, "there": there,
+        "leaves": 345 + (plane * 37) % 240 + leg * 120, "block": 50 + draw(40, "there", "hub", 2),
+        "off": draw(40, "id", 3) == 7, "chance": draw(1000, "id", 4)})
+    odds = 50 + 60 * leg + F.when(F.col("carrier") == "N4", 130).otherwise(0) + F.when(F.weekday("day") == 4, 70).otherwise(0)
+    delay = F.when(F.col("chance") < odds, 15 + draw(90, "id", 5)).otherwise(draw(20, "id", 6) - 6)
+
+    def clock(minutes):
+        return F.concat(F.lpad(F.floor(minutes / 60).cast("string"), 2, "0"), F.lpad((minutes % 60).cast("string"), 2, "0"))
+
+    def number(value):
+        return value.cast("double").cast("string")
+
+    return flown.select(
+        F.col("day").cast("string").alias("FlightDate"), F.col("carrier").alias("Reporting_Airline"),
+        F.when(F.col("out"), F.col("hub")).otherwise(F.col("there")).alias("Origin"),
+        F.when(F.col("out"), F.col("there")).otherwise(F.col("hub")).alias("Dest"),
+        F.format_string("PH-%03d", plane).alias("Tail_Number"), clock(F.col("leaves")).alias("CRSDepTime"),
+        clock((F.col("leaves") + F.col("block")) % 1440).alias("CRSArrTime"), number(F.col("block")).alias("CRSElapsedTime"),
+        number(F.col("block") * 9 - 120).alias("Distance"), F.when(~F.col("off"), number(delay)).alias("DepDelay"),
+        number(F.col("off").cast("int")).alias("Cancelled"), F.lit("0.0").alias("Diverted"), number(delay + 3).alias("ArrDelay"))
 
 
 @pytest.fixture(scope="session")
@@ -73,12 +71,14 @@ def flights(raw):
 
 @pytest.fixture(scope="session")
 def weather(spark):
-    airport_days = spark.range(len(AIRPORTS) * DAYS).select(
-        "id", F.element_at(F.array(*[F.lit(a) for a in AIRPORTS]), (F.col("id") % 6 + 1).cast("int")).alias("airport"),
-        F.date_add(F.lit("2025-01-01").cast("date"), F.floor(F.col("id") / 6).cast("int")).alias("date"))
-    table = airport_days.select(
-        "airport", "date", (draw(21, 100) / 10).alias("precip_mm"), F.lit(0.0).alias("snow_cm"),
-        (draw(22, 700) / 10 + 10).alias("gust_kmh"), (draw(23, 300) / 10 - 5).alias("temp_min_c"))
+    """A front that crosses the airports one after the other, every nine days."""
+    days = spark.range(DAYS).select(F.col("id").cast("int").alias("n"))
+    places = F.posexplode(F.array(*[F.lit(a) for a in AIRPORTS])).alias("place", "airport")
+    front = (F.col("n") + F.col("place")) % 9
+    table = days.select("n", places).select(
+        "airport", F.date_add(F.lit("2025-01-01").cast("date"), F.col("n")).alias("date"),
+        (F.greatest(F.lit(0), 4 - front) * 2.5).cast("double").alias("precip_mm"), F.when(front == 0, 1.5).otherwise(0.0).alias("snow_cm"),
+        (25 + front * 6).cast("double").alias("gust_kmh"), (F.col("n") / 8 - 3).cast("double").alias("temp_min_c"))
     return written_once(table, "test-weather")
 
 

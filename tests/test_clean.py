@@ -21,11 +21,11 @@ def test_schedule_is_kept_and_operated_flights_are_labelled(raw, flights, flight
 
 def test_odd_values(spark):
     rows = [
-        ("2025-01-01", "AA", "BOS", "LAX", " ", "2400", "0010", "x", "100.0", "20", "0", "0", 1440, 10, 0, 1),
-        ("2025-01-01", "AA", "BOS", "LAX", None, "1530.0", "99", "60", "", "14", "0.00", "0", 930, 99, 15, 0),
+        ("2025-01-01", "K1", "BOS", "LAX", " ", "2400", "0010", "x", "100.0", "20", "0", "0", 1440, 10, 0, 1),
+        ("2025-01-01", "K1", "BOS", "LAX", None, "1530.0", "99", "60", "", "14", "0.00", "0", 930, 99, 15, 0),
         ("2025-01-01", None, "BOS", "LAX", "N1", "5", "2575", "60", "", "15", "1.0", "0", 5, 1575, 0, None),
-        ("2025-01-01", "AA", "BOS", "LAX", "N1", "5", "5", "60", "", "late", "0", "0", 5, 5, 0, None),
-        ("2025-01-01", "AA", "BOS", "LAX", "N1", "5", "5", "60", "", "30", None, "0", 5, 5, 0, None),
+        ("2025-01-01", "K1", "BOS", "LAX", "N1", "5", "5", "60", "", "late", "0", "0", 5, 5, 0, None),
+        ("2025-01-01", "K1", "BOS", "LAX", "N1", "5", "5", "60", "", "30", None, "0", 5, 5, 0, None),
     ]
     names = [*RAW_COLUMNS, "dep", "arr", "hour", "label"]
     df = spark.createDataFrame(rows, ", ".join(f"{n} string" for n in RAW_COLUMNS) + ", dep int, arr int, hour int, label int")

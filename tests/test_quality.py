@@ -5,7 +5,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from departure_risk.operators import audits
+from departure_risk.plans import audits
 from departure_risk.operators.cube import cube_document, encode_cube, prediction_cube
 from departure_risk.operators.metrics import by_hour, calibration_table, ranking_metrics
 from departure_risk.operators.recalibrate import daily_shift, recalibrate
@@ -87,41 +87,44 @@ def test_split_follows_the_calendar(features, features_pd):
 
 
 def test_too_few_days_is_an_error(features):
-    with pytest.raises(ValueError, match="10 days"):
+    with pytest.raises(ValueError, match="a split takes 10"):
         find_split(features.filter("flight_date < '2025-02-05'"))
-    with pytest.raises(ValueError, match="10 days"):
+    with pytest.raises(ValueError, match="a split takes 10"):
         find_split(features.filter("flight_date < '2024-02-05'"))
 
 
-def forecasts(spark, days, per_day, low, high, factor, seed):
+def forecasts(spark, days, per_day, bias, seed):
+    """Outcomes that come true at a rate of their own each day, and forecasts that run `bias` times as high."""
     rng = np.random.default_rng(seed)
-    n = days * per_day
-    truth = rng.uniform(low, high, n)
+    level = np.repeat(0.25 + 0.1 * np.sin(np.arange(days) / 5), per_day)
+    truth = np.clip(level + rng.normal(0, 0.06, days * per_day), 0.02, 0.6)
+    day = np.repeat(pd.date_range("2025-03-01", periods=days).date, per_day)
     return spark.createDataFrame(pd.DataFrame({
-        "flight_id": np.arange(n),
-        "flight_date": [dt.date(2025, 1, 1) + dt.timedelta(days=int(d)) for d in np.repeat(np.arange(days), per_day)],
-        "p": truth * factor, "delayed": (rng.random(n) < truth).astype(int)}))
+        "flight_id": np.arange(len(truth)), "flight_date": day, "p": truth * bias,
+        "delayed": rng.binomial(1, truth).astype(int)}))
 
 
-START = dt.date(2025, 1, 20)
+START = dt.date(2025, 3, 18)
 
 
-def test_recalibration_uses_earlier_days_only(spark):
-    rows = forecasts(spark, 40, 50, 0.075, 0.6, 1 / 1.5, 0)
-    day = dt.date(2025, 1, 30)
-    moved = {r.after_the_day: r.changed for r in audits.recalibration_leaks(rows, START, day).collect()}
-    assert False not in moved and moved[True] > 0
+def test_an_outcome_moves_later_days_only(spark):
+    rows = forecasts(spark, 36, 90, 1.2, 21)
+    for day in (START, dt.date(2025, 3, 27)):
+        changed = {r.after_the_day: r.changed for r in audits.recalibration_leaks(rows, START, day).collect()}
+        assert changed.get(False, 0) == 0 and changed[True] > 0
 
 
-def test_recalibration_lifts_a_forecast_that_runs_low(spark):
-    rows = forecasts(spark, 60, 400, 0.1, 0.5, 0.7, 1)
-    out = recalibrate(rows, START).agg(F.avg("p"), F.avg("p_recalibrated"), F.avg("delayed")).first()
-    raw, fixed, seen = out
-    assert abs(fixed - seen) < abs(raw - seen) / 3
+def test_recalibration_corrects_forecasts_that_run_high(spark):
+    scored = recalibrate(forecasts(spark, 80, 260, 1.45, 22), START)
+    by_half = scored.groupBy((F.col("flight_date") < "2025-04-15").alias("early")).agg(
+        F.avg("p").alias("p"), F.avg("p_recalibrated").alias("fixed"), F.avg("delayed").alias("seen")).collect()
+    assert len(by_half) == 2
+    for half in by_half:
+        assert abs(half.fixed - half.seen) < 0.25 * abs(half.p - half.seen)
 
 
 def test_shift_matches_a_loop_over_days(spark):
-    rows = forecasts(spark, 30, 40, 0.1, 0.5, 0.7, 4).filter("flight_date NOT IN ('2025-01-05', '2025-01-06')")
+    rows = forecasts(spark, 30, 40, 0.9, 23).filter("flight_date NOT IN ('2025-03-06', '2025-03-07')")
     frame = rows.toPandas()
     got = {r.flight_date: r["shift"] for r in daily_shift(rows).collect()}
 

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from departure_risk.config import RAW_COLUMNS
 from departure_risk.operators.clean import clean
+from departure_risk.operators.weather import add_weather
+from departure_risk.plans.serving import fresh_snapshot, snapshot_of_table
 from departure_risk.sources import forecasts, landing, tables
 from departure_risk.sources.csv_files import read_raw
 
@@ -14,10 +16,12 @@ from departure_risk.sources.csv_files import read_raw
 def test_months_cross_the_year(spark):
     months = [tuple(r) for r in landing.month_spine(spark, "2024-11", "2025-02").orderBy("year", "month").collect()]
     assert months == [(2024, 11), (2024, 12), (2025, 1), (2025, 2)]
-    with pytest.raises(ValueError, match="after end"):
+    with pytest.raises(ValueError, match="no months run from 2025-03"):
         landing.month_spine(spark, "2025-03", "2025-01")
+    same = spark.sql("SELECT date'2025-03-15' AS a, date'2025-03-02' AS b")
+    assert [tuple(r) for r in landing.months_between(same, "a", "b").collect()] == [(2025, 3)]
     bounds = spark.sql("SELECT date'2025-03-02' AS a, date'2025-01-01' AS b")
-    with pytest.raises(Exception, match="start 2025-03 is after end 2025-01"):
+    with pytest.raises(Exception, match="no months run from 2025-03 to 2025-01"):
         landing.months_between(bounds, "a", "b").collect()
 
 
@@ -51,13 +55,26 @@ def test_archives_land_once_and_read_back(spark, tmp_path, monkeypatch):
 
 def test_an_archive_needs_exactly_one_csv(spark, tmp_path):
     archive(tmp_path / "zips", 2025, 1, ("a.csv", "x\n"), ("b.csv", "x\n"))
-    with pytest.raises(Exception, match="expected one CSV"):
+    with pytest.raises(Exception, match="should hold a single CSV and holds 2"):
         landing.land(spark, str(tmp_path / "zips"), str(tmp_path / "raw"))
 
 
-def daily(gusts):
-    return {"daily": {"time": ["2025-06-01", "2025-06-02"], "precipitation_sum": [0.0, 1.2], "snowfall_sum": [0, 0],
-                      "wind_gusts_10m_max": gusts, "temperature_2m_min": [9.9, None]}}
+def test_archives_without_a_month_of_their_own_are_refused(spark, tmp_path):
+    zips, raw = tmp_path / "zips", str(tmp_path / "raw")
+    archive(zips, 2024, 5, ("a.csv", month_csv(2024, 5, 2)))
+    (zips / "extra.zip").write_bytes((zips / "On_Time_1987_present_2024_5.zip").read_bytes())
+    with pytest.raises(ValueError, match="extra.zip"):
+        landing.land(spark, str(zips), raw)
+    (zips / "extra.zip").rename(zips / "again_2024_05.zip")
+    with pytest.raises(ValueError, match="2024_"):
+        landing.land(spark, str(zips), raw)
+    assert not (tmp_path / "raw").exists()
+
+
+def answer(days, rain, **more):
+    variables = {"precipitation_sum": rain, "snowfall_sum": [0] * len(days), "wind_gusts_10m_max": [40] * len(days),
+                 "temperature_2m_min": [-3.5] * len(days)}
+    return {"daily": {"time": days, **variables, **more}}
 
 
 def payloads(spark, airports, payload):
@@ -65,40 +82,62 @@ def payloads(spark, airports, payload):
 
 
 def test_payload_rows_per_airport(spark):
-    out = forecasts.parse_payloads(payloads(spark, ["BOS", "LAX"], [daily([58.3, 37.8]), daily([27.7, "n/a"])]))
-    rows = {(r.airport, str(r.date)): r for r in out.collect()}
-    assert len(rows) == 4
-    assert rows["LAX", "2025-06-01"].gust_kmh == 27.7 and rows["LAX", "2025-06-02"].gust_kmh is None
-    assert rows["BOS", "2025-06-02"].precip_mm == 1.2 and rows["BOS", "2025-06-02"].temp_min_c is None
-    bare = forecasts.parse_payloads(payloads(spark, ["BOS"], daily([1, 2]))).collect()
-    assert [r.airport for r in bare] == ["BOS", "BOS"]
-    with pytest.raises(Exception, match="asked for 1 airports, got 0 back"):
-        forecasts.parse_payloads(payloads(spark, ["BOS"], "no forecast")).collect()
-    with pytest.raises(Exception, match="incomplete weather for BOS"):
-        forecasts.parse_payloads(payloads(spark, ["BOS"], {"daily": {"time": ["2025-06-01"]}})).collect()
-    with pytest.raises(Exception, match="asked for 2 airports, got 1 back"):
-        forecasts.parse_payloads(payloads(spark, ["BOS", "LAX"], [daily([1, 2])])).collect()
-
-
-def test_cache_counts_only_when_it_covers_the_days(spark, tmp_path):
-    cached = spark.range(10).select(F.lit("BOS").alias("airport"), F.date_add(F.lit("2025-01-01").cast("date"), F.col("id").cast("int")).alias("date"),
-                                    F.lit(0.0).alias("precip_mm"))
-    day = dt.date
-    assert forecasts.usable_cache(cached, day(2025, 1, 2), day(2025, 1, 5)).count() == 4
-    assert forecasts.usable_cache(cached, day(2025, 1, 1), day(2025, 2, 1)) is None
-    assert forecasts.usable_cache(cached.limit(0), day(2025, 1, 1), day(2025, 1, 1)) is None
-    missing = tables.read_if_present(spark, str(tmp_path / "none"))
-    assert missing is None and forecasts.usable_cache(missing, day(2025, 1, 1), day(2025, 1, 5)) is None
+    days = ["2025-09-30", "2025-10-01", "2025-10-02"]
+    out = forecasts.parse_payloads(payloads(spark, ["ORD", "LAX"], [answer(days, [3.25, None, "15d"]), answer(days[:1], [8])]))
+    rows = {(r.airport, str(r.date)): (r.precip_mm, r.temp_min_c) for r in out.collect()}
+    assert rows == {("ORD", days[0]): (3.25, -3.5), ("ORD", days[1]): (None, -3.5), ("ORD", days[2]): (None, -3.5), ("LAX", days[0]): (8.0, -3.5)}
+    alone = forecasts.parse_payloads(payloads(spark, ["SEA"], answer(days, [0, 0, 1]))).collect()
+    assert [(r.airport, r.precip_mm) for r in alone] == [("SEA", 0.0), ("SEA", 0.0), ("SEA", 1.0)]
+
+
+def test_the_days_of_a_payload_count(spark):
+    uneven = answer(["2025-09-30", None, "soon", "2025-10-03"], [1, 2, 3, 4, 5], snowfall_sum=[7])
+    rows = forecasts.parse_payloads(payloads(spark, ["ORD"], uneven)).orderBy("date").collect()
+    assert [(str(r.date), r.precip_mm, r.snow_cm) for r in rows] == [("2025-09-30", 1.0, 7.0), ("2025-10-03", 4.0, None)]
+
+
+@pytest.mark.parametrize("airports, payload, problem", [
+    (["ORD"], "<html>", "a payload of 0 objects for 1 airports"),
+    (["ORD", "LAX", "SEA"], [answer([], [])], "a payload of 1 objects for 3 airports"),
+    (["ORD"], {"daily": {"time": ["2025-09-30"]}}, "incomplete weather for ORD"),
+])
+def test_broken_payloads_are_errors(spark, airports, payload, problem):
+    with pytest.raises(Exception, match=problem):
+        forecasts.parse_payloads(payloads(spark, airports, payload)).collect()
+
+
+def test_cache_counts_only_when_it_covers_the_days(spark, tmp_path, weather):
+    march = weather.filter("date between '2025-03-01' and '2025-03-31'")
+    whole, week = (dt.date(2025, 3, 1), dt.date(2025, 3, 31)), (dt.date(2025, 3, 10), dt.date(2025, 3, 16))
+    assert forecasts.usable_cache(march, *whole).count() == 6 * 31 and forecasts.usable_cache(march, *week).count() == 6 * 7
+    for first, last in ((dt.date(2025, 2, 28), week[1]), (week[0], dt.date(2025, 4, 1))):
+        assert forecasts.usable_cache(march, first, last) is None
+    assert forecasts.usable_cache(march.filter("airport = 'none'"), *week) is None
+    assert forecasts.usable_cache(tables.read_if_present(spark, str(tmp_path / "nothing")), *week) is None
+
+
+def test_fetched_weather_is_added_once(spark, weather):
+    cached = weather.filter("airport in ('BOS', 'DEN')")
+    fetched = weather.filter("airport in ('DEN', 'SEA')")
+    both = forecasts.add_fetched(cached, fetched.unionByName(fetched))
+    assert both.count() == both.select("airport", "date").distinct().count() == weather.filter("airport in ('BOS', 'DEN', 'SEA')").count()
+    assert forecasts.add_fetched(None, fetched).count() == fetched.count()
+    assert forecasts.add_fetched(cached, None).count() == cached.count() and forecasts.add_fetched(None, None) is None
+
+
+def test_repeated_weather_is_refused(flights, weather):
+    with pytest.raises(Exception, match="more than one weather row for BOS"):
+        add_weather(flights, weather.unionByName(weather.filter("airport = 'BOS' and date = '2025-02-03'"))).count()
 
 
 def test_weather_table_can_replace_itself(spark, tmp_path, weather):
     path = str(tmp_path / "weather")
-    assert tables.write_weather(None, path) == 0 and tables.write_weather(weather.limit(0), path) == 0
-    assert tables.read_if_present(spark, path) is None
-    first = weather.filter("airport < 'LAX'")
-    assert tables.write_weather(first, path) == first.count()
-    again = forecasts.combine([tables.read_if_present(spark, path), weather.filter("airport >= 'LAX'")])
-    assert tables.write_weather(again, path) == weather.count()
+    assert tables.write_weather(spark, None, path) == 0 and tables.read_if_present(spark, path) is None
+    assert tables.write_weather(spark, weather, path) == weather.count()
+    smaller = tables.read_if_present(spark, path).filter("airport <> 'TPA'")
+    assert tables.write_weather(spark, smaller, path) == weather.filter("airport <> 'TPA'").count()
+    assert tables.write_weather(spark, weather.limit(0), path) == 0  # what lay there is not used any more
+    assert tables.read_if_present(spark, path).isEmpty()
 
 
 def test_coordinates_of_open_airports(spark, tmp_path):
@@ -117,3 +156,14 @@ def test_monthly_table_round_trip(spark, tmp_path, flights):
     january = back.filter("flight_date < '2025-02-01'")
     assert january.count() == flights.filter("flight_date < '2025-02-01'").count()
     assert sorted(p.name for p in (tmp_path / "flights").glob("flight_month=*"))[0] == "flight_month=2025-01"
+    february = tables.read_by_month(spark, path, dt.date(2025, 2, 10), dt.date(2025, 2, 20))
+    assert february.count() == flights.filter("flight_date between '2025-02-10' and '2025-02-20'").count()
+    plan = february._jdf.queryExecution().executedPlan().toString()
+    assert "flight_month" in plan.split("PartitionFilters: ")[1].split("]")[0]
+
+
+def test_snapshot_from_the_table(spark, tmp_path, flights):
+    path = str(tmp_path / "flights")
+    tables.write_by_month(flights, path)
+    one, two = (rows.orderBy("carrier", "origin", "dest", "dep_hour").collect() for rows in (snapshot_of_table(spark, path), fresh_snapshot(flights)))
+    assert one == two and one
