@@ -3,13 +3,13 @@
 1. `shingled`: one pass over the texts gives each document its number of distinct shingles, a digest of the set, and
    64 minhash values. Documents with equal sets become one class, represented by the smallest id.
 2. `tree_nodes`: a tree's root splits the classes by one minhash value; a node of more than `node` classes branches by two
-   further values each, and so on; at the last level it is cut into blocks by id hashes or by labels (see `blocks`).
+   further values each, and so on. A larger node of classes that are alike anyway is cut into blocks instead (see `blocks`).
 3. `verified`: in each small node all classes are compared, first by their minhash values, then on their full shingle
    sets, read from the texts again. Only links that join what is not yet joined are given back.
 4. `components`: links are contracted to stars with the smallest id in the middle.
 
 Independent trees repeat this: the first trees find most groups; later trees look only at nodes whose classes are not all
-in one component yet. A pair of similarity s meets in a tree's root with probability s, so TREES trees miss a pair at the
+in one component yet, and compare no pair again that met in a root before. A pair of similarity s meets in a tree's root with probability s, so TREES trees miss a pair at the
 threshold with probability 0.25 ** TREES, about one in a million, and pairs above it less often.
 
 Hot groups: equal sets are one class whatever their number; nodes hold at most `node` classes, and joins on node or class
@@ -33,6 +33,8 @@ from departure_risk.session import written_once
 #: Trees of the first and of the second pass; deeper levels of a node; classes compared in a node at most.
 TREES, DEPTH, NODE = (2, 8), 8, 240
 ROOTS = sum(TREES)
+#: Minhash values that tell whether the classes of a node are alike, and their mean similarity from which they are.
+PROBES, ALIKE = 6, 0.25
 #: Salts of the join that gives documents their class.
 SALTS = 8
 #: Bytes of text handled at a time.
@@ -68,30 +70,47 @@ def shingled(docs: DataFrame, size: int) -> DataFrame:
     return narrow.mapInArrow(measure, "doc_id long, n long, digest binary, minhash array<int>")
 
 
-def tree_nodes(classes: DataFrame, trees: range, node: int, depth: int) -> tuple[DataFrame, DataFrame | None]:
-    """Rows (task, id, label) of nodes to compare, and rows (task, id, label, size) of larger ones at the last level.
+def tree_nodes(classes: DataFrame, trees: range, node: int, depth: int, whole: bool) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Rows (task, tree, id, label) of nodes to compare; the same with `size` of larger nodes of similar classes; and
+    (id, tree) of the classes whose root is not compared as a whole.
 
-    Nodes whose classes all carry one label are left out. `classes`: id, label, minhash.
+    A larger node whose classes are alike on average gains nothing by branching (all stay together on every branch), so it
+    is set aside to be cut into blocks (which compare it whole or not, as `whole` says); the others branch. Nodes whose classes all carry one label are left out.
+    `classes`: id, label, minhash.
     """
     roots = F.explode(F.array(*[F.struct(F.lit(t).alias("tree"), F.col("minhash")[t].alias("value")) for t in trees]))
     rows = classes.select("id", "label", roots.alias("r")).select(
         "id", "label", "r.tree", F.xxhash64("r.tree", "r.value").alias("task"))
-    found = []
+    small, alike_nodes, split = [], [], []
     for level in range(depth + 1):
         sizes = rows.groupBy("task").agg(F.count(F.lit(1)).alias("size"), F.min("label").alias("low"), F.max("label").alias("high")).where(
             "size > 1 and low < high").select("task", "size")
         sized = written_once(rows.join(sizes, "task"), f"nodes-{level}")
-        found.append(sized.where(F.col("size") <= node).select("task", "id", "label"))
+        small.append(sized.where(F.col("size") <= node).select("task", "tree", "id", "label"))
         large = sized.where(F.col("size") > node)
-        if not large.head(1):
-            return _all(found), None
-        if level == depth:
-            return _all(found), large.select("task", "id", "label", "size")
+        if large.isEmpty():
+            break
+        # the mean similarity of a node's classes: how often two of them agree, over some minhash values no root uses
+        probes = F.explode(F.array(*[F.struct(F.lit(i).alias("at"), F.col("minhash")[ROOTS + i].alias("value")) for i in range(PROBES)]))
+        large = written_once(large.join(classes.select("id", "minhash"), "id"), "large-nodes")
+        agree = large.select("task", "size", probes.alias("p")).groupBy("task", "size", "p").agg(F.count(F.lit(1)).alias("n"))
+        mean = agree.groupBy("task", "size").agg(F.sum(F.col("n") * F.col("n")).alias("pairs")).select(
+            "task", (F.col("pairs") / (PROBES * F.col("size").cast("double") * F.col("size")) >= ALIKE).alias("alike"))
+        large = written_once(large.join(mean, "task"), "large-nodes")
+        alike_nodes.append((large if level == depth else large.where("alike")).select("task", "tree", "id", "label", "size"))
+        if level == 0:
+            split.append((large.where("not alike") if whole else large).select("id", "tree"))
+        branching = large.where("not alike")
+        if level == depth or branching.isEmpty():
+            break
         # the two values a node branches by are chosen from the tree and the level, the same for all its classes
         places = [F.pmod(F.xxhash64("tree", F.lit(level), F.lit(i)), F.lit(64 - ROOTS)) + ROOTS for i in range(2)]
         branch = F.explode(F.array(*[F.struct(p.cast("int").alias("at"), F.element_at("minhash", (p + 1).cast("int")).alias("value")) for p in places]))
-        rows = large.join(classes.select("id", "minhash"), "id").select("id", "label", "tree", "task", branch.alias("b")).select(
+        rows = branching.select("id", "label", "tree", "task", branch.alias("b")).select(
             "id", "label", "tree", F.xxhash64("task", "b.at", "b.value").alias("task")).distinct()
+    none = classes.where("false")
+    return (_all(small), _all(alike_nodes) if alike_nodes else none.selectExpr("0L as task", "0 as tree", "id", "label", "0L as size"),
+            _all(split).distinct() if split else none.selectExpr("id", "0 as tree"))
 
 
 def _all(parts: list[DataFrame]) -> DataFrame:
@@ -102,7 +121,7 @@ def _all(parts: list[DataFrame]) -> DataFrame:
 
 
 def blocks(large: DataFrame, node: int) -> DataFrame:
-    """Rows (task, id, label) that let every two differently labelled classes of a large node meet.
+    """Rows (task, tree, id, label) that let every two differently labelled classes of a large node meet.
 
     A node is cut into blocks of half a node: labels with many classes get blocks of their own, the others share blocks.
     Every two blocks are a task, except two blocks of one label. A node that is one component but for a few classes so
@@ -115,7 +134,7 @@ def blocks(large: DataFrame, node: int) -> DataFrame:
         "task", "label", "own", F.when(F.col("own") < half, F.pmod(F.xxhash64("label"), F.ceil(F.col("mixed") / half))).alias("shared"))
     own_block = F.xxhash64("label", F.pmod(F.xxhash64("id"), F.ceil(F.col("own") / half)))
     placed = written_once(large.join(cut, ["task", "label"]).select(
-        "task", "id", "label", F.when(F.col("shared").isNull(), F.col("label")).alias("pure"),
+        "task", "tree", "id", "label", F.when(F.col("shared").isNull(), F.col("label")).alias("pure"),
         F.when(F.col("shared").isNull(), own_block).otherwise(F.xxhash64(F.lit("shared"), "shared")).alias("block")), "node-blocks")
     kinds = placed.select("task", "block", "pure").distinct()
     left, right = kinds.alias("a"), kinds.alias("b")
@@ -123,13 +142,13 @@ def blocks(large: DataFrame, node: int) -> DataFrame:
         F.col("a.pure").isNull() | F.col("b.pure").isNull() | (F.col("a.pure") != F.col("b.pure"))).select(
         "a.task", F.explode(F.array_distinct(F.array("a.block", "b.block"))).alias("block"),
         F.xxhash64("a.task", "a.block", "b.block").alias("pair"))
-    return placed.join(pairs, ["task", "block"]).select(F.col("pair").alias("task"), "id", "label")
+    return placed.join(pairs, ["task", "block"]).select(F.col("pair").alias("task"), "tree", "id", "label")
 
 
 def id_blocks(large: DataFrame, node: int) -> DataFrame:
-    """Rows (task, id, label): large nodes cut into nodes at random, so similar classes of a group get joined at all."""
+    """Rows (task, tree, id, label): large nodes cut into nodes at random, so similar classes of a group get joined at all."""
     block = F.pmod(F.xxhash64("id", "task"), F.ceil(F.col("size") / (node // 2)))
-    return large.select(F.xxhash64("task", block).alias("task"), "id", "label")
+    return large.select(F.xxhash64("task", block).alias("task"), "tree", "id", "label")
 
 
 def groups(batches: Iterator[pa.RecordBatch], key: str = "task") -> Iterator[pa.Table]:
@@ -153,40 +172,53 @@ def _bounds(keys: np.ndarray) -> list[tuple[int, int]]:
     return list(zip(cuts, cuts[1:]))
 
 
-def alike(minhash: np.ndarray, labels: np.ndarray, threshold: float) -> np.ndarray:
-    """Which pairs of rows with different labels agree in enough minhash values: 4.5 standard deviations are allowed."""
+def alike(minhash: np.ndarray, labels: np.ndarray, tree: int, split: np.ndarray, threshold: float) -> np.ndarray:
+    """Which pairs of rows are to be compared: labels differ, enough minhash values agree (4.5 standard deviations are
+    allowed), and no earlier tree had both in a root that was compared as a whole (`split`: by row and root, that it was not).
+    """
     least = (threshold - 4.5 * np.sqrt(threshold * (1 - threshold) / minhash.shape[1])) * minhash.shape[1]
-    same = (minhash[:, None, :] == minhash[None, :, :]).sum(axis=2)
-    return (same >= least) & (labels[:, None] != labels[None, :])
+    same = minhash[:, None, :] == minhash[None, :, :]
+    met = (same[:, :, :tree] & ~split[:, None, :tree]).any(axis=2)
+    return (same.sum(axis=2) >= least) & (labels[:, None] != labels[None, :]) & ~met
 
 
 def verified(tasks: DataFrame, classes: DataFrame, docs: DataFrame, size: int, threshold: tuple[int, int]) -> DataFrame:
-    """Links (a, b) between classes that meet in a task, confirmed on full sets, as many as it takes to join them."""
+    """Pairs (a, b) of labels that links between classes of a task join, every link confirmed on full sets.
+
+    `tasks`: task, tree, id, label; `classes`: id, digest, minhash and split, the trees whose root is not compared whole.
+    """
     part, whole = threshold
 
     def matrix(column: pa.Array) -> np.ndarray:
         return column.flatten().to_numpy().reshape(len(column), -1)
 
+    def trees_split(column: pa.Array) -> np.ndarray:
+        out = np.zeros((len(column), ROOTS), bool)
+        for row, trees in enumerate(column.to_pylist()):
+            out[row, trees or []] = True
+        return out
+
     def survivors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in groups(batches):
             keys, labels = table.column("task").to_numpy(), table.column("label").to_numpy()
-            values = matrix(table.column("minhash").combine_chunks())
+            values, tree = matrix(table.column("minhash").combine_chunks()), table.column("tree").to_numpy()
+            split = trees_split(table.column("split"))
             keep = np.zeros(len(keys), bool)
             for a, b in _bounds(keys):
-                keep[a:b] = alike(values[a:b], labels[a:b], part / whole).any(axis=1)
+                keep[a:b] = alike(values[a:b], labels[a:b], tree[a], split[a:b], part / whole).any(axis=1)
             yield from table.filter(pa.array(keep)).to_batches()
 
     def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in groups(batches):
             keys, labels = table.column("task").to_numpy(), table.column("label").to_numpy()
-            ids, digests = table.column("id").to_numpy(), table.column("digest").to_pylist()
-            values = matrix(table.column("minhash").combine_chunks())
+            digests, tree = table.column("digest").to_pylist(), table.column("tree").to_numpy()
+            values, split = matrix(table.column("minhash").combine_chunks()), trees_split(table.column("split"))
             texts = table.column("text").combine_chunks()
             out = []
             for a, b in _bounds(keys):
                 sets = shingle_sets(texts.slice(a, b - a), size)
                 right = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() == d for s, d in zip(sets, digests[a:b])]
-                pairs = np.argwhere(np.triu(alike(values[a:b], labels[a:b], part / whole), 1))
+                pairs = np.argwhere(np.triu(alike(values[a:b], labels[a:b], tree[a], split[a:b], part / whole), 1))
                 root = {int(x): int(x) for x in labels[a:b]}
 
                 def find(x: int) -> int:
@@ -204,15 +236,16 @@ def verified(tasks: DataFrame, classes: DataFrame, docs: DataFrame, size: int, t
                     common = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
                     if whole * common >= part * (few + many - common):
                         root[max(x, y)] = min(x, y)
-                        out.append((int(ids[a + i]), int(ids[a + j])))
+                out += [(x, find(x)) for x in root if root[x] != x]
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], names=["a", "b"])
 
-    known = classes.select("id", "minhash", "digest")
-    met = tasks.join(known, "id").select("task", "id", "label", "minhash", "digest").repartition("task").sortWithinPartitions("task", "id")
+    known = classes.select("id", "minhash", "digest", "split")
+    columns = ["task", "tree", "id", "label", "minhash", "digest", "split"]
+    met = tasks.join(known, "id").select(*columns).repartition("task").sortWithinPartitions("task", "id")
     close = written_once(met.mapInArrow(survivors, met.schema), "close-classes")
     texts = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text"))
-    wanted = close.join(texts, "id").select("task", "id", "label", "minhash", "digest", "text").repartition("task").sortWithinPartitions("task", "id")
+    wanted = close.join(texts, "id").select(*columns, "text").repartition("task").sortWithinPartitions("task", "id")
     return written_once(wanted.mapInArrow(links, "a long, b long"), "links")
 
 
@@ -227,7 +260,7 @@ def components(links: DataFrame) -> DataFrame:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         outer = written_once(both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(
-            low.where("m < u").select("u", F.col("m").alias("v"))).distinct(), "large-star")
+            low.where("m < u").select("u", F.col("m").alias("v"))), "large-star")
         low = outer.groupBy("u").agg(F.min("v").alias("m"))
         edges = written_once(outer.join(low, "u").where("v > m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(
             low.select("u", F.col("m").alias("v"))).distinct(), "small-star")
@@ -239,21 +272,29 @@ def near_duplicates(docs: DataFrame, size: int = 5, threshold: tuple[int, int] =
 
     A link is a share of common shingles of at least threshold[0] / threshold[1].
     """
+    if sum(trees) > ROOTS:
+        raise ValueError(f"there are minhash values for {ROOTS} roots")
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     rows = written_once(shingled(docs, size), "shingled")
     classes = written_once(rows.where("n > 0 and doc_id is not null").groupBy("digest").agg(
         F.min("doc_id").alias("id"), F.any_value("minhash").alias("minhash"), F.count(F.lit(1)).alias("rows")), "classes")
-    labels, links, first = None, None, 0
+    labels = split = None
+    first = 0
     for last, count in enumerate(trees):
         labelled = classes.select("id", "minhash", "digest")
         labelled = labelled.withColumn("label", F.col("id")) if labels is None else labelled.join(labels, "id", "left").withColumn(
             "label", F.coalesce("label", "id"))
-        small, large = tree_nodes(labelled, range(first, first + count), node, depth)
-        if large is not None:
-            small = small.unionByName(blocks(large, node) if last else id_blocks(large, node))
-        found = verified(small, labelled, docs, size, threshold)
-        links = found if links is None else links.unionByName(found).unionByName(labels.select(F.col("id").alias("a"), F.col("label").alias("b")))
-        labels = components(links)
+        small, large, parted = tree_nodes(labelled, range(first, first + count), node, depth, bool(last))
+        # in the first trees, random blocks join the bulk of a large group; in the later ones all that is not joined meets
+        tasks = small.unionByName(blocks(large, node) if last else id_blocks(large, node))
+        split = parted if split is None else split.unionByName(parted)
+        labelled = labelled.join(split.groupBy("id").agg(F.collect_set("tree").alias("split")), "id", "left")
+        found = components(verified(tasks, labelled, docs, size, threshold))
+        if labels is not None:  # from joined labels to the classes that carry them
+            moved = found.select(F.col("id").alias("label"), F.col("label").alias("joined"))
+            found = labels.join(moved, "label", "left").select("id", F.coalesce("joined", "label").alias("label")).unionByName(
+                found.join(labels, "id", "left_anti"))
+        labels = written_once(found, "labels")
         first += count
     told = classes.join(labels, "id", "left").where("rows > 1 or label is not null").select(
         "digest", F.coalesce("label", "id").alias("component_id"), F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
