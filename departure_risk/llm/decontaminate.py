@@ -22,9 +22,9 @@ from departure_risk.session import written_once
 
 SPAN = 10
 #: Positions that count, one mask a line.
-MASKS = ["1101100101",
-         "1011010011",
-         "1110001011"]
+MASKS = ["1100100101",
+         "1010010011",
+         "1100010011"]
 SHORTEST = 5
 PIECE = 4096
 #: Seeds that are broadcast at a time (about 100 bytes each in an executor).

@@ -223,7 +223,8 @@ def line_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shortest: int = SHORTEST) -> DataFrame:
     """The documents with all their columns, their removed lines cut out of the text."""
     _, removed = removed_lines(_narrow(docs, id_col, text_col), shortest)
-    gone = _by_document(removed).select(F.col("doc_id").alias("__id"), F.col("gone").alias("__gone"))
-    joined = docs.join(gone, F.col(id_col).cast("long") == F.col("__id"), "left")
-    kept = F.array_join(F.filter(F.split(text_col, "\n"), lambda x, i: ~F.array_contains("__gone", i)), "\n")
-    return joined.withColumn(text_col, F.when(F.col("__gone").isNull(), F.col(text_col)).otherwise(kept)).select(docs.columns)
+    gone = _by_document(removed)
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.struct(*docs.columns).alias("doc"))
+    kept = F.array_join(F.filter(F.split("text", "\n"), lambda x, i: ~F.array_contains("gone", i)), "\n")
+    text = F.when(F.col("gone").isNull(), F.col("text")).otherwise(kept).cast(dict(docs.dtypes)[text_col])
+    return rows.join(gone, "doc_id", "left").select(*[text.alias(c) if c == text_col else F.col("doc")[c].alias(c) for c in docs.columns])

@@ -185,19 +185,20 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     Rows without an id are left out; of rows that repeat an id, each copy is one of them.
     """
     _, _, mixed = mix(docs.where(F.col(id_col).isNotNull()), id_col=id_col, text_col=text_col, **options)
-    rows = docs.where(F.col(id_col).isNotNull()).withColumns({
-        "__size": word_count(F.col(text_col)), "__id": F.col(id_col).cast("long")})
-    drawn = mixed.groupBy(F.col("doc_id").alias("__id"), F.col("size").alias("__size"), "words").agg(F.count(F.lit(1)).alias("__drawn"))
-    same = Window.partitionBy("__id", "__size")
-    numbered = rows.withColumns({"__row": F.row_number().over(same.orderBy(text_col)) - 1, "__rows": F.count(F.lit(1)).over(same)})
-    copies = F.expr("__drawn div __rows + if(__row < __drawn % __rows, 1, 0)")
-    joined = numbered.join(drawn, ["__id", "__size"]).withColumn("__copies", copies).where("__copies > 0").withColumn(
-        "__copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__copies"))))
-    cut = F.col("words") < F.col("__size")
-    trimmed = F.btrim(text_col, F.lit(" \t\n\x0b\x0c\r"))
-    text = F.when(cut, F.array_join(F.slice(F.split(trimmed, "[ \\t-\\r]+"), F.lit(1), F.col("words").cast("int")), " ")).otherwise(F.col(text_col))
-    out = joined.withColumn(text_col, text)
-    if count_col in docs.columns:
-        kind = dict(docs.dtypes)[count_col]
-        out = out.withColumn(count_col, F.when(cut, F.length(text_col).cast(kind)).otherwise(F.col(count_col)))
-    return out.select(docs.columns)
+    rows = docs.where(F.col(id_col).isNotNull()).select(
+        F.struct(*docs.columns).alias("doc"), word_count(F.col(text_col)).alias("size"), F.col(id_col).cast("long").alias("doc_id"),
+        F.col(text_col).cast("string").alias("text"))
+    drawn = mixed.groupBy("doc_id", "size", "words").agg(F.count(F.lit(1)).alias("drawn"))
+    same = Window.partitionBy("doc_id", "size")
+    numbered = rows.withColumns({"number": F.row_number().over(same.orderBy("text")) - 1, "rows": F.count(F.lit(1)).over(same)})
+    copies = F.expr("drawn div rows + if(number < drawn % rows, 1, 0)")
+    joined = numbered.join(drawn, ["doc_id", "size"]).withColumn("copies", copies).where("copies > 0").withColumn(
+        "copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
+    trimmed = F.btrim("text", F.lit(" \t\n\x0b\x0c\r"))
+    first = F.array_join(F.slice(F.split(trimmed, "[ \\t-\\r]+"), F.lit(1), F.col("words").cast("int")), " ")
+    cut, kinds = F.col("words") < F.col("size"), dict(docs.dtypes)
+    changed = {text_col: first.cast(kinds[text_col])}
+    if count_col in kinds:
+        changed[count_col] = F.length(first).cast(kinds[count_col])
+    return joined.select(*[F.when(cut, changed[c]).otherwise(F.col("doc")[c]).alias(c) if c in changed else F.col("doc")[c].alias(c)
+                           for c in docs.columns])

@@ -316,6 +316,8 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     repeated = found.where("kept and doc_id is not null").groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias(id_col))
     if repeated.isEmpty():
         return kept
-    first = Window.partitionBy(id_col).orderBy(F.col(text_col).asc_nulls_first())
-    again = kept.join(repeated, id_col, "left_semi").withColumn("__place", F.row_number().over(first)).where("__place = 1").drop("__place")
-    return kept.join(repeated, id_col, "left_anti").select(docs.columns).unionByName(again.select(docs.columns))
+    # whole rows in one column, so that no name of theirs is in the way
+    again = kept.join(repeated, id_col, "left_semi").select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.struct(*docs.columns).alias("doc"))
+    first = Window.partitionBy("id").orderBy(F.col("text").asc_nulls_first())
+    one = again.withColumn("place", F.row_number().over(first)).where("place = 1").select("doc.*")
+    return kept.join(repeated, id_col, "left_anti").select(docs.columns).unionByName(one)
