@@ -139,7 +139,7 @@ def line_variants(candidates: DataFrame) -> DataFrame:
         for batch in batches:
             for part in text_slices(batch, 3):
                 line, place, key = Lines(part.column(3)).variants()
-                taken = part.take(pa.array(line))
+                taken = part.select(["h1", "h2", "first"]).take(pa.array(line))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(key.view(np.int64)), pa.array(place.astype(np.int32)), taken.column(0), taken.column(1), taken.column(2)],
                     names=["key", "place", "h1", "h2", "first"])

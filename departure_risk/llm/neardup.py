@@ -38,7 +38,7 @@ PROBES, ALIKE = 6, 0.25
 #: Salts of the join that gives documents their class.
 SALTS = 8
 #: Bytes of text handled at a time.
-TEXT_BYTES = 8 << 20
+TEXT_BYTES = 4 << 20
 
 
 def text_slices(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
@@ -266,6 +266,14 @@ def components(links: DataFrame) -> DataFrame:
             low.select("u", F.col("m").alias("v"))).distinct(), "small-star")
 
 
+def same_id_links(rows: DataFrame, classes: DataFrame) -> DataFrame:
+    """Pairs (a, b) of classes that share a document id: rows that repeat an id with another text."""
+    repeated = rows.where("n > 0 and doc_id is not null").groupBy("doc_id").agg(
+        F.min("digest").alias("low"), F.max("digest").alias("high")).where("low <> high").select("doc_id")
+    of_id = rows.where("n > 0").join(repeated, "doc_id").select("doc_id", "digest").distinct().join(classes.select("digest", "id"), "digest")
+    return of_id.join(of_id.groupBy("doc_id").agg(F.min("id").alias("a")), "doc_id").select("a", F.col("id").alias("b")).where("a <> b")
+
+
 def near_duplicates(docs: DataFrame, size: int = 5, threshold: tuple[int, int] = (75, 100), id_col: str = "doc_id",
                     text_col: str = "text", trees: tuple[int, int] = TREES, node: int = NODE, depth: int = DEPTH) -> DataFrame:
     """doc_id, n_shingles, component_id (the smallest id reachable by links, its own without any) and kept, per row.
@@ -289,7 +297,8 @@ def near_duplicates(docs: DataFrame, size: int = 5, threshold: tuple[int, int] =
         tasks = small.unionByName(blocks(large, node) if last else id_blocks(large, node))
         split = parted if split is None else split.unionByName(parted)
         labelled = labelled.join(split.groupBy("id").agg(F.collect_set("tree").alias("split")), "id", "left")
-        found = components(verified(tasks, labelled, docs, size, threshold))
+        links = verified(tasks, labelled, docs, size, threshold)
+        found = components(links if last else links.unionByName(same_id_links(rows, classes)))
         if labels is not None:  # from joined labels to the classes that carry them
             moved = found.select(F.col("id").alias("label"), F.col("label").alias("joined"))
             found = labels.join(moved, "label", "left").select("id", F.coalesce("joined", "label").alias("label")).unionByName(
