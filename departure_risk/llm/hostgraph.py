@@ -101,10 +101,10 @@ def judged(pages: DataFrame, rules: list[tuple[str, str, str]], id_col: str = "p
     url = F.col(url_col).cast("string")
     parsed = pages.select(F.col(id_col).alias("page_id"), host_of(url).alias("host"), path_of(url).alias("path"), F.col(html_col).cast("string").alias("html"))
     narrow = parsed.drop("html")
-    of_host = host_rules(narrow.select("host").distinct(), spark.createDataFrame(rules, RULE))
-    seeds = written_once(ruled(narrow.groupBy("host", "path").agg(F.count(F.lit(1)).alias("pages")), of_host).groupBy("host").agg(
-        F.sum(F.when(F.col("found.verdict") == "allow", F.col("pages")).when(F.col("found.verdict") == "block", -F.col("pages")).otherwise(0)).alias("net"),
-        F.sum("pages").alias("pages")).select("host", (F.col("net") / F.col("pages")).alias("seed")), "host-seeds")
+    of_host = written_once(host_rules(narrow.select("host").distinct(), spark.createDataFrame(rules, RULE)), "host-rules")
+    seeds = written_once(ruled(narrow, of_host).groupBy("host").agg(
+        F.count_if(F.col("found.verdict") == "allow").alias("allowed"), F.count_if(F.col("found.verdict") == "block").alias("blocked"),
+        F.count(F.lit(1)).alias("pages")).select("host", ((F.col("allowed") - F.col("blocked")) / F.col("pages")).alias("seed")), "host-seeds")
     ranks = propagate(seeds, written_once(link_edges(parsed), "host-links"), **options)
     hosts = written_once(seeds.join(ranks, "host", "left").join(of_host, "host", "left").select(
         "host", "rules", (F.coalesce(F.col("distrust") - F.col("trust"), F.lit(0.0)) > threshold).alias("bad")), "hosts")
