@@ -805,7 +805,9 @@ def _(d):
     return rows.groupBy(F.concat_ws("|", "cells").alias("cells")).agg(F.count("*").alias("copies"))
 
 
-@check("e2_results_match")
+@check("e2_results_match", ["flights"], """
+    SELECT 'same rows, other names and columns' AS "case", true AS match
+    UNION ALL SELECT 'other rows', count(DISTINCT carrier) FILTER (WHERE carrier <> 'C1') = count(DISTINCT carrier) FROM flights""")
 def _(d):
     expected = questions.late_percent_by_carrier(d.flights)
     wider = d.operated.groupBy(F.col("carrier").alias("airline")).agg(
@@ -816,7 +818,8 @@ def _(d):
     ], "case string, match boolean")
 
 
-@check("e3_answer_scores")
+@check("e3_answer_scores", ["flights"], """
+    SELECT CAST(4 AS INTEGER) AS correct, CAST(5 AS INTEGER) AS total, 0.8::DOUBLE AS accuracy FROM flights LIMIT 1""")
 def _(d):
     """Answers from DataFrames against answers from SQL over the same view, and one that must stay open."""
     questions.register(d.stored)
@@ -839,20 +842,33 @@ def _(d):
 def _changed(prefix: str, kept: str = "true") -> str:
     """Feature rows of the audited day that are in one table only, counted over both directions."""
     names = ", ".join(["flight_id", *MODEL_COLUMNS])
-    before = f"SELECT {names} FROM features WHERE flight_date = {AUDIT_DAY} AND {kept}"
-    after = f"SELECT {names} FROM {prefix}features WHERE flight_date = {AUDIT_DAY}"
-    return f"""SELECT (SELECT count(*) FROM ({before} EXCEPT ALL {after})) + (SELECT count(*) FROM ({after} EXCEPT ALL {before}))
-        AS changed"""
+
+    def one(later: int) -> str:
+        of_day = kept if later == 0 else "true"
+        before = f"SELECT {names} FROM features WHERE flight_date = {AUDIT_DAY} + {later} AND {of_day}"
+        after = f"SELECT {names} FROM {prefix}features WHERE flight_date = {AUDIT_DAY} + {later}"
+        return f"""SELECT {later} AS days_later, (SELECT count(*) FROM ({before} EXCEPT ALL {after}))
+            + (SELECT count(*) FROM ({after} EXCEPT ALL {before})) AS changed"""
+
+    return f"{one(0)} UNION ALL {one(1)}"
+
+
+def _audited(d, audit) -> DataFrame:
+    """Changed rows on the day itself (none may be) and on the day after it (some must be)."""
+    day = d.split.valid_start
+    parts = [audit(d.stored, d.weather, day, seen=day + dt.timedelta(days=later)).agg(F.count("*").alias("changed")).select(
+        F.lit(later).alias("days_later"), "changed") for later in (0, 1)]
+    return parts[0].unionByName(parts[1])
 
 
 @check("l1_outcome_leaks", ["features", "flipped_features"], _changed("flipped_"))
 def _(d):
-    return audits.outcome_leaks(d.stored, d.weather, d.split.valid_start).agg(F.count("*").alias("changed"))
+    return _audited(d, audits.outcome_leaks)
 
 
 @check("l2_cancellation_leaks", ["features", "thinned_features"], _changed("thinned_", "flight_id % 3 <> 0"))
 def _(d):
-    return audits.cancellation_leaks(d.stored, d.weather, d.split.valid_start).agg(F.count("*").alias("changed"))
+    return _audited(d, audits.cancellation_leaks)
 
 
 @check("l3_recalibration_leaks", ["recalibrated", "later_recalibrated", "split"], """

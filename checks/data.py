@@ -46,8 +46,8 @@ class Data:
 
     @cached_property
     def stored(self) -> DataFrame:
-        """The flights table as written: for queries that read it more than once."""
-        return written_once(self.flights, "flights")
+        """Flights for queries that read them more than once: a projection of the orders, read again each time."""
+        return self.flights
 
     @cached_property
     def cells(self) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Queries that train a model: rows are checked, values depend on the trees grown."""
+"""Queries that train a model. SQL says everything but the learned probabilities: those must lie between 0 and 1."""
 
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
@@ -43,22 +43,33 @@ def _(d):
     return matrix.select("flight_id", *[F.round(inputs[i], 6).alias(n) for i, n in enumerate(names)])
 
 
-@check("m3_logistic_regression")
+_TEST_FLIGHTS = "SELECT flight_id, delayed, true AS is_probability FROM parts WHERE split = 'test'"
+
+
+def _probability():
+    return F.col("p").between(0, 1).alias("is_probability")
+
+
+@check("m3_logistic_regression", ["parts"], _TEST_FLIGHTS)
 def _(d):
     _, (train, _, test) = _parts(d)
-    return models.probability(models.fit_logistic(train), test).select("flight_id", "delayed", "p")
+    return models.probability(models.fit_logistic(train), test).select("flight_id", "delayed", _probability())
 
 
-@check("m4_boosted_trees")
+@check("m4_boosted_trees", ["parts"], _TEST_FLIGHTS)
 def _(d):
-    trained = _trained(d)
-    return training.test_forecasts(trained, training.TREES["full"]).select(
-        "flight_id", "delayed", "p", F.lit(trained.rounds).alias("rounds"))
+    return training.test_forecasts(_trained(d), training.TREES["full"]).select("flight_id", "delayed", _probability())
 
 
-@check("m5_ablation_scores")
+@check("m5_ablation_scores", ["parts"], """
+    SELECT model, true AS in_range, (SELECT count(*) FROM parts WHERE split = 'test') AS flights
+    FROM (VALUES ('route_history'), ('logistic_regression'), ('gradient_boosting_base'), ('gradient_boosting_v2'),
+        ('gradient_boosting'), ('gradient_boosting_recalibrated')) AS models(model)""")
 def _(d):
-    return _trained(d).metrics
+    trained = _trained(d)
+    flights = only(trained.forecasts, trained.split, "test").groupBy("model").agg(F.count("*").alias("flights"))
+    in_range = F.greatest("pr_auc", "roc_auc", "brier").between(0, 1) & (F.least("pr_auc", "roc_auc", "brier") > 0)
+    return trained.metrics.join(flights, "model").select("model", in_range.alias("in_range"), "flights")
 
 
 @check("m6_unseen_categories", ["parts"], """
@@ -73,17 +84,32 @@ def _(d):
     return indexer.transform(test).groupBy("origin").agg(F.max("origin_ix").alias("ix"), F.count("*").alias("flights"))
 
 
-@check("m10_batch_scores")
+@check("m10_batch_scores", ["matched"], """
+    SELECT request_id, status, round(route_rate, 4) AS route_history_rate, status = 'ok' AS has_probability FROM matched""")
 def _(d):
-    return score_requests(d.requests, fresh_snapshot(d.stored, d.last_operated_day), _trained(d).model)
+    scored = score_requests(d.requests, fresh_snapshot(d.stored, d.last_operated_day), _trained(d).model)
+    return scored.select("request_id", "status", "route_history_rate",
+                         F.coalesce(F.col("delay_probability").between(0, 1), F.lit(False)).alias("has_probability"))
 
 
-@check("a20_importance")
+@check("a20_importance", ["features"], f"""
+    SELECT CAST({len(MODEL_COLUMNS)} AS BIGINT) AS columns, true AS adds_up, true AS in_order FROM features LIMIT 1""")
 def _(d):
     trained = _trained(d)
-    return models.importance(trained.model, trained.features)
+    shares = models.importance(trained.model, trained.features)
+    return shares.agg(F.count_distinct("feature").alias("columns"), F.sum("share").between(0.99, 1.01).alias("adds_up"),
+                      (F.min("share") >= 0).alias("in_order"))
 
 
-@check("m9_metrics_document")
+@check("m9_metrics_document", ["parts", "features"], """
+    SELECT (SELECT CAST(min(flight_date) AS VARCHAR) FROM features) AS first_day, (SELECT CAST(max(flight_date) AS VARCHAR) FROM features) AS last_day,
+        count(*) FILTER (WHERE split = 'train') AS train_flights, count(*) FILTER (WHERE split = 'test') AS test_flights,
+        round(avg(delayed) FILTER (WHERE split = 'train'), 4) AS train_rate, round(avg(delayed) FILTER (WHERE split = 'test'), 4) AS test_rate,
+        count(*) FILTER (WHERE split = 'test') AS calibrated, count(*) FILTER (WHERE split = 'test') AS by_hour FROM parts""")
 def _(d):
-    return training.metrics_document(_trained(d)).select(F.to_json(F.struct("*")).alias("metrics"))
+    page = training.metrics_document(_trained(d))
+    flights = lambda name: F.aggregate(name, F.lit(0).cast("long"), lambda n, row: n + row["flights"])
+    return page.select(
+        "data.first_day", "data.last_day", F.col("data.splits")["train"]["flights"].alias("train_flights"),
+        F.col("data.splits")["test"]["flights"].alias("test_flights"), F.col("data.train_delay_rate").alias("train_rate"),
+        F.col("data.test_delay_rate").alias("test_rate"), flights("calibration").alias("calibrated"), flights("by_hour").alias("by_hour"))

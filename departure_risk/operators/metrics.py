@@ -62,20 +62,25 @@ def calibration_table(scored: DataFrame, groups: list[str], bins: int = 10, scor
 
 def quantile_edges(ranked: DataFrame, groups: list[str], bins: int) -> DataFrame:
     """One row per group with the distinct edges in order: at most bins+1 values."""
-    steps = F.sequence(F.lit(0), F.lit(bins))
-    spread = F.explode(F.transform(steps, lambda k: F.struct(
-        k.alias("k"), ((F.col("flights_all") - 1) * k).alias("position"))))
     first, end = F.col("flights_before"), F.col("flights_before") + F.col("flights")
-    # Only scores that hold one of the wanted ranks survive the filter.
-    wanted = ranked.select(*groups, "score", first.alias("first"), end.alias("end"), spread.alias("w")).withColumns({
-        "low": F.floor(F.col("w.position") / bins),
-        "share": F.col("w.position") % bins / F.lit(float(bins)),
-    }).withColumn("high", F.col("low") + (F.col("share") > 0).cast("int"))
+
+    def step(k):
+        position = (F.col("flights_all") - 1) * k
+        low, rest = F.floor(position / bins), position % bins
+        return F.struct(k.alias("k"), low.alias("low"), (low + (rest > 0).cast("int")).alias("high"), (rest / F.lit(float(bins))).alias("share"))
+
+    def within(rank):
+        return (rank >= first) & (rank < end)
+
+    # A score keeps only the steps whose ranks it holds, before anything is exploded.
+    steps = F.filter(F.transform(F.sequence(F.lit(0), F.lit(bins)), step), lambda w: within(w["low"]) | within(w["high"]))
+    wanted = ranked.select(*groups, "score", first.alias("first"), end.alias("end"), F.explode(steps).alias("w")).select(
+        *groups, "score", "first", "end", "w.*")
 
     def held(rank: str):
         return (F.col(rank) >= F.col("first")) & (F.col(rank) < F.col("end"))
 
-    per_step = wanted.filter(held("low") | held("high")).groupBy(*groups, "w.k").agg(
+    per_step = wanted.groupBy(*groups, "k").agg(
         F.max(F.when(held("low"), F.col("score"))).alias("below"),
         F.max(F.when(held("high"), F.col("score"))).alias("above"),
         F.max("share").alias("share"),

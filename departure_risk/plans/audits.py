@@ -40,16 +40,22 @@ def features_of(flights: DataFrame, weather: DataFrame | None, day: dt.date) ->
     return rows.filter(F.col("flight_date") == F.lit(day)).select("flight_id", *MODEL_COLUMNS)
 
 
-def outcome_leaks(flights: DataFrame, weather: DataFrame | None, day: dt.date) -> DataFrame:
-    """Feature rows of the day that change when its outcomes flip. Empty when nothing leaks."""
-    return surplus(features_of(flights, weather, day), features_of(flip_outcomes(flights, day), weather, day))
+def outcome_leaks(flights: DataFrame, weather: DataFrame | None, day: dt.date, seen: dt.date | None = None) -> DataFrame:
+    """Feature rows of the day that change when its outcomes flip. Empty when nothing leaks.
+
+    With a later day `seen`, the rows of that day: some must change, or the audit could not tell.
+    """
+    seen = seen or day
+    return surplus(features_of(flights, weather, seen), features_of(flip_outcomes(flights, day), weather, seen))
 
 
-def cancellation_leaks(flights: DataFrame, weather: DataFrame | None, day: dt.date, every: int = 3) -> DataFrame:
-    """Feature rows of the flights that still operate, changed by cancelling others on the day."""
+def cancellation_leaks(flights: DataFrame, weather: DataFrame | None, day: dt.date, every: int = 3,
+                       seen: dt.date | None = None) -> DataFrame:
+    """Feature rows of the flights that still operate, changed by cancelling others on the day (`seen`: as above)."""
+    seen = seen or day
     cancelled = reach(flights, day).filter(cancelled_by(day, every)).select("flight_id")
-    before = features_of(flights, weather, day).join(cancelled, "flight_id", "left_anti")
-    return surplus(before, features_of(cancel_some(flights, day, every), weather, day))
+    before = features_of(flights, weather, seen).join(cancelled, "flight_id", "left_anti")
+    return surplus(before, features_of(cancel_some(flights, day, every), weather, seen))
 
 
 def recalibration_leaks(forecasts: DataFrame, score_from: dt.date, day: dt.date, key: str = "flight_id") -> DataFrame:
