@@ -34,7 +34,7 @@ from departure_risk.session import written_once
 TREES, DEPTH, NODE = (2, 8), 8, 240
 ROOTS = sum(TREES)
 #: Minhash values that tell whether the classes of a node are alike, and their mean similarity from which they are.
-PROBES, ALIKE = 6, 0.25
+PROBES, ALIKE = 3, 0.25
 #: Salts of the join that gives documents their class.
 SALTS = 8
 #: Bytes of text handled at a time.
@@ -251,25 +251,33 @@ def verified(tasks: DataFrame, classes: DataFrame, docs: DataFrame, size: int, t
 
 def components(links: DataFrame) -> DataFrame:
     """id and label (the smallest id of its component) of every id in a link, by alternating star contractions."""
-    edges = written_once(links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
+    edges = written_once(links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")), "edges")
+
+    def pairs(*ends: tuple[str, str]) -> DataFrame:
+        return edges.select(F.explode(F.array(*[F.struct(F.col(x).alias("u"), F.col(y).alias("v")) for x, y in ends])).alias("e")).select("e.u", "e.v")
+
+    def star(around: DataFrame, kept: str) -> DataFrame:
+        """Every vertex's kept neighbours are tied to the smallest of them all, instead of to the vertex."""
+        low = around.groupBy("u").agg(F.min("v").alias("m"))
+        tied = around.join(low, "u").where(f"{kept} and v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        return written_once(tied.distinct(), "stars")
+
     while True:
-        middles = edges.groupBy("u").agg(F.min("v").alias("m"), F.max("v").alias("other"))
-        inner = edges.select(F.col("v").alias("u")).distinct().withColumn("inner", F.lit(True))
-        if middles.join(inner, "u", "left").where("m <> other or inner").isEmpty():  # only stars are left
-            return edges.select(F.col("u").alias("id"), F.col("v").alias("label"))
-        both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        outer = written_once(both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(
-            low.where("m < u").select("u", F.col("m").alias("v"))), "large-star")
-        low = outer.groupBy("u").agg(F.min("v").alias("m"))
-        edges = written_once(outer.join(low, "u").where("v > m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(
-            low.select("u", F.col("m").alias("v"))).distinct(), "small-star")
+        # only stars are left when every vertex is either a middle or tied to one middle
+        ends = pairs(("u", "v"), ("v", "v")).groupBy("u").agg(F.min("v").alias("low"), F.max("v").alias("high"))
+        if ends.where("low <> high").isEmpty():
+            return edges.select(F.col("u").alias("id"), F.col("v").alias("label")).distinct()
+        edges = star(pairs(("u", "v"), ("v", "u"), ("u", "u"), ("v", "v")), "v >= u")
+        edges = star(pairs(("u", "v"), ("u", "u")), "true")
 
 
 def same_id_links(rows: DataFrame, classes: DataFrame) -> DataFrame:
     """Pairs (a, b) of classes that share a document id: rows that repeat an id with another text."""
     repeated = rows.where("n > 0 and doc_id is not null").groupBy("doc_id").agg(
         F.min("digest").alias("low"), F.max("digest").alias("high")).where("low <> high").select("doc_id")
+    repeated = written_once(repeated, "repeated-ids")
+    if repeated.isEmpty():
+        return repeated.select(F.col("doc_id").alias("a"), F.col("doc_id").alias("b"))
     of_id = rows.where("n > 0").join(repeated, "doc_id").select("doc_id", "digest").distinct().join(classes.select("digest", "id"), "digest")
     return of_id.join(of_id.groupBy("doc_id").agg(F.min("id").alias("a")), "doc_id").select("a", F.col("id").alias("b")).where("a <> b")
 
