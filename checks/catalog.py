@@ -18,7 +18,7 @@ from departure_risk.operators.schedule import add_load
 from departure_risk.operators.split import label_split, only, split_summary
 from departure_risk.operators.weather import add_weather
 from departure_risk.plans import audits, models, questions
-from departure_risk.plans.features import join_cells, with_histories
+from departure_risk.plans.features import build_features, join_cells, with_histories
 from departure_risk.plans.serving import fresh_snapshot
 from departure_risk.session import written_once
 from departure_risk.sources import adapters, forecasts, landing
@@ -320,6 +320,19 @@ def _(d):
     return add_rotation(d.stored).select("flight_id", "tail", *ROTATION)
 
 
+@check("j8_rotation_in_pieces", ["rotation"], """
+    SELECT flight_id, tail, leg_number, legs_that_day, turnaround_min FROM flights LEFT JOIN rotation USING (flight_id)""")
+def _(d):
+    """Every aircraft-day of more than one flight counts as too large for one task."""
+    return add_rotation(d.flights, hot_rows=1).select("flight_id", "tail", *ROTATION)
+
+
+@check("s9_features_of_hot_cells", ["features"], "SELECT * FROM features")
+def _(d):
+    """Every cell and aircraft-day of more than one flight goes the way of the very large ones."""
+    return build_features(d.flights, d.weather, hot_rows=1, cells=d.cells)
+
+
 for _i, _end in ((9, "origin"), (10, "dest")):
     _list = ", ".join(f"round({c}, 6) AS {_end}_{c}" for c in WEATHER_NAMES)
 
@@ -424,7 +437,7 @@ def _(d):
 
 @check("a5_flights_per_origin", ["flights"], "SELECT origin, count(*) AS flights FROM flights GROUP BY origin")
 def _(d):
-    return d.flights.groupBy("origin").agg(F.count("*").alias("flights"))
+    return forecasts.top_airports(d.flights, top=1000)
 
 
 @check("a6_prediction_cube", ["cube"], "SELECT * FROM cube")
@@ -434,7 +447,7 @@ def _(d):
 
 @check("a7_test_frequencies", ["test"], "SELECT origin, count(*) AS flights FROM test GROUP BY origin")
 def _(d):
-    return d.test.groupBy("origin").agg(F.count("*").alias("flights"))
+    return cubes.busiest(d.test, "origin", 1000)
 
 
 @check("a8_cube_dimensions", ["cube"], """
