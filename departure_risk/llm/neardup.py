@@ -75,7 +75,8 @@ def tree_nodes(classes: DataFrame, trees: range, node: int, depth: int, whole: b
     (id, tree) of the classes whose root is not compared as a whole.
 
     A larger node whose classes are alike on average gains nothing by branching (all stay together on every branch), so it
-    is set aside to be cut into blocks (which compare it whole or not, as `whole` says); the others branch. Nodes whose classes all carry one label are left out.
+    is set aside to be cut into blocks that compare it whole; the others branch. Without `whole`, all larger nodes are set
+    aside right away, and blocks compare parts of them. Nodes whose classes all carry one label are left out.
     `classes`: id, label, minhash.
     """
     roots = F.explode(F.array(*[F.struct(F.lit(t).alias("tree"), F.col("minhash")[t].alias("value")) for t in trees]))
@@ -88,6 +89,8 @@ def tree_nodes(classes: DataFrame, trees: range, node: int, depth: int, whole: b
         sized = written_once(rows.join(sizes, "task"), f"nodes-{level}")
         small.append(sized.where(F.col("size") <= node).select("task", "tree", "id", "label"))
         large = sized.where(F.col("size") > node)
+        if not whole:
+            return small[0], large.select("task", "tree", "id", "label", "size"), large.select("id", "tree")
         if large.isEmpty():
             break
         # the mean similarity of a node's classes: how often two of them agree, over some minhash values no root uses
@@ -99,7 +102,7 @@ def tree_nodes(classes: DataFrame, trees: range, node: int, depth: int, whole: b
         large = written_once(large.join(mean, "task"), "large-nodes")
         alike_nodes.append((large if level == depth else large.where("alike")).select("task", "tree", "id", "label", "size"))
         if level == 0:
-            split.append((large.where("not alike") if whole else large).select("id", "tree"))
+            split.append(large.where("not alike").select("id", "tree"))
         branching = large.where("not alike")
         if level == depth or branching.isEmpty():
             break
@@ -251,7 +254,7 @@ def verified(tasks: DataFrame, classes: DataFrame, docs: DataFrame, size: int, t
 
 def components(links: DataFrame) -> DataFrame:
     """id and label (the smallest id of its component) of every id in a link, by alternating star contractions."""
-    edges = written_once(links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")), "edges")
+    edges = links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
 
     def pairs(*ends: tuple[str, str]) -> DataFrame:
         return edges.select(F.explode(F.array(*[F.struct(F.col(x).alias("u"), F.col(y).alias("v")) for x, y in ends])).alias("e")).select("e.u", "e.v")
@@ -266,7 +269,7 @@ def components(links: DataFrame) -> DataFrame:
         # only stars are left when every vertex is either a middle or tied to one middle
         ends = pairs(("u", "v"), ("v", "v")).groupBy("u").agg(F.min("v").alias("low"), F.max("v").alias("high"))
         if ends.where("low <> high").isEmpty():
-            return edges.select(F.col("u").alias("id"), F.col("v").alias("label")).distinct()
+            return edges.select(F.col("u").alias("id"), F.col("v").alias("label"))
         edges = star(pairs(("u", "v"), ("v", "u"), ("u", "u"), ("v", "v")), "v >= u")
         edges = star(pairs(("u", "v"), ("u", "u")), "true")
 
