@@ -23,6 +23,8 @@ def _runs(small: np.ndarray, count: int) -> np.ndarray:
         step = min(length, count - length)
         runs = runs[:, :-step] & runs[:, step:]
         length += step
+        if length < count and not runs[:, :BLOCK].any():  # the padding behind a block always runs on
+            return np.zeros((len(small), BLOCK), bool)
     return runs[:, :BLOCK]
 
 
