@@ -14,7 +14,10 @@ def busiest(rows: DataFrame, key: str, top: int) -> DataFrame:
 
 
 def prediction_cube(scored: DataFrame, top: int = CUBE_AIRPORTS, score: str = "p", label: str = LABEL) -> DataFrame:
-    """n, late and sum of probabilities per (day, airport or 'Other airports', carrier, part of day)."""
+    """n, late and sum of probabilities per (day, airport or 'Other airports', carrier, part of day).
+
+    Flights without a day, origin, carrier or hour have no place in the cube and are left out of it.
+    """
     kept = busiest(scored, "origin", top).select("origin", F.lit(True).alias("kept"))
     named = scored.join(F.broadcast(kept), "origin", "left").select(
         F.date_format("flight_date", "yyyy-MM-dd").alias("date"),

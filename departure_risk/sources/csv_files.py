@@ -2,7 +2,7 @@
 
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from departure_risk.config import RAW_COLUMNS
 
@@ -40,22 +40,41 @@ def check_columns(by_path: dict[str, tuple[str, ...]], required: list[str] = RAW
             raise ValueError(f"{path} lacks the columns {missing}")
 
 
+def by_header(by_path: dict[str, tuple[str, ...]]) -> dict[tuple[str, ...], list[str]]:
+    """The files of each distinct header."""
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for path, columns in by_path.items():
+        groups.setdefault(columns, []).append(path)
+    return groups
+
+
+def malformed_rows(spark: SparkSession, folder: str, pattern: str = RAW_FILES) -> DataFrame:
+    """file and rows: how many rows of each file `read_raw` drops for too few or too many fields."""
+    parts = []
+    for columns, paths in by_header(headers(spark, list_files(spark, folder, pattern))).items():
+        schema = T.StructType([T.StructField(c, T.StringType()) for c in [*columns, "_broken"]])
+        rows = (spark.read.schema(schema).option("header", True).option("escape", '"').option("columnNameOfCorruptRecord", "_broken")
+                .option("columnPruning", False).csv(paths))
+        parts.append(rows.select("_metadata.file_path", "_broken"))
+    united = parts[0]
+    for more in parts[1:]:
+        united = united.unionAll(more)
+    return united.groupBy(F.col("file_path").alias("file")).agg(F.count("_broken").alias("rows"))
+
+
 def read_raw(spark: SparkSession, folder: str, pattern: str = RAW_FILES, check_all: bool = True) -> DataFrame:
     """All raw files as one table of text columns, aligned by name.
 
     A single read over files whose headers differ in order would shift values silently, so files are read
     per distinct header and united by name. With `check_all=False` only the first file must be complete;
-    a column another file lacks is null there. Rows with too few or too many fields are dropped, which
-    needs the parser to see whole rows rather than the pruned columns.
+    a column another file lacks is null there. Rows with too few or too many fields are dropped (`malformed_rows`
+    counts them), which needs the parser to see whole rows rather than the pruned columns.
     """
     by_path = headers(spark, list_files(spark, folder, pattern))
     first = next(iter(by_path))
     check_columns(by_path if check_all else {first: by_path[first]})
-    groups: dict[tuple[str, ...], list[str]] = {}
-    for path, columns in by_path.items():
-        groups.setdefault(columns, []).append(path)
     raw = None
-    for columns, paths in groups.items():
+    for columns, paths in by_header(by_path).items():
         schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
         part = (
             spark.read.schema(schema).option("header", True).option("escape", '"')

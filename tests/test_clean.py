@@ -5,7 +5,7 @@ from departure_risk.config import FLIGHTS_SCHEMA, RAW_COLUMNS
 from departure_risk.functions.columns import text_to_double, text_to_int
 from departure_risk.operators.clean import clean
 from departure_risk.operators.ids import dense_ids
-from departure_risk.sources.csv_files import read_raw
+from departure_risk.sources.csv_files import malformed_rows, read_raw
 
 
 def test_schedule_is_kept_and_operated_flights_are_labelled(raw, flights, flights_pd):
@@ -85,6 +85,8 @@ def test_malformed_rows_are_dropped_and_quotes_understood(spark, tmp_path):
     rows = read_raw(spark, str(tmp_path / "raw")).select("Origin", "Tail_Number").collect()
     assert sorted(r.Origin for r in rows) == ["B,OS", VALUES["Origin"]]
     assert None in {r.Tail_Number for r in rows}
+    dropped = malformed_rows(spark, str(tmp_path / "raw")).collect()
+    assert [r.file.rpartition("/")[2] for r in dropped] == ["a.csv"] and dropped[0].rows == 2
 
 
 def test_missing_columns_are_found_in_any_file(spark, tmp_path):
