@@ -55,11 +55,13 @@ def malformed_rows(spark: SparkSession, folder: str, pattern: str = RAW_FILES) -
         schema = T.StructType([T.StructField(c, T.StringType()) for c in [*columns, "_broken"]])
         rows = (spark.read.schema(schema).option("header", True).option("escape", '"').option("columnNameOfCorruptRecord", "_broken")
                 .option("columnPruning", False).csv(paths))
-        parts.append(rows.select("_metadata.file_path", "_broken"))
+        # Spark wants another column beside the broken line itself
+        broken = F.when(F.col("_broken").isNotNull(), F.coalesce(F.col(columns[0]), F.lit("")))
+        parts.append(rows.select("_metadata.file_path", broken.alias("broken")))
     united = parts[0]
     for more in parts[1:]:
         united = united.unionAll(more)
-    return united.groupBy(F.col("file_path").alias("file")).agg(F.count("_broken").alias("rows"))
+    return united.groupBy(F.col("file_path").alias("file")).agg(F.count("broken").alias("rows"))
 
 
 def read_raw(spark: SparkSession, folder: str, pattern: str = RAW_FILES, check_all: bool = True) -> DataFrame:
