@@ -127,22 +127,26 @@ def blocks(large: DataFrame, node: int) -> DataFrame:
     """Rows (task, tree, id, label) that let every two differently labelled classes of a large node meet.
 
     A node is cut into blocks of half a node: labels with many classes get blocks of their own, the others share blocks.
-    Every two blocks are a task, except two blocks of one label. A node that is one component but for a few classes so
+    Every two blocks are a task, except two blocks of one label or of classes that met before. A node that is one component but for a few classes so
     costs in proportion to its size.
     """
     half = node // 2
-    per_label = large.groupBy("task", "label").agg(F.count(F.lit(1)).alias("own"))
-    rest = per_label.where(F.col("own") < half).groupBy("task").agg(F.sum("own").alias("mixed"))
-    cut = per_label.join(rest, "task", "left").select(
-        "task", "label", "own", F.when(F.col("own") < half, F.pmod(F.xxhash64("label"), F.ceil(F.col("mixed") / half))).alias("shared"))
-    own_block = F.xxhash64("label", F.pmod(F.xxhash64("id"), F.ceil(F.col("own") / half)))
-    placed = written_once(large.join(cut, ["task", "label"]).select(
-        "task", "tree", "id", "label", F.when(F.col("shared").isNull(), F.col("label")).alias("pure"),
-        F.when(F.col("shared").isNull(), own_block).otherwise(F.xxhash64(F.lit("shared"), "shared")).alias("block")), "node-blocks")
-    kinds = placed.select("task", "block", "pure").distinct()
+    # the first large node of a class in these trees: classes that share it met there, and need not meet in a later tree
+    first = F.min(F.struct("tree", "task")).over(Window.partitionBy("id"))
+    large = large.withColumn("first", first).withColumn("met", F.when(F.col("first.tree") < F.col("tree"), F.col("first.task")).otherwise(0)).drop("first")
+    per_label = large.groupBy("task", "met", "label").agg(F.count(F.lit(1)).alias("own"))
+    rest = per_label.where(F.col("own") < half).groupBy("task", "met").agg(F.sum("own").alias("mixed"))
+    cut = per_label.join(rest, ["task", "met"], "left").select(
+        "task", "met", "label", "own", F.when(F.col("own") < half, F.pmod(F.xxhash64("label"), F.ceil(F.col("mixed") / half))).alias("shared"))
+    own_block = F.xxhash64("met", "label", F.pmod(F.xxhash64("id"), F.ceil(F.col("own") / half)))
+    placed = written_once(large.join(cut, ["task", "met", "label"]).select(
+        "task", "tree", "id", "label", "met", F.when(F.col("shared").isNull(), F.col("label")).alias("pure"),
+        F.when(F.col("shared").isNull(), own_block).otherwise(F.xxhash64(F.lit("shared"), "met", "shared")).alias("block")), "node-blocks")
+    kinds = placed.select("task", "block", "pure", "met").distinct()
     left, right = kinds.alias("a"), kinds.alias("b")
     pairs = left.join(right, (F.col("a.task") == F.col("b.task")) & (F.col("a.block") <= F.col("b.block"))).where(
-        F.col("a.pure").isNull() | F.col("b.pure").isNull() | (F.col("a.pure") != F.col("b.pure"))).select(
+        F.col("a.pure").isNull() | F.col("b.pure").isNull() | (F.col("a.pure") != F.col("b.pure"))).where(
+        (F.col("a.met") != F.col("b.met")) | (F.col("a.met") == 0)).select(
         "a.task", F.explode(F.array_distinct(F.array("a.block", "b.block"))).alias("block"),
         F.xxhash64("a.task", "a.block", "b.block").alias("pair"))
     return placed.join(pairs, ["task", "block"]).select(F.col("pair").alias("task"), "tree", "id", "label")
