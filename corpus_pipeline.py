@@ -39,7 +39,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 
 
 def write_token_files(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    written = tokens.write_tokens(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    # fewer pieces than by default: these workers have served four other stages
+    written = tokens.write_tokens(docs, public_tokenizers.path("byte_bpe_50k.json"), kept=250_000)
     return tokens.read_tokens(written).drop("file")
 
 

@@ -39,6 +39,8 @@ KNOWN = 1_000_000
 SAMPLED, SAMPLED_WORDS = 1500, 512
 #: Words of each training text that a partition learns from, and texts it learns from at a time.
 WINDOW_WORDS, WINDOW_TEXTS = 32, 512
+#: Bytes of text read at a time: enough texts to fill the lanes.
+SLICE = 8 << 20
 #: Entries of a network that are averaged by one task.
 PART = 16384
 
@@ -63,7 +65,7 @@ def word_counts(texts: DataFrame) -> DataFrame:
     """word (its key) and count over all texts, END included."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in text_slices(batch, 0):
+            for part in text_slices(batch, 0, SLICE):
                 words, counts = np.unique(text_words(part.column(0))[0], return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(words), pa.array(counts.astype(np.int64))], names=["word", "count"])
 
@@ -185,7 +187,7 @@ def averaged(net: gru.Net, texts: DataFrame, vocab, rate: float = 1.5e-3) -> gru
             adam.apply(gru.gradients(own, state, inputs, targets, starts, active)[0], 0.0)
 
         for batch in batches:
-            for part in text_slices(batch, 0):
+            for part in text_slices(batch, 0, SLICE):
                 words, bounds = text_words(part.column(0))
                 for a, b in zip(bounds, bounds[1:]):
                     at = _start_place(words[a:b], WINDOW_WORDS)
@@ -219,7 +221,7 @@ def scored(docs: DataFrame, net, vocab) -> DataFrame:
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary, weights, number = vocab.value, net.value, TaskContext.get().partitionId() << 36
         for batch in batches:
-            for part in text_slices(batch, 2):
+            for part in text_slices(batch, 2, SLICE):
                 words, bounds = text_words(part.column(2))
                 starts, n = bounds[:-1], np.diff(bounds)
                 place = vocabulary.place(words)

@@ -38,17 +38,17 @@ PROBES, ALIKE = 3, 0.25
 #: Salts of the join that gives documents their class.
 SALTS = 8
 #: Bytes of text handled at a time.
-TEXT_BYTES = 4 << 20
+TEXT_BYTES = 2 << 20
 
 
-def text_slices(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
-    """Parts of a batch whose texts hold about TEXT_BYTES or are one row."""
+def text_slices(batch: pa.RecordBatch, column: int, most: int = TEXT_BYTES) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch whose texts hold about `most` bytes or are one row."""
     import pyarrow.compute as pc
 
     sizes = np.cumsum(pc.binary_length(batch.column(column).fill_null("")).to_numpy(zero_copy_only=False))
     at = 0
     while at < len(sizes):
-        until = max(at + 1, int(np.searchsorted(sizes, (sizes[at - 1] if at else 0) + TEXT_BYTES, "right")))
+        until = max(at + 1, int(np.searchsorted(sizes, (sizes[at - 1] if at else 0) + most, "right")))
         yield batch.slice(at, until - at)
         at = until
 

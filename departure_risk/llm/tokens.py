@@ -43,7 +43,7 @@ class Encoder:
     token, go to the tokenizer whole.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, kept: int = KEPT):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -52,6 +52,7 @@ class Encoder:
         self.bytes = np.zeros(max(vocabulary.values()) + 1, np.int64)
         for token, number in vocabulary.items():  # a token has a character for each byte
             self.bytes[number] = len(token)
+        self.kept = kept
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
@@ -61,7 +62,7 @@ class Encoder:
 
     def learn(self, pieces: list[str]) -> None:
         """Encode pieces, each with its space before it, some hundred in one text, and part them by their bytes."""
-        if len(self.known) > KEPT:
+        if len(self.known) > self.kept:
             self.known, self.older = {}, self.known
         new = [p for p in pieces if p not in self.older]
         self.known.update((p, self.older[p]) for p in pieces if p in self.older)
@@ -98,17 +99,19 @@ class Encoder:
         taken[first] = 0
         ends = np.cumsum(taken)
         starts = np.cumsum(lengths) - lengths
-        body = pool[np.repeat(starts[place] - (ends - taken), taken) + np.arange(ends[-1] if len(ends) else 0)].tobytes()
+        where = np.repeat((starts[place] - (ends - taken)).astype(np.int32), taken)
+        where += np.arange(len(where), dtype=np.int32)
+        body = pool[where].tobytes()
         bounds = np.concatenate([[0], 4 * ends])[offsets].tolist()
         heads = self.whole([texts[i].as_py() if w else unique[place[f]] for i, (w, f) in enumerate(zip(whole, first))])
         return [head if w else head + body[a:b] for head, w, a, b in zip(heads, whole, bounds, bounds[1:])]
 
 
-def encoder(path: str) -> Encoder:
+def encoder(path: str, kept: int) -> Encoder:
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    if path not in _loaded:
-        _loaded[path] = Encoder(path)
-    return _loaded[path]
+    if (path, kept) not in _loaded:
+        _loaded[path, kept] = Encoder(path, kept)
+    return _loaded[path, kept]
 
 
 def slices(batch: pa.RecordBatch, most: int = 8 << 20) -> Iterator[pa.RecordBatch]:
@@ -160,10 +163,10 @@ class _File:
 
 
 def write_tokens(docs: DataFrame, tokenizer: str, end: int = 0, id_col: str = "doc_id",
-                 text_col: str = "text") -> DataFrame:
+                 text_col: str = "text", kept: int = KEPT) -> DataFrame:
     """Write the files; one row per file: file (its number, in order of ids), uri, documents, ids.
 
-    One shuffle, by ranges of the id column. The table of files is written too, so no file is made twice by a reader.
+    `kept` bounds the pieces of text a Python worker remembers, twice: the newer ones and the ones before. One shuffle, by ranges of the id column. The table of files is written too, so no file is made twice by a reader.
     """
     folder = files.new_folder(docs.sparkSession, "tokens")
 
@@ -172,7 +175,7 @@ def write_tokens(docs: DataFrame, tokenizer: str, end: int = 0, id_col: str = "d
         first = next(batches, None)
         if first is None:
             return
-        number, encode = TaskContext.get().partitionId(), encoder(tokenizer).encode
+        number, encode = TaskContext.get().partitionId(), encoder(tokenizer, kept).encode
         uri, tail = f"{folder}/{number:06d}.s8b", np.array([end], "<u4").tobytes()
         documents, total = [], 0
         with files.written(uri) as stream:

@@ -37,13 +37,12 @@ ODD = ["", " ", "  two  spaces ", "a", " lead", "trail ", "tab\tand\nline", "x \
        "é à ü ß 東京 🙂 🙂", "nb space   em", "a\u0085b \x1c c", "1 22  333", "\n\n\n", "a. b, c! (d)"]
 
 
-def test_pieces_give_the_ids_of_whole_texts(monkeypatch):
+def test_pieces_give_the_ids_of_whole_texts():
     plain = Tokenizer.from_file(PATH)
     rng = np.random.default_rng(5)
     texts = ODD + ["".join(rng.choice([" ", "a", "bc", "\n", ".", "é", "  "], 60)) for _ in range(200)] + [sentence(rng, 40) for _ in range(50)]
     want = [plain.encode(t, add_special_tokens=False).ids for t in texts]
-    monkeypatch.setattr(tokens, "KEPT", 20)  # what is known is forgotten again and again
-    encoder = tokens.Encoder(PATH)
+    encoder = tokens.Encoder(PATH, kept=20)  # what is known is forgotten again and again
     for size in (1, 7, len(texts)):
         got = [np.frombuffer(e, "<u4").tolist() for at in range(0, len(texts), size) for e in encoder.encode(pa.array(texts[at:at + size]))]
         assert got == want
