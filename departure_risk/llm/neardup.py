@@ -131,9 +131,9 @@ def blocks(large: DataFrame, node: int) -> DataFrame:
     costs in proportion to its size.
     """
     half = node // 2
-    # the first large node of a class in these trees: classes that share it met there, and need not meet in a later tree
-    first = F.min(F.struct("tree", "task")).over(Window.partitionBy("id"))
-    large = large.withColumn("first", first).withColumn("met", F.when(F.col("first.tree") < F.col("tree"), F.col("first.task")).otherwise(0)).drop("first")
+    # the largest node a class was in in an earlier tree: classes that share it met there and need not meet again
+    earlier = Window.partitionBy("id").orderBy("tree").rangeBetween(Window.unboundedPreceding, -1)
+    large = large.withColumn("met", F.coalesce(F.max(F.struct("size", "task")).over(earlier)["task"], F.lit(0)))
     per_label = large.groupBy("task", "met", "label").agg(F.count(F.lit(1)).alias("own"))
     rest = per_label.where(F.col("own") < half).groupBy("task", "met").agg(F.sum("own").alias("mixed"))
     cut = per_label.join(rest, ["task", "met"], "left").select(
