@@ -9,6 +9,7 @@ for scoring, so a text of any length is read to its end.
 """
 
 import heapq
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -200,16 +201,24 @@ class Adam:
             self.net[k] -= (rate * self.one[k] / (np.sqrt(self.two[k]) + 1e-7)).astype(np.float32)
 
 
+def windows(net: Net, texts: list[np.ndarray], start: int, most: int, window: int) -> Iterator[tuple[Net, int, float]]:
+    """Gradients of each window of the texts, its words, and the share of steps before it; the state goes on from window to window.
+
+    The net may change between windows.
+    """
+    inputs, targets, starts, _, total = laid_out(texts, most, start)
+    state = np.zeros((inputs.shape[1], net["state"].shape[0]), np.float32)
+    for at in range(0, len(inputs), window):
+        part = slice(at, at + window)
+        active = (total[None, :] > np.arange(at, min(at + window, len(inputs)))[:, None]).sum(axis=1)
+        yield gradients(net, state, inputs[part], targets[part], starts[part], active)[0], int(active.sum()), at / len(inputs)
+
+
 def train(net: Net, texts: list[np.ndarray], start: int, epochs: int, most: int = 128, window: int = 32, rate: float = 6e-3, seed: int = 1) -> Net:
     """Truncated backpropagation over the texts, `window` steps at a time; the net is changed and returned."""
     rng, adam = np.random.default_rng(seed), Adam(net, rate)
     for epoch in range(epochs):
         order = rng.permutation(len(texts))
-        inputs, targets, starts, _, total = laid_out([texts[i] for i in order], most, start)
-        state = np.zeros((inputs.shape[1], net["state"].shape[0]), np.float32)
-        for at in range(0, len(inputs), window):
-            part = slice(at, at + window)
-            active = (total[None, :] > np.arange(at, min(at + window, len(inputs)))[:, None]).sum(axis=1)
-            grads, _ = gradients(net, state, inputs[part], targets[part], starts[part], active)
-            adam.apply(grads, (epoch + at / len(inputs)) / epochs)
+        for grads, _, share in windows(net, [texts[i] for i in order], start, most, window):
+            adam.apply(grads, (epoch + share) / epochs)
     return net

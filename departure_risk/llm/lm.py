@@ -5,8 +5,8 @@
    frequency. The probability of another word is that of the common id times the word's share, by add-one counts, of what
    the network's words leave over: probabilities of all words add up to one.
 3. A bounded sample of training texts starts the network on the driver (`gru.train`). Then every partition of the training
-   texts goes on from there with a window of each of its texts, and the networks are averaged in Spark by their words, so
-   the whole corpus has a part in the result.
+   texts goes on from there by truncated backpropagation over all words of its texts, with the state carried from window to
+   window of a text, and the networks are averaged in Spark by their words, so the whole corpus has a part in the result.
 4. Every text is scored from its first word to its end with the state carried through.
 
 The `known` most frequent words (a bound on memory) go to all tasks as arrays of keys and counts; the other words of a text are
@@ -37,8 +37,8 @@ END = 1
 KNOWN = 1_000_000
 #: Training texts that start the network, and words of each from a place given by its key.
 SAMPLED, SAMPLED_WORDS = 1500, 512
-#: Words of each training text that a partition learns from, and texts it learns from at a time.
-WINDOW_WORDS, WINDOW_TEXTS = 32, 512
+#: Words that a partition backpropagates through, lanes of texts it learns from at a time, and words of a step at least.
+WINDOW_WORDS, LANES, STEP_WORDS = 32, 512, 8192
 #: Bytes of text read at a time: enough texts to fill the lanes.
 SLICE = 8 << 20
 #: Entries of a network that are averaged by one task.
@@ -171,31 +171,30 @@ def _unflat(flat: np.ndarray, like: gru.Net) -> gru.Net:
     return out
 
 
-def averaged(net: gru.Net, texts: DataFrame, vocab, rate: float = 1.5e-3) -> gru.Net:
-    """The network after a pass over a window of every training text, one network per partition, averaged by words read."""
+def averaged(net: gru.Net, texts: DataFrame, vocab, rate: float = 1.5e-3, lanes: int = LANES, step_words: int = STEP_WORDS) -> gru.Net:
+    """The network after a pass over all words of every training text, one network per partition, averaged by words read."""
     shared = texts.sparkSession.sparkContext.broadcast(net)
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = {k: v.copy() for k, v in shared.value.items()}
-        adam, waiting, weight = gru.Adam(own, rate), [], 0
+        adam, weight, waiting, gathered = gru.Adam(own, rate), 0, 0, {}
         vocabulary = vocab.value
 
         def step() -> None:
-            inputs, targets, starts, _, total = gru.laid_out(waiting, WINDOW_TEXTS, vocabulary.end)
-            state = np.zeros((inputs.shape[1], own["state"].shape[0]), np.float32)
-            active = (total[None, :] > np.arange(len(inputs))[:, None]).sum(axis=1)
-            adam.apply(gru.gradients(own, state, inputs, targets, starts, active)[0], 0.0)
+            adam.apply({k: g / waiting for k, g in gathered.items()}, 0.0)
 
         for batch in batches:
             for part in text_slices(batch, 0, SLICE):
                 words, bounds = text_words(part.column(0))
-                for a, b in zip(bounds, bounds[1:]):
-                    at = _start_place(words[a:b], WINDOW_WORDS)
-                    waiting.append(network_ids(words[a + at:min(b, a + at + WINDOW_WORDS)], vocabulary))
-                    weight += len(waiting[-1])
-                    if len(waiting) == WINDOW_TEXTS:
+                ids = np.split(network_ids(words, vocabulary), bounds[1:-1])
+                weight += len(words)
+                # where few lanes are left, windows gather until they have the words of a step
+                for grads, n, _ in gru.windows(own, ids, vocabulary.end, lanes, WINDOW_WORDS):
+                    gathered = {k: gathered[k] + g * n if gathered else g * n for k, g in grads.items()}
+                    waiting += n
+                    if waiting >= step_words:
                         step()
-                        waiting.clear()
+                        waiting, gathered = 0, {}
         if waiting:
             step()
         flat = _flat(own).astype(np.float64) * weight

@@ -3,6 +3,7 @@ import math
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from departure_risk.llm import gru, lm
@@ -122,6 +123,34 @@ def test_the_network_beats_word_counts_on_held_out_texts(spark):
     assert held and sum(r.score for r in held) > 0.5 * sum(r.base_score for r in held)
 
 
+@pytest.mark.parametrize("step_words", [1, 100])
+def test_the_corpus_pass_learns_from_all_words_with_the_state_carried(spark, step_words):
+    rng = np.random.default_rng(8)
+    texts = [sentence(rng, n) for n in (150, 71, 5)]  # the longest first: their order in one lane
+    rows = table(spark, list(enumerate(texts))).coalesce(1)
+    vocab, of_id = lm.vocabulary(lm.word_counts(rows), 12, 1000)
+    net = gru.new_net(SHAPE, of_id)
+    got = lm.averaged(net, rows, spark.sparkContext.broadcast(vocab), 1e-2, 1, step_words)
+    ids = [lm.network_ids(lm.text_words(pa.array([t]))[0], vocab) for t in texts]
+    targets = np.concatenate(ids)
+    starts = np.zeros(len(targets), bool)
+    starts[np.cumsum([0] + [len(t) for t in ids[:-1]])] = True
+    inputs = np.where(starts, vocab.end, np.roll(targets, 1))
+    want = {k: v.copy() for k, v in net.items()}
+    adam, state, waiting, total = gru.Adam(want, 1e-2), np.zeros((1, 5), np.float32), 0, {}
+    for at in range(0, len(targets), 32):
+        part = slice(at, at + 32)
+        n = len(targets[part])
+        grads, _ = gru.gradients(want, state, inputs[part, None], targets[part, None], starts[part, None], np.ones(n, int))
+        total, waiting = {k: total.get(k, 0) + g * n for k, g in grads.items()}, waiting + n
+        if waiting >= step_words or at + 32 >= len(targets):
+            adam.apply({k: g / waiting for k, g in total.items()}, 0.0)
+            total, waiting = {}, 0
+    for k in net:
+        assert got[k] == pytest.approx(want[k], abs=1e-5), k
+        assert not np.allclose(got[k], net[k], atol=1e-3), k
+
+
 def test_without_training_texts_and_empty_tables(spark):
     check(spark, [(None, "a b"), (None, None)])
     assert lm.scores(table(spark, [])).isEmpty()
