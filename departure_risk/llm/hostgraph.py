@@ -6,9 +6,12 @@ wins. Urls without a rule get their host's verdict from the link graph:
 1. Links in the pages make edges between different hosts, weighted by the number of linking pages.
 2. A host's seed is (pages allowed by rules - pages blocked by rules) / pages: trusted if positive, blocked if negative.
 3. Trust is a personalised PageRank from the trusted seeds along the links; distrust is one from the blocked seeds against
-   them: who links to blocked hosts is distrusted. Both share one iteration over the host edges until no host changes by more
-   than `tolerance` or after `rounds`.
-4. A host is blocked if its distrust exceeds its trust by more than `threshold`; the seed's own part is (1 - damping).
+   them: who links to blocked hosts is distrusted. A linked host divides its distrust among all who link to it, so besides
+   these masses there are two means: exposure, over a host's own links, of the distrust they lead to, and standing, over the
+   links to a host, of the trust they come from. No number of other linkers makes them smaller. All four share one iteration
+   over the host edges until no host changes by more than `tolerance` or after `rounds`.
+4. A host is blocked if its distrust exceeds its trust, or its exposure both its standing and its trust, by more than
+   `threshold`; the seed's own part is (1 - damping).
 
 Only columns and SQL functions are used. Pages are read and never shuffled while the hosts are few enough for Spark to
 broadcast; edges and ranks are tables of hosts, written each round.
@@ -63,31 +66,35 @@ def link_edges(pages: DataFrame) -> DataFrame:
 
 
 def propagate(seeds: DataFrame, edges: DataFrame, damping: float = 0.85, rounds: int = 30, tolerance: float = 1e-6) -> DataFrame:
-    """host, trust and distrust of every host in `seeds` (host, seed from -1 to 1) or `edges` (src, dst, weight).
+    """host, trust, distrust, standing and exposure of every host in `seeds` (host, seed from -1 to 1) or `edges` (src, dst, weight).
 
     trust(v) = (1 - damping) * max(seed, 0) + damping * sum over u linking to v of trust(u) * share of u's links to v;
-    distrust(u) = (1 - damping) * max(-seed, 0) + damping * sum over v that u links to of distrust(v) * share of v's links from u.
+    distrust(u) = (1 - damping) * max(-seed, 0) + damping * sum over v that u links to of distrust(v) * share of v's links from u;
+    standing(v) and exposure(u) are the same with the shares of the other end: of v's links from u, and of u's links to v.
     """
+    ranked = ["trust", "distrust", "standing", "exposure"]
     out = edges.groupBy("src").agg(F.sum("weight").alias("sent"))
     into = edges.groupBy("dst").agg(F.sum("weight").alias("got"))
     shares = written_once(edges.join(out, "src").join(into, "dst").select(
         "src", "dst", (F.col("weight") / F.col("sent")).alias("forward"), (F.col("weight") / F.col("got")).alias("backward")), "host-edges")
     hosts = shares.select(F.col("src").alias("host")).unionByName(shares.select(F.col("dst").alias("host"))).distinct()
     base = hosts.join(seeds, "host", "full").select("host", F.coalesce("seed", F.lit(0.0)).alias("seed"))
-    ranks = base = written_once(base.select(
-        "host", ((1 - damping) * F.greatest(F.col("seed"), F.lit(0.0))).alias("trust"),
-        ((1 - damping) * F.greatest(-F.col("seed"), F.lit(0.0))).alias("distrust")), "host-ranks")
+    trusted, blocked = ((1 - damping) * F.greatest(sign * F.col("seed"), F.lit(0.0)) for sign in (1, -1))
+    ranks = base = written_once(base.select("host", *[c.alias(n) for n, c in zip(ranked, [trusted, blocked] * 2)]), "host-ranks")
     if not shares.head(1):
         return ranks
+
+    def passed(end: str, other: str, **by: str) -> DataFrame:
+        """What the hosts at one end of the edges give to those at the other."""
+        return ranks.select(F.col("host").alias(end), *by).join(shares, end).select(F.col(other).alias("host"), *[
+            (damping * F.col(n) * F.col(by[n]) if n in by else F.lit(0.0)).alias(n) for n in ranked])
+
     for _ in range(rounds):
-        given = ranks.select(F.col("host").alias("src"), "trust").join(shares, "src").select(
-            F.col("dst").alias("host"), (damping * F.col("trust") * F.col("forward")).alias("trust"), F.lit(0.0).alias("distrust"))
-        back = ranks.select(F.col("host").alias("dst"), "distrust").join(shares, "dst").select(
-            F.col("src").alias("host"), F.lit(0.0).alias("trust"), (damping * F.col("distrust") * F.col("backward")).alias("distrust"))
-        new = written_once(base.unionByName(given).unionByName(back).groupBy("host").agg(
-            F.sum("trust").alias("trust"), F.sum("distrust").alias("distrust")), "host-ranks")
-        old = ranks.select("host", F.col("trust").alias("t"), F.col("distrust").alias("d"))
-        change = new.join(old, "host").agg(F.max(F.greatest(F.abs(F.col("trust") - F.col("t")), F.abs(F.col("distrust") - F.col("d"))))).first()[0]
+        given = passed("src", "dst", trust="forward", standing="backward")
+        back = passed("dst", "src", distrust="backward", exposure="forward")
+        new = written_once(base.unionByName(given).unionByName(back).groupBy("host").agg(*[F.sum(n).alias(n) for n in ranked]), "host-ranks")
+        old = ranks.select("host", *[F.col(n).alias(f"old_{n}") for n in ranked])
+        change = new.join(old, "host").agg(F.max(F.greatest(*[F.abs(F.col(n) - F.col(f"old_{n}")) for n in ranked]))).first()[0]
         ranks = new
         if change < tolerance:
             break
@@ -106,7 +113,8 @@ def judged(pages: DataFrame, rules: list[tuple[str, str, str]], id_col: str = "p
         F.count_if(F.col("found.verdict") == "allow").alias("allowed"), F.count_if(F.col("found.verdict") == "block").alias("blocked"),
         F.count(F.lit(1)).alias("pages")).select("host", ((F.col("allowed") - F.col("blocked")) / F.col("pages")).alias("seed")), "host-seeds")
     ranks = propagate(seeds, written_once(link_edges(parsed), "host-links"), **options)
+    excess = F.greatest(F.col("distrust") - F.col("trust"), F.col("exposure") - F.greatest("trust", "standing"))
     hosts = written_once(seeds.join(ranks, "host", "left").join(of_host, "host", "left").select(
-        "host", "rules", (F.coalesce(F.col("distrust") - F.col("trust"), F.lit(0.0)) > threshold).alias("bad")), "hosts")
+        "host", "rules", (F.coalesce(excess, F.lit(0.0)) > threshold).alias("bad")), "hosts")
     verdict = F.coalesce(F.col("found.verdict"), F.when(F.col("bad") & (F.col("host") != ""), F.lit("block")).otherwise(F.lit("allow")))
     return ruled(narrow, hosts).select("page_id", "host", "path", F.col("found.rule").alias("rule"), verdict.alias("verdict"))

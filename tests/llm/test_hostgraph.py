@@ -98,6 +98,18 @@ def test_distrust_reaches_hosts_that_link_to_blocked_ones(spark):
     assert got == {"bad.net": "block", "farm.com": "block", "calm.com": "allow", "good.org": "allow", "friend.com": "allow"}
 
 
+@pytest.mark.parametrize("linkers", [2, 3, 100])
+def test_any_number_of_hosts_that_link_only_to_a_blocked_one(spark, linkers):
+    link = '<a href="http://{}/">x</a>'
+    rows = [(0, "http://bad.net/", ""), (1, "http://good.org/", link.format("friend.com") + link.format("bad.net"))]
+    rows += [(2, "http://friend.com/", link.format("bad.net")), (3, "http://second.com/", link.format("farm0.com"))]
+    rows += [(4, "http://many.com/", link.format("bad.net") + "".join(link.format(f"calm{i}.com") for i in range(9)))]
+    rows += [(10 + i, f"http://farm{i}.com/", link.format("bad.net")) for i in range(linkers)]
+    got = {r[1]: r[4] for r in judged(spark, rows, [("bad.net", "/", "block"), ("good.org", "/", "allow")])}
+    assert got == {"bad.net": "block", "good.org": "allow", "friend.com": "allow", "second.com": "block", "many.com": "allow"} | {
+        f"farm{i}.com": "block" for i in range(linkers)}
+
+
 def test_empty_tables(spark):
     assert judged(spark, [], URL_RULES) == []
     assert judged(spark, [(1, None, None)], URL_RULES) == [(1, "", "", None, "allow")]
