@@ -11,7 +11,8 @@ Only columns and SQL functions are used. Words are lower-cased runs of character
 Defined cases: items of fewer than SHORTEST words are too common to tell and match nothing; items shorter than a mask are
 matched word for word; items of equal words count as one with the smallest id; null and empty texts match nothing; rows
 without an id are left out; rows that repeat an id are judged together; very long items are cut into pieces of PIECE words
-that overlap by `SPAN + least`; other columns are ignored; an empty table on either side gives no row.
+that overlap by `SPAN + least`, each judged by what the whole item needs, and `overlap` is the best stretch within one piece
+(at most PIECE + SPAN + least); other columns are ignored; an empty table on either side gives no row.
 """
 
 from functools import reduce
@@ -55,11 +56,11 @@ def test_pieces(benchmark: DataFrame, id_col: str, text_col: str, least: int) ->
     """piece, item_id, words (keys) and need, the score of an overlap: items, the long ones in pieces."""
     items = benchmark.select(F.col(id_col).cast("long").alias("item_id"), word_keys(F.col(text_col)).alias("words")).where(
         (F.size("words") >= SHORTEST) & F.col("item_id").isNotNull()).groupBy("words").agg(F.min("item_id").alias("item_id"))
-    number = F.explode(F.sequence(F.lit(0), ((F.size("words") - 1) / PIECE).cast("int")))
-    cut = items.withColumn("number", number).select(
-        "item_id", "number", F.slice("words", F.col("number") * PIECE + 1, F.lit(PIECE + SPAN + least)).alias("words"))
-    return cut.where(F.size("words") >= SHORTEST).select(
-        F.xxhash64("item_id", "number").alias("piece"), "item_id", "words", F.least(F.lit(least), F.size("words")).alias("need"))
+    # a piece begins only where the one before does not reach the item's end
+    last = F.greatest(F.ceil((F.size("words") - SPAN - least) / PIECE) - 1, F.lit(0)).cast("int")
+    cut = items.withColumns({"number": F.explode(F.sequence(F.lit(0), last)), "need": F.least(F.lit(least), F.size("words"))}).select(
+        "item_id", "number", "need", F.slice("words", F.col("number") * PIECE + 1, F.lit(PIECE + SPAN + least)).alias("words"))
+    return cut.select(F.xxhash64("item_id", "number").alias("piece"), "item_id", "words", "need")
 
 
 def test_seeds(pieces: DataFrame, short: list[int]) -> DataFrame:

@@ -94,6 +94,17 @@ def test_a_very_long_item_and_a_passage_in_most_documents(spark, monkeypatch):
     assert {(i, 2) for i in range(200)} <= got and {(d, 1) for d, _ in docs[200:]} <= got
 
 
+def test_the_end_of_a_very_long_item_needs_as_much_as_the_rest(spark, monkeypatch):
+    monkeypatch.setattr(decontaminate, "PIECE", 64)
+    lengths = [64 + 7, 84, 85, 128 + 5, 148, 149]
+    items = [(i, " ".join(f"w{i}x{k}" for k in range(n))) for i, n in enumerate(lengths)]
+    docs = [(10 * i + 1, "before " + " ".join(t.split()[at:])) for i, t in items for at in [64 * ((lengths[i] - 1) // 64)] if lengths[i] - at < 10]
+    assert [d for d, _ in docs] == [1, 31]
+    whole = [(1000 + i, t) for i, t in items] + [(2000 + i, " ".join(t.split()[-10:])) for i, t in items]
+    got = {(r.doc_id, r.item_id) for r in decontaminate.overlaps(table(spark, docs + whole), table(spark, items, ITEMS)).collect()}
+    assert got == {(1000 + i, i) for i, _ in items} | {(2000 + i, i) for i, _ in items}
+
+
 def test_empty_tables(spark):
     docs, items = fixture()
     assert decontaminate.overlaps(table(spark, []), table(spark, items, ITEMS)).isEmpty()
