@@ -128,7 +128,65 @@ def op9_gated_recurrent_scores(spark: SparkSession, folder: str) -> DataFrame:
     return lm.scores(table(spark, folder, "documents"))
 
 
+#: crc32 of the decimal digits of doc_id, as DuckDB has no such function: a byte, then eight shifts.
+_CRC = """xor(list_reduce(list_concat([4294967295::BIGINT], flatten(list_transform(string_split(doc_id::VARCHAR, ''),
+    lambda b: [ascii(b)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))), lambda c, x: CASE WHEN x >= 0 THEN xor(c, x)
+    ELSE xor(c >> 1, 3988292384 * (c & 1)) END), 4294967295)"""
+
+
+def op12_path_copying_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    from departure_risk.llm import merkle
+
+    third = F.crc32(F.col("doc_id").cast("string")) % 3 == 0
+    lowered = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    return merkle.report(merkle.manifest(table(spark, folder, "documents"), third, {"text": lowered}))
+
+
+def _leaf_sql(text: str) -> str:
+    fields = ["doc_id::VARCHAR", "source", "lang", "n_chars::VARCHAR", text]
+    return "sha256(concat(" + ", ".join(f"coalesce(strlen({f}) || ':' || {f}, '-')" for f in fields) + "))"
+
+
+SQL["op12_path_copying_manifest"] = f"""
+    WITH RECURSIVE leaf AS (
+        SELECT doc_id, lang, {_leaf_sql("text")} AS leaf,
+               CASE WHEN {_CRC} % 3 = 0 THEN {_leaf_sql("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")}
+                    ELSE {_leaf_sql("text")} END AS changed,
+               row_number() OVER (PARTITION BY lang ORDER BY doc_id) - 1 AS place FROM documents),
+    lower_level AS (
+        SELECT lang, 0 AS level, list(leaf ORDER BY place) AS nodes FROM leaf GROUP BY lang
+        UNION ALL
+        SELECT lang, level + 1, list_transform(range(0, len(nodes), 8), lambda i: sha256(array_to_string(nodes[i + 1:i + 8], '')))
+        FROM lower_level WHERE len(nodes) > 1),
+    subroot AS (SELECT lang, level AS height, nodes[1] AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS place
+                FROM lower_level WHERE len(nodes) = 1),
+    upper_level AS (
+        SELECT 0 AS level, list(subroot ORDER BY place) AS nodes FROM subroot
+        UNION ALL
+        SELECT level + 1, list_transform(range(0, len(nodes), 8), lambda i: sha256(array_to_string(nodes[i + 1:i + 8], '')))
+        FROM upper_level WHERE len(nodes) > 1),
+    way AS (
+        SELECT doc_id, l.lang, leaf, changed, n.level, l.place // (8 ** n.level)::BIGINT AS spot, n.nodes
+        FROM leaf l JOIN lower_level n ON l.lang IS NOT DISTINCT FROM n.lang WHERE len(n.nodes) > 1
+        UNION ALL
+        SELECT doc_id, l.lang, leaf, changed, s.height + n.level, s.place // (8 ** n.level)::BIGINT, n.nodes
+        FROM leaf l JOIN subroot s ON l.lang IS NOT DISTINCT FROM s.lang JOIN upper_level n ON len(n.nodes) > 1),
+    near AS (SELECT doc_id, level, array_to_string(nodes[spot - spot % 8 + 1:spot], '') AS before,
+                    array_to_string(nodes[spot + 2:spot - spot % 8 + 8], '') AS after FROM way),
+    proof AS (SELECT doc_id, sha256(string_agg(before || after, '' ORDER BY level)) AS proof_sha256, list(before ORDER BY level) AS b,
+                     list(after ORDER BY level) AS a FROM near GROUP BY doc_id),
+    folded AS (
+        SELECT l.doc_id, 0 AS level, changed AS digest, coalesce(b, []) AS b, coalesce(a, []) AS a
+        FROM leaf l LEFT JOIN proof p ON p.doc_id = l.doc_id
+        UNION ALL
+        SELECT doc_id, level + 1, sha256(b[level + 1] || digest || a[level + 1]), b, a FROM folded WHERE level < len(b))
+    SELECT l.doc_id, l.leaf, s.subroot, u.nodes[1] AS root, coalesce(p.proof_sha256, sha256('')) AS proof_sha256,
+           f.digest AS folded_root, f.digest = u.nodes[1] AS verified
+    FROM leaf l JOIN subroot s ON l.lang IS NOT DISTINCT FROM s.lang JOIN upper_level u ON len(u.nodes) = 1
+         LEFT JOIN proof p ON p.doc_id = l.doc_id JOIN folded f ON f.doc_id = l.doc_id AND f.level = len(f.b)"""
+
+
 QUERIES = {f.__name__: f for f in [op1_simple8b_tokens, op2_spaced_seed_overlaps, op3_byte_network_quality,
                                    op4_mixing_tree, op5_warc_dictionary, op6_host_graph_verdicts, op7_pivot_top_k,
                                    op8_chosen_path_near_duplicates, op9_gated_recurrent_scores,
-                                   op10_deletion_neighbour_lines]}
+                                   op10_deletion_neighbour_lines, op12_path_copying_manifest]}
