@@ -186,7 +186,37 @@ SQL["op12_path_copying_manifest"] = f"""
          LEFT JOIN proof p ON p.doc_id = l.doc_id JOIN folded f ON f.doc_id = l.doc_id AND f.level = len(f.b)"""
 
 
+def op13_cube_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    from departure_risk.llm import divergence
+
+    return divergence.audit(table(spark, folder, "documents"))
+
+
+SQL["op13_cube_divergence"] = r"""
+    WITH d AS (SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                      regexp_extract_all(coalesce(text, ''), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+    t AS (SELECT id, lang, source, translate(unnest(w), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS term FROM d),
+    kept AS (SELECT lang, term, count(*) AS n FROM t GROUP BY lang, term HAVING count(DISTINCT id) >= 30),
+    whole AS (SELECT lang, count(*) AS v, sum(n) AS total FROM kept GROUP BY lang),
+    grp AS (SELECT DISTINCT lang, source FROM d),
+    own AS (SELECT lang, source, term, count(*) AS n FROM t SEMI JOIN kept USING (lang, term) GROUP BY lang, source, term),
+    size AS (SELECT lang, source, sum(n) AS total FROM own GROUP BY lang, source),
+    p AS (SELECT g.lang, g.source, k.term, coalesce(o.n, 0) AS n,
+                 1 + (1000000000::HUGEINT * (coalesce(o.n, 0) + 5)) // (coalesce(s.total, 0) + 5 * w.v) AS p,
+                 1 + (1000000000::HUGEINT * (k.n + 5)) // (w.total + 5 * w.v) AS q
+          FROM grp g JOIN kept k USING (lang) JOIN whole w USING (lang) LEFT JOIN size s USING (lang, source)
+               LEFT JOIN own o ON o.lang = g.lang AND o.source = g.source AND o.term = k.term),
+    f AS (SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+          FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+    r AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(f.value, 0) AS value
+          FROM grp a JOIN grp b ON a.lang = b.lang AND a.source <> b.source
+               LEFT JOIN f ON f.lang = a.lang AND f.source = a.source AND f.item = b.source
+          UNION ALL SELECT lang, source, 'term', term, p - q FROM p WHERE n > 0 AND p > q),
+    n AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM r)
+    SELECT lang, source, part, item, value::BIGINT AS value, rank::INT AS rank FROM n WHERE part = 'pair' OR rank <= 50"""
+
+
 QUERIES = {f.__name__: f for f in [op1_simple8b_tokens, op2_spaced_seed_overlaps, op3_byte_network_quality,
                                    op4_mixing_tree, op5_warc_dictionary, op6_host_graph_verdicts, op7_pivot_top_k,
                                    op8_chosen_path_near_duplicates, op9_gated_recurrent_scores,
-                                   op10_deletion_neighbour_lines, op12_path_copying_manifest]}
+                                   op10_deletion_neighbour_lines, op12_path_copying_manifest, op13_cube_divergence]}
