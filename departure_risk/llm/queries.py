@@ -128,6 +128,12 @@ def op9_gated_recurrent_scores(spark: SparkSession, folder: str) -> DataFrame:
     return lm.scores(table(spark, folder, "documents"))
 
 
+def op11_dictionary_novelty_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    from departure_risk.llm import secrets
+
+    return secrets.report(secrets.findings(table(spark, folder, "documents")))
+
+
 #: crc32 of the decimal digits of doc_id, as DuckDB has no such function: a byte, then eight shifts.
 _CRC = """xor(list_reduce(list_concat([4294967295::BIGINT], flatten(list_transform(string_split(doc_id::VARCHAR, ''),
     lambda b: [ascii(b)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))), lambda c, x: CASE WHEN x >= 0 THEN xor(c, x)
@@ -219,4 +225,4 @@ SQL["op13_cube_divergence"] = r"""
 QUERIES = {f.__name__: f for f in [op1_simple8b_tokens, op2_spaced_seed_overlaps, op3_byte_network_quality,
                                    op4_mixing_tree, op5_warc_dictionary, op6_host_graph_verdicts, op7_pivot_top_k,
                                    op8_chosen_path_near_duplicates, op9_gated_recurrent_scores,
-                                   op10_deletion_neighbour_lines, op12_path_copying_manifest, op13_cube_divergence]}
+                                   op10_deletion_neighbour_lines, op11_dictionary_novelty_secrets, op12_path_copying_manifest, op13_cube_divergence]}
