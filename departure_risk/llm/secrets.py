@@ -24,7 +24,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 import pyarrow.compute as pc
 import zstandard
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 #: kind, pattern, the group that is measured and its least length.
 BASE = [
@@ -38,7 +38,7 @@ CONTEXT = (r"(?<![a-z])(?:pass(?:word|wd|phrase|code)|pwd|secrets?|tokens?|(?:ap
 CANDIDATE = r"[A-Za-z0-9+/_=-]"
 LEAST_CHARS, NEAR, AROUND = 16, 48, 256
 LEAST_SHARE, LEAST_NOVELTY = 0.65, 1.0
-IDENTIFIERS, KEPT_BYTES, LEVEL = 8000, 65536, 9
+IDENTIFIERS, KEPT_BYTES, LEVEL, TOP_PARTS = 8000, 65536, 9, 16
 
 _context = re.compile(CONTEXT, re.A | re.I)
 _candidate = re.compile(rf"{CANDIDATE}{{{LEAST_CHARS},}}")
@@ -56,7 +56,7 @@ SPAN = "struct<kind:string,start:bigint,end:bigint,text:string,marginal_bytes:in
 def identifiers(docs: DataFrame, text_col: str = "text", most: int = IDENTIFIERS) -> bytes:
     """The dictionary: the most frequent letter runs of 4 to 24 bytes in all texts; runs are cut before a capital letter.
 
-    At most `most` rows come to the driver.
+    At most `most` rows of each of TOP_PARTS partitions come to the driver.
     """
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter = Counter()
@@ -75,7 +75,10 @@ def identifiers(docs: DataFrame, text_col: str = "text", most: int = IDENTIFIERS
         yield held()
 
     parts = docs.select(F.col(text_col).cast("string")).mapInArrow(count, "part string, n long")
-    top = parts.groupBy("part").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "part").limit(most).collect()
+    # the first of TOP_PARTS parts of the counts hold the first of all
+    in_part = Window.partitionBy(F.pmod(F.xxhash64("part"), F.lit(TOP_PARTS))).orderBy(F.desc("n"), "part")
+    first = parts.groupBy("part").agg(F.sum("n").alias("n")).withColumn("rank", F.row_number().over(in_part)).where(F.col("rank") <= most)
+    top = first.orderBy(F.desc("n"), "part").limit(most).collect()
     return " ".join(r.part for r in reversed(top)).encode()[-KEPT_BYTES:]
 
 
