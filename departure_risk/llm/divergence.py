@@ -144,7 +144,9 @@ def audit(docs: DataFrame, least_docs: int = 30, top_words: int = 50, group_bloc
     per_lang = per_lang.withColumn("word_blocks", F.ceil(F.col("kept") / word_block).cast("long"))
     # a word's block by its hash, its slot by its order in the block
     in_block = Window.partitionBy("lang", "word_block").orderBy("word")
-    words = written_once(kept.join(per_lang, "lang").withColumn("word_block", F.pmod(F.xxhash64("word"), F.col("word_blocks"))).withColumns({
+    dealt = kept.join(per_lang, "lang").withColumn("word_block", F.pmod(F.xxhash64("word"), F.col("word_blocks"))).repartition(
+        "lang", "word_block")  # else the window would stay with the join's languages
+    words = written_once(dealt.withColumns({
         "slot": (F.row_number().over(in_block) - 1).cast("int"),
         "q": share(F.col("of_lang"), F.col("total_of_lang"), F.col("kept"))}).select("lang", "word", "word_block", "slot", "q"), "divergence-words")
     few = words.count() <= BROADCAST_WORDS
