@@ -437,7 +437,7 @@ def _(d):
 
 @check("a5_flights_per_origin", ["flights"], "SELECT origin, count(*) AS flights FROM flights GROUP BY origin")
 def _(d):
-    return forecasts.top_airports(d.flights, top=1000)
+    return forecasts.top_airports(d.flights, top=None)
 
 
 @check("a6_prediction_cube", ["cube"], "SELECT * FROM cube")
@@ -447,7 +447,7 @@ def _(d):
 
 @check("a7_test_frequencies", ["test"], "SELECT origin, count(*) AS flights FROM test GROUP BY origin")
 def _(d):
-    return cubes.busiest(d.test, "origin", 1000)
+    return cubes.busiest(d.test, "origin", None)
 
 
 @check("a8_cube_dimensions", ["cube"], """

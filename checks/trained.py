@@ -1,12 +1,13 @@
 """Queries that train a model. SQL says everything but the learned probabilities: those must lie between 0 and 1."""
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from checks.catalog import check
 from departure_risk.config import CATEGORICAL, MODEL_COLUMNS, NUMERIC
+from departure_risk.operators import quantiles
 from departure_risk.operators.split import only
-from departure_risk.plans import models, training
+from departure_risk.plans import boosting, models, training
 from departure_risk.plans.scoring import score_requests
 from departure_risk.plans.serving import fresh_snapshot
 from departure_risk.session import written_once
@@ -93,12 +94,81 @@ def _(d):
 
 
 @check("a20_importance", ["features"], f"""
-    SELECT CAST({len(MODEL_COLUMNS)} AS BIGINT) AS columns, true AS adds_up, true AS in_order FROM features LIMIT 1""")
+    SELECT CAST({len(MODEL_COLUMNS)} AS BIGINT) AS columns, true AS adds_up, true AS in_order, true AS are_gains FROM features LIMIT 1""")
 def _(d):
+    """Shares in the order given, against the gains of the splits themselves."""
     trained = _trained(d)
-    shares = models.importance(trained.model, trained.features)
-    return shares.agg(F.count_distinct("feature").alias("columns"), F.sum("share").between(0.99, 1.01).alias("adds_up"),
-                      (F.min("share") >= 0).alias("in_order"))
+    listed = training.metrics_document(trained).select(F.posexplode("importance").alias("place", "entry")).select("place", "entry.*")
+    booster = trained.model.booster
+    splits = [(booster.columns[c], g) for t in booster.trees for c, left, g in zip(t.column, t.left, t.gain) if left >= 0]
+    gains = d.spark.createDataFrame(splits, "feature string, gain double").groupBy("feature").agg(F.sum("gain").alias("gain"))
+    whole = max(sum(g for _, g in splits), 1e-300)
+    both = listed.join(gains, "feature", "left").withColumns({
+        "before": F.lag("share").over(Window.orderBy("place")), "own": F.coalesce(F.col("gain"), F.lit(0.0)) / whole})
+    return both.agg(F.count_distinct("feature").alias("columns"), F.sum("share").between(0.99, 1.01).alias("adds_up"),
+                    F.bool_and(F.col("before").isNull() | (F.col("before") >= F.col("share"))).alias("in_order"),
+                    F.bool_and(F.abs(F.col("own") - F.col("share")) < 0.0001).alias("are_gains"))
+
+
+_BINS, _UNIT = boosting.BINS, boosting.UNIT
+_CANDIDATES = f"""
+    t AS (SELECT features.* FROM features, split WHERE flight_date >= start AND flight_date < valid_start),
+    rate AS (SELECT 1 / (1 + exp(-ln(r / (1 - r)))) AS p FROM (SELECT avg(delayed) AS r FROM t)),
+    unit AS (SELECT round((p - 1) * {_UNIT}) AS late, round(p * {_UNIT}) AS timely, round(p * (1 - p) * {_UNIT}) AS h FROM rate),
+    v AS (UNPIVOT INCLUDE NULLS (SELECT delayed, {", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in NUMERIC)} FROM t)
+          ON {", ".join(NUMERIC)} INTO NAME feature VALUE v),
+    placed AS (SELECT feature, v, row_number() OVER (PARTITION BY feature ORDER BY v) AS r, count(*) OVER (PARTITION BY feature) AS n
+               FROM v WHERE v IS NOT NULL),
+    cuts AS (SELECT DISTINCT feature, v FROM placed JOIN range(1, {_BINS}) AS k(k) ON r = (k * n + {_BINS - 1}) // {_BINS}
+             UNION SELECT feature, max(v) FROM placed GROUP BY feature),
+    running AS (SELECT feature, v, sum(n) OVER o AS n, sum(ones) OVER o AS ones
+                FROM (SELECT feature, v, count(*) AS n, sum(delayed) AS ones FROM v WHERE v IS NOT NULL GROUP BY feature, v)
+                WINDOW o AS (PARTITION BY feature ORDER BY v)),
+    missing AS (SELECT feature, count(*) FILTER (WHERE v IS NULL) AS n, coalesce(sum(delayed) FILTER (WHERE v IS NULL), 0) AS ones,
+                       count(*) AS all_n, sum(delayed) AS all_ones FROM v GROUP BY feature),
+    numbers AS (SELECT feature, s.n + side * m.n AS n, s.ones + side * m.ones AS ones, all_n, all_ones, 0 AS penalty
+                FROM running s JOIN cuts USING (feature, v) JOIN missing m USING (feature), range(0, 2) AS x(side)),
+    c AS (UNPIVOT INCLUDE NULLS (SELECT delayed, {", ".join(CATEGORICAL)} FROM t) ON {", ".join(CATEGORICAL)} INTO NAME feature VALUE v),
+    codes AS (SELECT feature, v, count(*) AS n, sum(delayed) AS ones FROM c GROUP BY feature, v),
+    named AS (SELECT feature, sum(n) OVER o AS n, sum(ones) OVER o AS ones, sum(n) OVER w AS all_n, sum(ones) OVER w AS all_ones, 10 AS penalty
+              FROM codes, unit WINDOW w AS (PARTITION BY feature), o AS (PARTITION BY feature ORDER BY
+              (ones * late + (n - ones) * timely) / (n * h + {boosting.CATEGORY_SMOOTHING} * {_UNIT}), v IS NULL, v ROWS UNBOUNDED PRECEDING))"""
+
+
+def _strength(n: str, ones: str, penalty: str) -> str:
+    return f"power(({ones} * late + ({n} - {ones}) * timely) / {_UNIT}, 2) / ({n} * h / {_UNIT} + {penalty})"
+
+
+@check("m4_root_splits", ["features", "split"], f"""
+    SELECT * FROM (WITH {_CANDIDATES}
+    SELECT feature, round(max(gain), 6) AS gain FROM (
+        SELECT feature, {_strength("n", "ones", "penalty")} + {_strength("(all_n - n)", "(all_ones - ones)", "penalty")}
+            - {_strength("all_n", "all_ones", "0")} AS gain
+        FROM (SELECT * FROM numbers UNION ALL SELECT * FROM named), unit
+        WHERE n >= {boosting.LEAF_ROWS} AND all_n - n >= {boosting.LEAF_ROWS})
+    GROUP BY feature HAVING max(gain) > 1e-12)""")
+def _(d):
+    """The best gain of every column when the first tree opens its root on all training rows."""
+    _, (train, valid, _) = _parts(d)
+    prepared = models.prepare(train, valid, MODEL_COLUMNS)
+    root = boosting.Tree()
+    root.add()
+    columns = list(range(len(prepared.booster.columns)))
+    found, _ = boosting.splits(prepared.blocks, prepared.booster, [], root, [0], columns, 0, 1.0, boosting.LEAF_ROWS, boosting.SEED)
+    gains = [(prepared.booster.columns[c], s["gain"]) for (node, c), s in found.items() if node == 0 and s]
+    return d.spark.createDataFrame(gains, "feature string, gain double").withColumn("gain", F.round("gain", 6))
+
+
+@check("m3_medians", ["features", "split"], f"""
+    SELECT feature, round(median(v), 6) AS median FROM (
+        UNPIVOT (SELECT {", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in NUMERIC)} FROM features, split
+                 WHERE flight_date >= start AND flight_date < valid_start)
+        ON {", ".join(NUMERIC)} INTO NAME feature VALUE v) GROUP BY feature""")
+def _(d):
+    """What the logistic regression puts in place of missing values."""
+    _, (train, _, _) = _parts(d)
+    found = quantiles.medians(train, NUMERIC)
+    return d.spark.createDataFrame(list(found.items()), "feature string, median double").withColumn("median", F.round("median", 6))
 
 
 @check("m9_metrics_document", ["parts", "features"], """

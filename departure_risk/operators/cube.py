@@ -8,9 +8,10 @@ from departure_risk.functions.columns import day_part
 DIMENSIONS = ["date", "origin", "carrier", "part"]
 
 
-def busiest(rows: DataFrame, key: str, top: int) -> DataFrame:
-    """The `top` most frequent values of `key`, ties in key order."""
-    return rows.groupBy(key).agg(F.count("*").alias("flights")).orderBy(F.desc("flights"), key).limit(top)
+def busiest(rows: DataFrame, key: str, top: int | None) -> DataFrame:
+    """The `top` most frequent values of `key`, or with None all of them, ties in key order."""
+    counts = rows.groupBy(key).agg(F.count("*").alias("flights"))
+    return counts if top is None else counts.orderBy(F.desc("flights"), key).limit(top)
 
 
 def prediction_cube(scored: DataFrame, top: int = CUBE_AIRPORTS, score: str = "p", label: str = LABEL) -> DataFrame:

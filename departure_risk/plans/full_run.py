@@ -1,12 +1,11 @@
 """The steps in order, each reading what the one before wrote."""
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from departure_risk.operators.clean import clean
 from departure_risk.operators.cube import cube_document
 from departure_risk.plans.features import build_features
-from departure_risk.plans.models import categories_of
+from departure_risk.plans.models import BoostedModel, categories_of
 from departure_risk.plans.training import Trained, metrics_document, serving_snapshot, test_cube, train
 from departure_risk.sources.csv_files import read_raw
 from departure_risk.sources.forecasts import add_fetched, airports_to_fetch, parse_payloads, usable_cache
@@ -48,8 +47,8 @@ def features_step(spark: SparkSession, flights_path: str, weather_path: str | No
 def train_step(spark: SparkSession, features_path: str, artifacts: str, **options) -> Trained:
     """Train (see `training.train` for the options) and write model, categories, metrics, cube and snapshot."""
     trained = train(read_by_month(spark, features_path), **options)
-    trained.model.write().overwrite().save(f"{artifacts}/model")
-    categories = list(categories_of(trained.model).items())
+    trained.model.save(spark, f"{artifacts}/model")
+    categories = list(categories_of(trained.model.matrix).items())
     write_document(spark.createDataFrame(categories, "name string, labels array<string>"), f"{artifacts}/categories")
     write_document(metrics_document(trained), f"{artifacts}/metrics")
     test_cube(trained).write.mode("overwrite").parquet(f"{artifacts}/cube")
@@ -65,5 +64,5 @@ def report_step(spark: SparkSession, artifacts: str, site: str) -> None:
     write_document(page, site)
 
 
-def load_for_scoring(spark: SparkSession, artifacts: str) -> tuple[PipelineModel, DataFrame]:
-    return PipelineModel.load(f"{artifacts}/model"), spark.read.parquet(f"{artifacts}/snapshot")
+def load_for_scoring(spark: SparkSession, artifacts: str) -> tuple[BoostedModel, DataFrame]:
+    return BoostedModel.load(spark, f"{artifacts}/model"), spark.read.parquet(f"{artifacts}/snapshot")

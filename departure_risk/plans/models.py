@@ -1,32 +1,23 @@
-"""Spark ML pipelines: logistic regression and boosted trees."""
+"""Logistic regression and boosted trees, and the matrix of inputs they read."""
 
-import warnings
+import math
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassificationModel, GBTClassifier, LogisticRegression
-from pyspark.ml.feature import (
-    Imputer, SQLTransformer, StandardScaler, StringIndexer, VectorAssembler, VectorSlicer,
-)
+from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.feature import SQLTransformer, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from departure_risk.config import CATEGORICAL, LABEL, NUMERIC
+from departure_risk.operators.quantiles import medians
+from departure_risk.plans import boosting
+from departure_risk.session import written_once
 
 # Below every real value, so that one split can set missing values apart.
 MISSING = -9999.0
 INPUT = "inputs"
-CHOSEN = "chosen"
-BINS = 512
-
-# Learning rate, rows per leaf, share of rows and of columns per tree, seed, patience, most trees.
-STEP = 0.05
-LEAF_ROWS = 100
-ROW_SHARE = 0.8
-COLUMN_SHARE = "0.8"
-SEED = 7
-PATIENCE = 50
-MOST_TREES = 2000
 
 
 def as_doubles(columns: list[str], missing: str) -> SQLTransformer:
@@ -57,107 +48,103 @@ def categories_of(matrix: PipelineModel) -> dict[str, list[str]]:
     return dict(zip(CATEGORICAL, [list(labels) for labels in indexer.labelsArray]))
 
 
-def best_round(losses: list[float], patience: int = PATIENCE) -> int:
-    """Number of trees with the lowest validation loss, looking until `patience` rounds bring nothing."""
-    best = 0
-    for i, loss in enumerate(losses):
-        if loss < losses[best]:
-            best = i
-        elif i - best >= patience:
-            break
-    return best + 1
+@dataclass
+class BoostedModel:
+    """The matrix of inputs and the trees over it."""
+
+    matrix: PipelineModel
+    booster: boosting.Booster
+
+    def probability(self, rows: DataFrame, name: str) -> DataFrame:
+        inputs = self.matrix.transform(rows).withColumn(INPUT, vector_to_array(INPUT))
+        return inputs.select(*rows.columns, self.booster.probability(rows.sparkSession, F.col(INPUT)).alias(name))
+
+    def save(self, spark: SparkSession, path: str) -> None:
+        self.matrix.write().overwrite().save(f"{path}/matrix")
+        self.booster.save(spark, f"{path}/trees")
+
+    @staticmethod
+    def load(spark: SparkSession, path: str) -> "BoostedModel":
+        return BoostedModel(PipelineModel.load(f"{path}/matrix"), boosting.Booster.load(spark, f"{path}/trees"))
 
 
 @dataclass
 class Prepared:
-    """Training and validation rows as vectors over `columns`, kept for several fits."""
+    """Training and validation rows in blocks over `columns`, written once for several fits."""
 
     matrix: PipelineModel
-    columns: list[str]
-    train: DataFrame
-    valid: DataFrame
-
-    def release(self) -> None:
-        self.train.unpersist()
-        self.valid.unpersist()
+    booster: boosting.Booster
+    blocks: DataFrame
 
 
-def prepare(train: DataFrame, valid: DataFrame, columns: list[str]) -> Prepared:
+def prepare(train: DataFrame, valid: DataFrame, columns: list[str], key: str = "flight_id") -> Prepared:
+    """`key` tells rows apart when the rows of a tree are drawn."""
     matrix = matrix_pipeline(columns).fit(train)
-    label = F.col(LABEL).cast("double").alias(LABEL)
-    inputs, held_out = (matrix.transform(rows).select(INPUT, label).persist() for rows in (train, valid))
-    names = [c.rsplit("_", 1)[0] for c in matrix.stages[-1].getInputCols()]
-    return Prepared(matrix, names, inputs, held_out)
+    inputs = matrix.stages[-1].getInputCols()
+    names = [c.rsplit("_", 1)[0] for c in inputs]
+    categories = {c: len(labels) for c, labels in categories_of(matrix).items()}
+    booster = boosting.find_cuts(matrix.transform(train), inputs, names, categories, MISSING)
+    rate = train.agg(F.avg(F.col(LABEL).cast("double"))).first()[0]
+    booster.base = math.log(rate / (1 - rate))
+    parts = [boosting.blocks_of(matrix.transform(rows).select(
+        vector_to_array(INPUT), F.col(LABEL).cast("long"), F.xxhash64(key)), booster, held_out) for rows, held_out in ((train, False), (valid, True))]
+    return Prepared(matrix, booster, written_once(parts[0].unionByName(parts[1]), "boosting-blocks"))
 
 
-def fit_prepared(prepared: Prepared, columns: list[str], most: int = MOST_TREES, depth: int = 6,
-                 bins: int = BINS, patience: int = PATIENCE) -> tuple[PipelineModel, int]:
-    """Boosted trees, as many as the validation period asks for. Returns the pipeline and that number.
+def fit_prepared(prepared: Prepared, columns: list[str], most: int = boosting.MOST_TREES, leaves: int = boosting.LEAVES,
+                 patience: int = boosting.PATIENCE) -> tuple[BoostedModel, int]:
+    """Boosted trees, as many as the validation period asks for, and that number."""
+    booster = boosting.boost(prepared.blocks, prepared.booster, columns, most, leaves, patience)
+    return BoostedModel(prepared.matrix, booster), len(booster.trees)
 
-    First 128 trees (with the usual patience), then twice as many, are grown until `patience` of them bring nothing on the validation rows, or until `most`
-    (a warning says so). The same seed then regrows the best number, which gives the same trees.
+
+def fit_trees(train: DataFrame, valid: DataFrame, columns: list[str], **options) -> tuple[BoostedModel, int]:
+    return fit_prepared(prepare(train, valid, columns), columns, **options)
+
+
+def fit_together(prepared: Prepared, of_columns: dict[str, list[str]], at_once: int = 3, **options) -> dict[str, tuple[BoostedModel, int]]:
+    """Several fits of the same rows, `at_once` at a time, each in a scheduler pool of its own (fair where the session says so).
+
+    A fit is many short jobs, so fits that overlap use the executors that one alone leaves idle. Results do not depend on it.
     """
-    chosen = [i for i, c in enumerate(prepared.columns) if c in columns]
-    slicer = VectorSlicer(inputCol=INPUT, outputCol=CHOSEN, indices=chosen)
-    inputs, held_out = slicer.transform(prepared.train), slicer.transform(prepared.valid)
-    arity = max(len(labels) for labels in prepared.matrix.stages[0].labelsArray) + 1
-    trees = GBTClassifier(
-        featuresCol=CHOSEN, labelCol=LABEL, maxDepth=depth, maxBins=max(bins, arity), stepSize=STEP,
-        minInstancesPerNode=LEAF_ROWS, subsamplingRate=ROW_SHARE, featureSubsetStrategy=COLUMN_SHARE, seed=SEED,
-    )
-    grown, best = min(most, 2 * patience + 28), most
-    while True:
-        model: GBTClassificationModel = trees.copy({trees.maxIter: grown}).fit(inputs)
-        best = best_round(model.evaluateEachIteration(held_out), patience)
-        if grown - best >= patience or grown == most:
-            break
-        grown = min(most, 2 * grown)
-    if grown - best < patience:
-        warnings.warn(f"the validation loss still falls at the limit of {most} trees", stacklevel=2)
-    if best < model.getNumTrees:
-        model = trees.copy({trees.maxIter: best}).fit(inputs)
-    return PipelineModel(stages=[*prepared.matrix.stages, slicer, model]), best
-
-
-def fit_trees(train: DataFrame, valid: DataFrame, columns: list[str], most: int = MOST_TREES, depth: int = 6,
-              bins: int = BINS, patience: int = PATIENCE) -> tuple[PipelineModel, int]:
-    prepared = prepare(train, valid, columns)
-    fitted = fit_prepared(prepared, columns, most, depth, bins, patience)
-    prepared.release()
-    return fitted
-
-
-def fit_logistic(train: DataFrame, rounds: int = 500, median_error: float = 0.0) -> PipelineModel:
-    """Median impute (exact, or off by that share of the rows at most, which costs less memory on very large tables), standardise, logistic regression with a unit L2 penalty on the summed loss.
+    context = prepared.blocks.sparkSession.sparkContext
+
+    def fit(name: str) -> tuple[BoostedModel, int]:
+        context.setLocalProperty("spark.scheduler.pool", name)
+        return fit_prepared(prepared, of_columns[name], **options)
+
+    with ThreadPoolExecutor(at_once) as pool:
+        return dict(zip(of_columns, pool.map(fit, of_columns)))
+
+
+def fit_logistic(train: DataFrame, rounds: int = 500) -> PipelineModel:
+    """Exact median impute, standardise, logistic regression with a unit L2 penalty on the summed loss.
 
     Spark averages the loss, so the penalty is divided by the rows. Columns without any value are left out.
     """
-    filled = train.agg(F.count("*").alias("rows"), *[F.count(c).alias(c) for c in NUMERIC]).first()
-    numbers = [c for c in NUMERIC if filled[c] > 0]
-    inputs = [f"{c}_in" for c in numbers]
+    middle = medians(train, NUMERIC)
+    numbers = [c for c in NUMERIC if c in middle]
+    filled = ", ".join(f"coalesce(nanvl(CAST({c} AS DOUBLE), NULL), {middle[c]!r}D) AS {c}_filled" for c in numbers)
     return Pipeline(stages=[
-        as_doubles(numbers, "{}"),
-        Imputer(strategy="median", relativeError=median_error, inputCols=inputs, outputCols=[f"{c}_filled" for c in numbers]),
+        SQLTransformer(statement=f"SELECT *, {filled} FROM __THIS__"),
         VectorAssembler(inputCols=[f"{c}_filled" for c in numbers], outputCol="filled"),
         StandardScaler(inputCol="filled", outputCol=INPUT, withMean=True, withStd=True),
-        LogisticRegression(featuresCol=INPUT, labelCol=LABEL, maxIter=rounds, regParam=1.0 / filled["rows"],
+        LogisticRegression(featuresCol=INPUT, labelCol=LABEL, maxIter=rounds, regParam=1.0 / train.count(),
                            standardization=False),
     ]).fit(train)
 
 
-def probability(model: PipelineModel, rows: DataFrame, name: str = "p") -> DataFrame:
+def probability(model: PipelineModel | BoostedModel, rows: DataFrame, name: str = "p") -> DataFrame:
     """The input columns and the probability of leaving late."""
-    kept = list(rows.columns)
-    scored = model.transform(rows)
-    return scored.select(*kept, vector_to_array("probability")[1].alias(name))
+    if isinstance(model, BoostedModel):
+        return model.probability(rows, name)
+    return model.transform(rows).select(*rows.columns, vector_to_array("probability")[1].alias(name))
 
 
-def importance(model: PipelineModel, rows: DataFrame) -> DataFrame:
+def importance(model: BoostedModel, rows: DataFrame) -> DataFrame:
     """Share of the trees' gain per input column, largest first."""
-    assembler, slicer, trees = model.stages[-3:]
-    inputs = assembler.getInputCols()
-    names = [inputs[i].rsplit("_", 1)[0] for i in slicer.getIndices()]
-    shares = [float(v) for v in trees.featureImportances.toArray()]
-    spark = rows.sparkSession
-    return spark.createDataFrame(list(zip(names, shares)), "feature string, share double").select(
+    gains = model.booster.gains()
+    whole = sum(gains.values()) or 1.0
+    shares = [(c, gain / whole) for c, gain in gains.items()]
+    return rows.sparkSession.createDataFrame(shares, "feature string, share double").select(
         "feature", F.round("share", 4).alias("share")).orderBy(F.desc("share"), "feature")

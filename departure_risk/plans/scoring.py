@@ -1,12 +1,11 @@
 """Batch scoring of scheduled flights against the serving snapshot."""
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, functions as F
 
 from departure_risk.config import ROTATION, WEATHER
 from departure_risk.functions.columns import iso_weekday
 from departure_risk.operators.nearest import FOUND, match_requests
-from departure_risk.plans.models import probability
+from departure_risk.plans.models import BoostedModel, probability
 
 
 def model_rows(requests: DataFrame, snapshot: DataFrame) -> DataFrame:
@@ -18,7 +17,7 @@ def model_rows(requests: DataFrame, snapshot: DataFrame) -> DataFrame:
     })
 
 
-def score_requests(requests: DataFrame, snapshot: DataFrame, model: PipelineModel) -> DataFrame:
+def score_requests(requests: DataFrame, snapshot: DataFrame, model: BoostedModel) -> DataFrame:
     """delay_probability, route_history_rate and note per request; status tells why one has none."""
     answered = F.col("status") == FOUND
     scored = probability(model, model_rows(requests, snapshot))

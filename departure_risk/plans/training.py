@@ -2,7 +2,6 @@
 
 from dataclasses import dataclass
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, functions as F
 
 from departure_risk.config import ABLATIONS, LABEL, RECALIBRATION_DAYS
@@ -12,7 +11,8 @@ from departure_risk.operators.metrics import by_hour, calibration_table, ranking
 from departure_risk.operators.recalibrate import recalibrate
 from departure_risk.operators.snapshot import snapshot
 from departure_risk.operators.split import Split, find_split, only, split_summary
-from departure_risk.plans.models import MOST_TREES, PATIENCE, fit_logistic, fit_prepared, importance, prepare, probability
+from departure_risk.plans.boosting import LEAVES, MOST_TREES, PATIENCE
+from departure_risk.plans.models import BoostedModel, fit_logistic, fit_together, importance, prepare, probability
 from departure_risk.session import written_once
 
 # Names of the models in the metrics.
@@ -27,18 +27,18 @@ class Trained:
 
     split: Split
     base: float
-    model: PipelineModel
+    model: BoostedModel
     rounds: int
     forecasts: DataFrame
     metrics: DataFrame
     features: DataFrame
 
 
-def train(features: DataFrame, most: int = MOST_TREES, depth: int = 6, ablations: tuple[str, ...] = ("base", "v2"),
+def train(features: DataFrame, most: int = MOST_TREES, leaves: int = LEAVES, ablations: tuple[str, ...] = ("base", "v2"),
           patience: int = PATIENCE) -> Trained:
     """Baselines, ablations and the full model.
 
-    `features` should be a written table. All tree models grow from one prepared set of vectors. Forecasts of all models are written
+    `features` should be a written table. All tree models grow from the same blocks, side by side. Forecasts of all models are written
     once, so metrics, cube and calibration never score a flight twice.
     """
     split = find_split(features)
@@ -50,10 +50,10 @@ def train(features: DataFrame, most: int = MOST_TREES, depth: int = 6, ablations
     logistic = fit_logistic(training)
     scored.append(_named(probability(logistic, test), "logistic_regression"))
     prepared = prepare(training, validation, ABLATIONS["full"])
-    for name in [*ablations, "full"]:
-        model, best = fit_prepared(prepared, ABLATIONS[name], most, depth, patience=patience)
+    fits = fit_together(prepared, {n: ABLATIONS[n] for n in [*ablations, "full"]}, most=most, leaves=leaves, patience=patience)
+    for name, (model, _) in fits.items():
         scored.append(_named(probability(model, held_out if name == "full" else test), TREES[name]))
-    prepared.release()
+    model, best = fits["full"]
     forecasts = scored[0]
     for more in scored[1:]:
         forecasts = forecasts.unionByName(more)

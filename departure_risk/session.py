@@ -13,6 +13,7 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8) -> SparkSession
         .appName("departure_risk")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.scheduler.mode", "FAIR")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))

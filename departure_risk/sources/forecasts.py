@@ -27,10 +27,10 @@ def read_coordinates(spark: SparkSession, path: str) -> DataFrame:
     return airport_coordinates(spark.read.option("header", True).option("escape", '"').csv(path))
 
 
-def top_airports(flights: DataFrame, top: int = WEATHER_AIRPORTS) -> DataFrame:
-    """The busiest origins, cancelled flights included, ties by code."""
+def top_airports(flights: DataFrame, top: int | None = WEATHER_AIRPORTS) -> DataFrame:
+    """The busiest origins, or with `top` None all of them, cancelled flights included, ties by code."""
     counts = flights.groupBy("origin").agg(F.count("*").alias("flights"))
-    return counts.orderBy(F.desc("flights"), "origin").limit(top)
+    return counts if top is None else counts.orderBy(F.desc("flights"), "origin").limit(top)
 
 
 def without_coordinates(codes: DataFrame, coordinates: DataFrame) -> DataFrame:

@@ -1,4 +1,7 @@
 import json
+import random
+import time
+from itertools import combinations
 
 import pytest
 from pyspark.sql import functions as F
@@ -107,3 +110,25 @@ def test_requests_take_the_nearest_hour(spark, latest):
     assert {i: r.matched_hour for i, r in out.items()} == {1: 6, 2: 6, 3: 10, 4: 10, 5: None, 6: None, 7: None, 8: 6, 9: None}
     assert [out[i].status for i in range(1, 10)] == ["ok"] * 4 + ["invalid_hour", "no_history", "no_history", "ok", "invalid_hour"]
     assert out[1].note == "exact scheduled hour" and out[2].note.startswith("nearest") and out[6].note is None
+
+
+def test_choices_that_add_up_against_all_choices():
+    rng = random.Random(3)
+    for _ in range(200):
+        values = [rng.choice([-2 ** 70, -5, 0, 1, 1, 2, 3, 2 ** 64 + 4]) for _ in range(rng.randrange(9))]
+        wanted, target = rng.randrange(len(values) + 2), rng.randrange(-6, 8)
+        plain = [list(c) for c in combinations(range(len(values)), wanted) if (sum(values[i] for i in c) - target) % 2 ** 64 == 0]
+        assert sorted(compare.choices_that_add_up(values, wanted, target)) == plain
+
+
+def test_many_columns_are_matched_at_once(spark):
+    rng = random.Random(5)
+    values = [rng.randrange(2 ** 70) for _ in range(40)]
+    picked = sorted(rng.sample(range(40), 20))
+    start = time.perf_counter()
+    assert list(compare.choices_that_add_up(values, 20, sum(values[i] for i in picked))) == [picked]
+    assert time.perf_counter() - start < 5
+    wide = spark.range(50).select(*[(F.col("id") * (i + 3) % (i + 11)).alias(f"c{i}") for i in range(40)])
+    expected = wide.select(*[F.col(f"c{i}").alias(f"x{39 - i}") for i in picked])
+    assert compare.results_match(wide, expected)
+    assert not compare.results_match(wide.withColumn(f"c{picked[7]}", F.lit(-1)), expected)
