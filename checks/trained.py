@@ -115,8 +115,8 @@ _CANDIDATES = f"""
     t AS (SELECT features.* FROM features, split WHERE flight_date >= start AND flight_date < valid_start),
     rate AS (SELECT 1 / (1 + exp(-ln(r / (1 - r)))) AS p FROM (SELECT avg(delayed) AS r FROM t)),
     unit AS (SELECT round((p - 1) * {_UNIT}) AS late, round(p * {_UNIT}) AS timely, round(p * (1 - p) * {_UNIT}) AS h FROM rate),
-    v AS (UNPIVOT INCLUDE NULLS (SELECT delayed, {", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in NUMERIC)} FROM t)
-          ON {", ".join(NUMERIC)} INTO NAME feature VALUE v),
+    v AS (SELECT * FROM (SELECT delayed, {", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in NUMERIC)} FROM t)
+          UNPIVOT INCLUDE NULLS (v FOR feature IN ({", ".join(NUMERIC)}))),
     placed AS (SELECT feature, v, row_number() OVER (PARTITION BY feature ORDER BY v) AS r, count(*) OVER (PARTITION BY feature) AS n
                FROM v WHERE v IS NOT NULL),
     cuts AS (SELECT DISTINCT feature, v FROM placed JOIN range(1, {_BINS}) AS k(k) ON r = (k * n + {_BINS - 1}) // {_BINS}
@@ -128,7 +128,7 @@ _CANDIDATES = f"""
                        count(*) AS all_n, sum(delayed) AS all_ones FROM v GROUP BY feature),
     numbers AS (SELECT feature, s.n + side * m.n AS n, s.ones + side * m.ones AS ones, all_n, all_ones, 0 AS penalty
                 FROM running s JOIN cuts USING (feature, v) JOIN missing m USING (feature), range(0, 2) AS x(side)),
-    c AS (UNPIVOT INCLUDE NULLS (SELECT delayed, {", ".join(CATEGORICAL)} FROM t) ON {", ".join(CATEGORICAL)} INTO NAME feature VALUE v),
+    c AS (SELECT * FROM (SELECT delayed, {", ".join(CATEGORICAL)} FROM t) UNPIVOT INCLUDE NULLS (v FOR feature IN ({", ".join(CATEGORICAL)}))),
     codes AS (SELECT feature, v, count(*) AS n, sum(delayed) AS ones FROM c GROUP BY feature, v),
     named AS (SELECT feature, sum(n) OVER o AS n, sum(ones) OVER o AS ones, sum(n) OVER w AS all_n, sum(ones) OVER w AS all_ones, 10 AS penalty
               FROM codes, unit WINDOW w AS (PARTITION BY feature), o AS (PARTITION BY feature ORDER BY
