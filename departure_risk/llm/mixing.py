@@ -1,6 +1,6 @@
 """Mixing sources to target weights with a splitting tree.
 
-1. The documents of a source are dealt into blocks by a hash of their id: a random, repeatable order of blocks.
+1. The documents of a source are dealt into blocks by a hash of their id and text: a random, repeatable order of blocks.
 2. A source's target is a number of words: whole passes over the source and a part of one more. In blocks, that is a
    quota of draws; the last draw is cut to the words that are still missing.
 3. A tree splits the vector of quotas among the output shards: at each node the left half gets a multivariate
@@ -12,8 +12,8 @@ Everything is columns and SQL functions. Tables of blocks, quotas and shards are
 source); documents are shuffled as ids and sizes only.
 
 Defined cases: a null text has size 0; a null source is a source of its own, last in order; documents of size 0 are
-placed with their block and count no word; rows that repeat an id are drawn each, and `mix_words` gives all
-of them the words taken of that id; other columns are ignored; an empty table gives an empty mix.
+placed with their block and count no word; every row is a document of its own, those without an id or with a repeated one
+too; other columns are ignored; an empty table gives an empty mix.
 """
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -31,6 +31,11 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def row_mark(id_col: str, text_col: str, source_col: str) -> Column:
+    """A hash of a document that rows without an id and rows that repeat one have by their text."""
+    return F.xxhash64(F.col(id_col).cast("long"), F.coalesce(F.col(text_col).cast("string"), F.lit("")), F.col(source_col).cast("string"))
+
+
 def source_targets(sizes: DataFrame, weights: list[int], share: float, most: float) -> DataFrame:
     """source, source_size, target and docs: one row per source.
 
@@ -117,19 +122,21 @@ def split_quotas(quotas: DataFrame, shards: int, seed: int) -> DataFrame:
 def mix(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float = 1.5, most: float = 2.0,
         id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: int = 7,
         block_words: int = BLOCK_WORDS, shard_blocks: int = SHARD_BLOCKS) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """The sizes (doc_id, source, size), the targets (source, source_size, target, docs) and the mix.
+    """The sizes (row, doc_id, mark, source, size), the targets (source, source_size, target, docs) and the mix.
 
-    The mix has a row for each drawn copy of a document: doc_id, source, shard, position (its place in the shard),
+    The mix has a row for each drawn copy of a document: row, doc_id, mark, source, shard, position (its place in the shard),
     copy (0 for the first pass over its source, then 1, ...), size and words (its size, or less where the draw is cut).
+    `row` numbers the rows of this call, `mark` is the same in all calls.
     """
-    sizes = written_once(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).cast("string").alias("source"),
-                                     word_count(F.col(text_col)).alias("size")), "mix-sizes")
+    sizes = written_once(docs.select(
+        F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("doc_id"), row_mark(id_col, text_col, source_col).alias("mark"),
+        F.col(source_col).cast("string").alias("source"), word_count(F.col(text_col)).alias("size")), "mix-sizes")
     targets = written_once(source_targets(sizes, list(weights), share, most).withColumn(
         "number", F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1).withColumn(
         "blocks", F.greatest(F.lit(1), F.least(F.lit(MOST_BLOCKS), F.ceil(F.col("source_size") / block_words))).cast("long")),
         "mix-targets")
     numbered = sizes.join(targets.select("source", "number", "blocks"), sizes["source"].eqNullSafe(targets["source"])).select(
-        "doc_id", sizes["source"], "size", "number", F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.col("blocks")).alias("block"))
+        "row", "doc_id", "mark", sizes["source"], "size", "number", F.pmod(F.xxhash64("mark", F.lit(seed)), F.col("blocks")).alias("block"))
     # empty blocks can be no draw: those that hold words are numbered anew, in order
     filled = numbered.groupBy("number", "block").agg(F.sum("size").alias("words")).where("words > 0")
     in_source = Window.partitionBy("number").orderBy("block")
@@ -159,46 +166,39 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float = 1.
     drawn = written_once(draws.join(assigned, ["number", "place"]).select("number", "block", "copy", "left", "shard"), "mix-shards")
     copies = numbered.join(drawn, ["number", "block"])
     in_block = Window.partitionBy("number", "block", "copy").orderBy(
-        F.xxhash64("doc_id", F.lit(seed + 1)), "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
+        F.xxhash64("mark", F.lit(seed + 1)), "mark", "row").rowsBetween(Window.unboundedPreceding, -1)
     cut = copies.withColumn("words", F.least(F.col("size"), F.greatest(
         F.lit(0).cast("long"), F.col("left") - F.coalesce(F.sum("size").over(in_block), F.lit(0)))))
-    in_shard = Window.partitionBy("shard").orderBy(F.xxhash64("doc_id", "copy", F.lit(seed + 2)), "doc_id", "copy", "size")
+    in_shard = Window.partitionBy("shard").orderBy(F.xxhash64("mark", "copy", F.lit(seed + 2)), "mark", "copy", "row")
     mixed = cut.where("words > 0 or size = 0").select(
-        "doc_id", "source", "shard", (F.row_number().over(in_shard) - 1).cast("long").alias("position"), "copy", "size", "words")
+        "row", "doc_id", "mark", "source", "shard", (F.row_number().over(in_shard) - 1).cast("long").alias("position"), "copy", "size", "words")
     return sizes, targets, mixed
 
 
 def mix_words(docs: DataFrame, **options) -> DataFrame:
     """One row per document: doc_id, size, source_size, target and taken, the words that the mix takes of it."""
     sizes, targets, mixed = mix(docs, **options)
-    taken = mixed.groupBy("doc_id").agg(F.sum("words").alias("taken"))
-    rows = sizes.join(targets, sizes["source"].eqNullSafe(targets["source"])).select(
-        "doc_id", "size", "source_size", "target")
-    return rows.join(taken, rows["doc_id"].eqNullSafe(taken["doc_id"]), "left").select(
-        rows["doc_id"], "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
+    taken = mixed.groupBy("row").agg(F.sum("words").alias("taken"))
+    rows = sizes.join(targets, sizes["source"].eqNullSafe(targets["source"])).select("row", "doc_id", "size", "source_size", "target")
+    return rows.join(taken, "row", "left").select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
 
 
-def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", count_col: str = "n_chars", **options) -> DataFrame:
-    """The documents as the mix takes them, with all their columns: a row for each copy, none for those left out.
+def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
+    """The documents as the mix takes them, whole and with all their columns: a row for each copy, none for those left out.
 
-    A copy that is cut has its first words, joined by spaces, and their length in `count_col`, if there is such a column.
-    Rows without an id are left out; of rows that repeat an id, each copy is one of them.
+    The last draw of a source ends with the document that comes nearest to its target. Of rows that are equal in id, text
+    and source, each copy is one of them.
     """
-    _, _, mixed = mix(docs.where(F.col(id_col).isNotNull()), id_col=id_col, text_col=text_col, **options)
-    rows = docs.where(F.col(id_col).isNotNull()).select(
-        F.struct(*docs.columns).alias("doc"), word_count(F.col(text_col)).alias("size"), F.col(id_col).cast("long").alias("doc_id"),
-        F.col(text_col).cast("string").alias("text"))
-    drawn = mixed.groupBy("doc_id", "size", "words").agg(F.count(F.lit(1)).alias("drawn"))
-    same = Window.partitionBy("doc_id", "size")
-    numbered = rows.withColumns({"number": F.row_number().over(same.orderBy("text")) - 1, "rows": F.count(F.lit(1)).over(same)})
-    copies = F.expr("drawn div rows + if(number < drawn % rows, 1, 0)")
-    joined = numbered.join(drawn, ["doc_id", "size"]).withColumn("copies", copies).where("copies > 0").withColumn(
-        "copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
-    trimmed = F.btrim("text", F.lit(" \t\n\x0b\x0c\r"))
-    first = F.array_join(F.slice(F.split(trimmed, "[ \\t-\\r]+"), F.lit(1), F.col("words").cast("int")), " ")
-    cut, kinds = F.col("words") < F.col("size"), dict(docs.dtypes)
-    changed = {text_col: first.cast(kinds[text_col])}
-    if count_col in kinds:
-        changed[count_col] = F.length(first).cast(kinds[count_col])
-    return joined.select(*[F.when(cut, changed[c]).otherwise(F.col("doc")[c]).alias(c) if c in changed else F.col("doc")[c].alias(c)
-                           for c in docs.columns])
+    _, _, mixed = mix(docs, id_col=id_col, text_col=text_col, source_col=source_col, **options)
+
+    def key(frame: DataFrame, doc_id: Column, source: Column) -> DataFrame:
+        return frame.withColumns({"id_key": F.coalesce(doc_id.cast("long"), F.lit(0)), "source_key": F.coalesce(source.cast("string"), F.lit(""))})
+
+    keys = ["mark", "id_key", "source_key"]
+    drawn = key(mixed.where("2 * words >= size"), F.col("doc_id"), F.col("source")).groupBy(*keys).agg(F.count(F.lit(1)).alias("drawn"))
+    rows = key(docs.select(F.struct(*docs.columns).alias("doc"), row_mark(id_col, text_col, source_col).alias("mark")),
+               F.col("doc")[id_col], F.col("doc")[source_col])
+    same = Window.partitionBy(*keys)
+    numbered = rows.withColumns({"number": F.row_number().over(same.orderBy("mark")) - 1, "rows": F.count(F.lit(1)).over(same)})
+    joined = numbered.join(drawn, keys).withColumn("copies", F.expr("drawn div rows + if(number < drawn % rows, 1, 0)")).where("copies > 0")
+    return joined.select("doc", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select("doc.*")

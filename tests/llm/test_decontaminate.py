@@ -23,20 +23,23 @@ def brute(docs, items, least=10):
     for doc, text in docs:
         d = words(text)
         for w, item in first.items():
-            kinds = masks if len(w) >= decontaminate.SPAN else [list(range(len(w)))]
+            windows = [(kind, p) for kind in masks for p in range(len(w) - decontaminate.SPAN + 1)]
+            if len(w) < 12:
+                n = len(w) if len(w) < 8 else len(w) // 2
+                windows += [(range(n), 0), (range(n), len(w) - n)]
             for diagonal in range(-len(w), len(d)):
                 both = range(max(0, -diagonal), min(len(w), len(d) - diagonal))
                 hits = any(all(0 <= p + k + diagonal < len(d) and p + k < len(w) and w[p + k] == d[p + k + diagonal] for k in kind)
-                           for kind in kinds for p in range(0, max(1, len(w) - decontaminate.SPAN + 1)))
-                if doc is None or not hits:
+                           for kind, p in windows)
+                if not hits:
                     continue
                 now = best = 0
                 for p in both:
                     now = max(0, now + (1 if w[p] == d[p + diagonal] else -1))
                     best = max(best, now)
-                if best >= min(least, len(w)):
+                if best >= min(least, len(w) if len(w) < 8 else len(w) - 2):
                     found[doc, item] = max(found.get((doc, item), 0), best)
-    return sorted((d, i, n) for (d, i), n in found.items())
+    return sorted(((d, i, n) for (d, i), n in found.items()), key=repr)
 
 
 def swapped(rng, text, share):
@@ -61,7 +64,7 @@ def fixture():
 def test_overlaps_against_all_alignments(spark, seed_rows):
     docs, items = fixture()
     got = values(decontaminate.overlaps(table(spark, docs), table(spark, items, ITEMS), seed_rows=seed_rows), "doc_id", "item_id", "overlap")
-    want = brute(docs, items)
+    want = [r for r in brute([d for d in docs if d[0] is not None], items)]
     assert got == want
     leaked = {d for d, _, _ in got}
     assert {100 + i for i in range(6)} | {110 + i for i in range(6)} | {120, 124} | {200, 201, 300, 101} <= leaked
@@ -113,8 +116,28 @@ def test_empty_tables(spark):
 
 def test_the_rest_keeps_its_columns(spark):
     docs, items = fixture()
+    docs += [(None, "nothing of a test"), (None, None), (None, "say " + items[3][1])]
     rows = table(spark, docs)
     kept = decontaminate.decontaminated(rows, table(spark, items, ITEMS))
-    leaked = {d for d, _, _ in brute(docs, items)}
+    leaked = {d for d, _, _ in brute([d for d in docs if d[0] is not None], items)}
+    leaked_texts = {t for d, t in docs if d is None and brute([(0, t)], items)}  # rows without an id go by their text
+    assert len(leaked_texts) == 2
     assert kept.columns == rows.columns
-    assert values(kept, "doc_id", "text") == sorted(((d, t) for d, t in docs if d not in leaked), key=repr)
+    assert values(kept, "doc_id", "text") == sorted(((d, t) for d, t in docs if d not in leaked and (d is not None or t not in leaked_texts)), key=repr)
+
+
+def test_one_replaced_word_of_a_short_item(spark):
+    rng = np.random.default_rng(21)
+    items = [(n, " ".join(f"w{n}x{k}" for k in range(n))) for n in range(5, 20)]
+    docs = []
+    for n, text in items:
+        own = text.split()
+        docs += [(100 * n + at, " ".join([sentence(rng, 6), *own[:at], "other", *own[at + 1:], sentence(rng, 6)])) for at in range(n)]
+    found = {(r.doc_id, r.item_id) for r in decontaminate.overlaps(table(spark, docs), table(spark, items, ITEMS)).collect()}
+    assert found == {(d, i) for d, i, _ in brute(docs, items)} == {(d, d // 100) for d, _ in docs if d // 100 >= 8}
+
+
+def test_one_word_over_and_over(spark):
+    n = 500
+    got = decontaminate.overlaps(table(spark, [(1, "na " * n), (2, "na " * 9)]), table(spark, [(7, "na " * n)], ITEMS))
+    assert values(got, "doc_id", "item_id", "overlap") == [(1, 7, n)]

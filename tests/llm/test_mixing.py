@@ -105,15 +105,41 @@ def test_empty_tables(spark):
     assert mixing.mixed_documents(table(spark, rows, SCHEMA)).isEmpty()
 
 
+def test_rows_without_an_id_and_repeated_ids(spark):
+    rng = np.random.default_rng(12)
+    rows = [(None if i % 3 == 0 else 7 if i % 3 == 1 else i, sentence(rng, int(rng.integers(1, 40))), ["a", "b", None][i % 4 % 3], 1) for i in range(240)]
+    rows += [(7, "the very same row", "a", 1)] * 30 + [(None, "the very same row", "b", 1)] * 30
+    got = mixing.mix_words(table(spark, rows, SCHEMA).repartition(3), block_words=100).collect()
+    words = [len(t.split()) for _, t, _, _ in rows]
+    of_source = Counter()
+    for (_, _, s, _), n in zip(rows, words):
+        of_source[s] += n
+    names = sorted(of_source, key=code_points)
+    targets = water_level([of_source[s] for s in names], [3, 1, 2], 1.5, 2.0)
+    assert sorted((r.doc_id or -1, r["size"]) for r in got) == sorted((i or -1, n) for (i, *_), n in zip(rows, words))
+    assert all(r.taken <= 2 * r["size"] for r in got)
+    for name, target in zip(names, targets):
+        assert abs(sum(r.taken for r in got if r.source_size == of_source[name]) - target) <= 0.5
+    _, _, mixed = mixing.mix(table(spark, rows, SCHEMA), block_words=20)
+    blocks = Counter((r.doc_id, r.shard) for r in mixed.collect() if r.doc_id in (None, 7))
+    assert len(blocks) > 4  # no id holds its rows in one block
+
+
 def test_mixed_documents_are_what_the_mix_takes(spark):
-    rows = documents() + [(7000, "same words here", "a", 15), (7000, "same words here", "a", 15), (None, "lost words", "a", 1)]
+    rows = documents() + [(7000, "same words here", "a", 15), (7000, "same words here", "a", 15), (None, "not lost", "a", 1), (None, "nor this", None, 1)]
     docs = table(spark, rows, SCHEMA)
     out = mixing.mixed_documents(docs, block_words=90)
     assert out.columns == docs.columns
-    _, _, mixed = mixing.mix(docs.where("doc_id is not null"), block_words=90)
-    want = Counter((r.doc_id, r.words) for r in mixed.collect())
-    got = Counter((r.doc_id, len((r.text or "").replace("\x0b", " ").replace("\t", " ").split(" ")) if (r.text or "").strip() else 0)
-                  for r in out.withColumn("text", F.expr("regexp_replace(btrim(text, ' \\t\\n\\u000b\\u000c\\r'), '[ \\t-\\r]+', ' ')")).collect())
-    assert got == want
-    texts = {i: t for i, t, _, _ in rows}
-    assert all(r.text == texts[r.doc_id] or (r.n_chars == len(r.text) and " ".join(texts[r.doc_id].split()).startswith(r.text)) for r in out.collect())
+    _, targets, mixed = mixing.mix(docs, block_words=90)
+    texts = {(i, s): t for i, t, s, _ in rows}
+    got = out.collect()
+    assert all((r.doc_id, r.text, r.source, r.n_chars) in rows for r in got)  # whole documents, null ids too
+    want = Counter((r.doc_id, r.source, r["size"]) for r in mixed.collect() if 2 * r.words >= r["size"])
+    size = {k: len([w for w in (t or "").replace("\x0b", " ").replace("\t", " ").split(" ") if w]) for k, t in texts.items()}
+    assert Counter((r.doc_id, r.source, size[r.doc_id, r.source] if r.doc_id is not None else len(r.text.split())) for r in got) == want
+    taken = Counter()
+    for (_, source, n), count in want.items():
+        taken[source] += n * count
+    longest = {s: max(n for (_, x), n in size.items() if x == s) for s in taken}
+    for r in targets.collect():
+        assert abs(taken[r.source] - r.target) <= longest.get(r.source, 0) / 2 + 1

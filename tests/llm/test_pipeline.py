@@ -21,7 +21,7 @@ def folder(spark, tmp_path_factory):
     copies = [(2000 + i, clean[i][1]) for i in range(40)] + [(2100 + i, clean[i][1] + " tail") for i in range(40, 80) if len(clean[i][1].split()) > 60]
     items = [(i, sentence(rng, 40)) for i in range(10)]
     leaks = [(3000 + i, sentence(rng, 15) + " " + t + " " + sentence(rng, 15) + ".") for i, t in items]
-    odd = [(4000, None), (4001, ""), (4002, sentence(rng, 9000) + ".")]
+    odd = [(4000, None), (4001, ""), (4002, sentence(rng, 9000) + "."), (None, sentence(rng, 70) + "."), (None, sentence(rng, 20) + " " + items[0][1])]
     rows = [(i, t, "en", f"s{i % 5}" if i % 3 else "hot", len(t or "")) for i, t in clean + junk + copies + leaks + odd]
     path = tmp_path_factory.mktemp("corpus")
     spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").withColumn("words", F.lit(1)).write.parquet(f"{path}/documents.parquet")
@@ -37,6 +37,11 @@ def test_every_stage_does_its_part(spark, folder, tmp_path):
         stage(spark, docs, folder).write.parquet(f"{tmp_path}/{name}")
         docs = after[name] = spark.read.parquet(f"{tmp_path}/{name}")
         assert name == "tokens" or docs.columns == columns
+    # texts go on whole, and rows without an id are treated like the others
+    texts = {r.text for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
+    assert all(r.text in texts for name in after if name != "tokens" for r in after[name].collect())
+    nameless = [{r.text for r in rows.collect() if r.doc_id is None} for name, rows in after.items() if name != "tokens"]
+    assert [len(t) for t in nameless[:2]] == [2, 2] and len(nameless[2]) == 1
     ids = {name: [r.doc_id for r in rows.collect()] for name, rows in after.items()}
     assert set(range(300)) <= set(ids["quality"]) and len([i for i in ids["quality"] if 1000 <= i < 1200]) < 5
     assert {3000 + i for i in range(10)} <= set(ids["near_duplicates"]) and not [i for i in ids["near_duplicates"] if 2000 <= i < 3000]
@@ -45,7 +50,7 @@ def test_every_stage_does_its_part(spark, folder, tmp_path):
     mixed = {r.source: r.w for r in after["mixing"].groupBy("source").agg(F.sum(F.size(F.split("text", " "))).alias("w")).collect()}
     assert sum(mixed.values()) == pytest.approx(1.5 * sum(sizes.values()), rel=0.01) and all(mixed[s] <= 2 * sizes[s] + 2 for s in sizes)
     plain = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    texts = sorted(((r.doc_id, r.text or "") for r in after["mixing"].collect()))
+    texts = sorted(((r.doc_id, r.text or "") for r in after["mixing"].collect()), key=lambda r: (r[0] is not None, r))
     want = [plain.encode(t, add_special_tokens=False).ids + [0] for _, t in texts]
     got = sorted(after["tokens"].collect(), key=lambda r: r.start)
     assert [(r.doc_id, r.n_tokens, r.ids_crc32) for r in got] == [(d, len(w), zlib.crc32(np.array(w, "<u4").tobytes())) for (d, _), w in zip(texts, want)]
@@ -64,5 +69,5 @@ def test_stages_take_empty_tables(spark, folder):
 
 def test_each_operator_has_a_query():
     numbers = sorted(int(name[2:].split("_")[0]) for name in queries.QUERIES)
-    assert numbers == list(range(1, 11)) and set(queries.SQL) <= set(queries.QUERIES)
+    assert numbers == list(range(1, 14)) and set(queries.SQL) <= set(queries.QUERIES)
     json.dumps(queries.SQL)
