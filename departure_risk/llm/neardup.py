@@ -37,6 +37,8 @@ ROOTS = sum(TREES)
 PROBES, ALIKE = 3, 0.25
 #: Salts of the join that gives documents their class.
 SALTS = 8
+#: Ids whose texts are picked out where they are read (about 60 bytes each in an executor); for more, texts are shuffled.
+BROADCAST_IDS = 1_000_000
 #: Bytes of text handled at a time.
 TEXT_BYTES = 2 << 20
 
@@ -252,6 +254,9 @@ def verified(tasks: DataFrame, classes: DataFrame, docs: DataFrame, size: int, t
     met = tasks.join(known, "id").select(*columns).repartition("task").sortWithinPartitions("task", "id")
     close = written_once(met.mapInArrow(survivors, met.schema), "close-classes")
     texts = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text"))
+    ids = written_once(close.select("id").distinct(), "close-ids")
+    if ids.count() <= BROADCAST_IDS:  # then only their texts are shuffled
+        texts = texts.join(F.broadcast(ids), "id", "left_semi")
     wanted = close.join(texts, "id").select(*columns, "text").repartition("task").sortWithinPartitions("task", "id")
     return written_once(wanted.mapInArrow(links, "a long, b long"), "links")
 

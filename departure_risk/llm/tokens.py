@@ -114,7 +114,7 @@ def encoder(path: str, kept: int) -> Encoder:
     return _loaded[path, kept]
 
 
-def slices(batch: pa.RecordBatch, most: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """Parts of a batch whose texts (column 1) hold about `most` bytes or are one row."""
     sizes = np.cumsum(pc.binary_length(batch.column(1)).to_numpy())
     at = 0
