@@ -7,8 +7,7 @@ a stage never repeats the work of the ones before it.
 1. quality: a byte-level network learned from `labels` rejects low scores.
 2. near_duplicates: one document of each group of near duplicates stays, the one with the smallest id.
 3. decontamination: documents that overlap an item of `benchmark` go.
-4. mixing: documents are repeated or left out so that sources meet their target weights; a copy that is cut keeps its first
-   words, joined by spaces.
+4. mixing: documents are repeated or left out so that sources come near their target weights.
 5. tokens: the ids of all documents in Simple-8b files.
 """
 
@@ -40,7 +39,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 
 def write_token_files(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     # fewer pieces than by default: these workers have served four other stages
-    written = tokens.write_tokens(docs, public_tokenizers.path("byte_bpe_50k.json"), kept=250_000)
+    written = tokens.write_tokens(docs, public_tokenizers.path("byte_bpe_50k.json"), kept=150_000)
     return tokens.read_tokens(written).drop("file")
 
 
