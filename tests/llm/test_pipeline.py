@@ -22,7 +22,7 @@ def folder(spark, tmp_path_factory):
     items = [(i, sentence(rng, 40)) for i in range(10)]
     leaks = [(3000 + i, sentence(rng, 15) + " " + t + " " + sentence(rng, 15) + ".") for i, t in items]
     odd = [(4000, None), (4001, ""), (4002, sentence(rng, 9000) + "."), (None, sentence(rng, 70) + "."), (None, sentence(rng, 20) + " " + items[0][1])]
-    rows = [(i, t, "en", f"s{i % 5}" if i % 3 else "hot", len(t or "")) for i, t in clean + junk + copies + leaks + odd]
+    rows = [(i, t, "en", f"s{(i or 1) % 5}" if (i or 1) % 3 else "hot", len(t or "")) for i, t in clean + junk + copies + leaks + odd]
     path = tmp_path_factory.mktemp("corpus")
     spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").withColumn("words", F.lit(1)).write.parquet(f"{path}/documents.parquet")
     spark.createDataFrame([(i, 1, 0) for i, _ in clean] + [(i, 0, 0) for i, _ in junk], "doc_id long, quality int, toxic int").write.parquet(f"{path}/labels.parquet")
@@ -43,9 +43,9 @@ def test_every_stage_does_its_part(spark, folder, tmp_path):
     nameless = [{r.text for r in rows.collect() if r.doc_id is None} for name, rows in after.items() if name != "tokens"]
     assert [len(t) for t in nameless[:2]] == [2, 2] and len(nameless[2]) == 1
     ids = {name: [r.doc_id for r in rows.collect()] for name, rows in after.items()}
-    assert set(range(300)) <= set(ids["quality"]) and len([i for i in ids["quality"] if 1000 <= i < 1200]) < 5
-    assert {3000 + i for i in range(10)} <= set(ids["near_duplicates"]) and not [i for i in ids["near_duplicates"] if 2000 <= i < 3000]
-    assert set(range(300)) <= set(ids["decontamination"]) and not [i for i in ids["decontamination"] if 3000 <= i < 4000]
+    assert set(range(300)) <= set(ids["quality"]) and len([i for i in ids["quality"] if 1000 <= (i or 0) < 1200]) < 5
+    assert {3000 + i for i in range(10)} <= set(ids["near_duplicates"]) and not [i for i in ids["near_duplicates"] if 2000 <= (i or 0) < 3000]
+    assert set(range(300)) <= set(ids["decontamination"]) and not [i for i in ids["decontamination"] if 3000 <= (i or 0) < 4000]
     sizes = {r.source: r.w for r in after["decontamination"].groupBy("source").agg(F.sum(F.size(F.split("text", " "))).alias("w")).collect()}
     mixed = {r.source: r.w for r in after["mixing"].groupBy("source").agg(F.sum(F.size(F.split("text", " "))).alias("w")).collect()}
     assert sum(mixed.values()) == pytest.approx(1.5 * sum(sizes.values()), rel=0.01) and all(mixed[s] <= 2 * sizes[s] + 2 for s in sizes)
