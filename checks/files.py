@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from checks.catalog import check, rounded
 from checks.sql_parts import SNAPSHOT_LAST
 from departure_risk.config import RAW_COLUMNS, SNAPSHOT_MEDIANS, WEATHER_COLUMNS
+from departure_risk.plans import refresh
+from departure_risk.plans.features import build_features
 from departure_risk.plans.serving import snapshot_of_table
 from departure_risk.session import shared_dir
 from departure_risk.sources import adapters, forecasts, landing, tables
@@ -87,6 +89,18 @@ def _(d):
     return tables.read_by_month(d.spark, path)
 
 
+@check("s11_added_months", ["features"], "SELECT * FROM features")
+def _(d):
+    """A table without the year 1996 and the days to be tested, to which both are then added."""
+    flights, features = _folder(d, "flights"), _folder(d, "features")
+    new = (F.year("flight_date") == 1996) | (F.date_trunc("month", "flight_date") >= F.date_trunc("month", F.lit(d.split.test_start)))
+    first = d.flights.where(~new | F.col("flight_date").isNull())
+    tables.write_by_month(first, flights)
+    tables.write_by_month(build_features(tables.read_by_month(d.spark, flights), d.weather), features)
+    refresh.add_months(d.spark, d.flights.where(new), flights, d.weather, features)
+    return tables.read_by_month(d.spark, features)
+
+
 @check("s12_weather_refresh", ["weather"], f"SELECT airport, date, {_WEATHER} FROM weather")
 def _(d):
     """A cache of some airports and payloads that hold one of them again; the refresh runs twice."""

@@ -63,6 +63,8 @@ WEATHER_SCHEMA = T.StructType(
 )
 
 LABEL = "delayed"
+#: The column that dated tables are partitioned by: the day's year and month, 2025-03.
+MONTH = "flight_month"
 CATEGORICAL = ["carrier", "origin", "dest"]
 CELL_KEYS = ["flight_date", "carrier", "origin", "dest", "dep_hour"]
 

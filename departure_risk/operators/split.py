@@ -5,7 +5,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
 
-from departure_risk.config import HISTORY_DAYS
+from departure_risk.config import HISTORY_DAYS, MONTH
 
 FEWEST_DAYS = 10
 
@@ -54,7 +54,7 @@ def label_split(rows: DataFrame, split: Split) -> DataFrame:
 
 
 def only(rows: DataFrame, split: Split, name: str) -> DataFrame:
-    """The rows of one part, as plain date bounds."""
+    """The rows of one part, as plain date bounds. If the rows have their month, it is bounded too, so files of other months stay closed."""
     first, end = {
         "train": (split.start, split.valid_start),
         "valid": (split.valid_start, split.test_start),
@@ -62,7 +62,11 @@ def only(rows: DataFrame, split: Split, name: str) -> DataFrame:
     }[name]
     day = F.col("flight_date")
     kept = rows.filter(day >= F.lit(first))
-    return kept if end is None else kept.filter(day < F.lit(end))
+    if MONTH in rows.columns:
+        kept = kept.filter(F.col(MONTH) >= f"{first:%Y-%m}")
+    if end is None:
+        return kept
+    return kept.filter(day < F.lit(end)).filter(F.col(MONTH) <= f"{end:%Y-%m}") if MONTH in rows.columns else kept.filter(day < F.lit(end))
 
 
 def split_summary(rows: DataFrame, split: Split) -> DataFrame:

@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from departure_risk.operators.clean import clean
 from departure_risk.operators.cube import cube_document
+from departure_risk.plans import refresh
 from departure_risk.plans.features import build_features
 from departure_risk.plans.models import BoostedModel, categories_of
 from departure_risk.plans.training import Trained, metrics_document, serving_snapshot, test_cube, train
@@ -44,9 +45,19 @@ def features_step(spark: SparkSession, flights_path: str, weather_path: str | No
     return write_by_month(build_features(flights, read_if_present(spark, weather_path)), features_path)
 
 
+def add_months_step(spark: SparkSession, raw_folder: str, flights_path: str, weather_path: str | None, features_path: str) -> list[str]:
+    """Take in new or corrected monthly files without building the rest again; returns the feature months written.
+
+    `raw_folder` holds the files of these months only. New flights are numbered after those of the table.
+    """
+    after = read_by_month(spark, flights_path).agg(F.coalesce(F.max("flight_id"), F.lit(0))).first()[0]
+    new = clean(read_raw(spark, raw_folder), flight_id=F.monotonically_increasing_id() + 1 + after)
+    return refresh.add_months(spark, new, flights_path, read_if_present(spark, weather_path), features_path)
+
+
 def train_step(spark: SparkSession, features_path: str, artifacts: str, **options) -> Trained:
     """Train (see `training.train` for the options) and write model, categories, metrics, cube and snapshot."""
-    trained = train(read_by_month(spark, features_path), **options)
+    trained = train(read_by_month(spark, features_path, keep_month=True), **options)
     trained.model.save(spark, f"{artifacts}/model")
     categories = list(categories_of(trained.model.matrix).items())
     write_document(spark.createDataFrame(categories, "name string, labels array<string>"), f"{artifacts}/categories")

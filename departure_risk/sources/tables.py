@@ -5,11 +5,10 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.errors import AnalysisException
 
+from departure_risk.config import MONTH
 from departure_risk.functions.columns import month_label
 from departure_risk.session import written_once
 
-MONTH = "flight_month"
-
 
 def write_by_month(rows: DataFrame, path: str, rebalance: bool = True) -> int:
     """Write a dated table partitioned by month and return its row count, read from file footers.
@@ -24,14 +23,28 @@ def write_by_month(rows: DataFrame, path: str, rebalance: bool = True) -> int:
     return rows.sparkSession.read.parquet(path).count()
 
 
-def read_by_month(spark: SparkSession, path: str, first: dt.date | None = None, last: dt.date | None = None) -> DataFrame:
-    """A table written by month; with a first or last day, only the months that hold such days are listed and read."""
+def replace_months(rows: DataFrame, path: str) -> list[str]:
+    """Write the months that `rows` hold in place of those of the table; returns them. Other months' files stay as they are.
+
+    Rows without a day belong to no month and are left out.
+    """
+    dated = written_once(rows.where(F.col("flight_date").isNotNull()).withColumn(MONTH, month_label(F.col("flight_date"))), "months")
+    dated.hint("rebalance", MONTH).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(MONTH).parquet(path)
+    return sorted(r[0] for r in dated.select(MONTH).distinct().collect())
+
+
+def read_by_month(spark: SparkSession, path: str, first: dt.date | None = None, last: dt.date | None = None,
+                  keep_month: bool = False) -> DataFrame:
+    """A table written by month; with a first or last day, only the months that hold such days are listed and read.
+
+    With the month kept, later date bounds can prune months too (`operators.split.only` does).
+    """
     rows = spark.read.parquet(path)
     if first is not None:
         rows = rows.filter((F.col(MONTH) >= f"{first:%Y-%m}") & (F.col("flight_date") >= F.lit(first)))
     if last is not None:
         rows = rows.filter((F.col(MONTH) <= f"{last:%Y-%m}") & (F.col("flight_date") <= F.lit(last)))
-    return rows.drop(MONTH)
+    return rows if keep_month else rows.drop(MONTH)
 
 
 def read_if_present(spark: SparkSession, path: str | None) -> DataFrame | None:
