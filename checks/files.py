@@ -12,11 +12,12 @@ from pyspark.sql import functions as F
 from checks.catalog import check, rounded
 from checks.sql_parts import SNAPSHOT_LAST
 from departure_risk.config import RAW_COLUMNS, SNAPSHOT_MEDIANS, WEATHER_COLUMNS
+from departure_risk.operators.cube import prediction_cube
 from departure_risk.plans import refresh
 from departure_risk.plans.features import build_features
 from departure_risk.plans.serving import snapshot_of_table
-from departure_risk.session import shared_dir
-from departure_risk.sources import adapters, forecasts, landing, tables
+from departure_risk.session import shared_dir, written_once
+from departure_risk.sources import adapters, artifacts, forecasts, landing, tables
 from departure_risk.sources.csv_files import list_files, read_raw
 
 # An empty field of a CSV file is null.
@@ -133,6 +134,26 @@ def _(d):
     return rounded(d.spark.read.parquet(path), [*SNAPSHOT_MEDIANS, *SNAPSHOT_LAST])
 
 
+@check("s14_published_results", ["cube", "snapshot"], """
+    SELECT (SELECT count(*) FROM cube) AS cube_rows, (SELECT CAST(sum(n) AS BIGINT) FROM cube) AS flights,
+        (SELECT count(*) FROM snapshot) AS snapshot_rows, CAST(2 AS BIGINT) AS number""")
+def _(d):
+    """A version without parts of the test period, one with all, and one that stopped half-way."""
+    path, cube = _folder(d, "artifacts"), written_once(prediction_cube(d.test, top=4), "cube")
+    flights = _folder(d, "flights")
+    tables.write_by_month(d.flights, flights)
+    for rows, done in ((cube.where("carrier = 'C1'"), True), (cube, True), (cube.limit(0), False)):
+        folder = artifacts.new_version(path)
+        rows.write.parquet(f"{folder}/cube")
+        if done:
+            snapshot_of_table(d.spark, flights).write.parquet(f"{folder}/snapshot")
+            artifacts.publish(d.spark, path, folder)
+    folder = artifacts.current(d.spark, path)
+    read = d.spark.read.parquet(f"{folder}/cube").agg(F.count("*").alias("cube_rows"), F.sum("n").alias("flights"))
+    return read.crossJoin(d.spark.read.parquet(f"{folder}/snapshot").agg(F.count("*").alias("snapshot_rows"))).crossJoin(
+        artifacts.published(d.spark, path).agg(F.max("number").alias("number")))
+
+
 @check("s20_question_set", [], """
     SELECT concat('What did customer ', CAST(c_custkey AS VARCHAR), ' order?') AS question,
         CASE WHEN c_custkey % 5 > 0 THEN concat('SELECT ', CAST(c_custkey AS VARCHAR)) END AS sql,

@@ -8,6 +8,7 @@ from departure_risk.plans import refresh
 from departure_risk.plans.features import build_features
 from departure_risk.plans.models import BoostedModel, categories_of
 from departure_risk.plans.training import Trained, metrics_document, serving_snapshot, test_cube, train
+from departure_risk.sources.artifacts import current, new_version, publish
 from departure_risk.sources.csv_files import read_raw
 from departure_risk.sources.forecasts import add_fetched, airports_to_fetch, parse_payloads, usable_cache
 from departure_risk.sources.tables import read_by_month, read_if_present, write_by_month, write_document, write_weather
@@ -56,24 +57,29 @@ def add_months_step(spark: SparkSession, raw_folder: str, flights_path: str, wea
 
 
 def train_step(spark: SparkSession, features_path: str, artifacts: str, **options) -> Trained:
-    """Train (see `training.train` for the options) and write model, categories, metrics, cube and snapshot."""
+    """Train (see `training.train` for the options) and publish model, categories, metrics, cube and snapshot as one version."""
     trained = train(read_by_month(spark, features_path, keep_month=True), **options)
-    trained.model.save(spark, f"{artifacts}/model")
+    folder = new_version(artifacts)
+    trained.model.save(spark, f"{folder}/model")
     categories = list(categories_of(trained.model.matrix).items())
-    write_document(spark.createDataFrame(categories, "name string, labels array<string>"), f"{artifacts}/categories")
-    write_document(metrics_document(trained), f"{artifacts}/metrics")
-    test_cube(trained).write.mode("overwrite").parquet(f"{artifacts}/cube")
-    serving_snapshot(trained).write.mode("overwrite").parquet(f"{artifacts}/snapshot")
+    write_document(spark.createDataFrame(categories, "name string, labels array<string>"), f"{folder}/categories")
+    write_document(metrics_document(trained), f"{folder}/metrics")
+    test_cube(trained).write.parquet(f"{folder}/cube")
+    serving_snapshot(trained).write.parquet(f"{folder}/snapshot")
+    publish(spark, artifacts, folder)
     return trained
 
 
 def report_step(spark: SparkSession, artifacts: str, site: str) -> None:
-    """The results page's data: one JSON row of metrics and cube."""
-    cube = cube_document(spark.read.parquet(f"{artifacts}/cube"))
-    metrics = spark.read.json(f"{artifacts}/metrics")
+    """The results page's data: one JSON row of metrics and cube, of the last complete version."""
+    folder = current(spark, artifacts)
+    cube = cube_document(spark.read.parquet(f"{folder}/cube"))
+    metrics = spark.read.json(f"{folder}/metrics")
     page = metrics.select(F.struct("*").alias("metrics"), cube.select(F.struct("*")).scalar().alias("cube"))
     write_document(page, site)
 
 
 def load_for_scoring(spark: SparkSession, artifacts: str) -> tuple[BoostedModel, DataFrame]:
-    return BoostedModel.load(spark, f"{artifacts}/model"), spark.read.parquet(f"{artifacts}/snapshot")
+    """Model and snapshot of the last complete version."""
+    folder = current(spark, artifacts)
+    return BoostedModel.load(spark, f"{folder}/model"), spark.read.parquet(f"{folder}/snapshot")
