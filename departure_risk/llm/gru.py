@@ -53,21 +53,35 @@ def lanes(lengths: np.ndarray, most: int) -> tuple[list[list[int]], np.ndarray]:
     return [dealt[i] for i in by_total], total[by_total]
 
 
-def laid_out(texts: list[np.ndarray], most: int, start: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Of the lanes, side by side: input words, target words, whether a text starts, text number; and lane lengths."""
-    dealt, total = lanes(np.array([len(t) for t in texts], np.int64), most)
-    shape = (int(total.max(initial=0)), len(dealt))
-    inputs, targets, text = (np.zeros(shape, np.int32) for _ in range(3))
-    starts = np.zeros(shape, bool)
-    for lane, members in enumerate(dealt):
-        at = 0
-        for number in members:
-            words = texts[number]
-            end = at + len(words)
-            targets[at:end, lane], text[at:end, lane] = words, number
-            inputs[at, lane], inputs[at + 1:end, lane] = start, words[:-1]
-            starts[at, lane], at = True, end
-    return inputs, targets, starts, text, total
+class Lanes:
+    """Texts in lanes, as runs of words one lane after the other; windows of them are laid side by side when they are read.
+
+    Memory grows with the words, not with the longest lane times the lanes.
+    """
+
+    def __init__(self, texts: list[np.ndarray], most: int, start: int):
+        lengths = np.array([len(t) for t in texts], np.int64)
+        dealt, self.total = lanes(lengths, most)
+        order = np.array([i for lane in dealt for i in lane], np.int64)
+        first = np.cumsum(lengths[order]) - lengths[order]
+        self.steps, self.first = int(self.total.max(initial=0)), np.cumsum(self.total) - self.total
+        self.targets = np.concatenate([texts[i] for i in order]).astype(np.int32) if len(order) else np.zeros(0, np.int32)
+        self.text = np.repeat(order, lengths[order]).astype(np.int32)
+        self.starts = np.zeros(len(self.targets), bool)
+        self.starts[first[lengths[order] > 0]] = True
+        self.inputs = np.zeros_like(self.targets)
+        self.inputs[1:] = self.targets[:-1]
+        self.inputs[self.starts] = start
+
+    def window(self, at: int, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Steps `at` to `at + size` of the lanes that still have words: input words, target words, whether a text starts,
+        text numbers, and how many lanes (from the first) have a word at each step."""
+        steps = np.arange(at, min(at + size, self.steps))
+        active = (self.total[None, :] > steps[:, None]).sum(axis=1)
+        going = int(active.max(initial=0))
+        # behind a lane's end its last word stands in; it is not active
+        place = self.first[:going] + np.minimum(steps[:, None], self.total[:going] - 1)
+        return self.inputs[place], self.targets[place], self.starts[place], self.text[place], active
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -121,16 +135,15 @@ def score(net: Net, texts: list[np.ndarray], start: int, most: int = 1024, windo
     """Natural log probability of each whole text (arrays of word ids)."""
     if not texts:
         return np.zeros(0)
-    inputs, targets, starts, text, total = laid_out(texts, most, start)
-    state, out = np.zeros((inputs.shape[1], net["state"].shape[0]), np.float32), np.zeros(len(texts))
-    for at in range(0, len(inputs), window):
-        part = slice(at, at + window)
-        active = (total[None, :] > np.arange(at, min(at + window, len(inputs)))[:, None]).sum(axis=1)
-        states = run(net, state, inputs[part], starts[part], active)
+    laid, out = Lanes(texts, most, start), np.zeros(len(texts))
+    state = np.zeros((len(laid.total), net["state"].shape[0]), np.float32)
+    for at in range(0, laid.steps, window):
+        inputs, targets, starts, text, active = laid.window(at, window)
+        states = run(net, state[:inputs.shape[1]], inputs, starts, active)
         used = np.arange(inputs.shape[1]) < active[:, None]
         # a word is predicted by the state that has read the words before it: the input of a step is the word before
-        logs = log_likelihood(net, states[used], targets[part][used])
-        out += np.bincount(text[part][used], logs, len(texts))
+        logs = log_likelihood(net, states[used], targets[used])
+        out += np.bincount(text[used], logs, len(texts))
     return out
 
 
@@ -206,12 +219,11 @@ def windows(net: Net, texts: list[np.ndarray], start: int, most: int, window: in
 
     The net may change between windows.
     """
-    inputs, targets, starts, _, total = laid_out(texts, most, start)
-    state = np.zeros((inputs.shape[1], net["state"].shape[0]), np.float32)
-    for at in range(0, len(inputs), window):
-        part = slice(at, at + window)
-        active = (total[None, :] > np.arange(at, min(at + window, len(inputs)))[:, None]).sum(axis=1)
-        yield gradients(net, state, inputs[part], targets[part], starts[part], active)[0], int(active.sum()), at / len(inputs)
+    laid = Lanes(texts, most, start)
+    state = np.zeros((len(laid.total), net["state"].shape[0]), np.float32)
+    for at in range(0, laid.steps, window):
+        inputs, targets, starts, _, active = laid.window(at, window)
+        yield gradients(net, state[:inputs.shape[1]], inputs, targets, starts, active)[0], int(active.sum()), at / laid.steps
 
 
 def train(net: Net, texts: list[np.ndarray], start: int, epochs: int, most: int = 128, window: int = 32, rate: float = 6e-3, seed: int = 1) -> Net:

@@ -43,6 +43,8 @@ WINDOW_WORDS, LANES, STEP_WORDS = 32, 512, 8192
 SLICE = 8 << 20
 #: Entries of a network that are averaged by one task.
 PART = 16384
+#: Networks that are added up at a time, and how often before the last sum: enough for 262,144 partitions.
+TOGETHER, LEVELS = 64, 2
 
 
 def fold(id_col: Column, folds: int = 7) -> Column:
@@ -154,8 +156,7 @@ def _sample(texts: DataFrame, vocab: Vocabulary, sampled: int, length: int) -> l
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.list_(pa.int64()))], names=["id", "words"])
 
     rows = texts.join(F.broadcast(ids.distinct()), "id").select("id", "text").mapInArrow(  # at most `sampled` rows
-        cut, f"id {dict(texts.dtypes)['id']}, words array<long>").collect()
-    rows = sorted(rows, key=lambda r: (r.id, r.words))[:2 * sampled]
+        cut, f"id {dict(texts.dtypes)['id']}, words array<long>").orderBy("id", "words").limit(2 * sampled).collect()  # ids may repeat
     return [network_ids(np.array(r.words, np.int64), vocab) for r in rows]
 
 
@@ -200,16 +201,22 @@ def averaged(net: gru.Net, texts: DataFrame, vocab, rate: float = 1.5e-3, lanes:
         flat = _flat(own).astype(np.float64) * weight
         if weight:
             for number, at in enumerate(range(0, len(flat), PART)):
-                yield pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), pa.array([float(weight)]),
-                                                  pa.array([flat[at:at + PART].tobytes()])], names=["part", "weight", "sum"])
+                yield pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), pa.array([TaskContext.get().partitionId()], pa.int64()),
+                                                  pa.array([float(weight)]), pa.array([flat[at:at + PART].tobytes()])],
+                                                 names=["part", "slot", "weight", "sum"])
 
     def add(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("slot", kind="stable")
         total = sum(np.frombuffer(s) for s in rows["sum"])
-        return pd.DataFrame({"part": rows["part"].iloc[:1], "mean": [(total / rows["weight"].sum()).tobytes()]})
-
-    parts = texts.select("text").mapInArrow(learn, "part long, weight double, sum binary").groupBy("part").applyInPandas(
-        add, "part long, mean binary").collect()  # one network
-    return _unflat(np.concatenate([np.frombuffer(r["mean"]) for r in sorted(parts)]), net) if parts else net
+        return pd.DataFrame({"part": rows["part"].iloc[:1].to_numpy(), "slot": [int(rows["slot"].iloc[0]) // TOGETHER],
+                             "weight": [rows["weight"].sum()], "sum": [total.tobytes()]})
+
+    kind = "part long, slot long, weight double, sum binary"
+    sums = texts.select("text").mapInArrow(learn, kind)
+    for _ in range(LEVELS):
+        sums = sums.groupBy("part", F.expr(f"slot div {TOGETHER}")).applyInPandas(lambda rows: add(rows), kind)
+    parts = sorted(sums.groupBy("part").applyInPandas(add, kind).collect())  # one network
+    return _unflat(np.concatenate([np.frombuffer(r["sum"]) / r["weight"] for r in parts]), net) if parts else net
 
 
 def scored(docs: DataFrame, net, vocab) -> DataFrame:

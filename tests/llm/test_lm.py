@@ -1,3 +1,4 @@
+import tracemalloc
 import collections
 import math
 import zlib
@@ -38,12 +39,35 @@ def test_scores_against_one_step_at_a_time(most, window):
     assert got == pytest.approx([plain_score(net, t, 0) for t in texts], rel=1e-4)
 
 
+def test_one_very_long_text_beside_short_ones():
+    rng = np.random.default_rng(4)
+    texts = [rng.integers(0, 12, 40) for _ in range(500)] + [rng.integers(0, 12, 1_000_000)]
+    tracemalloc.start()
+    laid = gru.Lanes(texts, 512, 0)
+    read = [sum(int(laid.window(at, 32)[4].sum()) for at in range(0, laid.steps, 32)), tracemalloc.get_traced_memory()[1] / 2**20]
+    tracemalloc.stop()
+    assert read[0] == 1_020_000 and read[1] < 100
+
+
+def test_every_word_is_laid_out_once_behind_the_one_before():
+    rng = np.random.default_rng(5)
+    texts = [rng.integers(1, 12, n) for n in (9, 0, 33, 4, 4, 1, 17)]
+    laid, seen = gru.Lanes(texts, 3, 0), {i: [] for i in range(len(texts))}
+    for at in range(0, laid.steps, 5):
+        inputs, targets, starts, text, active = laid.window(at, 5)
+        for t, n in enumerate(active):
+            for lane in range(n):
+                number = int(text[t, lane])
+                assert inputs[t, lane] == (seen[number][-1] if seen[number] else 0) and starts[t, lane] == (not seen[number])
+                seen[number].append(int(targets[t, lane]))
+    assert all(seen[i] == t.tolist() for i, t in enumerate(texts))
+
+
 def test_gradients_against_differences():
     rng = np.random.default_rng(2)
     net = {k: v.astype(np.float64) + rng.normal(0, 0.3, v.shape) for k, v in gru.new_net(SHAPE, np.arange(12.0)).items()}
     texts = [rng.integers(0, 12, n) for n in (7, 3, 5, 1)]
-    inputs, targets, starts, _, total = gru.laid_out(texts, 3, 0)
-    active = (total[None, :] > np.arange(len(inputs))[:, None]).sum(axis=1)
+    inputs, targets, starts, _, active = gru.Lanes(texts, 3, 0).window(0, 100)
 
     def of(net):
         return gru.gradients(net, np.zeros((inputs.shape[1], 5)), inputs, targets, starts, active)
