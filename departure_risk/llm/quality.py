@@ -4,8 +4,9 @@ A text's UTF-8 bytes are embedded; filters over WIDTH bytes, moved by STEP bytes
 by WIDTH - STEP and cover the whole text. Each filter's largest value in a chunk is kept, a hidden layer reads those of a
 chunk, and the means and largest values of the hidden units over all chunks give one probability.
 
-`train` fits the network in numpy on at most `documents` labelled documents and `chunks` chunks of each, spread over the
-document: a bounded sample (the bounds are parameters) on the driver. `scores` reads whole texts, in batches on executors.
+`train` fits the network in numpy on at most `documents` labelled documents (a parameter) on the driver, on all chunks of
+each; chunks go through the filters some at a time, so a long document costs no more memory than its bytes. `scores` reads
+whole texts, in batches on executors.
 
 Defined cases: null and empty texts are one chunk of zero bytes and get its score; rows without an id are scored and never
 learned from; rows that repeat an id are scored each; without labels of both kinds every score is 1.0, so nothing is
@@ -114,12 +115,14 @@ def new_network(seed: int) -> Network:
 
 
 def _gradients(chunks: np.ndarray, counts: np.ndarray, labels: np.ndarray, net: Network) -> Network:
-    """Of the mean log loss of some documents. chunks: CHUNK + WIDTH bytes each, the documents' one after the other."""
+    """Of the mean log loss of some documents. chunks: CHUNK + WIDTH bytes each, the documents' one after the other.
+
+    Filter values of all chunks are made a part at a time, of which only the largest ones and their places are kept.
+    """
     n = len(chunks)
-    parts = (net["bytes"][chunks].reshape(-1, STEP * DEEP) @ net["filters"]).reshape(n, -1, PARTS * FILTERS)
-    values = sum(parts[:, j:WINDOWS + j, j * FILTERS:(j + 1) * FILTERS] for j in range(PARTS))
-    where = values.argmax(axis=1)
-    largest = np.take_along_axis(values, where[:, None], axis=1)[:, 0]
+    parts = [slice(at, at + AT_ONCE // CHUNK) for at in range(0, n, AT_ONCE // CHUNK)]
+    where, largest = zip(*[_largest(chunks[part], net) for part in parts])
+    where, largest = np.concatenate(where), np.concatenate(largest)
     active = np.maximum(largest + net["filter_bias"], 0)
     hidden = np.maximum(active @ net["hidden"] + net["hidden_bias"], 0)
     at = np.cumsum(counts) - counts
@@ -131,18 +134,29 @@ def _gradients(chunks: np.ndarray, counts: np.ndarray, labels: np.ndarray, net:
     share = is_top / np.add.reduceat(is_top, at, axis=0, dtype=np.float32)[doc]
     dh = dz[doc, None] * (net["mean"] / counts[doc, None] + net["top"] * share) * (hidden > 0)
     da = (dh @ net["hidden"].T) * (largest + net["filter_bias"] > 0)
-    windows = chunks[np.arange(n)[:, None, None], where[:, :, None] * STEP + np.arange(WIDTH)]  # n, filters, WIDTH
-    seen = net["bytes"][windows].reshape(n, FILTERS, WIDTH * DEEP)
-    own = np.einsum("nf,nfk->kf", da, seen).reshape(PARTS, STEP * DEEP, FILTERS)
+    of_bytes, of_filters = np.zeros((256, DEEP)), np.zeros((FILTERS, WIDTH * DEEP), da.dtype)
     weights = net["filters"].reshape(STEP * DEEP, PARTS, FILTERS).transpose(2, 1, 0).reshape(FILTERS, WIDTH, DEEP)
-    back = (da[:, :, None, None] * weights[None]).reshape(-1, DEEP)
-    flat = windows.reshape(-1)
-    return {"bytes": np.stack([np.bincount(flat, back[:, d], 256) for d in range(DEEP)], axis=1),
-            "filters": own.transpose(1, 0, 2).reshape(STEP * DEEP, PARTS * FILTERS), "filter_bias": da.sum(axis=0),
+    for part in parts:
+        d = da[part]
+        windows = chunks[part][np.arange(len(d))[:, None, None], where[part][:, :, None] * STEP + np.arange(WIDTH)]  # chunks, filters, WIDTH
+        of_filters += np.einsum("nf,nfk->fk", d, net["bytes"][windows].reshape(len(d), FILTERS, WIDTH * DEEP))
+        back = (d[:, :, None, None] * weights[None]).reshape(-1, DEEP)
+        flat = windows.reshape(-1)
+        of_bytes += np.stack([np.bincount(flat, back[:, i], 256) for i in range(DEEP)], axis=1)
+    own = of_filters.T.reshape(PARTS, STEP * DEEP, FILTERS)
+    return {"bytes": of_bytes, "filters": own.transpose(1, 0, 2).reshape(STEP * DEEP, PARTS * FILTERS), "filter_bias": da.sum(axis=0),
             "hidden": active.T @ dh, "hidden_bias": dh.sum(axis=0), "mean": mean.T @ dz, "top": top.T @ dz,
             "bias": dz.sum(keepdims=True)}
 
 
+def _largest(chunks: np.ndarray, net: Network) -> tuple[np.ndarray, np.ndarray]:
+    """Where each filter is largest in each chunk, and its value there."""
+    parts = (net["bytes"][chunks].reshape(-1, STEP * DEEP) @ net["filters"]).reshape(len(chunks), -1, PARTS * FILTERS)
+    values = sum(parts[:, j:WINDOWS + j, j * FILTERS:(j + 1) * FILTERS] for j in range(PARTS))
+    where = values.argmax(axis=1)
+    return where, np.take_along_axis(values, where[:, None], axis=1)[:, 0]
+
+
 def fit(samples: list[tuple[bytes, int]], epochs: int = 6, batch: int = 48, rate: float = 4e-3, seed: int = 5) -> Network:
     """Adam on documents given as (chunks of CHUNK + WIDTH bytes one after the other, label)."""
     net, rng = new_network(seed), np.random.default_rng(seed)
@@ -167,12 +181,11 @@ def fit(samples: list[tuple[bytes, int]], epochs: int = 6, batch: int = 48, rate
     return net
 
 
-def spread_chunks(text: bytes, most: int) -> bytes:
-    """At most `most` chunks at even distances, each with the bytes of the next that its last windows reach."""
+def all_chunks(text: bytes) -> bytes:
+    """The chunks of a text one after the other, each with the bytes of the next that its last windows reach."""
     count = chunk_count(len(text))
-    padded = text.ljust(count * CHUNK, b"\0") + bytes(WIDTH)
-    places = range(count) if count <= most else [i * count // most for i in range(most)]
-    return b"".join(padded[p * CHUNK:(p + 1) * CHUNK + WIDTH] for p in places)
+    padded = np.frombuffer(text.ljust(count * CHUNK, b"\0") + bytes(WIDTH), np.uint8)
+    return np.lib.stride_tricks.sliding_window_view(padded, CHUNK + WIDTH)[::CHUNK].tobytes()
 
 
 def held_out(id_col: Column, folds: int = 5) -> Column:
@@ -180,22 +193,16 @@ def held_out(id_col: Column, folds: int = 5) -> Column:
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality",
-          documents: int = 6000, chunks: int = 32, **options) -> Network:
+          documents: int = 6000, **options) -> Network:
     """Fit on labelled documents outside the held-out fold: the `documents` first ones by the hash of their id."""
     known = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("id")).agg(
         F.min(label_col).cast("int").alias("label")).where(~held_out(F.col("id")))
     chosen = known.orderBy(F.xxhash64("id"), "id").limit(documents)
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            cuts = [spread_chunks((t or "").encode(), chunks) for t in b.column(2).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(cuts, pa.binary())], names=["id", "label", "chunks"])
-
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    rows = texts.join(F.broadcast(chosen), "id").select("id", "label", "text").mapInArrow(  # at most `documents` rows
-        cut, f"id {dict(docs.dtypes)[id_col]}, label int, chunks binary").toPandas()
-    rows = rows.sort_values(["id", "chunks"], kind="stable")[:2 * documents]
-    return fit(list(zip(rows["chunks"], rows["label"])), **options)
+    own = texts.join(F.broadcast(chosen), "id").select("id", "label", F.coalesce("text", F.lit("")).alias("text"))  # at most `documents` rows
+    rows = own.orderBy("id", "text").limit(2 * documents).toPandas()  # ids may repeat
+    return fit([(all_chunks(t.encode()), y) for t, y in zip(rows["text"], rows["label"])], **options)
 
 
 def scorer(net: Network):

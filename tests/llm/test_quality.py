@@ -28,7 +28,9 @@ def loss(net, chunks, counts, labels):
     return out
 
 
-def test_gradients_against_differences():
+@pytest.mark.parametrize("at_once", [1 << 18, 2 * quality.CHUNK])
+def test_gradients_against_differences(monkeypatch, at_once):
+    monkeypatch.setattr(quality, "AT_ONCE", at_once)
     rng = np.random.default_rng(0)
     counts, labels = np.array([3, 4]), np.array([0.0, 1.0])
     chunks = rng.integers(0, 256, (7, quality.CHUNK + quality.WIDTH)).astype(np.uint8)
@@ -51,7 +53,7 @@ def test_scores_against_chunk_by_chunk(monkeypatch):
              bytes(rng.integers(0, 256, 40 * quality.CHUNK + 3))]
     got = quality.score_texts(texts, net)
     for text, p in zip(texts, got):
-        chunks = np.frombuffer(quality.spread_chunks(text, 10_000), np.uint8).reshape(-1, quality.CHUNK + quality.WIDTH)
+        chunks = np.frombuffer(quality.all_chunks(text), np.uint8).reshape(-1, quality.CHUNK + quality.WIDTH)
         assert -np.log(p) == pytest.approx(loss(net, chunks, [len(chunks)], [1]), abs=1e-4)
 
 
@@ -78,6 +80,16 @@ def test_held_out_documents_are_told_apart(spark):
     assert kept.columns == rows.columns and kept.count() == sum(r.predicted for r in got)
 
 
+def test_whole_texts_of_the_sample_are_learned(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    docs = [(i, sentence(rng, int(rng.integers(1, 3000)))) for i in range(60)] + [(70, None), (71, ""), (1, "again")]
+    given = []
+    monkeypatch.setattr(quality, "fit", lambda samples: given.extend(samples))
+    quality.train(table(spark, docs), table(spark, [(i, i % 2) for i in range(80)], "doc_id long, quality int"))
+    parts = [(np.frombuffer(c, np.uint8).reshape(-1, quality.CHUNK + quality.WIDTH)[:, :quality.CHUNK].tobytes().rstrip(b"\0"), y) for c, y in given]
+    assert sorted(parts) == sorted(((t or "").encode(), i % 2) for i, t in docs if zlib.crc32(str(i).encode()) % 5)
+
+
 def test_held_out_labels_are_never_learned(spark):
     docs = corpus(200)
     flip = {i: int(i % 2 == 0) ^ int(zlib.crc32(str(i).encode()) % 5 == 0) for i, _ in docs}
