@@ -11,7 +11,7 @@ wins. Urls without a rule get their host's verdict from the link graph:
    links to a host, of the trust they come from. No number of other linkers makes them smaller. All four share one iteration
    over the host edges until no host changes by more than `tolerance` or after `rounds`.
 4. A host is blocked if its distrust exceeds its trust, or its exposure both its standing and its trust, by more than
-   `threshold`; the seed's own part is (1 - damping).
+   `threshold`; the seed's own part is (1 - damping). The means are an addition to the PageRanks (`means` turns them off).
 
 Only columns and SQL functions are used. Pages are read and never shuffled while the hosts are few enough for Spark to
 broadcast; edges and ranks are tables of hosts, written each round.
@@ -43,7 +43,10 @@ def path_of(url: Column) -> Column:
 def host_rules(hosts: DataFrame, rules: DataFrame) -> DataFrame:
     """host and rules: those that fit the host, the longest first (ties by code point)."""
     labels = F.split("host", r"\.")
-    suffix = F.explode(F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.concat_ws(".", F.slice(labels, i, F.size(labels)))))
+    # no more labels than the longest rule has
+    most = rules.agg(F.coalesce(F.max(F.size(labels)), F.lit(1))).first()[0]
+    suffix = F.explode(F.transform(F.sequence(F.greatest(F.size(labels) - most + 1, F.lit(1)), F.size(labels)),
+                                   lambda i: F.concat_ws(".", F.slice(labels, i, F.lit(most)))))
     named = rules.select(F.col("host").alias("suffix"), F.col("path").alias("rule_path"), "verdict")
     rule = F.struct((-F.length(F.concat("suffix", "rule_path"))).alias("order"), F.concat("suffix", "rule_path").alias("rule"),
                     F.col("rule_path").alias("path"), "verdict")
@@ -102,8 +105,11 @@ def propagate(seeds: DataFrame, edges: DataFrame, damping: float = 0.85, rounds:
 
 
 def judged(pages: DataFrame, rules: list[tuple[str, str, str]], id_col: str = "page_id", url_col: str = "url",
-           html_col: str = "html", threshold: float = 0.05, **options) -> DataFrame:
-    """page_id, host, path, rule (host and path of the winning rule, or null) and verdict (allow or block), per row."""
+           html_col: str = "html", threshold: float = 0.05, means: bool = True, **options) -> DataFrame:
+    """page_id, host, path, rule (host and path of the winning rule, or null) and verdict (allow or block), per row.
+
+    means=False: the two PageRanks alone decide.
+    """
     spark: SparkSession = pages.sparkSession
     url = F.col(url_col).cast("string")
     parsed = pages.select(F.col(id_col).alias("page_id"), host_of(url).alias("host"), path_of(url).alias("path"), F.col(html_col).cast("string").alias("html"))
@@ -113,7 +119,9 @@ def judged(pages: DataFrame, rules: list[tuple[str, str, str]], id_col: str = "p
         F.count_if(F.col("found.verdict") == "allow").alias("allowed"), F.count_if(F.col("found.verdict") == "block").alias("blocked"),
         F.count(F.lit(1)).alias("pages")).select("host", ((F.col("allowed") - F.col("blocked")) / F.col("pages")).alias("seed")), "host-seeds")
     ranks = propagate(seeds, written_once(link_edges(parsed), "host-links"), **options)
-    excess = F.greatest(F.col("distrust") - F.col("trust"), F.col("exposure") - F.greatest("trust", "standing"))
+    excess = F.col("distrust") - F.col("trust")
+    if means:
+        excess = F.greatest(excess, F.col("exposure") - F.greatest("trust", "standing"))
     hosts = written_once(seeds.join(ranks, "host", "left").join(of_host, "host", "left").select(
         "host", "rules", (F.coalesce(excess, F.lit(0.0)) > threshold).alias("bad")), "hosts")
     verdict = F.coalesce(F.col("found.verdict"), F.when(F.col("bad") & (F.col("host") != ""), F.lit("block")).otherwise(F.lit("allow")))

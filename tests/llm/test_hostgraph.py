@@ -26,18 +26,20 @@ def rule_of(host, path, rules):
 def ranks(seeds, edges, damping=0.85, rounds=30):
     hosts = sorted(set(seeds) | {h for e in edges for h in e})
     sent, got = ({h: sum(w for e, w in edges.items() if e[k] == h) for h in hosts} for k in (0, 1))
-    base = {h: ((1 - damping) * max(seeds.get(h, 0), 0), (1 - damping) * max(-seeds.get(h, 0), 0)) for h in hosts}
+    base = {h: ((1 - damping) * max(seeds.get(h, 0), 0), (1 - damping) * max(-seeds.get(h, 0), 0)) * 2 for h in hosts}
     now = dict(base)
     for _ in range(rounds):
         new = {h: list(base[h]) for h in hosts}
         for (a, b), w in edges.items():
             new[b][0] += damping * now[a][0] * w / sent[a]
             new[a][1] += damping * now[b][1] * w / got[b]
+            new[b][2] += damping * now[a][2] * w / got[b]
+            new[a][3] += damping * now[b][3] * w / sent[a]
         now = new
     return now
 
 
-def brute(rows, rules, threshold=0.05):
+def brute(rows, rules, threshold=0.05, means=True):
     import re
 
     edges, pages, net = {}, {}, {}
@@ -58,13 +60,14 @@ def brute(rows, rules, threshold=0.05):
     for page, url, _ in rows:
         host, path = parts(url)
         rule, verdict = rule_of(host, path, rules)
-        bad = host and found[host][1] - found[host][0] > threshold
+        trust, distrust, standing, exposure = found[host] if host in found else [0] * 4
+        bad = host and (distrust - trust > threshold or (means and exposure - max(trust, standing) > threshold))
         out.append((page, host, path, rule, verdict or ("block" if bad else "allow")))
     return sorted(out, key=repr)
 
 
-def judged(spark, rows, rules):
-    return sorted((tuple(r) for r in hostgraph.judged(table(spark, rows, SCHEMA).repartition(3), rules).collect()), key=repr)
+def judged(spark, rows, rules, **options):
+    return sorted((tuple(r) for r in hostgraph.judged(table(spark, rows, SCHEMA).repartition(3), rules, **options).collect()), key=repr)
 
 
 def web():
@@ -76,6 +79,7 @@ def web():
         links = "".join(f'<a class=x href="{rng.choice(["http://", "https://", "//"])}{hosts[int(rng.integers(len(hosts)))]}/p">y</a>' for _ in range(int(rng.integers(0, 4))))
         spam = '<A HREF=http://spam.net/buy>z</A>' if "site1" in host else ""
         rows.append((i, f"http{'s' if i % 2 else ''}://{host}/{rng.choice(['en', 'fr', 'de', 'es'])}/{i}?q=a://b#c", f"<p><a href='/own'>o</a>{links}{spam}</p>"))
+    rows += [(600 + i, f"http://farm{i % 6}.net/{i}", "<a href='//spam.net/buy'>z</a>") for i in range(12)]
     odd = [None, "", "no scheme/x", "://", "http://", "HTTP://UPPER.Org", "ftp://h.org?x/y", "http://org/", "http://xorg/", "x://a.com#f/fr/", "http://b.com/fr/://c.net/de/",
            "http://b.com/fr", "//c.org/x", "mailto:a@b", "http://c.com:80/de/", "http://é.org/ü", "http://d.org/a\nb?c"]
     return rows + [(1000 + i, u, None if i % 2 else "<a href=''></a><a href='//'></a><a href=>") for i, u in enumerate(odd)] + [(1, rows[1][1], ""), (None, rows[2][1], None)]
@@ -88,6 +92,17 @@ RULES = URL_RULES + [("spam.net", "/", "block"), ("hub.net", "/en/", "allow")]
 def test_against_a_plain_walk(spark, rules):
     rows = web()
     assert judged(spark, rows, rules) == brute(rows, rules)
+    if rules is RULES:  # the means decide here
+        assert judged(spark, rows, rules, means=False) == brute(rows, rules, means=False) != brute(rows, rules)
+
+
+def test_hosts_of_very_many_labels_and_a_hub(spark):
+    long = "a." * 60_000 + "example.org"
+    rows = [(1, f"http://{long}/es/", None), (2, f"http://{long}/x", None), (3, "http://a.b.c.de/", None)]
+    rows += [(10 + i, f"http://h{i}.edu/", '<a href="//hub.edu/">x</a><a href="//bad.info/">y</a>') for i in range(300)]
+    rows += [(400, "http://hub.edu/", "".join(f'<a href="//h{i}.edu/">x</a>' for i in range(300)))]
+    rules = [("example.org", "/es/", "block"), ("org", "/", "allow"), ("hub.edu", "/", "allow"), ("bad.info", "/", "block")]
+    assert judged(spark, rows, rules) == brute(rows, rules)
 
 
 def test_distrust_reaches_hosts_that_link_to_blocked_ones(spark):
