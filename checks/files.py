@@ -13,12 +13,12 @@ from checks.catalog import check, rounded
 from checks.sql_parts import SNAPSHOT_LAST
 from departure_risk.config import RAW_COLUMNS, SNAPSHOT_MEDIANS, WEATHER_COLUMNS
 from departure_risk.operators.cube import prediction_cube
-from departure_risk.plans import refresh
+from departure_risk.plans import full_run, refresh
 from departure_risk.plans.features import build_features
 from departure_risk.plans.serving import snapshot_of_table
 from departure_risk.session import shared_dir, written_once
 from departure_risk.sources import adapters, artifacts, forecasts, landing, tables
-from departure_risk.sources.csv_files import list_files, read_raw
+from departure_risk.sources.csv_files import headers, list_files, read_raw
 
 # An empty field of a CSV file is null.
 _TEXT = ", ".join(f"nullif({c}, '') AS {c}" for c in RAW_COLUMNS)
@@ -38,6 +38,41 @@ def _(d):
     return read_raw(d.spark, folder)
 
 
+@check("s2_headers", [], f"""
+    WITH days AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS day FROM orders)
+    SELECT strftime(day, '%Y-%m') AS month, count(*) AS files, count(*) FILTER (WHERE day(day) % 7 <> 3) AS complete,
+        CAST({len(RAW_COLUMNS)} AS BIGINT) AS most_columns FROM days GROUP BY ALL""")
+def _(d):
+    """A file a day, some with columns the other way round and some without the last one; verdicts by month."""
+    folder = _folder(d, "headers")
+    of_day = [*RAW_COLUMNS], RAW_COLUMNS[::-1], RAW_COLUMNS[:-1]
+    kind = F.when(F.expr("day(to_date(FlightDate)) % 7 = 3"), 2).otherwise(F.expr("day(to_date(FlightDate)) % 2"))
+    text = d.raw.select(*RAW_COLUMNS).withColumns({"day": F.col("FlightDate"), "kind": kind})
+    for part, columns in enumerate(of_day):
+        text.where(F.col("kind") == part).select(*columns, "day").repartition(8, "day").write.option("header", True).partitionBy("day").csv(f"{folder}/{part}")
+    found = headers(d.spark, list_files(d.spark, folder))
+    rows = d.spark.createDataFrame([(p, list(c)) for p, c in found.items()], "path string, columns array<string>")
+    of_file = rows.select(F.regexp_extract("path", r"day=(\d{4}-\d{2})", 1).alias("month"), F.size("columns").cast("long").alias("columns"),
+                          (F.size(F.array_except(F.lit(RAW_COLUMNS), "columns")) == 0).alias("complete"))
+    return of_file.groupBy("month").agg(F.count("*").alias("files"), F.count_if("complete").alias("complete"), F.max("columns").alias("most_columns"))
+
+
+@check("s10_counts_while_writing", ["flights", "raw"], """
+    SELECT (SELECT count(*) FROM raw) AS rows_read, (SELECT count(*) FROM raw WHERE flight_id % 11 = 0) AS malformed,
+        count(*) AS kept, count(*) FILTER (WHERE operated) AS operated
+    FROM flights WHERE flight_id % 11 <> 0""")
+def _(d):
+    """Every eleventh row has a field too many; all counts come from the pass that writes the table."""
+    folder, path = _folder(d, "csv"), _folder(d, "flights")
+    broken = F.when(F.col("flight_id") % 11 == 0, F.lit("N1,more")).otherwise(F.col("Tail_Number"))
+    d.raw.withColumn("Tail_Number", broken).select(*RAW_COLUMNS).write.option("header", True).option("quote", "\u0000").csv(folder)
+    counts = full_run.counted_clean_step(d.spark, folder, path)
+    kept = tables.read_by_month(d.spark, path).count()
+    if kept != counts["kept"]:
+        raise ValueError(f"{counts['kept']} rows were counted and {kept} written")
+    return d.spark.createDataFrame([counts], "rows_read long, malformed long, kept long, operated long")
+
+
 @check("s3_listed_months", [], "SELECT DISTINCT strftime(o_orderdate, '%Y-%m') AS month FROM orders")
 def _(d):
     folder = _folder(d, "listing")
@@ -109,9 +144,23 @@ def _(d):
     payloads = adapters.payloads_from_weather(d.weather.filter("airport >= 'A2'"))
     tables.write_weather(d.spark, d.weather.filter("airport <= 'A2'"), path)
     for _ in range(2):
-        cached = tables.read_if_present(d.spark, path)
+        cached = tables.read_weather(d.spark, path)
         tables.write_weather(d.spark, forecasts.add_fetched(cached, forecasts.parse_payloads(payloads)), path)
-    return rounded(d.spark.read.parquet(path), list(WEATHER_COLUMNS.values()))
+    return rounded(tables.read_weather(d.spark, path), list(WEATHER_COLUMNS.values()))
+
+
+@check("s12_weather_upsert", ["weather"], f"""
+    SELECT airport, date, {_WEATHER.replace("round(gust_kmh, 6)", "round(CASE WHEN airport IN ('A1', 'A4') AND day(date) > 9 THEN gust_kmh + 7 ELSE gust_kmh END, 6)")}
+    FROM weather""")
+def _(d):
+    """Later days of two airports come again with other values, twice; one airport comes for the first time."""
+    path = _folder(d, "weather")
+    tables.write_weather(d.spark, d.weather.where("airport <> 'A4'"), path)
+    again = d.weather.where("airport = 'A4' or airport = 'A1' and day(date) > 9").withColumn(
+        "gust_kmh", F.expr("if(day(date) > 9, gust_kmh + 7, gust_kmh)"))
+    for _ in range(2):
+        tables.upsert_weather(d.spark, again, path)
+    return rounded(tables.read_weather(d.spark, path), list(WEATHER_COLUMNS.values()))
 
 
 @check("s12_weather_unusable", ["weather"], "SELECT count(*) - count(*) AS rows, count(DISTINCT airport) AS before FROM weather")
@@ -119,7 +168,7 @@ def _(d):
     """A table that no longer covers the days is empty afterwards."""
     path = _folder(d, "weather")
     tables.write_weather(d.spark, d.weather, path)
-    before = d.spark.read.parquet(path).agg(F.count_distinct("airport").alias("before")).first()[0]
+    before = tables.read_weather(d.spark, path).agg(F.count_distinct("airport").alias("before")).first()[0]
     tables.write_weather(d.spark, None, path)
     return d.spark.read.parquet(path).agg(F.count("*").alias("rows"), F.lit(before).cast("long").alias("before"))
 

@@ -1,15 +1,21 @@
 """Which months to land, which are there already, and unpacking the archives."""
 
 import io
+import json
 import zipfile
 from collections.abc import Iterator
+from typing import BinaryIO
 
 import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+
+from departure_risk.sources.stores import can_open, opened
 
 LANDED = r"ontime_(\d{4})_(\d{2})"
 LINES_PER_BATCH = 20_000
+LINES = "path string, line_no long, value string"
 
 
 def months_between(bounds: DataFrame, first: str, last: str) -> DataFrame:
@@ -46,24 +52,59 @@ def months_to_land(wanted: DataFrame, landed: DataFrame) -> DataFrame:
     return wanted.join(landed, ["year", "month"], "left_anti")
 
 
-def unpack(archives: DataFrame) -> DataFrame:
-    """Archives (path, content) to text lines (path, line_no, value): exactly one CSV per archive.
+class ArchivedLines(DataSource):
+    """The text lines of archives, exactly one CSV in each. The option `paths` is a JSON list; each archive is a partition.
+
+    Tasks read the archive's directory and then its member piece by piece, so an archive of any size takes little memory.
+    """
+
+    @classmethod
+    def name(cls) -> str:
+        return "archived_lines"
+
+    def schema(self) -> str:
+        return LINES
+
+    def reader(self, schema) -> DataSourceReader:
+        return ArchivedLinesReader(json.loads(self.options["paths"]))
+
 
-    One task handles whole archives and streams their lines in batches.
+class ArchivedLinesReader(DataSourceReader):
+    def __init__(self, paths: list[str]):
+        self.paths = paths
+
+    def partitions(self) -> list[InputPartition]:
+        return [InputPartition(path) for path in self.paths]
+
+    def read(self, partition: InputPartition) -> Iterator[pa.RecordBatch]:
+        with opened(partition.value) as file:
+            yield from _lines(partition.value, file)
+
+
+def unpack(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """Archives to text lines (path, line_no, value), one archive a partition.
+
+    Where tasks cannot open the archives themselves, Spark reads each whole into a row (up to 2 GB) first.
     """
-    schema = "path string, line_no long, value string"
-    return archives.select("path", "content").mapInArrow(_lines, schema)
+    if can_open(paths[0]):
+        spark.dataSource.register(ArchivedLines)
+        return spark.read.format(ArchivedLines.name()).option("paths", json.dumps(paths)).load()
+
+    def lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for archive in batch.to_pylist():
+                yield from _lines(archive["path"], io.BytesIO(archive["content"]))
+
+    return spark.read.format("binaryFile").load(paths).select("path", "content").mapInArrow(lines, LINES)
 
 
-def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for archive in batch.to_pylist():
-            with zipfile.ZipFile(io.BytesIO(archive["content"])) as packed:
-                names = [n for n in packed.namelist() if n.lower().endswith(".csv")]
-                if len(names) != 1:
-                    raise ValueError(f"{archive['path']} should hold a single CSV and holds {len(names)}: {names}")
-                with io.TextIOWrapper(packed.open(names[0]), encoding="utf-8") as text:
-                    yield from _batched(archive["path"], text)
+def _lines(path: str, archive: BinaryIO) -> Iterator[pa.RecordBatch]:
+    with zipfile.ZipFile(archive) as packed:
+        names = [n for n in packed.namelist() if n.lower().endswith(".csv")]
+        if len(names) != 1:
+            raise ValueError(f"{path} should hold a single CSV and holds {len(names)}: {names}")
+        with io.TextIOWrapper(packed.open(names[0]), encoding="utf-8") as text:
+            yield from _batched(path, text)
 
 
 def _batched(path: str, text: Iterator[str]) -> Iterator[pa.RecordBatch]:
@@ -109,7 +150,7 @@ def land(spark: SparkSession, archive_folder: str, raw_folder: str) -> int:
             raise
     paths = [row.path for row in todo.collect()]
     if paths:
-        lines = unpack(spark.read.format("binaryFile").load(paths)).withColumn("file", landed_name(F.col("path")))
+        lines = unpack(spark, paths).withColumn("file", landed_name(F.col("path")))
         ordered = lines.sortWithinPartitions("file", "line_no").select("file", "value")
         ordered.write.mode("append").partitionBy("file").text(raw_folder)
     return len(paths)

@@ -2,16 +2,19 @@
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 from pyspark.errors import AnalysisException
 
 from departure_risk.config import MONTH
 from departure_risk.functions.columns import month_label
 from departure_risk.session import written_once
 
+#: The partition column of the weather table.
+PLACE = "place"
+
 
 def write_by_month(rows: DataFrame, path: str, rebalance: bool = True) -> int:
-    """Write a dated table partitioned by month and return its row count, read from file footers.
+    """Write a dated table partitioned by month and return its row count, counted while writing.
 
     Rebalancing gathers a month into few files and still splits a month too large for one task. A table
     that arrives month by month (cleaned monthly files) can skip that shuffle.
@@ -19,8 +22,10 @@ def write_by_month(rows: DataFrame, path: str, rebalance: bool = True) -> int:
     dated = rows.withColumn(MONTH, month_label(F.col("flight_date")))
     if rebalance:
         dated = dated.hint("rebalance", MONTH)
-    dated.write.mode("overwrite").partitionBy(MONTH).parquet(path)
-    return rows.sparkSession.read.parquet(path).count()
+    # behind the last shuffle, so a row counts once also where a lost executor's work is done again
+    written = Observation()
+    dated.observe(written, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").partitionBy(MONTH).parquet(path)
+    return written.get["rows"]
 
 
 def replace_months(rows: DataFrame, path: str) -> list[str]:
@@ -59,17 +64,53 @@ def read_if_present(spark: SparkSession, path: str | None) -> DataFrame | None:
         return None
 
 
+def weather_place(airport: Column) -> Column:
+    """The partition of an airport's weather; never read as a number."""
+    return F.concat(F.lit("at-"), airport)
+
+
+def read_weather(spark: SparkSession, path: str | None) -> DataFrame | None:
+    """The weather table, or None when nothing was written there."""
+    weather = read_if_present(spark, path)
+    return None if weather is None else weather.drop(PLACE)
+
+
+def _by_airport(weather: DataFrame):
+    return weather.withColumn(PLACE, weather_place(F.col("airport"))).hint("rebalance", PLACE).write.mode("overwrite").partitionBy(PLACE)
+
+
 def write_weather(spark: SparkSession, weather: DataFrame | None, path: str) -> int:
-    """Write weather and return its row count; without any data, a table that was there before becomes empty.
+    """Write weather by airport and return its row count; without any data, a table that was there before becomes empty.
 
     Cached rows come from the very table that is replaced, so the new table is written elsewhere first.
     """
     if weather is None or weather.isEmpty():
-        if (before := read_if_present(spark, path)) is not None:
+        if (before := read_weather(spark, path)) is not None:
             spark.createDataFrame([], before.schema).write.mode("overwrite").parquet(path)
         return 0
-    written_once(weather, "weather").write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path).count()
+    stored = written_once(weather, "weather")
+    _by_airport(stored).parquet(path)
+    return stored.count()
+
+
+def upsert_weather(spark: SparkSession, rows: DataFrame, path: str) -> list[str]:
+    """Put `rows` (one per airport and day) in place of those of the same airport and day; returns the airports rewritten.
+
+    Only the files of these airports are read and written. Rows without an airport are left out. A table that is not kept by
+    airport yet is written anew. A step that is repeated, also after it stopped half-way, writes the same files again.
+    """
+    rows = written_once(rows.where("airport is not null"), "weather")
+    airports = sorted(r[0] for r in rows.select("airport").distinct().collect())
+    before = read_if_present(spark, path)
+    if before is None or PLACE not in before.columns:
+        others = None if before is None else before.join(rows, ["airport", "date"], "left_anti")
+        write_weather(spark, rows if others is None else rows.unionByName(others, allowMissingColumns=True), path)
+    elif airports:
+        theirs = before.where(F.col(PLACE).isin([f"at-{a}" for a in airports])).drop(PLACE)
+        kept = theirs.join(rows, ["airport", "date"], "left_anti")
+        merged = written_once(rows.unionByName(kept, allowMissingColumns=True), "weather")
+        _by_airport(merged).option("partitionOverwriteMode", "dynamic").parquet(path)
+    return airports
 
 
 def write_document(one_row: DataFrame, path: str) -> None:

@@ -5,6 +5,8 @@ from departure_risk.config import FLIGHTS_SCHEMA, RAW_COLUMNS
 from departure_risk.functions.columns import text_to_double, text_to_int
 from departure_risk.operators.clean import clean
 from departure_risk.operators.ids import dense_ids
+from departure_risk.plans import full_run
+from departure_risk.sources import tables
 from departure_risk.sources.csv_files import malformed_rows, read_raw
 
 
@@ -89,6 +91,16 @@ def test_malformed_rows_are_dropped_and_quotes_understood(spark, tmp_path):
     assert [r.file.rpartition("/")[2] for r in dropped] == ["a.csv"] and dropped[0].rows == 2
 
 
+def test_counts_come_from_the_pass_that_writes(spark, tmp_path):
+    given = {"FlightDate": "2025-01-03", "CRSDepTime": "0930", "DepDelay": "20", "Cancelled": "0", "Diverted": "0"}
+    write_csv(tmp_path / "raw", "a.csv", RAW_COLUMNS, line(RAW_COLUMNS, **given), "only,three,fields", line(RAW_COLUMNS, **given | {"Cancelled": "1"}))
+    turned = RAW_COLUMNS[::-1]
+    write_csv(tmp_path / "raw", "b.csv", turned, line(turned, **given), line(turned, **given | {"CRSDepTime": ""}), line(turned) + ",more")
+    counts = full_run.counted_clean_step(spark, str(tmp_path / "raw"), str(tmp_path / "flights"))
+    assert counts == {"rows_read": 6, "malformed": 2, "kept": 3, "operated": 2}
+    assert tables.read_by_month(spark, str(tmp_path / "flights")).count() == 3
+
+
 def test_missing_columns_are_found_in_any_file(spark, tmp_path):
     short = [c for c in RAW_COLUMNS if c != "Diverted"]
     write_csv(tmp_path / "raw", "a.csv", RAW_COLUMNS, line(RAW_COLUMNS))

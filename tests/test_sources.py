@@ -1,5 +1,6 @@
 import datetime as dt
 import json
+import tracemalloc
 import zipfile
 
 import pytest
@@ -9,7 +10,7 @@ from departure_risk.config import RAW_COLUMNS
 from departure_risk.operators.clean import clean
 from departure_risk.operators.weather import add_weather
 from departure_risk.plans.serving import fresh_snapshot, snapshot_of_table
-from departure_risk.sources import forecasts, landing, tables
+from departure_risk.sources import csv_files, forecasts, landing, stores, tables
 from departure_risk.sources.csv_files import read_raw
 
 
@@ -53,6 +54,48 @@ def test_archives_land_once_and_read_back(spark, tmp_path, monkeypatch):
     assert per_month == {12: 50, 1: 30, 2: 9}
 
 
+def test_each_archive_is_a_partition_read_piece_by_piece(spark, tmp_path, monkeypatch):
+    for month in range(1, 13):
+        archive(tmp_path / "zips of 2024", 2024, month, ("a.csv", month_csv(2024, month, 40 * month)))
+    paths = sorted(f"file:{p}" for p in (tmp_path / "zips of 2024").glob("*.zip"))
+    lines = landing.unpack(spark, paths)
+    assert [f.name for f in lines.schema] == ["path", "line_no", "value"]
+    where = lines.select("path", F.spark_partition_id().alias("part")).distinct().collect()
+    assert len(where) == len({r.path for r in where}) == len({r.part for r in where}) == 12
+    monkeypatch.setattr(landing, "can_open", lambda path: False)
+    assert sorted(lines.collect()) == sorted(landing.unpack(spark, paths).collect())
+
+
+def test_a_large_archive_takes_little_memory(tmp_path):
+    with zipfile.ZipFile(tmp_path / "big_2025_01.zip", "w", zipfile.ZIP_DEFLATED) as z, z.open("a.csv", "w") as member:
+        for _ in range(30):
+            member.write((b"1,2,3,4,5" * 22 + b"\n") * 10_000)  # 60 MB in all
+    tracemalloc.start()
+    with stores.opened(f"file:{tmp_path}/big_2025_01.zip") as file:
+        rows = sum(b.num_rows for b in landing._lines("big", file))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert rows == 300_000 and peak < 16 << 20
+
+
+def test_headers_of_many_files_come_from_one_job(spark, tmp_path, monkeypatch):
+    folder = tmp_path / "raw files"
+    folder.mkdir()
+    texts = ["a,b,c\n1,2,3\n", "\n\n  \nc,b,a\r\n1,2,3\r\n", 'a,"b ""x""",c\n', "a,,a\n1,2,3\n", "\ufeffa,b\n"]
+    for i in range(300):
+        (folder / f"part {i:03d}.csv").write_bytes(texts[i % len(texts)].encode())
+    paths = csv_files.list_files(spark, str(folder))
+    read = []
+    plain = csv_files.header
+    monkeypatch.setattr(csv_files, "header", lambda s, path: (read.append(path), plain(s, path))[1])
+    found = csv_files.headers(spark, paths)
+    assert list(found) == paths and len(read) == len(texts)
+    assert all(found[p] == tuple(plain(spark, p)) for p in paths[:len(texts)])
+    assert all(found[p] == found[paths[i % len(texts)]] for i, p in enumerate(paths))
+    monkeypatch.setattr(csv_files, "can_open", lambda path: False)
+    assert csv_files.headers(spark, paths[:20]) == {p: found[p] for p in paths[:20]}
+
+
 def test_an_archive_needs_exactly_one_csv(spark, tmp_path):
     archive(tmp_path / "zips", 2025, 1, ("a.csv", "x\n"), ("b.csv", "x\n"))
     with pytest.raises(Exception, match="should hold a single CSV and holds 2"):
@@ -140,6 +183,32 @@ def test_weather_table_can_replace_itself(spark, tmp_path, weather):
     assert tables.read_if_present(spark, path).isEmpty()
 
 
+def test_an_upsert_leaves_other_airports_files(spark, tmp_path, weather):
+    path = tmp_path / "weather"
+
+    def files():
+        return {p: p.stat().st_mtime_ns for p in path.rglob("*.parquet")}
+
+    def of(airport):
+        return {p: t for p, t in files().items() if f"place=at-{airport}" in str(p)}
+
+    tables.write_weather(spark, weather, str(path))
+    before, boston = files(), of("BOS")
+    late = weather.where("airport = 'BOS' and date >= '2025-03-01'").withColumn("snow_cm", F.lit(9.0))
+    first = weather.where("airport = 'LAX' and date < '2025-02-01'").withColumn("airport", F.lit("01"))
+    for _ in range(2):
+        assert tables.upsert_weather(spark, late.unionByName(first), str(path)) == ["01", "BOS"]
+    assert {p: t for p, t in files().items() if p in before and p not in boston} == {p: t for p, t in before.items() if p not in boston}
+    assert boston and not set(boston) & set(of("BOS")) and of("01")
+    columns = weather.columns
+    expected = weather.withColumn("snow_cm", F.when(F.expr("airport = 'BOS' and date >= '2025-03-01'"), 9.0).otherwise(F.col("snow_cm"))).unionByName(first)
+    assert sorted(tables.read_weather(spark, str(path)).select(columns).collect()) == sorted(expected.select(columns).collect())
+    assert tables.upsert_weather(spark, late.limit(0), str(path)) == []
+    weather.write.parquet(str(tmp_path / "flat"))  # a table that is not kept by airport
+    tables.upsert_weather(spark, late.unionByName(first), str(tmp_path / "flat"))
+    assert sorted(tables.read_weather(spark, str(tmp_path / "flat")).select(columns).collect()) == sorted(expected.select(columns).collect())
+
+
 def test_coordinates_of_open_airports(spark, tmp_path):
     (tmp_path / "airports.csv").write_text(
         'id,type,name,latitude_deg,longitude_deg,iata_code\n1,closed,"Old, field",1,2,BOS\n2,large_airport,Logan,42.3,-71,BOS\n'
