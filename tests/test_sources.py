@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from departure_risk.config import RAW_COLUMNS
 from departure_risk.operators.clean import clean
 from departure_risk.operators.weather import add_weather
+from departure_risk.plans import full_run
 from departure_risk.plans.serving import fresh_snapshot, snapshot_of_table
 from departure_risk.sources import csv_files, forecasts, landing, stores, tables
 from departure_risk.sources.csv_files import read_raw
@@ -209,6 +210,26 @@ def test_an_upsert_leaves_other_airports_files(spark, tmp_path, weather):
     assert sorted(tables.read_weather(spark, str(tmp_path / "flat")).select(columns).collect()) == sorted(expected.select(columns).collect())
 
 
+def test_a_weather_step_writes_only_new_airports(spark, tmp_path, flights, weather):
+    where, path = str(tmp_path / "flights"), tmp_path / "weather"
+    tables.write_by_month(flights, where)
+
+    dates = [str(r.date) for r in weather.select("date").distinct().orderBy("date").collect()]
+    days = len(dates)
+    item = {"daily": {"time": dates, "precipitation_sum": [0.5] * days, "snowfall_sum": [0] * days,
+                      "wind_gusts_10m_max": [20.0] * days, "temperature_2m_min": [None] * days}}
+
+    def payload(airport):
+        return spark.createDataFrame([([airport], json.dumps(item))], "airports array<string>, payload string")
+
+    assert full_run.weather_step(spark, where, payload("BOS"), str(path)) == days
+    before = {p: p.stat().st_mtime_ns for p in path.rglob("*.parquet")}
+    assert full_run.weather_step(spark, where, payload("LAX"), str(path)) == 2 * days
+    assert full_run.weather_step(spark, where, payload("BOS"), str(path)) == 2 * days  # held already
+    assert before and all(p.stat().st_mtime_ns == t for p, t in before.items())
+    assert full_run.weather_step(spark, where, None, str(path)) == 2 * days
+
+
 def test_coordinates_of_open_airports(spark, tmp_path):
     (tmp_path / "airports.csv").write_text(
         'id,type,name,latitude_deg,longitude_deg,iata_code\n1,closed,"Old, field",1,2,BOS\n2,large_airport,Logan,42.3,-71,BOS\n'
