@@ -33,6 +33,8 @@ from departure_risk.session import written_once
 #: Trees of the first and of the second pass; deeper levels of a node; classes compared in a node at most.
 TREES, DEPTH, NODE = (2, 8), 8, 240
 ROOTS = sum(TREES)
+#: Rows of a block of a larger node, in nodes: every two blocks are a task, so a class is copied once for each block of its node.
+BLOCK_NODES = 4
 #: Minhash values that tell whether the classes of a node are alike, and their mean similarity from which they are.
 PROBES, ALIKE = 3, 0.25
 #: Salts of the join that gives documents their class.
@@ -126,32 +128,38 @@ def _all(parts: list[DataFrame]) -> DataFrame:
 
 
 def blocks(large: DataFrame, node: int) -> DataFrame:
-    """Rows (task, tree, id, label) that let every two differently labelled classes of a large node meet.
+    """Rows (task, tree, id, label, earlier, side) that let every two differently labelled classes of a large node meet once, but
+    for those of one `earlier` node, which met before. In a task of two blocks these are the sides, and meet each other only.
 
-    A node is cut into blocks of half a node: labels with many classes get blocks of their own, the others share blocks.
-    Every two blocks are a task, except two blocks of one label or of classes that met before. A node that is one component but for a few classes so
-    costs in proportion to its size.
+    A node is cut into blocks of BLOCK_NODES * `node` classes: labels with many classes get blocks of their own, the others share
+    blocks. Every two blocks are a task, except two blocks of one label or of many classes that met before. A node that is one
+    component but for a few classes so costs in proportion to its size.
     """
-    half = node // 2
+    most = BLOCK_NODES * node
     # the largest node a class was in in an earlier tree: classes that share it met there and need not meet again
     earlier = Window.partitionBy("id").orderBy("tree").rangeBetween(Window.unboundedPreceding, -1)
     large = large.withColumn("met", F.coalesce(F.max(F.struct("size", "task")).over(earlier)["task"], F.lit(0)))
+    # few classes that met share blocks with others, or each such few would be a block that meets all others
+    many = large.where("met <> 0").groupBy("task", "met").agg(F.count(F.lit(1)).alias("together")).where(F.col("together") >= most)
+    large = large.withColumn("earlier", F.col("met")).join(many, ["task", "met"], "left").withColumn(
+        "met", F.when(F.col("together").isNull(), F.lit(0).cast("long")).otherwise(F.col("met"))).drop("together")
     per_label = large.groupBy("task", "met", "label").agg(F.count(F.lit(1)).alias("own"))
-    rest = per_label.where(F.col("own") < half).groupBy("task", "met").agg(F.sum("own").alias("mixed"))
+    rest = per_label.where(F.col("own") < most).groupBy("task", "met").agg(F.sum("own").alias("mixed"))
     cut = per_label.join(rest, ["task", "met"], "left").select(
-        "task", "met", "label", "own", F.when(F.col("own") < half, F.pmod(F.xxhash64("label"), F.ceil(F.col("mixed") / half))).alias("shared"))
-    own_block = F.xxhash64("met", "label", F.pmod(F.xxhash64("id"), F.ceil(F.col("own") / half)))
+        "task", "met", "label", "own", F.when(F.col("own") < most, F.pmod(F.xxhash64("label"), F.ceil(F.col("mixed") / most))).alias("shared"))
+    own_block = F.xxhash64("met", "label", F.pmod(F.xxhash64("id"), F.ceil(F.col("own") / most)))
     placed = written_once(large.join(cut, ["task", "met", "label"]).select(
-        "task", "tree", "id", "label", "met", F.when(F.col("shared").isNull(), F.col("label")).alias("pure"),
+        "task", "tree", "id", "label", "earlier", "met", F.when(F.col("shared").isNull(), F.col("label")).alias("pure"),
         F.when(F.col("shared").isNull(), own_block).otherwise(F.xxhash64(F.lit("shared"), "met", "shared")).alias("block")), "node-blocks")
     kinds = placed.select("task", "block", "pure", "met").distinct()
     left, right = kinds.alias("a"), kinds.alias("b")
+    sides = [F.struct(F.col(f"{of}.block").alias("block"), F.lit(side).cast("long").alias("side")) for side, of in enumerate("aab")]
     pairs = left.join(right, (F.col("a.task") == F.col("b.task")) & (F.col("a.block") <= F.col("b.block"))).where(
         F.col("a.pure").isNull() | F.col("b.pure").isNull() | (F.col("a.pure") != F.col("b.pure"))).where(
         (F.col("a.met") != F.col("b.met")) | (F.col("a.met") == 0)).select(
-        "a.task", F.explode(F.array_distinct(F.array("a.block", "b.block"))).alias("block"),
-        F.xxhash64("a.task", "a.block", "b.block").alias("pair"))
-    return placed.join(pairs, ["task", "block"]).select(F.col("pair").alias("task"), "tree", "id", "label")
+        "a.task", F.explode(F.when(F.col("a.block") == F.col("b.block"), F.array(sides[0])).otherwise(F.array(*sides[1:]))).alias("of"),
+        F.xxhash64("a.task", "a.block", "b.block").alias("pair")).select("task", "of.block", "of.side", "pair")
+    return placed.join(pairs, ["task", "block"]).select(F.col("pair").alias("task"), "tree", "id", "label", "earlier", "side")
 
 
 def id_blocks(large: DataFrame, node: int) -> DataFrame:
@@ -181,22 +189,32 @@ def _bounds(keys: np.ndarray) -> list[tuple[int, int]]:
     return list(zip(cuts, cuts[1:]))
 
 
-def alike(minhash: np.ndarray, labels: np.ndarray, tree: int, split: np.ndarray, threshold: float) -> np.ndarray:
-    """Which pairs of rows are to be compared: labels differ, enough minhash values agree (4.5 standard deviations are
-    allowed), and no earlier tree had both in a root that was compared as a whole (`split`: by row and root, that it was not).
+def alike(minhash: np.ndarray, labels: np.ndarray, tree: int, split: np.ndarray, apart: np.ndarray, threshold: float,
+          left: slice = slice(None), right: slice = slice(None)) -> np.ndarray:
+    """Which pairs of rows (of `left` and of `right`) are to be compared: labels differ, enough minhash values agree (4.5 standard
+    deviations are allowed), and no earlier tree had both in a root that was compared as a whole (`split`: by row and root, that
+    it was not). Rows with an equal number other than 0 in a column of `apart` are not compared.
     """
     least = (threshold - 4.5 * np.sqrt(threshold * (1 - threshold) / minhash.shape[1])) * minhash.shape[1]
-    same = minhash[:, None, :] == minhash[None, :, :]
-    met = (same[:, :, :tree] & ~split[:, None, :tree]).any(axis=2)
-    return (same.sum(axis=2) >= least) & (labels[:, None] != labels[None, :]) & ~met
+    same = minhash[left, None, :] == minhash[None, right, :]
+    met = (same[:, :, :tree] & ~split[left, None, :tree]).any(axis=2)
+    free = ((apart[left, None] != apart[None, right]) | (apart[left, None] == 0)).all(axis=2)
+    return (same.sum(axis=2) >= least) & (labels[left, None] != labels[None, right]) & ~met & free
 
 
-def verified(tasks: DataFrame, classes: DataFrame, docs: DataFrame, size: int, threshold: tuple[int, int]) -> DataFrame:
+def task_part(task: int, i: int, j: int) -> int:
+    """The number of a part of a task."""
+    return int.from_bytes(hashlib.blake2b(np.array([task, i, j], "<i8").tobytes(), digest_size=8).digest(), "little", signed=True)
+
+
+def verified(tasks: DataFrame, classes: DataFrame, docs: DataFrame, size: int, threshold: tuple[int, int], node: int = NODE) -> DataFrame:
     """Pairs (a, b) of labels that links between classes of a task join, every link confirmed on full sets.
 
-    `tasks`: task, tree, id, label; `classes`: id, digest, minhash and split, the trees whose root is not compared whole.
+    Of a task of more than `node` classes, those with a close one go on in parts of at most `node`, so few texts are held at a time.
+    `tasks`: task, tree, id, label, earlier, side; `classes`: id, digest, minhash and split, the trees whose root is not compared whole.
     """
     part, whole = threshold
+    half = max(1, node // 2)
 
     def matrix(column: pa.Array) -> np.ndarray:
         return column.flatten().to_numpy().reshape(len(column), -1)
@@ -207,27 +225,45 @@ def verified(tasks: DataFrame, classes: DataFrame, docs: DataFrame, size: int, t
             out[row, trees or []] = True
         return out
 
+    def separate(table: pa.Table) -> np.ndarray:
+        return np.column_stack([table.column("earlier").to_numpy(), table.column("side").to_numpy()])
+
     def survivors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in groups(batches):
             keys, labels = table.column("task").to_numpy(), table.column("label").to_numpy()
             values, tree = matrix(table.column("minhash").combine_chunks()), table.column("tree").to_numpy()
-            split = trees_split(table.column("split"))
-            keep = np.zeros(len(keys), bool)
+            split, apart = trees_split(table.column("split")), separate(table)
+            rows, parts = [], []
             for a, b in _bounds(keys):
-                keep[a:b] = alike(values[a:b], labels[a:b], tree[a], split[a:b], part / whole).any(axis=1)
-            yield from table.filter(pa.array(keep)).to_batches()
+                of = values[a:b], labels[a:b], tree[a], split[a:b], apart[a:b], part / whole
+                if b - a <= node:
+                    rows.append(a + np.flatnonzero(alike(*of).any(axis=1)))
+                    parts.append(keys[rows[-1]])
+                    continue
+                pieces = [slice(at, min(at + half, b - a)) for at in range(0, b - a, half)]
+                for i, left in enumerate(pieces):
+                    for j, right in enumerate(pieces[i:], i):
+                        if apart[a + left.start, 1] == apart[a + right.stop - 1, 1] > 0:
+                            continue  # of one side
+                        close = alike(*of, left, right)
+                        own = left.start + np.flatnonzero(close.any(axis=1)), right.start + np.flatnonzero(close.any(axis=0))
+                        if len(own[0]):
+                            rows.append(a + np.union1d(*own))
+                            parts.append(np.full(len(rows[-1]), task_part(int(keys[a]), i, j)))
+            kept = table.take(pa.array(np.concatenate(rows)))
+            yield from kept.set_column(0, "task", pa.array(np.concatenate(parts), pa.int64())).to_batches()
 
     def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in groups(batches):
             keys, labels = table.column("task").to_numpy(), table.column("label").to_numpy()
             digests, tree = table.column("digest").to_pylist(), table.column("tree").to_numpy()
             values, split = matrix(table.column("minhash").combine_chunks()), trees_split(table.column("split"))
-            texts = table.column("text").combine_chunks()
+            texts, apart = table.column("text").combine_chunks(), separate(table)
             out = []
             for a, b in _bounds(keys):
                 sets = shingle_sets(texts.slice(a, b - a), size)
                 right = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() == d for s, d in zip(sets, digests[a:b])]
-                pairs = np.argwhere(np.triu(alike(values[a:b], labels[a:b], tree[a], split[a:b], part / whole), 1))
+                pairs = np.argwhere(np.triu(alike(values[a:b], labels[a:b], tree[a], split[a:b], apart[a:b], part / whole), 1))
                 root = {int(x): int(x) for x in labels[a:b]}
 
                 def find(x: int) -> int:
@@ -250,8 +286,8 @@ def verified(tasks: DataFrame, classes: DataFrame, docs: DataFrame, size: int, t
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], names=["a", "b"])
 
     known = classes.select("id", "minhash", "digest", "split")
-    columns = ["task", "tree", "id", "label", "minhash", "digest", "split"]
-    met = tasks.join(known, "id").select(*columns).repartition("task").sortWithinPartitions("task", "id")
+    columns = ["task", "tree", "id", "label", "earlier", "side", "minhash", "digest", "split"]
+    met = tasks.join(known, "id").select(*columns).repartition("task").sortWithinPartitions("task", "side", "id")
     close = written_once(met.mapInArrow(survivors, met.schema), "close-classes")
     texts = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text"))
     ids = written_once(close.select("id").distinct(), "close-ids")
@@ -314,10 +350,11 @@ def near_duplicates(docs: DataFrame, size: int = 5, threshold: tuple[int, int] =
             "label", F.coalesce("label", "id"))
         small, large, parted = tree_nodes(labelled, range(first, first + count), node, depth, bool(last))
         # in the first trees, random blocks join the bulk of a large group; in the later ones all that is not joined meets
-        tasks = small.unionByName(blocks(large, node) if last else id_blocks(large, node))
+        free = {name: F.lit(0).cast("long") for name in ("earlier", "side")}
+        tasks = small.withColumns(free).unionByName(blocks(large, node) if last else id_blocks(large, node).withColumns(free))
         split = parted if split is None else split.unionByName(parted)
         labelled = labelled.join(split.groupBy("id").agg(F.collect_set("tree").alias("split")), "id", "left")
-        links = verified(tasks, labelled, docs, size, threshold)
+        links = verified(tasks, labelled, docs, size, threshold, node)
         found = components(links if last else links.unionByName(same_id_links(rows, classes)))
         if labels is not None:  # from joined labels to the classes that carry them
             moved = found.select(F.col("id").alias("label"), F.col("label").alias("joined"))

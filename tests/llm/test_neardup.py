@@ -131,3 +131,21 @@ def test_minhash_estimates_similarity():
     a, b = np.arange(3000, dtype=np.uint64), np.arange(600, 3600, dtype=np.uint64)
     one, two = shingles.signature(shingles.mix(a)), shingles.signature(shingles.mix(b))
     assert abs((one == two).mean() - 2400 / 3600) < 0.2
+
+
+def test_blocks_copy_a_class_a_few_times_and_let_every_two_labels_meet_once(spark):
+    n, node = 600, 20
+    # one large node of the last tree; half of its classes met in one node of an earlier tree, the others in many small ones
+    last = [(1, 5, i, i // 2, n) for i in range(n)]
+    before = [(2, 3, i, i // 2, n // 2) for i in range(n // 2)] + [(10 + i // 6, 3, i, i // 2, 6) for i in range(n // 2, n)]
+    large = spark.createDataFrame(last + before, "task long, tree int, id long, label long, size long")
+    rows = [r for r in neardup.blocks(large, node).collect() if r.tree == 5]
+    assert len(rows) <= n * (n // (neardup.BLOCK_NODES * node) + 2)
+    met, tasks = {i: 2 if i < n // 2 else 10 + i // 6 for i in range(n)}, {}
+    for r in rows:
+        tasks.setdefault(r.task, []).append(r)
+    pairs = []
+    for own in tasks.values():
+        pairs += [tuple(sorted((a.id, b.id))) for i, a in enumerate(own) for b in own[:i]
+                  if a.label != b.label and (a.side != b.side or not a.side) and (a.earlier != b.earlier or not a.earlier)]
+    assert sorted(pairs) == [(a, b) for a in range(n) for b in range(a + 1, n) if a // 2 != b // 2 and met[a] != met[b]]
