@@ -377,7 +377,9 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     Of rows that repeat the id that stays, the one with the smallest text stays (nulls first).
     """
     found = written_once(near_duplicates(docs, id_col=id_col, text_col=text_col, **options), "components")
-    gone = found.where(~F.col("kept")).select(F.col("doc_id").alias(id_col)).distinct()
+    gone = written_once(found.where(~F.col("kept")).select(F.col("doc_id").alias(id_col)).distinct(), "gone-ids")
+    if gone.count() <= BROADCAST_IDS:  # then no text is shuffled
+        gone = F.broadcast(gone)
     kept = docs.join(gone, id_col, "left_anti").select(docs.columns)
     repeated = found.where("kept and doc_id is not null").groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias(id_col))
     if repeated.isEmpty():

@@ -149,3 +149,14 @@ def test_blocks_copy_a_class_a_few_times_and_let_every_two_labels_meet_once(spar
         pairs += [tuple(sorted((a.id, b.id))) for i, a in enumerate(own) for b in own[:i]
                   if a.label != b.label and (a.side != b.side or not a.side) and (a.earlier != b.earlier or not a.earlier)]
     assert sorted(pairs) == [(a, b) for a in range(n) for b in range(a + 1, n) if a // 2 != b // 2 and met[a] != met[b]]
+
+
+def test_texts_stay_where_they_are_while_few_documents_go(spark):
+    rows = corpus()
+    automatic = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as with tables that are larger than it
+    try:
+        plan = neardup.deduplicated(table(spark, [r for r in rows if r[0] != 513]))._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", automatic)
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
