@@ -69,3 +69,15 @@ def test_far_candidates_are_never_evaluated(monkeypatch):
     ids, got = topk.best(q[0], 0, (whole - near ** 2) / 2 + 1, -np.inf, x, np.arange(len(x)), 5)
     want = np.lexsort((np.arange(1, len(x)), -(x[1:] @ q[0])))[:5] + 1
     assert ids.tolist() == want.tolist() and sum(seen) < 0.6 * len(x)
+
+
+def test_a_block_whose_bounds_rule_out_nothing_is_done_in_few_steps(monkeypatch):
+    rng = np.random.default_rng(5)
+    x, ids = rng.integers(-3, 4, (4000, 6)).astype(float), np.arange(4000)
+    want = sorted(((-int(s), i) for i, s in enumerate(x @ x[7]) if i != 7))[:20]
+    steps, part = [], np.argpartition
+    monkeypatch.setattr(topk.np, "argpartition", lambda *a: steps.append(1) or part(*a))
+    for exact in ((True,), (False,), ()):
+        steps.clear()
+        got, value = topk.best(x[7], 7, np.full(4000, np.inf), -np.inf, x, ids, 20, *exact)
+        assert [(-s, i) for i, s in zip(got.tolist(), value.tolist())] == want and len(steps) <= 2
