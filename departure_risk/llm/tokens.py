@@ -29,8 +29,8 @@ from departure_risk.session import written_once
 MAGIC = b"S8BIDS01"
 #: Ids packed at a time: bounds a task's memory.
 PACKED = 512 * simple8b.BLOCK
-#: Pieces of text whose ids a Python worker keeps; beyond it the older half goes.
-KEPT = 600_000
+#: Pieces of text whose ids a Python worker keeps; beyond twice as many, those met last stay.
+KEPT = 300_000
 
 _loaded: dict = {}
 
@@ -52,58 +52,79 @@ class Encoder:
         self.bytes = np.zeros(max(vocabulary.values()) + 1, np.int64)
         for token, number in vocabulary.items():  # a token has a character for each byte
             self.bytes[number] = len(token)
-        self.kept = kept
-        self.known: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        self.kept, self.batch = kept, 0
+        # the pieces met so far, all different: whether a piece is odd, how many ids it has, and the batch it was in last
+        self.pieces = pa.array([], pa.large_string())
+        self.odd, self.lengths, self.used = np.zeros(0, bool), np.zeros(0, np.int32), np.zeros(0, np.int32)
+        self.pool = np.zeros(0, "<u4")
 
     def whole(self, texts: list[str]) -> list[bytes]:
         encoded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in encoded]
 
-    def learn(self, pieces: list[str]) -> None:
-        """Encode pieces, each with its space before it, some hundred in one text, and part them by their bytes."""
-        if len(self.known) > self.kept:
-            self.known, self.older = {}, self.known
-        new = [p for p in pieces if p not in self.older]
-        self.known.update((p, self.older[p]) for p in pieces if p in self.older)
-        groups = [new[i:i + 512] for i in range(0, len(new), 512)]
-        texts = [" " + " ".join(g) for g in groups]
-        for group, e in zip(groups, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
+    @staticmethod
+    def space_at(pieces: pa.Array, start: int, stop: int | None) -> np.ndarray:
+        """Whether the character cut out of each piece is white space, or there is none."""
+        cut = pc.utf8_slice_codeunits(pieces, start, stop).dictionary_encode()
+        space = np.array([not c or c.isspace() for c in cut.dictionary.to_pylist()], bool)
+        return space[cut.indices.to_numpy()]
+
+    def learn(self, pieces: pa.Array) -> None:
+        """Encode pieces not met yet, each with its space before it, some hundred in one text, and part them by their bytes."""
+        odd = self.space_at(pieces, 0, 1) | self.space_at(pieces, -1, None)
+        even = pieces.filter(pa.array(~odd)) if odd.any() else pieces
+        sizes = pc.binary_length(even).to_numpy() + 1
+        starts = np.append(np.arange(0, len(even), 512), len(even))
+        groups = pc.binary_join(pa.ListArray.from_arrays(pa.array(starts, pa.int32()), even), pa.scalar(" ", even.type)).to_pylist()
+        lengths, pool, counted = np.zeros(len(pieces), np.int32), [self.pool], [np.zeros(0, np.int64)]
+        for at, e in zip(starts, self.tokenizer.encode_batch_fast([" " + g for g in groups], add_special_tokens=False)):
             ids = np.array(e.ids, "<u4")
-            data = ids.tobytes()
-            ends = np.cumsum([len(p.encode()) + 1 for p in group])
-            cuts = [0, *(4 * np.searchsorted(np.cumsum(self.bytes[ids]), ends) + 4).tolist()]
-            self.known.update((p, data[a:b]) for p, a, b in zip(group, cuts, cuts[1:]))
+            pool.append(ids)
+            ends = np.cumsum(sizes[at:at + 512])
+            counted.append(np.diff(np.searchsorted(np.cumsum(self.bytes[ids]), ends) + 1, prepend=0))
+        lengths[~odd] = np.concatenate(counted)
+        self.pool = np.concatenate(pool)
+        self.pieces = pa.concat_arrays([self.pieces, pieces])
+        self.odd, self.lengths = np.concatenate([self.odd, odd]), np.concatenate([self.lengths, lengths])
+        self.used = np.concatenate([self.used, np.full(len(pieces), self.batch, np.int32)])
+
+    def forget(self) -> None:
+        """Only the `kept` pieces met last stay."""
+        stay = np.sort(np.argsort(-self.used, kind="stable")[:self.kept])
+        self.pool = self.pool[np.repeat(np.isin(np.arange(len(self.used)), stay), self.lengths)]
+        self.pieces = self.pieces.take(pa.array(stay))
+        self.odd, self.lengths, self.used = self.odd[stay], self.lengths[stay], self.used[stay]
 
     def encode(self, texts: pa.Array) -> list[bytes]:
-        """Ids of each text (no nulls). Equal pieces of a batch are told apart by pyarrow and looked up once."""
-        pieces = pc.split_pattern(texts.cast(pa.large_string()), " ")
+        """Ids of each text (no nulls). Pieces are told apart by pyarrow, behind those met before, whose places they so get."""
+        texts = texts.cast(pa.large_string())
+        pieces = pc.split_pattern(texts, " ")
         offsets = pieces.offsets.to_numpy()
-        flat = pieces.values.dictionary_encode()
-        unique, place = flat.dictionary.to_pylist(), flat.indices.to_numpy()
-        missing = [p for p in unique if p not in self.known]
-        uneven = {p for p in missing if not p or p[0].isspace() or p[-1].isspace()}
-        self.learn([p for p in missing if p not in uneven])
-        known, older = self.known, self.older  # what was known before is in one of the two
-        ids = [b"" if p in uneven else known[p] if p in known else older[p] for p in unique]
-        pool = np.frombuffer(b"".join(ids), "<u4")
-        lengths = np.array(list(map(len, ids)), np.int64) // 4
-        odd = np.array([p in uneven for p in unique], bool) if uneven else np.zeros(len(unique), bool)
+        known = len(self.pieces)
+        both = pa.concat_arrays([self.pieces, pieces.values]).dictionary_encode()
+        place = both.indices.to_numpy()[known:]
+        self.batch += 1
+        if len(both.dictionary) > known:
+            self.learn(both.dictionary.slice(known))
+        self.used[place] = self.batch
         # a text goes to the tokenizer whole if a piece is odd; its first piece has no space before it
         first = offsets[:-1]
-        odd_before = np.concatenate([[0], np.cumsum(odd[place])])
+        odd_before = np.concatenate([[0], np.cumsum(self.odd[place])])
         whole = odd_before[offsets[1:]] > odd_before[first]
         for special in self.special:
             whole |= pc.match_substring(texts, special).to_numpy(zero_copy_only=False)
-        taken = lengths[place]
+        taken = self.lengths[place]
         taken[first] = 0
-        ends = np.cumsum(taken)
-        starts = np.cumsum(lengths) - lengths
+        ends = np.cumsum(taken, dtype=np.int64)
+        starts = np.cumsum(self.lengths, dtype=np.int64) - self.lengths
         where = np.repeat((starts[place] - (ends - taken)).astype(np.int32), taken)
         where += np.arange(len(where), dtype=np.int32)
-        body = pool[where].tobytes()
+        body = self.pool[where].tobytes()
         bounds = np.concatenate([[0], 4 * ends])[offsets].tolist()
-        heads = self.whole([texts[i].as_py() if w else unique[place[f]] for i, (w, f) in enumerate(zip(whole, first))])
+        beginnings = pieces.values.take(pa.array(first)).to_pylist()
+        heads = self.whole([texts[i].as_py() if w else p for i, (w, p) in enumerate(zip(whole, beginnings))])
+        if len(self.pieces) > 2 * self.kept:
+            self.forget()
         return [head if w else head + body[a:b] for head, w, a, b in zip(heads, whole, bounds, bounds[1:])]
 
 
@@ -114,7 +135,7 @@ def encoder(path: str, kept: int) -> Encoder:
     return _loaded[path, kept]
 
 
-def slices(batch: pa.RecordBatch, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, most: int = 8 << 20) -> Iterator[pa.RecordBatch]:
     """Parts of a batch whose texts (column 1) hold about `most` bytes or are one row."""
     sizes = np.cumsum(pc.binary_length(batch.column(1)).to_numpy())
     at = 0
@@ -166,7 +187,7 @@ def write_tokens(docs: DataFrame, tokenizer: str, end: int = 0, id_col: str = "d
                  text_col: str = "text", kept: int = KEPT) -> DataFrame:
     """Write the files; one row per file: file (its number, in order of ids), uri, documents, ids.
 
-    `kept` bounds the pieces of text a Python worker remembers, twice: the newer ones and the ones before. One shuffle, by ranges of the id column. The table of files is written too, so no file is made twice by a reader.
+    `kept` bounds the pieces of text a Python worker remembers. One shuffle, by ranges of the id column. The table of files is written too, so no file is made twice by a reader.
     """
     folder = files.new_folder(docs.sparkSession, "tokens")
 

@@ -48,6 +48,14 @@ def test_pieces_give_the_ids_of_whole_texts():
         assert got == want
 
 
+def test_pieces_met_last_stay_known():
+    encoder = tokens.Encoder(PATH, kept=4)
+    for text in ("start aa bb cc dd", "start aa ee ff gg", "start aa hh ii jj", "start aa kk ll mm"):
+        encoder.encode(pa.array([text]))
+        assert len(encoder.pieces) <= 8 and "aa" in encoder.pieces.to_pylist()
+        assert len(encoder.pool) == encoder.lengths.sum() and len(encoder.lengths) == len(encoder.pieces)
+
+
 def test_files_hold_all_documents_in_order(spark):
     rng = np.random.default_rng(6)
     rows = [(i * 3 % 101, sentence(rng, int(n))) for i, n in enumerate(rng.integers(0, 300, 101))]
