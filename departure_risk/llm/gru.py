@@ -15,6 +15,8 @@ from dataclasses import dataclass
 import numpy as np
 
 Net = dict[str, np.ndarray]
+#: Words whose outcomes are handled at a time.
+ROWS = 2048
 
 
 @dataclass(frozen=True)
@@ -84,62 +86,124 @@ class Lanes:
         return self.inputs[place], self.targets[place], self.starts[place], self.text[place], active
 
 
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
+def _gated(net: Net) -> tuple[np.ndarray, np.ndarray]:
+    """Input weights with the bias, and state weights, as three contiguous parts: keeping, letting in, new."""
+    h = net["state"].shape[0]
+    given = np.ascontiguousarray(net["input"].reshape(-1, 3, h).transpose(1, 0, 2))
+    given += net["bias"].reshape(3, 1, h)
+    return given, np.ascontiguousarray(net["state"].reshape(h, 3, h).transpose(1, 0, 2))
 
 
-def run(net: Net, state: np.ndarray, inputs: np.ndarray, starts: np.ndarray, active: np.ndarray, keep: list | None = None) -> np.ndarray:
-    """States after each step of a window. active: lanes (from the first) that have a word at each step. `state` is changed."""
-    h = state.shape[1]
-    out = np.zeros((*inputs.shape, h), np.float32)
+def run(weights: tuple[np.ndarray, np.ndarray], state: np.ndarray, inputs: np.ndarray, starts: np.ndarray, active: np.ndarray,
+        keep: list | None = None) -> np.ndarray:
+    """States after each step of a window, by the weights as `_gated` parts them. active: lanes (from the first) that have a word
+    at each step. `state` is changed."""
+    out = np.zeros((*inputs.shape, state.shape[1]), np.float32)
     for t, n in enumerate(active.tolist()):
         old = state[:n]
         old[starts[t, :n]] = 0
-        given = net["input"][inputs[t, :n]]
-        own = old @ net["state"]
-        gates = _sigmoid(given[:, :2 * h] + own[:, :2 * h] + net["bias"][:2 * h])
-        keeps, lets = gates[:, :h], gates[:, h:]
-        new = np.tanh(given[:, 2 * h:] + net["bias"][2 * h:] + lets * own[:, 2 * h:])
-        after = new + keeps * (old - new)
+        given, own = np.take(weights[0], inputs[t, :n], axis=1), np.matmul(old, weights[1])
+        gates, new = given[:2], given[2]
+        gates += own[:2]  # 1 / (1 + exp(-x)) by the hyperbolic tangent of half of it
+        gates *= 0.5
+        np.tanh(gates, out=gates)
+        gates *= 0.5
+        gates += 0.5
+        new += gates[1] * own[2]
+        np.tanh(new, out=new)
+        after = old - new
+        after *= gates[0]
+        after += new
         if keep is not None:
-            keep.append((old.copy(), keeps, lets, new, own[:, 2 * h:].copy()))
+            keep.append((old.copy(), gates[0], gates[1], new, own[2]))
         state[:n] = out[t, :n] = after
     return out
 
 
-def _log_softmax(x: np.ndarray) -> np.ndarray:
-    x -= x.max(axis=1, keepdims=True)
-    x -= np.log(np.exp(x).sum(axis=1, keepdims=True))
-    return x
+def _runs(keys: np.ndarray, size: int) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
+    """The order of keys below `size`, and which places each key then has."""
+    order = np.argsort(keys.astype(np.int16) if size <= 1 << 15 else keys, kind="stable")
+    ends = np.cumsum(np.bincount(keys, minlength=size)).tolist()
+    return order, [(k, a, b) for k, (a, b) in enumerate(zip([0, *ends], ends)) if a < b]
+
+
+def _together(runs: list[tuple[int, int, int]]) -> Iterator[list[tuple[int, int, int]]]:
+    """Runs cut to at most ROWS places, in lists of runs of like length that fill ROWS places when padded to the longest."""
+    cut = [(k, at, min(at + ROWS, b)) for k, a, b in runs for at in range(a, b, ROWS)]
+    waiting: list[tuple[int, int, int]] = []
+    for run_ in sorted(cut, key=lambda r: r[1] - r[2]):
+        longest = waiting[0][2] - waiting[0][1] if waiting else 0
+        if (len(waiting) + 1) * longest > ROWS or longest > 1.5 * (run_[2] - run_[1]) + 16:
+            yield waiting
+            waiting = []
+        waiting.append(run_)
+    if waiting:
+        yield waiting
 
 
-def _by_class(classes: np.ndarray) -> list[tuple[int, np.ndarray]]:
-    order = np.argsort(classes, kind="stable")
-    found, first = np.unique(classes[order], return_index=True)
-    return list(zip(found.tolist(), np.split(order, first[1:])))
+def _predicted(net: Net, states: np.ndarray, targets: np.ndarray, grads: Net | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Natural log probabilities of target words from the states that predict them, and, with `grads`, the gradients of the
+    summed loss with respect to the states; those of the softmaxes' weights are added to `grads`.
+
+    Goes by the targets' classes, ROWS words at a time, so that a block stays in the processor's cache; outcomes come before words.
+    """
+    classes, members = net["word"].shape[0], net["word"].shape[2]
+    order, runs = _runs(targets // members, classes)
+    states = states[order]
+    of_class, member = np.divmod(targets[order], members)
+    logs, back = np.zeros(len(targets)), np.zeros_like(states)
+
+    def softmax(block: list[tuple[int, int, int]], weight: str, bias: str, goals: np.ndarray) -> None:
+        """Runs of words, each predicted by a matrix of its own."""
+        which, first, last = (np.array(x) for x in zip(*block))
+        steps = np.arange((last - first).max())
+        if len(block) == 1:
+            which, place, used = block[0][0], slice(*block[0][1:]), np.float32(1)
+            at, rows, real = (goals[place], steps), place, slice(None)
+        else:
+            place = np.minimum(first[:, None] + steps, last[:, None] - 1)
+            real = first[:, None] + steps < last[:, None]
+            at, rows, used = (np.arange(len(block))[:, None], goals[place], steps[None, :]), place[real], real.astype(np.float32)
+        given, matrix = states[place], net[weight].reshape(-1, *net[weight].shape[-2:])[which]
+        x = np.matmul(matrix.swapaxes(-1, -2), given.swapaxes(-1, -2))
+        x += net[bias].reshape(-1, x.shape[-2])[which][..., None]
+        x -= x.max(axis=-2, keepdims=True)
+        own = x[at]
+        np.exp(x, out=x)
+        total = x.sum(axis=-2)
+        logs[rows] += (own - np.log(total))[real]
+        if grads is not None:
+            x *= (used / total)[..., None, :]
+            x[at] -= used
+            of_weight, of_bias = np.matmul(given.swapaxes(-1, -2), x.swapaxes(-1, -2)), x.sum(axis=-1)
+            for (k, _, _), w, b in zip(block, of_weight.reshape(-1, *matrix.shape[-2:]), of_bias.reshape(-1, matrix.shape[-1])):
+                grads[weight].reshape(-1, *w.shape)[k] += w
+                grads[bias].reshape(-1, len(b))[k] += b
+            back[rows] += np.matmul(x.swapaxes(-1, -2), matrix.swapaxes(-1, -2))[real]
+
+    for block in _together([(0, 0, len(targets))]):
+        softmax(block, "class", "class_bias", of_class)
+    for block in _together(runs):
+        softmax(block, "word", "word_bias", member)
+    out, ds = np.empty_like(logs), np.empty_like(back)
+    out[order], ds[order] = logs, back
+    return out, ds
 
 
 def log_likelihood(net: Net, states: np.ndarray, targets: np.ndarray) -> np.ndarray:
     """Natural log probabilities of target words from the states that predict them."""
-    members = net["word"].shape[2]
-    classes = targets // members
-    of_class = _log_softmax(states @ net["class"] + net["class_bias"])
-    out = of_class[np.arange(len(targets)), classes].astype(np.float64)
-    for c, rows in _by_class(classes):
-        inside = _log_softmax(states[rows] @ net["word"][c] + net["word_bias"][c])
-        out[rows] += inside[np.arange(len(rows)), targets[rows] % members]
-    return out
+    return _predicted(net, states, targets)[0]
 
 
-def score(net: Net, texts: list[np.ndarray], start: int, most: int = 1024, window: int = 32) -> np.ndarray:
+def score(net: Net, texts: list[np.ndarray], start: int, most: int = 1024, window: int = 64) -> np.ndarray:
     """Natural log probability of each whole text (arrays of word ids)."""
     if not texts:
         return np.zeros(0)
-    laid, out = Lanes(texts, most, start), np.zeros(len(texts))
+    laid, out, weights = Lanes(texts, most, start), np.zeros(len(texts)), _gated(net)
     state = np.zeros((len(laid.total), net["state"].shape[0]), np.float32)
     for at in range(0, laid.steps, window):
         inputs, targets, starts, text, active = laid.window(at, window)
-        states = run(net, state[:inputs.shape[1]], inputs, starts, active)
+        states = run(weights, state[:inputs.shape[1]], inputs, starts, active)
         used = np.arange(inputs.shape[1]) < active[:, None]
         # a word is predicted by the state that has read the words before it: the input of a step is the word before
         logs = log_likelihood(net, states[used], targets[used])
@@ -147,56 +211,55 @@ def score(net: Net, texts: list[np.ndarray], start: int, most: int = 1024, windo
     return out
 
 
-def _sum_rows(rows: np.ndarray, ids: np.ndarray, size: int) -> np.ndarray:
-    out = np.zeros((size, rows.shape[1]), np.float32)
-    order = np.argsort(ids, kind="stable")
-    found, first = np.unique(ids[order], return_index=True)
-    out[found] = np.add.reduceat(rows[order], first, axis=0)
-    return out
+def _add_rows(out: np.ndarray, rows: np.ndarray, used: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """Adds the rows that are used to those of their ids; returns the sum of all."""
+    place = np.flatnonzero(used)
+    order, runs = _runs(ids[place], len(out))
+    sums = np.add.reduceat(rows[place[order]], [a for _, a, _ in runs], axis=0)
+    out[[i for i, _, _ in runs]] += sums
+    return sums.sum(axis=0)
+
 
+def gradients(net: Net, state: np.ndarray, inputs: np.ndarray, targets: np.ndarray, starts: np.ndarray, active: np.ndarray,
+              into: Net | None = None, weights: tuple[np.ndarray, np.ndarray] | None = None) -> tuple[Net, float]:
+    """Of the mean log loss of a window, by backpropagation through its steps; and the summed loss. `state` moves on.
 
-def gradients(net: Net, state: np.ndarray, inputs: np.ndarray, targets: np.ndarray, starts: np.ndarray, active: np.ndarray) -> tuple[Net, float]:
-    """Of the mean log loss of a window, by backpropagation through its steps; and the summed loss. `state` moves on."""
-    h, members = state.shape[1], net["word"].shape[2]
+    With `into`, the gradients of the summed loss are added to it, so a window of few words costs little. `weights`: of `_gated`.
+    """
+    h = state.shape[1]
     kept: list = []
-    states = run(net, state, inputs, starts, active, kept)
+    weights = weights or _gated(net)
+    states = run(weights, state, inputs, starts, active, kept)
     used = np.arange(inputs.shape[1]) < active[:, None]
-    s, goal = states[used], targets[used]
-    count, classes, each = len(goal), goal // members, np.arange(len(goal))
-    logs = _log_softmax(s @ net["class"] + net["class_bias"])
-    loss = -float(logs[each, classes].sum())
-    delta = np.exp(logs)
-    delta[each, classes] -= 1
-    delta /= count
-    grads = {k: np.zeros_like(v) for k, v in net.items()}
-    grads["class"], grads["class_bias"], ds = s.T @ delta, delta.sum(axis=0), delta @ net["class"].T
-    for c, rows in _by_class(classes):
-        inside = _log_softmax(s[rows] @ net["word"][c] + net["word_bias"][c])
-        member = goal[rows] % members
-        loss -= float(inside[np.arange(len(rows)), member].sum())
-        inner = np.exp(inside)
-        inner[np.arange(len(rows)), member] -= 1
-        inner /= count
-        grads["word"][c], grads["word_bias"][c] = s[rows].T @ inner, inner.sum(axis=0)
-        ds[rows] += inner @ net["word"][c].T
+    grads = {k: np.zeros_like(v) for k, v in net.items()} if into is None else into
+    logs, ds = _predicted(net, states[used], targets[used], grads)
     out = np.zeros_like(states)
     out[used] = ds
-    back, given = np.zeros((inputs.shape[1], h), np.float32), np.zeros((*inputs.shape, 3 * h), np.float32)
+    back, given = np.zeros((inputs.shape[1], h), np.float32), np.zeros((*inputs.shape, 3, h), np.float32)
+    of_state, turned = np.zeros((3, h, h), np.float32), np.ascontiguousarray(weights[1].transpose(0, 2, 1))
     for t in range(len(kept) - 1, -1, -1):
         n = int(active[t])
         old, keeps, lets, new, own = kept[t]
+        through = np.empty((3, n, h), np.float32)
+        d_keep, d_let, d_new = through
         d = out[t, :n] + back[:n]
-        d_new = d * (1 - keeps) * (1 - new * new)
-        d_keep = d * (old - new) * keeps * (1 - keeps)
-        d_let = d_new * own * lets * (1 - lets)
-        given[t, :n] = np.concatenate([d_keep, d_let, d_new], axis=1)
-        through = np.concatenate([d_keep, d_let, d_new * lets], axis=1)
-        grads["state"] += old.T @ through
-        back[:n] = d * keeps + through @ net["state"].T
-        back[:n][starts[t, :n]] = 0
-    grads["bias"] = given.sum(axis=(0, 1))
-    grads["input"] = _sum_rows(given[used], inputs[used], len(net["input"]))
-    return grads, loss
+        stays = d * keeps
+        np.multiply(d - stays, 1 - new * new, out=d_new)
+        np.multiply(stays * (old - new), 1 - keeps, out=d_keep)
+        given[t, :n, 2] = d_new
+        d_new *= lets
+        np.multiply(d_new * own, 1 - lets, out=d_let)
+        given[t, :n, 0], given[t, :n, 1] = d_keep, d_let
+        of_state += np.matmul(old.T, through)
+        stays += np.matmul(through, turned).sum(axis=0)
+        stays[starts[t, :n]] = 0
+        back[:n] = stays
+    grads["state"] += of_state.transpose(1, 0, 2).reshape(h, 3 * h)
+    grads["bias"] += _add_rows(grads["input"], given.reshape(-1, 3 * h), used.reshape(-1), inputs.reshape(-1))
+    if into is None:
+        for g in grads.values():
+            g /= max(1, len(logs))
+    return grads, -float(logs.sum())
 
 
 class Adam:
@@ -207,30 +270,36 @@ class Adam:
     def apply(self, grads: Net, share: float) -> None:
         """share: from 0 at the start of training to 1 at its end; the rate falls to a tenth."""
         self.step += 1
-        rate = self.rate * (1 - 0.9 * share) * np.sqrt(1 - 0.99 ** self.step) / (1 - 0.9 ** self.step)
+        # a number of Python, so that arrays stay float32
+        rate = float(self.rate * (1 - 0.9 * share) * np.sqrt(1 - 0.99 ** self.step) / (1 - 0.9 ** self.step))
         for k, g in grads.items():
             self.one[k] += 0.1 * (g - self.one[k])
             self.two[k] += 0.01 * (g * g - self.two[k])
-            self.net[k] -= (rate * self.one[k] / (np.sqrt(self.two[k]) + 1e-7)).astype(np.float32)
+            self.net[k] -= rate * self.one[k] / (np.sqrt(self.two[k]) + 1e-7)
 
 
-def windows(net: Net, texts: list[np.ndarray], start: int, most: int, window: int) -> Iterator[tuple[Net, int, float]]:
-    """Gradients of each window of the texts, its words, and the share of steps before it; the state goes on from window to window.
+def windows(net: Net, texts: list[np.ndarray], start: int, most: int, window: int, gathered: Net) -> Iterator[tuple[int, float]]:
+    """The words of each window of the texts, and the share of steps before it; the state goes on from window to window.
 
-    The net may change between windows.
+    The gradients of a window's summed loss are added to `gathered`. The net may change between windows if `gathered` is cleared then.
     """
-    laid = Lanes(texts, most, start)
+    laid, weights = Lanes(texts, most, start), _gated(net)
     state = np.zeros((len(laid.total), net["state"].shape[0]), np.float32)
     for at in range(0, laid.steps, window):
         inputs, targets, starts, _, active = laid.window(at, window)
-        yield gradients(net, state[:inputs.shape[1]], inputs, targets, starts, active)[0], int(active.sum()), at / laid.steps
+        if not gathered:
+            gathered |= {k: np.zeros_like(v) for k, v in net.items()}
+            weights = _gated(net)
+        gradients(net, state[:inputs.shape[1]], inputs, targets, starts, active, gathered, weights)
+        yield int(active.sum()), at / laid.steps
 
 
 def train(net: Net, texts: list[np.ndarray], start: int, epochs: int, most: int = 128, window: int = 32, rate: float = 6e-3, seed: int = 1) -> Net:
     """Truncated backpropagation over the texts, `window` steps at a time; the net is changed and returned."""
-    rng, adam = np.random.default_rng(seed), Adam(net, rate)
+    rng, adam, gathered = np.random.default_rng(seed), Adam(net, rate), {}
     for epoch in range(epochs):
         order = rng.permutation(len(texts))
-        for grads, _, share in windows(net, [texts[i] for i in order], start, most, window):
-            adam.apply(grads, (epoch + share) / epochs)
+        for words, share in windows(net, [texts[i] for i in order], start, most, window, gathered):
+            adam.apply({k: g / words for k, g in gathered.items()}, (epoch + share) / epochs)
+            gathered.clear()
     return net

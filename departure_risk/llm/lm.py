@@ -40,7 +40,7 @@ SAMPLED, SAMPLED_WORDS = 1500, 512
 #: Words that a partition backpropagates through, lanes of texts it learns from at a time, and words of a step at least.
 WINDOW_WORDS, LANES, STEP_WORDS = 32, 512, 8192
 #: Bytes of text read at a time: enough texts to fill the lanes.
-SLICE = 8 << 20
+SLICE = 16 << 20
 #: Entries of a network that are averaged by one task.
 PART = 16384
 #: Networks that are added up at a time, and how often before the last sum: enough for 262,144 partitions.
@@ -183,6 +183,7 @@ def averaged(net: gru.Net, texts: DataFrame, vocab, rate: float = 1.5e-3, lanes:
 
         def step() -> None:
             adam.apply({k: g / waiting for k, g in gathered.items()}, 0.0)
+            gathered.clear()
 
         for batch in batches:
             for part in text_slices(batch, 0, SLICE):
@@ -190,12 +191,11 @@ def averaged(net: gru.Net, texts: DataFrame, vocab, rate: float = 1.5e-3, lanes:
                 ids = np.split(network_ids(words, vocabulary), bounds[1:-1])
                 weight += len(words)
                 # where few lanes are left, windows gather until they have the words of a step
-                for grads, n, _ in gru.windows(own, ids, vocabulary.end, lanes, WINDOW_WORDS):
-                    gathered = {k: gathered[k] + g * n if gathered else g * n for k, g in grads.items()}
+                for n, _ in gru.windows(own, ids, vocabulary.end, lanes, WINDOW_WORDS, gathered):
                     waiting += n
                     if waiting >= step_words:
                         step()
-                        waiting, gathered = 0, {}
+                        waiting = 0
         if waiting:
             step()
         flat = _flat(own).astype(np.float64) * weight

@@ -178,3 +178,33 @@ def test_the_corpus_pass_learns_from_all_words_with_the_state_carried(spark, ste
 def test_without_training_texts_and_empty_tables(spark):
     check(spark, [(None, "a b"), (None, None)])
     assert lm.scores(table(spark, [])).isEmpty()
+
+
+def test_windows_add_to_what_is_gathered(monkeypatch):
+    """Gradients of summed losses are added in place, the same in blocks of any size, also where few lanes are left."""
+    rng = np.random.default_rng(8)
+    net = gru.new_net(gru.Shape(5, 4, 6), rng.integers(1, 90, 24))
+    texts = [np.minimum(rng.geometric(0.2, n) - 1, 23).astype(np.int32) for n in (90, 7, 30, 1, 12)]
+    words = sum(map(len, texts))
+    together, arrays = {}, set()
+    for n, _ in gru.windows(net, texts, 0, 3, 8, together):
+        arrays |= {id(g) for g in together.values()}
+    assert len(arrays) == len(net)
+    whole, _ = gru.gradients(net, np.zeros((3, 5), np.float32), *_as_one_window(texts, 3))
+    alone = {k: np.zeros_like(v) for k, v in net.items()}
+    gru.gradients(net, np.zeros((3, 5), np.float32), *_as_one_window(texts, 3), alone)
+    for k in net:
+        np.testing.assert_allclose(alone[k], whole[k] * words, rtol=1e-4, atol=1e-5)
+    scores = gru.score(net, texts, 0)
+    monkeypatch.setattr(gru, "ROWS", 3)
+    small: dict = {}
+    assert sum(n for n, _ in gru.windows(net, texts, 0, 3, 8, small)) == words
+    for k in net:
+        np.testing.assert_allclose(small[k], together[k], rtol=1e-4, atol=1e-5)
+    np.testing.assert_allclose(gru.score(net, texts, 0), scores, rtol=1e-6)
+
+
+def _as_one_window(texts, most):
+    laid = gru.Lanes(texts, most, 0)
+    inputs, targets, starts, _, active = laid.window(0, laid.steps)
+    return inputs, targets, starts, active
