@@ -27,6 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
+from departure_risk.llm.memory import given_back
 from departure_risk.llm.shingles import shingle_sets, signature
 from departure_risk.session import written_once
 
@@ -71,7 +72,7 @@ def shingled(docs: DataFrame, size: int) -> DataFrame:
                      pa.array([signature(s) if len(s) else None for s in sets], pa.list_(pa.int32()))], schema=shape)
 
     narrow = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return narrow.mapInArrow(measure, "doc_id long, n long, digest binary, minhash array<int>")
+    return narrow.mapInArrow(lambda batches: given_back(measure(batches)), "doc_id long, n long, digest binary, minhash array<int>")
 
 
 def tree_nodes(classes: DataFrame, trees: range, node: int, depth: int, whole: bool) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -288,13 +289,13 @@ def verified(tasks: DataFrame, classes: DataFrame, docs: DataFrame, size: int, t
     known = classes.select("id", "minhash", "digest", "split")
     columns = ["task", "tree", "id", "label", "earlier", "side", "minhash", "digest", "split"]
     met = tasks.join(known, "id").select(*columns).repartition("task").sortWithinPartitions("task", "side", "id")
-    close = written_once(met.mapInArrow(survivors, met.schema), "close-classes")
+    close = written_once(met.mapInArrow(lambda batches: given_back(survivors(batches)), met.schema), "close-classes")
     texts = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text"))
     ids = written_once(close.select("id").distinct(), "close-ids")
     if ids.count() <= BROADCAST_IDS:  # then only their texts are shuffled
         texts = texts.join(F.broadcast(ids), "id", "left_semi")
     wanted = close.join(texts, "id").select(*columns, "text").repartition("task").sortWithinPartitions("task", "id")
-    return written_once(wanted.mapInArrow(links, "a long, b long"), "links")
+    return written_once(wanted.mapInArrow(lambda batches: given_back(links(batches)), "a long, b long"), "links")
 
 
 def components(links: DataFrame) -> DataFrame:

@@ -20,6 +20,8 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from departure_risk.llm.memory import given_back
+
 WIDTH, STEP, CHUNK = 16, 4, 128
 DEEP, FILTERS, HIDDEN = 8, 24, 16
 PARTS = WIDTH // STEP
@@ -210,8 +212,7 @@ def scorer(net: Network):
 
     @F.pandas_udf("double")
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for texts in batches:
-            yield pd.Series(score_texts([(t or "").encode() for t in texts], net).astype(np.float64))
+        yield from given_back(pd.Series(score_texts([(t or "").encode() for t in texts], net).astype(np.float64)) for texts in batches)
 
     return score
 

@@ -24,6 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
 from departure_risk.llm import files, simple8b
+from departure_risk.llm.memory import given_back
 from departure_risk.session import written_once
 
 MAGIC = b"S8BIDS01"
@@ -216,7 +217,7 @@ def write_tokens(docs: DataFrame, tokenizer: str, end: int = 0, id_col: str = "d
     narrow = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     ordered = narrow.repartitionByRange(F.col("id").asc_nulls_first()).sortWithinPartitions(
         F.col("id").asc_nulls_first(), "text")
-    return written_once(ordered.mapInArrow(shard, "file long, uri string, documents long, ids long"), "token-files")
+    return written_once(ordered.mapInArrow(lambda batches: given_back(shard(batches)), "file long, uri string, documents long, ids long"), "token-files")
 
 
 def read_tokens(written: DataFrame) -> DataFrame:
@@ -241,7 +242,7 @@ def read_tokens(written: DataFrame) -> DataFrame:
                      pa.array([row["file"]] * len(documents), pa.int64())], schema=shape)
 
     files_each = placed.repartition(max(1, min(written.count(), 10_000)))  # a file or more a task
-    return files_each.mapInArrow(decode, "doc_id long, start long, n_tokens long, ids_crc32 long, file long")
+    return files_each.mapInArrow(lambda batches: given_back(decode(batches)), "doc_id long, start long, n_tokens long, ids_crc32 long, file long")
 
 
 def read_ids(uri: str) -> Iterator[np.ndarray]:

@@ -71,3 +71,18 @@ def test_each_operator_has_a_query():
     numbers = sorted(int(name[2:].split("_")[0]) for name in queries.QUERIES)
     assert numbers == list(range(1, 14)) and set(queries.SQL) <= set(queries.QUERIES)
     json.dumps(queries.SQL)
+
+
+def test_waiting_workers_hold_no_unused_memory(monkeypatch):
+    from departure_risk.llm import memory
+
+    freed = []
+
+    class Pool:
+        def release_unused(self):
+            freed.append(True)
+
+    monkeypatch.setattr(memory.pa, "default_memory_pool", Pool)
+    batches = memory.given_back(iter([1, 2]))
+    assert next(batches) == 1 and not freed
+    assert list(batches) == [2] and freed
