@@ -2,8 +2,9 @@
 
 1. `shingled`: one pass over the texts gives each document its number of distinct shingles, a digest of the set, and
    64 minhash values. Documents with equal sets become one class, represented by the smallest id.
-2. `tree_nodes`: a tree's root splits the classes by one minhash value; a node of more than `node` classes branches by two
-   further values each, and so on. A larger node of classes that are alike anyway is cut into blocks instead (see `blocks`).
+2. `tree_nodes`: a tree's root splits the classes by one minhash value; a node of more than WHOLE_NODES * `node` classes branches by
+   two further values each, and so on. A larger node of classes that are alike anyway, and one of more than `node` classes that
+   does not branch, is cut into blocks instead (see `blocks`).
 3. `verified`: in each small node all classes are compared, first by their minhash values, then on their full shingle
    sets, read from the texts again. Only links that join what is not yet joined are given back.
 4. `components`: links are contracted to stars with the smallest id in the middle.
@@ -36,6 +37,8 @@ TREES, DEPTH, NODE = (2, 8), 8, 240
 ROOTS = sum(TREES)
 #: Rows of a block of a larger node, in nodes: every two blocks are a task, so a class is copied once for each block of its node.
 BLOCK_NODES = 4
+#: Nodes of so many times `node` classes are compared whole in blocks, alike or not: branching doubles their rows level by level.
+WHOLE_NODES = 16
 #: Minhash values that tell whether the classes of a node are alike, and their mean similarity from which they are.
 PROBES, ALIKE = 3, 0.25
 #: Salts of the join that gives documents their class.
@@ -80,7 +83,8 @@ def tree_nodes(classes: DataFrame, trees: range, node: int, depth: int, whole: b
     (id, tree) of the classes whose root is not compared as a whole.
 
     A larger node whose classes are alike on average gains nothing by branching (all stay together on every branch), so it
-    is set aside to be cut into blocks that compare it whole; the others branch. Without `whole`, all larger nodes are set
+    is set aside to be cut into blocks that compare it whole; so is one of at most WHOLE_NODES * `node` classes, so that the rows
+    of a group do not double with every level. The others branch. Without `whole`, all larger nodes are set
     aside right away, and blocks compare parts of them. Nodes whose classes all carry one label are left out.
     `classes`: id, label, minhash.
     """
@@ -96,6 +100,8 @@ def tree_nodes(classes: DataFrame, trees: range, node: int, depth: int, whole: b
         large = sized.where(F.col("size") > node)
         if not whole:
             return small[0], large.select("task", "tree", "id", "label", "size"), large.select("id", "tree")
+        alike_nodes.append(large.where(F.col("size") <= WHOLE_NODES * node).select("task", "tree", "id", "label", "size"))
+        large = large.where(F.col("size") > WHOLE_NODES * node)
         if large.isEmpty():
             break
         # the mean similarity of a node's classes: how often two of them agree, over some minhash values no root uses
@@ -116,9 +122,7 @@ def tree_nodes(classes: DataFrame, trees: range, node: int, depth: int, whole: b
         branch = F.explode(F.array(*[F.struct(p.cast("int").alias("at"), F.element_at("minhash", (p + 1).cast("int")).alias("value")) for p in places]))
         rows = branching.select("id", "label", "tree", "task", branch.alias("b")).select(
             "id", "label", "tree", F.xxhash64("task", "b.at", "b.value").alias("task")).distinct()
-    none = classes.where("false")
-    return (_all(small), _all(alike_nodes) if alike_nodes else none.selectExpr("0L as task", "0 as tree", "id", "label", "0L as size"),
-            _all(split).distinct() if split else none.selectExpr("id", "0 as tree"))
+    return _all(small), _all(alike_nodes), _all(split).distinct() if split else classes.where("false").selectExpr("id", "0 as tree")
 
 
 def _all(parts: list[DataFrame]) -> DataFrame:
@@ -138,18 +142,20 @@ def blocks(large: DataFrame, node: int) -> DataFrame:
     """
     most = BLOCK_NODES * node
     # the largest node a class was in in an earlier tree: classes that share it met there and need not meet again
-    earlier = Window.partitionBy("id").orderBy("tree").rangeBetween(Window.unboundedPreceding, -1)
-    large = large.withColumn("met", F.coalesce(F.max(F.struct("size", "task")).over(earlier)["task"], F.lit(0)))
+    before = Window.partitionBy("id").orderBy("tree").rangeBetween(Window.unboundedPreceding, -1)
+    large = written_once(large.withColumn("earlier", F.coalesce(F.max(F.struct("size", "task")).over(before)["task"], F.lit(0))), "met-classes")
+    # everything else is told from the classes of each label in a node that met, counted once
+    counted = written_once(large.groupBy("task", "earlier", "label").agg(F.count(F.lit(1)).alias("own")), "met-labels")
     # few classes that met share blocks with others, or each such few would be a block that meets all others
-    many = large.where("met <> 0").groupBy("task", "met").agg(F.count(F.lit(1)).alias("together")).where(F.col("together") >= most)
-    large = large.withColumn("earlier", F.col("met")).join(many, ["task", "met"], "left").withColumn(
-        "met", F.when(F.col("together").isNull(), F.lit(0).cast("long")).otherwise(F.col("met"))).drop("together")
-    per_label = large.groupBy("task", "met", "label").agg(F.count(F.lit(1)).alias("own"))
+    many = counted.where("earlier <> 0").groupBy("task", "earlier").agg(F.sum("own").alias("together")).where(F.col("together") >= most)
+    folded = counted.join(many, ["task", "earlier"], "left").withColumn("met", F.when(F.col("together").isNull(), F.lit(0).cast("long")).otherwise(F.col("earlier")))
+    per_label = folded.groupBy("task", "met", "label").agg(F.sum("own").alias("own"), F.collect_list("earlier").alias("of"))
     rest = per_label.where(F.col("own") < most).groupBy("task", "met").agg(F.sum("own").alias("mixed"))
     cut = per_label.join(rest, ["task", "met"], "left").select(
-        "task", "met", "label", "own", F.when(F.col("own") < most, F.pmod(F.xxhash64("label"), F.ceil(F.col("mixed") / most))).alias("shared"))
+        "task", "met", "label", "own", F.explode("of").alias("earlier"),
+        F.when(F.col("own") < most, F.pmod(F.xxhash64("label"), F.ceil(F.col("mixed") / most))).alias("shared"))
     own_block = F.xxhash64("met", "label", F.pmod(F.xxhash64("id"), F.ceil(F.col("own") / most)))
-    placed = written_once(large.join(cut, ["task", "met", "label"]).select(
+    placed = written_once(large.join(cut, ["task", "earlier", "label"]).select(
         "task", "tree", "id", "label", "earlier", "met", F.when(F.col("shared").isNull(), F.col("label")).alias("pure"),
         F.when(F.col("shared").isNull(), own_block).otherwise(F.xxhash64(F.lit("shared"), "met", "shared")).alias("block")), "node-blocks")
     kinds = placed.select("task", "block", "pure", "met").distinct()
@@ -347,8 +353,8 @@ def near_duplicates(docs: DataFrame, size: int = 5, threshold: tuple[int, int] =
     first = 0
     for last, count in enumerate(trees):
         labelled = classes.select("id", "minhash", "digest")
-        labelled = labelled.withColumn("label", F.col("id")) if labels is None else labelled.join(labels, "id", "left").withColumn(
-            "label", F.coalesce("label", "id"))
+        labelled = labelled.withColumn("label", F.col("id")) if labels is None else written_once(labelled.join(labels, "id", "left").withColumn(
+            "label", F.coalesce("label", "id")), "labelled")  # joined once, read by every step of the trees
         small, large, parted = tree_nodes(labelled, range(first, first + count), node, depth, bool(last))
         # in the first trees, random blocks join the bulk of a large group; in the later ones all that is not joined meets
         free = {name: F.lit(0).cast("long") for name in ("earlier", "side")}

@@ -160,3 +160,20 @@ def test_texts_stay_where_they_are_while_few_documents_go(spark):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", automatic)
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def test_nodes_that_branch_against_all_pairs(spark, monkeypatch):
+    monkeypatch.setattr(neardup, "WHOLE_NODES", 1)
+    rows = corpus()
+    assert found(table(spark, rows).repartition(5), node=6, depth=3) == brute(rows)
+
+
+def test_a_group_that_is_little_alike_is_not_copied_level_by_level(spark):
+    rng = np.random.default_rng(5)
+    # two of five classes share each value: too few to be alike, too many for a branch to part them
+    minhash = np.where(rng.random((300, 64)) < 0.4, 7, rng.integers(100, 1 << 30, (300, 64)))
+    minhash[:, 0] = 7
+    classes = spark.createDataFrame([(i, i, m.tolist()) for i, m in enumerate(minhash)], "id long, label long, minhash array<int>")
+    small, large, split = neardup.tree_nodes(classes, range(0, 1), 20, 8, True)
+    rows = [r.id for r in small.collect()] + [r.id for r in large.collect()]
+    assert sorted(rows) == list(range(300)) and split.isEmpty()
