@@ -14,6 +14,10 @@ SPACE = np.zeros(256, bool)
 SPACE[[32, *range(9, 14)]] = True
 #: Words longer than this are hashed one at a time.
 LONG = 512
+#: Words hashed at a time, so that a block stays in the processor's cache.
+BLOCK = 1 << 15
+#: The bytes of a word that eight bytes from its start hold.
+MASKS = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
 _odd = np.random.default_rng(20240607).integers(0, 2 ** 63, 64, np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -24,6 +28,18 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
+def _hashed(eights: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Hashes of words of up to LONG bytes, eight bytes after the other; those of longer words are of no use."""
+    h = mix((lengths.astype(np.uint64) * _odd[0] ^ eights[starts] & MASKS[np.minimum(lengths, 8)]) * _odd[1])
+    at, place = 8, np.flatnonzero((lengths > 8) & (lengths <= LONG))
+    while len(place):
+        rest = lengths[place] - at
+        h[place] = mix((h[place] ^ eights[starts[place] + at] & MASKS[np.minimum(rest, 8)]) * _odd[1])
+        at += 8
+        place = place[rest > 8]
+    return h
+
+
 def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the words of all texts, and where each text's words begin (one more entry than texts); null is empty."""
     texts = pa.array(texts, pa.large_string()) if not isinstance(texts, pa.Array) else texts.cast(pa.large_string())
@@ -41,16 +57,9 @@ def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     ends = np.flatnonzero(word & ~np.concatenate([word[1:] & before[1:-1], [False]])[:len(word)]) + 1 if len(word) else starts
     lengths = ends - starts
     eights = np.ndarray((len(data) + 1,), "<u8", low, strides=(1,))
-    h = lengths.astype(np.uint64) * _odd[0]
-    at, place = 0, np.flatnonzero(lengths <= LONG)
-    while len(place):
-        part = eights[starts[place] + at]
-        rest = lengths[place] - at
-        short = rest < 8
-        part[short] &= (np.uint64(1) << (rest[short] * 8).astype(np.uint64)) - np.uint64(1)
-        h[place] = mix((h[place] ^ part) * _odd[1])
-        at += 8
-        place = place[rest > 8]
+    h = np.empty(len(starts), np.uint64)
+    for at in range(0, len(starts), BLOCK):
+        h[at:at + BLOCK] = _hashed(eights, starts[at:at + BLOCK], lengths[at:at + BLOCK])
     for i in np.flatnonzero(lengths > LONG):
         digest = hashlib.blake2b(low[starts[i]:ends[i]].tobytes(), digest_size=8).digest()
         h[i] = np.uint64(int.from_bytes(digest, "little"))

@@ -127,6 +127,14 @@ def test_word_hashes_tell_words_apart():
     assert part.tolist() == h[2:2 + len(part)].tolist()
 
 
+def test_word_hashes_do_not_depend_on_blocks(monkeypatch):
+    texts = pa.array([" ".join("ab" * (n % 9) + "x" * (n % 700) for n in range(at, at + 40)) for at in range(0, 2000, 40)])
+    h, bounds = shingles.word_hashes(texts)
+    monkeypatch.setattr(shingles, "BLOCK", 7)
+    again, same = shingles.word_hashes(texts)
+    assert h.tolist() == again.tolist() and bounds.tolist() == same.tolist()
+
+
 def test_minhash_estimates_similarity():
     a, b = np.arange(3000, dtype=np.uint64), np.arange(600, 3600, dtype=np.uint64)
     one, two = shingles.signature(shingles.mix(a)), shingles.signature(shingles.mix(b))
