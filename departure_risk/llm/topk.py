@@ -38,6 +38,22 @@ def whole_vectors(rows: DataFrame, id_col: str, vector_col: str, scale: float) -
         fine).select("id", F.transform("v", lambda x: F.rint(x - F.pmod(x, F.lit(1.0)))).alias("v"))
 
 
+def sample_of(vectors: DataFrame, count: int, width: int, sampled: int) -> list:
+    """id and v of the `sampled` ids of the least hashes, each with its vector that counts, in that order.
+
+    Of `count` rows only those below a bound of the hash are looked at, some 2 * `sampled` at first. A limit alone takes
+    `sampled` rows from every task to the driver.
+    """
+    hashed, share = F.xxhash64("id"), 2 * sampled / count
+    filled = F.concat("v", F.array_repeat(F.lit(0.0), F.lit(width) - F.size("v")))
+    while True:
+        below = vectors if share >= 1 else vectors.where(hashed < F.lit(int(share * 2 ** 64) - 2 ** 63))
+        found = below.groupBy("id").agg(F.min(filled).alias("v")).orderBy(hashed, "id").limit(sampled).collect()
+        if share >= 1 or len(found) == sampled:
+            return found
+        share *= 8
+
+
 def choose_pivots(sample: np.ndarray, pivots: int) -> np.ndarray:
     """Far-apart rows of the sample: each next one is the farthest from those chosen."""
     chosen = [0]
@@ -127,7 +143,7 @@ def top_k(rows: DataFrame, k: int = 20, query_every: int | None = None, queries:
     asked = queries if queries is not None else F.col("id") % query_every == 0
     if not count:
         return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    by_hash = vectors.orderBy(F.xxhash64("id"), "id").limit(sampled).collect()
+    by_hash = sample_of(vectors, count, width, sampled)
     sample_ids = np.array([r.id for r in by_hash], np.int64)
     sample = _matrix([r.v for r in by_hash], width)
     pivot_rows = choose_pivots(_lifted(sample, largest), pivots)
@@ -151,8 +167,6 @@ def top_k(rows: DataFrame, k: int = 20, query_every: int | None = None, queries:
         far = _distances(np.column_stack([x, np.zeros(len(x))]), pivot_rows).astype(np.float32)
         known = scores(x, sample).astype(np.float64)
         known[ids[:, None] == sample_ids[None, :]] = -np.inf
-        _, first = np.unique(sample_ids, return_index=True)
-        known = known[:, first]
         reached = np.full(len(x), -np.inf) if known.shape[1] < k else -np.partition(-known, k - 1, axis=1)[:, k - 1]
         return pd.DataFrame({"query_block": [group["query_block"].iloc[0]], "query_ids": [ids.tobytes()], "q": [x.tobytes()],
                              "query_far": [far.tobytes()], "reached": [reached.tobytes()]})
@@ -187,7 +201,8 @@ def top_k(rows: DataFrame, k: int = 20, query_every: int | None = None, queries:
             "query_block").applyInPandas(pack_queries, "query_block long, query_ids binary, q binary, query_far binary, reached binary"),
         "pivot-queries")
     visits = asking.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
-    found = packed.join(visits, "block").drop("block", "query_block").mapInArrow(search, SCORES)
+    # no broadcast: sizes are estimated without the explode, so all copies of the queries would meet on the driver
+    found = packed.join(visits.hint("merge"), "block").drop("block", "query_block").mapInArrow(search, SCORES)
     best_first = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(best_first)).where(F.col("rank") <= k).select(
         "query_id", "rank", "vec_id", "score")
